@@ -19,20 +19,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions import number
-from loanlens.operators.cleaning import category
 from loanlens.operators.ranges import RANGES, exact_quantiles, small_table
 from loanlens.sources.assets import Roles
 
 BUCKETS = 10
 TINY = 0.0001
 OVERALL = "OVERALL"
+PLACEHOLDER = "--"
 
-Edges = dict[str, list[float]]
+Edges = dict[tuple[str, str], list[float]]
 
 
 @dataclass(frozen=True)
 class DriftModule:
-    """One module of the drift report: its score, flag, dictionary and baseline."""
+    """One module of the drift report: its score, flag, dictionary and baseline.
+
+    ``prefix`` stands before the names of its columns in the new rows, where
+    modules with equal feature names share one frame.
+    """
 
     name: str
     score: str | None
@@ -40,43 +44,65 @@ class DriftModule:
     baseline: DataFrame
     flag: str | None = None
     missing_cat: str = "MISSING"
+    prefix: str = ""
 
     def asked(self) -> Roles:
         return self.roles.plus_numerical(self.score) if self.score else self.roles
 
     def counts_row(self) -> Column:
         """New rows count where the score is given and the flag is true."""
-        given = F.col(self.score).isNotNull() if self.score else F.lit(True)
+        given = F.col(self.prefix + self.score).isNotNull() if self.score else F.lit(True)
         return given & F.coalesce(F.col(self.flag), F.lit(False)) if self.flag else given
 
 
+Chosen = Sequence[tuple[DriftModule, Roles]]
+
+
+def _by_baseline(specs: Chosen) -> list[tuple[DataFrame, list[tuple[DriftModule, Roles]]]]:
+    """The modules of each baseline, so that a shared one is read once."""
+    shared: dict[int, tuple[DataFrame, list[tuple[DriftModule, Roles]]]] = {}
+    for spec, roles in specs:
+        shared.setdefault(id(spec.baseline), (spec.baseline, []))[1].append((spec, roles))
+    return list(shared.values())
+
+
 def fit_edges(
-    baseline: DataFrame,
-    columns: Sequence[str],
+    specs: Chosen,
     buckettype: str = "quantiles",
     buckets: int = BUCKETS,
     ranges: int = RANGES,
 ) -> Edges:
-    """Bucket edges per column, from the whole baseline.
+    """Bucket edges per module and numeric column, from the whole baselines.
 
     ``"quantiles"`` takes exact quantiles, ``"bins"`` equal widths between the
     least and the greatest value.  The result has one short list per column and
     is kept on the driver, like the splits of a fitted bucketizer.  Columns
     without any value in the baseline are left out.
     """
-    if not columns:
-        return {}
-    long = baseline.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("VAR"), number(c).alias("V")) for c in columns]))
+    long = _union(
+        [
+            _long(
+                baseline, [], members,
+                lambda spec, c, value: (
+                    f"named_struct('MODULE', {_text(spec.name)}, 'VAR', {_text(c)}, 'V', {value})"
+                ),
+                lambda roles: roles.numerical,
+                lambda spec, c: number(c),
+                new=False,
+            )
+            for baseline, members in _by_baseline(specs)
+        ]
     )
+    keys = ["MODULE", "VAR"]
     if buckettype == "quantiles":
-        fitted = exact_quantiles(long, "VAR", "V", [i / buckets for i in range(buckets + 1)], ranges)
-        return {r["VAR"]: list(r["QUANTILES"]) for r in fitted.collect()}
+        steps = [i / buckets for i in range(buckets + 1)]
+        fitted = exact_quantiles(long, keys, "V", steps, ranges)
+        return {(r["MODULE"], r["VAR"]): list(r["QUANTILES"]) for r in fitted.collect()}
     if buckettype != "bins":
         raise ValueError(f"unknown buckettype {buckettype!r}")
     spans = (
         long.where("V is not null")
-        .groupBy("VAR")
+        .groupBy(*keys)
         .agg(F.min("V").alias("low"), F.max("V").alias("high"))
     )
     percents = [i / buckets * 100.0 for i in range(buckets + 1)]
@@ -84,48 +110,89 @@ def fit_edges(
     for r in spans.collect():
         low, high = r["low"], r["high"]
         scale = percents[-1] / (high - low) if high > low else float("inf")
-        edges[r["VAR"]] = [p / scale + low for p in percents]
+        edges[r["MODULE"], r["VAR"]] = [p / scale + low for p in percents]
     return edges
 
 
-def bucket_of(value: Column, edges: Sequence[float]) -> Column:
-    """Index of the last edge (but the final one) at or below the value.
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def bucket_sql(value: str, edges: Sequence[float]) -> str:
+    """Index of the last edge (but the final one) at or below the value, as SQL.
 
     NULL outside the edges.  Equal edges leave the buckets between them empty.
     """
-    outside = (value < edges[0]) | (value > edges[-1]) | value.isNull()
-    bucket = F.when(outside, F.lit(None).cast("int"))
-    for i in range(len(edges) - 2, -1, -1):
-        bucket = bucket.when(value >= edges[i], F.lit(i))
-    return bucket
-
-
-def _numeric_entries(module: str, columns: Sequence[str], edges: Edges, buckets: int) -> list[Column]:
-    """(MODULE, VAR, B) per column; B is the bucket, the last one for missing."""
-    entries = []
-    for c in columns:
-        value = number(c)
-        inside = bucket_of(value, edges[c]) if c in edges else F.lit(None).cast("int")
-        bucket = F.when(value.isNull(), F.lit(buckets)).otherwise(inside)
-        entries.append(
-            F.struct(F.lit(module).alias("MODULE"), F.lit(c).alias("VAR"), bucket.alias("B"))
-        )
-    return entries
+    number_of = [f"double('{e!r}')" for e in edges]
+    steps = " ".join(
+        f"when {value} >= {number_of[i]} then {i}" for i in range(len(edges) - 2, -1, -1)
+    )
+    return f"case when {value} > {number_of[-1]} then null {steps} end"
 
 
-def _category_entries(module: str, columns: Sequence[str], missing_cat: str) -> list[Column]:
-    return [
-        F.struct(
-            F.lit(module).alias("MODULE"),
-            F.lit(c).alias("VAR"),
-            category(c, missing_cat).alias("CATEGORY"),
-        )
-        for c in columns
-    ]
+def _numeric_entry(spec: DriftModule, c: str, value: str, edges: Edges, buckets: int) -> str:
+    """(MODULE, VAR, B); B is the bucket, the last one for missing."""
+    fitted = edges.get((spec.name, c))
+    inside = bucket_sql(value, fitted) if fitted else "cast(null as int)"
+    return (
+        f"named_struct('MODULE', {_text(spec.name)}, 'VAR', {_text(c)},"
+        f" 'B', if({value} is null, {buckets}, {inside}))"
+    )
 
 
-def _exploded(df: DataFrame, groups: Sequence[str], entries: Sequence[Column]) -> DataFrame:
-    return df.select(*groups, F.inline(F.array_compact(F.array(*entries))))
+def _long(
+    df: DataFrame, groups: Sequence[str], members: Chosen, entry_of, columns_of, value_of, new: bool
+) -> DataFrame:
+    """One row per counted row, module and variable.
+
+    Values are prepared once per column; entries of modules a row does not
+    count for are dropped.  The entries are one SQL text, since a table may
+    have hundreds of variables.
+    """
+    values: dict[str, Column] = {}
+    flags: list[Column] = []
+    entries: list[str] = []
+    for i, (spec, roles) in enumerate(members):
+        prefix = spec.prefix if new else ""
+        flags.append((spec.counts_row() if new else F.lit(True)).alias(f"_in{i}"))
+        for c in columns_of(roles):
+            values[prefix + c] = value_of(spec, prefix + c)
+            entries.append(f"if(_in{i}, {entry_of(spec, c, _quoted('_v ' + prefix + c))}, null)")
+    prepared = df.select(*groups, *flags, *[v.alias(f"_v {c}") for c, v in values.items()])
+    return prepared.select(*groups, F.expr(f"inline(array_compact(array({', '.join(entries)})))"))
+
+
+def _long_numbers(
+    df: DataFrame, groups: Sequence[str], members: Chosen, edges: Edges, buckets: int, new: bool
+) -> DataFrame:
+    return _long(
+        df, groups, members,
+        lambda spec, c, value: _numeric_entry(spec, c, value, edges, buckets),
+        lambda roles: roles.numerical,
+        lambda spec, c: number(c),
+        new,
+    )
+
+
+def _long_categories(
+    df: DataFrame, groups: Sequence[str], members: Chosen, new: bool
+) -> DataFrame:
+    def entry(spec: DriftModule, c: str, value: str) -> str:
+        marked = f"coalesce({value}, {_text(spec.missing_cat)})"
+        return (
+            f"named_struct('MODULE', {_text(spec.name)}, 'VAR', {_text(c)}, 'CATEGORY', {marked})"
+        )
+
+    return _long(
+        df, groups, members, entry,
+        lambda roles: roles.categorical,
+        lambda spec, c: F.nullif(F.col(c).cast("string"), F.lit(PLACEHOLDER)),
+        new,
+    )
 
 
 def _bucket_counts(long: DataFrame, groups: Sequence[str], buckets: int) -> DataFrame:
@@ -152,28 +219,26 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def _numeric_report(
-    specs: Sequence[tuple[DriftModule, Roles]],
+    specs: Chosen,
     new: DataFrame,
     month: str,
     buckettype: str,
     buckets: int,
     ranges: int,
 ) -> DataFrame:
-    bases, entries, fitted = [], [], F.lit(False)
-    for spec, roles in specs:
-        columns = roles.numerical
-        edges = fit_edges(spec.baseline, columns, buckettype, buckets, ranges)
-        if edges:
-            fitted = fitted | ((F.col("MODULE") == spec.name) & F.col("VAR").isin(*edges))
-        own = _numeric_entries(spec.name, columns, edges, buckets)
-        bases.append(_bucket_counts(_exploded(spec.baseline, [], own), [], buckets))
-        entries += [F.when(spec.counts_row(), entry) for entry in own]
-    base = _union(bases).select(
-        "MODULE", "VAR", F.col("TOTAL").alias("_n"), F.col("COUNTS").alias("_base")
-    )
+    edges = fit_edges(specs, buckettype, buckets, ranges)
+    base = _union(
+        [
+            _bucket_counts(_long_numbers(df, [], members, edges, buckets, new=False), [], buckets)
+            for df, members in _by_baseline(specs)
+        ]
+    ).select("MODULE", "VAR", F.col("TOTAL").alias("_n"), F.col("COUNTS").alias("_base"))
+    fitted = F.concat_ws("/", "MODULE", "VAR").isin(*["/".join(k) for k in edges]) if edges else F.lit(False)
     slots = range(buckets + 1)
     counted = (
-        _bucket_counts(_exploded(new, [month], entries), [month], buckets)
+        _bucket_counts(
+            _long_numbers(new, [month], specs, edges, buckets, new=True), [month], buckets
+        )
         .select("MODULE", "VAR", "TOTAL", "COUNTS", F.explode(_labels(month)).alias("PSI_MONTH"))
         .groupBy("MODULE", "PSI_MONTH", "VAR")
         .agg(
@@ -192,13 +257,11 @@ def _numeric_report(
     return joined.select("MODULE", "PSI_MONTH", "VAR", F.when(fitted, psi).alias("PSI"))
 
 
-def category_shares(
-    df: DataFrame, columns: Sequence[str], missing_cat: str = "MISSING", module: str = ""
-) -> DataFrame:
-    """MODULE, VAR, CATEGORY, COUNT and SHARE of all rows."""
-    total = df.agg(F.count("*")).scalar()
+def _shares(baseline: DataFrame, members: Chosen) -> DataFrame:
+    """MODULE, VAR, CATEGORY and the share of all baseline rows."""
+    total = baseline.agg(F.count("*")).scalar()
     return (
-        _exploded(df, [], _category_entries(module, columns, missing_cat))
+        _long_categories(baseline, [], members, new=False)
         .groupBy("MODULE", "VAR", "CATEGORY")
         .agg(F.count("*").alias("COUNT"))
         .select(
@@ -208,28 +271,27 @@ def category_shares(
     )
 
 
+def category_shares(df: DataFrame, columns: Sequence[str], missing_cat: str = "MISSING") -> DataFrame:
+    """VAR, CATEGORY, COUNT and SHARE of all rows."""
+    roles = Roles(categorical=tuple(columns))
+    spec = DriftModule("", None, roles, df, missing_cat=missing_cat)
+    return _shares(df, [(spec, roles)]).drop("MODULE")
+
+
 def _category_report(
-    specs: Sequence[tuple[DriftModule, Roles]], new: DataFrame, month: str
+    specs: Chosen, new: DataFrame, month: str
 ) -> DataFrame:
     """A category the new rows lack adds the term of share 0.0001.
 
     Those terms are summed once per variable; a category both sides have
     replaces its own.  So no table of months x categories is built.
     """
-    base = _union(
-        [
-            category_shares(s.baseline, r.categorical, s.missing_cat, s.name)
-            for s, r in specs
-        ]
-    ).select("MODULE", "VAR", "CATEGORY", F.col("SHARE").alias("_e"))
+    base = _union([_shares(df, members) for df, members in _by_baseline(specs)]).select(
+        "MODULE", "VAR", "CATEGORY", F.col("SHARE").alias("_e")
+    )
     absent = base.groupBy("MODULE", "VAR").agg(
         F.sum(_term(F.col("_e"), F.lit(0.0))).alias("_absent")
     )
-    entries = [
-        F.when(s.counts_row(), entry)
-        for s, r in specs
-        for entry in _category_entries(s.name, r.categorical, s.missing_cat)
-    ]
     per_module = F.array(
         *[F.when(s.counts_row(), F.struct(F.lit(s.name).alias("MODULE"))) for s, _ in specs]
     )
@@ -242,7 +304,7 @@ def _category_report(
         .agg(F.sum("_n").alias("_n"))
     )
     counts = (
-        _exploded(new, [month], entries)
+        _long_categories(new, [month], specs, new=True)
         .groupBy(month, "MODULE", "VAR", "CATEGORY")
         .agg(F.count("*").alias("COUNT"))
         .select("MODULE", "VAR", "CATEGORY", "COUNT", F.explode(_labels(month)).alias("PSI_MONTH"))
@@ -283,8 +345,9 @@ def psi_report(
     numeric, categorical, one_sided = [], [], []
     for spec in specs:
         asked = spec.asked()
-        shared = [c for c in spec.baseline.columns if c in new.columns]
-        roles = asked.within(shared)
+        old_has = set(spec.baseline.columns)
+        new_has = {c for c in (*asked.numerical, *asked.categorical) if spec.prefix + c in new.columns}
+        roles = asked.within([c for c in new_has if c in old_has])
         if roles.numerical:
             numeric.append((spec, roles))
         if roles.categorical:
@@ -292,7 +355,7 @@ def psi_report(
         one_sided += [
             (spec.name, OVERALL, c, None)
             for c in (*asked.numerical, *asked.categorical)
-            if c not in shared and (c in spec.baseline.columns or c in new.columns)
+            if (c in old_has) != (c in new_has)
         ]
     parts = []
     if numeric:

@@ -50,6 +50,11 @@ def fixed_cuts(df: DataFrame, value: str, ranges: int = RANGES) -> list[float]:
     return sorted(set(_cuts(df, value, ranges).first()[0] or []))
 
 
+def _as_array(cuts: Sequence[float]) -> Column:
+    """The numbers as one literal, which keeps the plan small."""
+    return F.split(F.lit(",".join(map(repr, cuts))), ",").cast("array<double>")
+
+
 def small_table(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """A broadcast copy of a small result; a larger one is returned as it is.
 
@@ -63,9 +68,29 @@ def small_table(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(spark.createDataFrame(rows, df.schema))
 
 
+def _position(p: float) -> str:
+    """Where quantile p lies among the ranks 0 to n - 1."""
+    return f"(double(_n - 1) * double('{p!r}'))"
+
+
+def _ranks(probabilities: Sequence[float]) -> Column:
+    """The ranks next to every quantile, each once."""
+    low = [f"floor({_position(p)})" for p in probabilities]
+    high = [f"least({rank} + 1, _n - 1)" for rank in low]
+    return F.expr(f"array_distinct(array({', '.join(low + high)}))")
+
+
+def _interpolated(p: float) -> str:
+    """Linear interpolation between the two order statistics in the map ``_at``."""
+    low = f"floor({_position(p)})"
+    a, b = f"_at[{low}]", f"_at[least({low} + 1, _n - 1)]"
+    t = f"({_position(p)} - {low})"
+    return f"if({t} < 0.5D, {a} + ({b} - {a}) * {t}, {b} - ({b} - {a}) * (1.0D - {t}))"
+
+
 def exact_quantiles(
     long: DataFrame,
-    group: str,
+    groups: Sequence[str],
     value: str,
     probabilities: Sequence[float],
     ranges: int = RANGES,
@@ -73,62 +98,40 @@ def exact_quantiles(
     """Exact quantiles per group with linear interpolation, without a sort in one task.
 
     Rank (n - 1) * p falls between two order statistics; both are found by
-    counting.  Returns (group, QUANTILES array, N); NULL values do not count.
+    counting.  Returns (*groups, QUANTILES array, N); NULL values do not count.
     """
+    groups = list(groups)
     counts = (
-        long.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_c"))
+        long.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("_c"))
     )
     cuts = fixed_cuts(counts, value, ranges)
-    ranged = counts.withColumn(
-        "_range", range_of(value, F.array(*[F.lit(c) for c in cuts])) if cuts else F.lit(0)
-    )
-    totals = ranged.groupBy(group, "_range").agg(F.sum("_c").alias("_t"))
-    by_range = Window.partitionBy(group).orderBy("_range")
+    ranged = counts.withColumn("_range", range_of(value, _as_array(cuts)) if cuts else F.lit(0))
+    totals = ranged.groupBy(*groups, "_range").agg(F.sum("_c").alias("_t"))
+    by_range = Window.partitionBy(*groups).orderBy("_range")
     offsets = totals.select(
-        group,
+        *groups,
         "_range",
         F.coalesce(
             F.sum("_t").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_offset"),
-        F.sum("_t").over(Window.partitionBy(group)).alias("_n"),
-    )
+        F.sum("_t").over(Window.partitionBy(*groups)).alias("_n"),
+    ).withColumn("_ranks", _ranks(probabilities))
     inside = (
-        Window.partitionBy(group, "_range")
+        Window.partitionBy(*groups, "_range")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     placed = ranged.withColumn("_through", F.sum("_c").over(inside)).join(
-        offsets, [group, "_range"]
+        offsets, [*groups, "_range"]
     )
     first = F.col("_offset") + F.col("_through") - F.col("_c")
     last = F.col("_offset") + F.col("_through") - 1
-    at = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probabilities]
-    low = [F.floor(a) for a in at]
-    high = [F.least(F.floor(a) + 1, F.col("_n") - 1) for a in at]
-    wanted = F.lit(False)
-    for rank in [*low, *high]:
-        wanted = wanted | ((first <= rank) & (rank <= last))
-
-    def pick(rank: Column, name: str) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= last), F.col(value))).alias(name)
-
-    picked = (
-        placed.where(wanted)
-        .groupBy(group)
-        .agg(
-            F.max("_n").alias("_n"),
-            *[pick(rank, f"_low{i}") for i, rank in enumerate(low)],
-            *[pick(rank, f"_high{i}") for i, rank in enumerate(high)],
-        )
-    )
-
-    def interpolate(i: int) -> Column:
-        a, b = F.col(f"_low{i}"), F.col(f"_high{i}")
-        t = at[i] - F.floor(at[i])
-        return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1.0 - t))
-
-    return picked.select(
-        group,
-        F.array(*[interpolate(i) for i in range(len(at))]).alias("QUANTILES"),
-        F.col("_n").alias("N"),
+    hit = F.filter("_ranks", lambda rank: (first <= rank) & (rank <= last))
+    # at most two ranks per quantile, so the map is as short as the quantile list
+    found = (
+        placed.select(*groups, "_n", F.col(value).alias("_value"), F.explode(hit).alias("_rank"))
+        .groupBy(*groups, "_n")
+        .agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"))
     )
+    quantiles = ", ".join(_interpolated(p) for p in probabilities)
+    return found.select(*groups, F.expr(f"array({quantiles})").alias("QUANTILES"), F.col("_n").alias("N"))

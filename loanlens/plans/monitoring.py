@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from loanlens.operators.gini import with_gini_columns
 from loanlens.operators.ks import ks_table
@@ -17,6 +16,7 @@ from loanlens.sources import scans
 from loanlens.sources.assets import Roles
 
 # Scores the blend's drift report follows.
+BLEND_MODULE = "combination_module_xg"
 BLEND_ROLES = Roles(numerical=("TRX_PD", "SMS_PD", "BR_PD"))
 
 
@@ -65,26 +65,16 @@ def offer_drift(
     """PSI of the features inside scored offers; the month is the offer's own.
 
     ``baselines`` and ``roles`` are keyed by module table name;
-    ``combination_module_xg`` follows the scores themselves.
+    ``combination_module_xg`` follows the scores themselves.  The offers are
+    read once for all modules.
     """
-    scanned = O.offer_scan(offers)
-    records = O.module_records(scanned)
-    reports = []
-    for _, module, score in O.OFFER_MODULES:
-        if module not in baselines:
-            continue
-        features = [*roles[module].numerical, *roles[module].categorical]
-        rows = O.module_table(records, module, features, score)
-        spec = DriftModule(module, score, roles[module], baselines[module], missing_cat=missing_cat)
-        reports.append(psi_report([spec], rows))
-    if "combination_module_xg" in baselines:
-        spec = DriftModule(
-            "combination_module_xg", "CALIB_PD", BLEND_ROLES, baselines["combination_module_xg"]
-        )
-        reports.append(psi_report([spec], O.combination_records(scanned)))
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
-
-
+    features = {m: [*r.numerical, *r.categorical] for m, r in roles.items()}
+    rows = O.module_columns(O.offer_scan(offers), features)
+    specs = [
+        DriftModule(m, pd, roles[m], baselines[m], missing_cat=missing_cat, prefix=f"{m}_")
+        for _, m, pd in O.OFFER_MODULES
+        if m in baselines
+    ]
+    if BLEND_MODULE in baselines:
+        specs.append(DriftModule(BLEND_MODULE, "CALIB_PD", BLEND_ROLES, baselines[BLEND_MODULE]))
+    return psi_report(specs, rows)

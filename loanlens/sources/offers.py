@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -127,6 +127,26 @@ def combination_records(offers: DataFrame) -> DataFrame:
     )
 
 
+def module_columns(offers: DataFrame, features: Mapping[str, Sequence[str]]) -> DataFrame:
+    """One row per offer: the listed features of each module table, and the scores.
+
+    Columns are named ``{module table}_{feature}``; the module's own score is
+    among them and is NULL where the module is empty.  Nothing is exploded, so
+    all modules are read in one pass.
+    """
+    columns = []
+    for source, table, pd in OFFER_MODULES:
+        columns.append(F.when(_present(source), F.col(pd)).alias(f"{table}_{pd}"))
+        columns += [
+            F.element_at(F.element_at("_features", source), key).alias(f"{table}_{key}")
+            for key in features.get(table, ())
+        ]
+        columns.append(F.when(_present(source), F.col(pd)).alias(pd))
+    return _with_features(offers).select(
+        "ID", month_label("CREATED_AT").alias("MONTH_YEAR"), "CALIB_PD", *columns
+    )
+
+
 def feature_keys(records: DataFrame, module: str) -> list[str]:
     """All feature names seen in one module (one row per name comes back)."""
     keys = (
