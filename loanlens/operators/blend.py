@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanlens.functions import logit, number, sigmoid
 from loanlens.operators.scoring import Calibration
-from loanlens.operators.skew import spread_joins
+from loanlens.operators.skew import left_joins
 from loanlens.sources import schemas as S
 
 # Weights (percent) of the log-odds per combination type.
@@ -82,14 +82,13 @@ def join_module_scores(
     bureau: DataFrame,
     transaction: DataFrame,
     sms: DataFrame,
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Decisions with the scores of three modules; decisions without one keep NULL.
 
     Full-row duplicates go before the joins, on both sides, which gives the
     same rows as removing them after each join and shuffles less.
     """
-    return spread_joins(
+    return left_joins(
         decisions.distinct(),
         [
             _module_scores(bureau, "BR_PD", "LOGODDS_BR"),
@@ -97,8 +96,7 @@ def join_module_scores(
             _module_scores(readable_messages_only(sms), "SMS_PD", "LOGODDS_SMS"),
         ],
         ["BRE_RUN_ID"],
-        "left",
-        hot=hot,
+        counted=decisions,
     )
 
 
@@ -147,7 +145,6 @@ def join_lr_modules(
     activity: DataFrame,
     transaction: DataFrame,
     bureau: DataFrame,
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Activity results with transaction and bureau results, raw scores as log-odds."""
     left = activity.select(
@@ -168,7 +165,7 @@ def join_lr_modules(
             (bureau, "BR", "BR_LOGODDS", S.BUREAU_FLAG),
         )
     ]
-    return spread_joins(left, lookups, ["BRE_RUN_ID"], "left", hot=hot)
+    return left_joins(left, lookups, ["BRE_RUN_ID"], counted=activity)
 
 
 def lr_blend(

@@ -40,12 +40,13 @@ def gini(
     """
     groups = list(groups)
     outcome = F.col(label).cast("long")
-    counts = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*groups, F.col(score).alias("_score"))
-        .agg(F.sum(outcome).alias("_b"), F.sum(1 - outcome).alias("_g"))
+    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).withColumn(
+        "_score", F.col(score)
     )
-    ranged = with_range(counts, "_score", ranges)
+    counts = rows.groupBy(*groups, "_score").agg(
+        F.sum(outcome).alias("_b"), F.sum(1 - outcome).alias("_g")
+    )
+    ranged = with_range(counts, "_score", rows, ranges)
     below = (
         Window.partitionBy(*groups, "_range")
         .orderBy("_score")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions import day_diff, in_day_window, trimmed
-from loanlens.operators.skew import outer_fan_out, spread_join
+from loanlens.operators.skew import left_join_many
 from loanlens.sources import schemas as S
 
 _PAIR = ["_customer", "_run"]
@@ -73,9 +73,7 @@ def latest_run_per_day(repayments: DataFrame, decisions: DataFrame) -> DataFrame
     )
 
 
-def as_of_latest_run(
-    repayments: DataFrame, decisions: DataFrame, hot: Sequence[int] | None = None
-) -> DataFrame:
+def as_of_latest_run(repayments: DataFrame, decisions: DataFrame) -> DataFrame:
     """As-of join: each loan with the latest run on or before its payout day.
 
     Loans without an earlier run stay, with NULLs.  Days are compared, as the
@@ -86,7 +84,7 @@ def as_of_latest_run(
     )
     answers = latest_run_per_day(repayments, decisions)
     return (
-        spread_join(loans, answers, ["_user", "_day"], "left", hot=hot)
+        loans.join(answers, ["_user", "_day"], "left")
         .withColumn("DAYS_DIFF", day_diff("BRE_RUN_DATE", "_day"))
         .drop("_user", "_day")
     )
@@ -98,7 +96,6 @@ def labelled_master(
     start: dt.date | str,
     end: dt.date | str,
     labelled_since: dt.date | str,
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Every master row with the loans paid out on its run, or NULLs.
 
@@ -118,14 +115,13 @@ def labelled_master(
         trimmed("CUSTOMER_ID").alias("_customer"),
         F.when(recent, trimmed("BRE_RUN_ID")).alias("_run"),
     )
-    return outer_fan_out(kept, many, _PAIR, hot=hot).drop(*_PAIR)
+    return left_join_many(kept, many, _PAIR).drop(*_PAIR)
 
 
 def features_for_master(
     master: DataFrame,
     fact: DataFrame,
     columns: Sequence[str] | None = None,
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """All fact columns for every master row, beside the listed master columns.
 
@@ -143,5 +139,5 @@ def features_for_master(
     lookup = fact.select(
         "*", trimmed("CUSTOMER_ID").alias("_customer"), trimmed("BRE_RUN_ID").alias("_run")
     )
-    joined = spread_join(big, lookup, _PAIR, "left", hot=hot)
+    joined = big.join(lookup, _PAIR, "left")
     return joined.select(*fact.columns, *columns)

@@ -31,11 +31,17 @@ def range_of(value: Column | str, cuts: Column) -> Column:
     return F.coalesce(F.size(F.filter(cuts, lambda cut: cut < value)), F.lit(0))
 
 
-def with_range(df: DataFrame, value: str, ranges: int = RANGES, name: str = "_range") -> DataFrame:
-    """Adds the range of a value, the cuts being a one-row subquery of the same plan."""
+def with_range(
+    df: DataFrame, value: str, rows: DataFrame, ranges: int = RANGES, name: str = "_range"
+) -> DataFrame:
+    """Adds the range of a value; the cuts are a one-row subquery over ``rows``.
+
+    ``rows`` are the rows ``df`` was counted from.  Their percentiles need no
+    shuffle, and no range can hold more distinct values than rows.
+    """
     if ranges <= 1:
         return df.withColumn(name, F.lit(0))
-    cuts = _cuts(df, value, ranges).scalar()
+    cuts = _cuts(rows, value, ranges).scalar()
     return (
         df.select("*", cuts.alias("_cuts"))
         .withColumn(name, range_of(value, F.col("_cuts")))
@@ -101,10 +107,9 @@ def exact_quantiles(
     counting.  Returns (*groups, QUANTILES array, N); NULL values do not count.
     """
     groups = list(groups)
-    counts = (
-        long.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("_c"))
-    )
-    cuts = fixed_cuts(counts, value, ranges)
+    given = long.where(F.col(value).isNotNull())
+    counts = given.groupBy(*groups, value).agg(F.count("*").alias("_c"))
+    cuts = fixed_cuts(given, value, ranges)
     ranged = counts.withColumn("_range", range_of(value, _as_array(cuts)) if cuts else F.lit(0))
     totals = ranged.groupBy(*groups, "_range").agg(F.sum("_c").alias("_t"))
     by_range = Window.partitionBy(*groups).orderBy("_range")

@@ -1,4 +1,11 @@
-"""Joins that stay balanced when one key holds a large part of the rows."""
+"""Joins that stay balanced when one key holds a large part of the rows.
+
+A single equi-join needs no help: adaptive execution splits a hot partition of
+the left side of left, inner and anti joins, and of either side of inner joins.
+Two cases need a different plan and are built here: several joins in a row on
+one key, where adaptive execution cannot split, and left joins whose right side
+is the hot one.
+"""
 
 from __future__ import annotations
 
@@ -8,86 +15,70 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
-HOT_SHARE = 0.01
+BUCKETS = 65_536
+HOT_SHARE = 0.005
 
 
-def _key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(BUCKETS))
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that may hold more than ``share`` of the rows.
+def hot_buckets(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Hash buckets of the keys that hold more than ``share`` of the rows.
 
-    A frequent-items sketch over the key columns alone: one pass, no shuffle of
-    the rows, and about 1 / share hashes come back at most.  The sketch may name
-    keys that are not hot, which costs a little and changes no result.
+    Reads the key columns alone and counts in the map tasks; one row with at
+    most 1 / share bucket numbers comes back.  An even key has no such bucket.
     """
-    hashed = df.select(_key_hash(keys).alias("h"))
-    return list(hashed.stat.freqItems(["h"], share).first()[0] or [])
+    counts = df.groupBy(_bucket(keys).alias("b")).agg(F.count("*").alias("n"))
+    row = (
+        counts.agg(F.sum("n").alias("total"), F.array_agg(F.struct("n", "b")).alias("all"))
+        .selectExpr(f"transform(filter(all, x -> x.n > total * {share}D), x -> x.b) as hot")
+        .first()
+    )
+    return list(row["hot"] or [])
 
 
-def spread_joins(
+def left_joins(
     big: DataFrame,
     lookups: Sequence[DataFrame],
     keys: Sequence[str],
-    how: str = "left",
-    hot: Sequence[int] | None = None,
+    counted: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join ``big`` with each lookup on same-named keys; how: inner, left, left_anti.
-
-    Rows of ``big`` under a hot key (a NULL key may be one) are spread over
-    ``salts`` groups by a hash of the row, and the lookup rows under that key
-    are repeated once per group.  All other rows keep group 0 and nothing is
-    repeated for them.  The result is exact whatever the hot list holds, and
-    ``big`` is shuffled once however many lookups there are.  ``hot`` None
-    finds the list; without hot keys the joins are plain ones.
+    """Left joins of ``big`` with each lookup on the same keys; ``big`` moves once.
+
+    Rows under a hot key (a NULL key may be one) are spread over ``salts``
+    groups by a hash of the row, and the lookup rows of that bucket are
+    repeated once per group; all other rows stay in group 0 and nothing is
+    repeated for them.  Which keys are hot is counted on ``counted``, a cheaper
+    frame with the same keys, or on ``big``.  The result is exact either way.
     """
-    if how not in ("inner", "left", "left_anti"):
-        raise ValueError(f"unsupported join {how!r}")
     on = list(keys)
-    if hot is None:
-        hot = hot_key_hashes(big, on)
+    hot = hot_buckets(big if counted is None else counted, on)
     if not hot:
         for lookup in lookups:
-            big = big.join(lookup, on, how)
+            big = big.join(lookup, on, "left")
         return big
-
+    is_hot = _bucket(on).isin(*hot)
     row_hash = F.xxhash64(F.lit("group"), *[F.col(c) for c in big.columns])
-    is_hot = _key_hash(on).isin(*hot)
     group = F.when(is_hot, F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0))
     groups = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     joined = big.withColumn("_group", group)
     for lookup in lookups:
         repeated = lookup.select("*", F.explode(groups).alias("_group"))
-        joined = joined.join(repeated, [*on, "_group"], how)
+        joined = joined.join(repeated, [*on, "_group"], "left")
     return joined.drop("_group")
 
 
-def spread_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    hot: Sequence[int] | None = None,
-    salts: int = SALTS,
-) -> DataFrame:
-    """``spread_joins`` with one lookup."""
-    return spread_joins(big, [lookup], keys, how, hot, salts)
-
-
-def outer_fan_out(
-    kept: DataFrame,
-    many: DataFrame,
-    keys: Sequence[str],
-    hot: Sequence[int] | None = None,
-) -> DataFrame:
+def left_join_many(kept: DataFrame, many: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of ``kept`` with a right side that may hold many rows per key.
 
-    The matching part spreads the right side.  Rows of ``kept`` without a match
-    come from an anti join with the distinct keys and get NULLs.
+    As an inner join, whose hot side adaptive execution can split, and an anti
+    join with the distinct keys for the rows without a match.  A plain left
+    join could not split its right side.
     """
-    matched = spread_join(many, kept, keys, "inner", hot=hot)
-    unmatched = kept.join(many.select(*keys).distinct(), list(keys), "left_anti")
-    columns = [*kept.columns, *[c for c in many.columns if c not in keys]]
+    on = list(keys)
+    matched = kept.join(many, on)
+    unmatched = kept.join(many.select(*on).distinct(), on, "left_anti")
+    columns = [*kept.columns, *[c for c in many.columns if c not in on]]
     return matched.select(*columns).unionByName(unmatched, allowMissingColumns=True)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions import trimmed
-from loanlens.operators.skew import spread_join
 from loanlens.sources.schemas import MASTER_KEYS
 
 
@@ -47,7 +46,6 @@ def upsert(
     keys: Sequence[str] = tuple(MASTER_KEYS),
     latest_by: str = "BRE_RUN_DATE",
     new_columns: Sequence[str] = (),
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """The target after the merge: matched keys replaced, new keys added, others kept.
 
@@ -61,5 +59,5 @@ def upsert(
     fresh = latest_per_key(source, keys, latest_by).select(*columns)
     keyed_target, names = _with_keys(target, keys)
     replaced = _with_keys(fresh.select(*keys), keys)[0].select(*names)
-    kept = spread_join(keyed_target, replaced, names, "left_anti", hot=hot).drop(*names)
+    kept = keyed_target.join(replaced, names, "left_anti").drop(*names)
     return kept.unionByName(fresh, allowMissingColumns=True).select(*columns)

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.operators.scoring import linear_score
-from loanlens.operators.skew import spread_join
 
 SEPARATOR = "%,%"
 MISSING = "missing"
@@ -69,7 +68,6 @@ def woe_score(
     encoded: DataFrame,
     model: Sequence[tuple[str, float]],
     key: str = "BRE_RUN_ID",
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Logistic-regression score over encoded features, joined to all ids.
 
@@ -80,5 +78,5 @@ def woe_score(
     chosen = encoded.toDF(*[c.upper() for c in encoded.columns]).select(
         key, *[name for name, _ in terms]
     )
-    joined = spread_join(ids, chosen, [key], "left", hot=hot)
+    joined = ids.join(chosen, [key], "left")
     return joined.withColumn("PRED_TRAIN", linear_score(intercept, terms))

@@ -45,13 +45,12 @@ def activity_woe_score(
     model: Sequence[tuple[str, float]],
     missing_num: float,
     missing_cat: str,
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Activity rows cleaned, WOE-encoded and scored with a logistic regression."""
     rows = scans.module_scan(fact, "activity_module", start, end)
     prepared = clean(rows, roles, missing_num, missing_cat)
     encoded = apply_woe(prepared, bins, S.ID_COLUMNS)
-    return woe_score(rows.select(*S.ID_COLUMNS), encoded, model, hot=hot)
+    return woe_score(rows.select(*S.ID_COLUMNS), encoded, model)
 
 
 def blended_decisions(
@@ -62,14 +61,13 @@ def blended_decisions(
     start: dt.date | str,
     end: dt.date | str,
     calibration: Calibration,
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Decisions of a day window with flags, module scores, blend and band."""
     flagged = B.sufficiency_flags(scans.decision_scan(fact, start, end)).withColumn(
         "COMBINATION_TYPE", B.combination_type()
     )
     dated = flagged.withColumn("BRE_RUN_DATE", iso_day("BRE_RUN_DATE"))
-    return B.blend(B.join_module_scores(dated, bureau, transaction, sms, hot=hot), calibration)
+    return B.blend(B.join_module_scores(dated, bureau, transaction, sms), calibration)
 
 
 def decided(blended: DataFrame, model_type: str = "XGBOOST") -> DataFrame:

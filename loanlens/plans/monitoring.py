@@ -26,11 +26,10 @@ def attach_outcomes(
     start: dt.date | str,
     end: dt.date | str,
     labelled_since: dt.date | str = "2022-08-01",
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """As-of join of loans with runs, then the labels on every master row."""
-    loans = as_of_latest_run(repayments, master, hot=hot)
-    return labelled_master(master, loans, start, end, labelled_since, hot=hot)
+    loans = as_of_latest_run(repayments, master)
+    return labelled_master(master, loans, start, end, labelled_since)
 
 
 def gini_table(labelled: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
@@ -49,10 +48,9 @@ def drift_report(
     fact: DataFrame,
     specs: Sequence[DriftModule],
     model_type: str = "XGBOOST",
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """PSI of every module's features and scores, overall and by month."""
-    full = features_for_master(gini_rows, fact, hot=hot)
+    full = features_for_master(gini_rows, fact)
     return psi_report(specs, scans.of_model(full, model_type))
 
 

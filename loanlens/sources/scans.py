@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens.functions import in_day_window, null_if_nan, trimmed
-from loanlens.operators.skew import spread_join
 from loanlens.sources import schemas as S
 
 
@@ -119,7 +118,6 @@ def sms_sufficiency_scan(
     sufficiency: DataFrame,
     start: dt.date | str,
     end: dt.date | str,
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Bounce and overdue counts with the readable-message count of another table.
 
@@ -139,8 +137,7 @@ def sms_sufficiency_scan(
         trimmed("BRE_RUN_ID").alias("_run"),
         "NUM_READABLE_SMS_180D",
     )
-    joined = spread_join(facts, counts, ["_customer", "_run"], "left", hot=hot)
-    return joined.drop("_customer", "_run")
+    return facts.join(counts, ["_customer", "_run"], "left").drop("_customer", "_run")
 
 
 def matured(
