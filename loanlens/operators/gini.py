@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions import month_label
-from loanlens.operators.ranges import RANGES, small_table, with_range
+from loanlens.operators.ranges import small_table, with_range
 from loanlens.sources import schemas as S
 
 # Score column and the flag that has to be true for it.
@@ -30,7 +30,7 @@ def gini(
     groups: Sequence[str],
     score: str,
     label: str,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """BADS, GOODS and GINI = 2 AUC - 1 per group; ties count half.
 
@@ -109,7 +109,7 @@ def gini_metrics(
     scores: Sequence[tuple[str, str | None]] = tuple(GINI_SCORES),
     label: str = S.OUTCOME_LABEL,
     day: str = "DISBURSED_DATE",
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """METRIC, MODEL_TYPE, MONTH_YEAR (NULL for overall), BADS, GOODS, GINI.
 
@@ -121,16 +121,21 @@ def gini_metrics(
             rows,
             F.struct(
                 F.lit(metric).alias("METRIC"),
-                (month_label(day) if monthly else F.lit(None).cast("string")).alias("MONTH_YEAR"),
+                (F.col("_month") if monthly else F.lit(None).cast("date")).alias("_month"),
                 F.col(score).cast("double").alias("SCORE"),
             ),
         )
         for metric, score, monthly, rows in _metrics(since, scores, day)
     ]
-    long = df.select(
-        "MODEL_TYPE", F.col(label).alias("_label"), F.explode(F.array_compact(F.array(*entries)))
-    ).select("MODEL_TYPE", "_label", "col.*")
-    return gini(long, ["METRIC", "MODEL_TYPE", "MONTH_YEAR"], "SCORE", "_label", ranges)
+    long = (
+        df.withColumn("_month", F.trunc(day, "month"))
+        .select("MODEL_TYPE", F.col(label).alias("_label"), F.inline(F.array(*entries)))
+        .where("METRIC is not null")
+    )
+    figures = gini(long, ["METRIC", "MODEL_TYPE", "_month"], "SCORE", "_label", ranges)
+    return figures.select(
+        "METRIC", "MODEL_TYPE", month_label("_month").alias("MONTH_YEAR"), "BADS", "GOODS", "GINI"
+    )
 
 
 def with_gini_columns(
@@ -139,7 +144,7 @@ def with_gini_columns(
     scores: Sequence[tuple[str, str | None]] = tuple(GINI_SCORES),
     label: str = S.OUTCOME_LABEL,
     day: str = "DISBURSED_DATE",
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """MONTH_YEAR and one Gini column per metric, on the rows that counted for it.
 

@@ -23,14 +23,18 @@ def _bucket(value: Column, edges: Sequence[Column]) -> Column:
     return bucket.otherwise(F.lit(len(edges) + 1))
 
 
-def _equal_width_edges(low: Column, high: Column, buckets: int) -> list[Column]:
-    """Inner edges between low and high; a single value is widened by 0.1 percent."""
+def _equal_width_edges(score: str, buckets: int) -> Column:
+    """Inner edges between the least and greatest value, as an aggregate.
+
+    A single value is widened by 0.1 percent.
+    """
+    low, high = F.min(score).cast("double"), F.max(score).cast("double")
     pad = F.when(low == high, F.when(low == 0, F.lit(0.001)).otherwise(F.abs(low) * 0.001)).otherwise(
         F.lit(0.0)
     )
     start, stop = low - pad, high + pad
     step = (stop - start) / F.lit(float(buckets))
-    return [F.lit(float(i)) * step + start for i in range(1, buckets)]
+    return F.array(*[F.lit(float(i)) * step + start for i in range(1, buckets)])
 
 
 def ks_table(
@@ -57,18 +61,12 @@ def ks_table(
     if fixed:
         bucket_of = {s: _bucket(F.col(s), [F.lit(float(c)) for c in cuts]) for s in scores}
     else:
-        spans = df.agg(
-            F.struct(
-                *[F.min(s).cast("double").alias(f"{s}_low") for s in scores],
-                *[F.max(s).cast("double").alias(f"{s}_high") for s in scores],
-            ).alias("_spans")
+        edges = df.agg(
+            F.struct(*[_equal_width_edges(s, n_buckets).alias(s) for s in scores])
         ).scalar()
-        base = base.select("*", spans.alias("_spans"))
+        base = base.select("*", edges.alias("_edges"))
         bucket_of = {
-            s: _bucket(
-                F.col(s),
-                _equal_width_edges(F.col(f"_spans.{s}_low"), F.col(f"_spans.{s}_high"), n_buckets),
-            )
+            s: _bucket(F.col(s), [F.col(f"_edges.{s}")[i] for i in range(n_buckets - 1)])
             for s in scores
         }
     entries = F.array(

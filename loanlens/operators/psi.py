@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions import number
-from loanlens.operators.ranges import RANGES, exact_quantiles, small_table
+from loanlens.operators.ranges import exact_quantiles, small_table
 from loanlens.sources.assets import Roles
 
 BUCKETS = 10
@@ -70,7 +70,7 @@ def fit_edges(
     specs: Chosen,
     buckettype: str = "quantiles",
     buckets: int = BUCKETS,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> Edges:
     """Bucket edges per module and numeric column, from the whole baselines.
 
@@ -163,7 +163,9 @@ def _long(
             values[prefix + c] = value_of(spec, prefix + c)
             entries.append(f"if(_in{i}, {entry_of(spec, c, _quoted('_v ' + prefix + c))}, null)")
     prepared = df.select(*groups, *flags, *[v.alias(f"_v {c}") for c, v in values.items()])
-    return prepared.select(*groups, F.expr(f"inline(array_compact(array({', '.join(entries)})))"))
+    return prepared.select(*groups, F.expr(f"inline(array({', '.join(entries)}))")).where(
+        "MODULE is not null"
+    )
 
 
 def _long_numbers(
@@ -224,7 +226,7 @@ def _numeric_report(
     month: str,
     buckettype: str,
     buckets: int,
-    ranges: int,
+    ranges: int | None,
 ) -> DataFrame:
     edges = fit_edges(specs, buckettype, buckets, ranges)
     base = _union(
@@ -296,7 +298,8 @@ def _category_report(
         *[F.when(s.counts_row(), F.struct(F.lit(s.name).alias("MODULE"))) for s, _ in specs]
     )
     totals = small_table(
-        new.select(month, F.inline(F.array_compact(per_module)))
+        new.select(month, F.inline(per_module))
+        .where("MODULE is not null")
         .groupBy(month, "MODULE")
         .agg(F.count("*").alias("_n"))
         .select("MODULE", F.explode(_labels(month)).alias("PSI_MONTH"), "_n")
@@ -335,7 +338,7 @@ def psi_report(
     month: str = "MONTH_YEAR",
     buckettype: str = "quantiles",
     buckets: int = BUCKETS,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """COL_MODULE, PSI_MONTH (each month and OVERALL), PSI_VAR, PSI.
 
@@ -380,7 +383,7 @@ def numeric_psi(
     month: str = "MONTH_YEAR",
     buckettype: str = "quantiles",
     buckets: int = BUCKETS,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """PSI of numeric columns alone."""
     spec = DriftModule("", None, Roles(numerical=tuple(columns)), baseline)

@@ -8,49 +8,61 @@ exact result; they only decide how even the work is.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
+MIN_RANGES, MAX_RANGES = 64, 8192
 SMALL_ROWS = 100_000
 
 
-def _probabilities(ranges: int) -> list[float]:
-    return [i / ranges for i in range(1, ranges)]
+def ranges_for(df: DataFrame) -> int:
+    """As many ranges as shuffle partitions, within limits."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(partitions, MIN_RANGES), MAX_RANGES)
 
 
 def _cuts(df: DataFrame, value: str, ranges: int) -> DataFrame:
-    return df.agg(F.percentile_approx(value, _probabilities(ranges), 4 * ranges).alias("_cuts"))
+    probabilities = [i / ranges for i in range(1, ranges)]
+    return df.agg(F.percentile_approx(value, probabilities, 4 * ranges).alias("_cuts"))
 
 
-def range_of(value: Column | str, cuts: Column) -> Column:
-    """Number of cuts below the value; 0 without cuts."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.coalesce(F.size(F.filter(cuts, lambda cut: cut < value)), F.lit(0))
+def _stride(ranges: int) -> int:
+    """Cuts are looked up in two steps: every stride-th cut, then those up to the next."""
+    return max(2, math.isqrt(ranges))
+
+
+def _range_of(value: str, cuts: Column, coarse: Column, stride: int) -> Column:
+    """Number of sorted cuts below the value; 0 without cuts."""
+    below = lambda cut: cut < F.col(value)
+    first = F.size(F.filter(coarse, below)) * stride
+    rest = F.size(F.filter(F.slice(cuts, first + 1, stride - 1), below))
+    return F.coalesce(F.when(cuts.isNotNull(), first + rest), F.lit(0))
 
 
 def with_range(
-    df: DataFrame, value: str, rows: DataFrame, ranges: int = RANGES, name: str = "_range"
+    df: DataFrame, value: str, rows: DataFrame, ranges: int | None = None, name: str = "_range"
 ) -> DataFrame:
     """Adds the range of a value; the cuts are a one-row subquery over ``rows``.
 
     ``rows`` are the rows ``df`` was counted from.  Their percentiles need no
     shuffle, and no range can hold more distinct values than rows.
     """
+    ranges = ranges_for(df) if ranges is None else ranges
     if ranges <= 1:
         return df.withColumn(name, F.lit(0))
-    cuts = _cuts(rows, value, ranges).scalar()
-    return (
-        df.select("*", cuts.alias("_cuts"))
-        .withColumn(name, range_of(value, F.col("_cuts")))
-        .drop("_cuts")
-    )
+    stride = _stride(ranges)
+    coarse = F.filter("_cuts", lambda _, i: i % stride == stride - 1)
+    found = _cuts(rows, value, ranges).select(F.struct("_cuts", coarse.alias("_coarse"))).scalar()
+    placed = _range_of(value, F.col("_found._cuts"), F.col("_found._coarse"), stride)
+    return df.select("*", found.alias("_found")).withColumn(name, placed).drop("_found")
 
 
-def fixed_cuts(df: DataFrame, value: str, ranges: int = RANGES) -> list[float]:
+def fixed_cuts(df: DataFrame, value: str, ranges: int | None = None) -> list[float]:
     """The cuts as numbers, for plans that use them in more than one place."""
+    ranges = ranges_for(df) if ranges is None else ranges
     if ranges <= 1:
         return []
     return sorted(set(_cuts(df, value, ranges).first()[0] or []))
@@ -58,9 +70,17 @@ def fixed_cuts(df: DataFrame, value: str, ranges: int = RANGES) -> list[float]:
 
 def _as_array(cuts: Sequence[float]) -> Column:
     """The numbers as one literal, which keeps the plan small."""
+    if not cuts:
+        return F.array().cast("array<double>")
     return F.split(F.lit(",".join(map(repr, cuts))), ",").cast("array<double>")
 
 
+def in_fixed_range(value: str, cuts: Sequence[float]) -> Column:
+    """The range of a value for cuts known as numbers."""
+    stride = _stride(len(cuts))
+    return _range_of(value, _as_array(cuts), _as_array(cuts[stride - 1 :: stride]), stride)
+
+
 def small_table(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """A broadcast copy of a small result; a larger one is returned as it is.
 
@@ -99,7 +119,7 @@ def exact_quantiles(
     groups: Sequence[str],
     value: str,
     probabilities: Sequence[float],
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation, without a sort in one task.
 
@@ -110,7 +130,7 @@ def exact_quantiles(
     given = long.where(F.col(value).isNotNull())
     counts = given.groupBy(*groups, value).agg(F.count("*").alias("_c"))
     cuts = fixed_cuts(given, value, ranges)
-    ranged = counts.withColumn("_range", range_of(value, _as_array(cuts)) if cuts else F.lit(0))
+    ranged = counts.withColumn("_range", in_fixed_range(value, cuts))
     totals = ranged.groupBy(*groups, "_range").agg(F.sum("_c").alias("_t"))
     by_range = Window.partitionBy(*groups).orderBy("_range")
     offsets = totals.select(

@@ -11,6 +11,7 @@ from loanlens.operators.gini import with_gini_columns
 from loanlens.operators.ks import ks_table
 from loanlens.operators.outcomes import as_of_latest_run, features_for_master, labelled_master
 from loanlens.operators.psi import DriftModule, psi_report
+from loanlens.session import stored
 from loanlens.sources import offers as O
 from loanlens.sources import scans
 from loanlens.sources.assets import Roles
@@ -64,10 +65,10 @@ def offer_drift(
 
     ``baselines`` and ``roles`` are keyed by module table name;
     ``combination_module_xg`` follows the scores themselves.  The offers are
-    read once for all modules.
+    parsed once for all modules and stored as columns, which several counts read.
     """
     features = {m: [*r.numerical, *r.categorical] for m, r in roles.items()}
-    rows = O.module_columns(O.offer_scan(offers), features)
+    rows = stored(O.module_columns(offers, features), "offer_columns")
     specs = [
         DriftModule(m, pd, roles[m], baselines[m], missing_cat=missing_cat, prefix=f"{m}_")
         for _, m, pd in O.OFFER_MODULES

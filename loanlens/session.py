@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings worth having on a cluster; all can be set on a running session.
 RECOMMENDED = {
@@ -22,6 +22,17 @@ def use_recommended(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For results several plans read: nothing is computed twice, and a lost
+    executor costs a re-read instead of a recomputation.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``.
 

@@ -49,7 +49,8 @@ OFFER_MODULES = [
     ("bureau", "bureau_module", "BR_PD"),
 ]
 
-_FEATURES = "struct<features: map<string, map<string, string>>>"
+FEATURES = "$.scoringServiceInput.features"
+SCORING_OUTPUT = "$.scoringServiceOutput"
 
 
 def json_value(document: Column, path: str, type_name: str) -> Column:
@@ -62,43 +63,61 @@ def has_path(document: Column, path: str) -> Column:
     return F.try_variant_get(document, path, "variant").isNotNull()
 
 
-def offer_scan(offers: DataFrame, model_type: str = "XGBOOST") -> DataFrame:
-    """Offers that carry a scoring output, with the listed paths as columns.
+def parsed_offers(offers: DataFrame) -> DataFrame:
+    """Offers that carry a scoring output, with the parsed document as ``_doc``.
 
-    The document is parsed once per row; every path reads the parsed form.
+    The document passes through a one-element array that the condition may
+    empty: a plain filter would be moved below the projection and parse every
+    document a second time.
     """
-    parsed = offers.select(*OFFER_COLUMNS, F.try_parse_json("METADATA").alias("_doc"))
+    kept = F.filter(F.array(F.try_parse_json("METADATA")), lambda d: has_path(d, SCORING_OUTPUT))
+    return offers.select(*OFFER_COLUMNS, F.explode(kept).alias("_doc"))
+
+
+def _paths(names: Sequence[str] | None = None) -> list[Column]:
     doc = F.col("_doc")
-    return parsed.where(has_path(doc, "$.scoringServiceOutput")).select(
-        *OFFER_COLUMNS,
-        F.lit(model_type).alias("MODEL_TYPE"),
-        *[json_value(doc, path, kind).alias(name) for name, path, kind in OFFER_PATHS],
+    return [
+        json_value(doc, path, kind).alias(name)
+        for name, path, kind in OFFER_PATHS
+        if names is None or name in names
+    ]
+
+
+def offer_scan(offers: DataFrame, model_type: str = "XGBOOST") -> DataFrame:
+    """Offers that carry a scoring output, with the listed paths as columns."""
+    return parsed_offers(offers).select(
+        *OFFER_COLUMNS, F.lit(model_type).alias("MODEL_TYPE"), *_paths()
     )
 
 
-def _with_features(offers: DataFrame) -> DataFrame:
-    """Offer rows plus the map module -> feature -> value."""
-    return offers.withColumn("_features", F.from_json("MODEL_INPUT", _FEATURES)["features"])
+def _member(key: str) -> str:
+    """A key as a step of a JSON path."""
+    return "['" + key.replace("'", "\\'") + "']"
 
 
 def _present(module: str) -> Column:
     """The module is in the document and not empty."""
-    return F.coalesce(F.size(F.element_at("_features", module)) > 0, F.lit(False))
+    members = json_value(F.col("_doc"), FEATURES + _member(module), "map<string, string>")
+    return F.coalesce(F.size(members) > 0, F.lit(False))
+
+
+_SCORES = ["CALIB_PD", *[pd for _, _, pd in OFFER_MODULES]]
 
 
 def module_records(offers: DataFrame) -> DataFrame:
-    """One record per offer and non-empty module, stamped with ids and its own score."""
+    """One record per scored offer and non-empty module, with ids and its own score."""
     score = F.lit(None).cast("double")
     name = F.col("_module")
     for source, table, pd_column in OFFER_MODULES:
         score = F.when(F.col("_module") == source, F.col(pd_column)).otherwise(score)
         name = F.when(F.col("_module") == source, F.lit(table)).otherwise(name)
+    features = json_value(F.col("_doc"), FEATURES, "map<string, map<string, string>>")
     return (
-        _with_features(offers)
+        parsed_offers(offers)
         .select(
             "ID", "CREATED_AT", "USER_ID", "LOAN_APPLICATION_ID",
-            *[pd_column for _, _, pd_column in OFFER_MODULES],
-            F.explode("_features").alias("_module", "FEATURES"),
+            *_paths(_SCORES),
+            F.explode(features).alias("_module", "FEATURES"),
         )
         .where(F.size("FEATURES") > 0)
         .select(
@@ -114,37 +133,48 @@ def module_records(offers: DataFrame) -> DataFrame:
     )
 
 
+def _gated_scores() -> list[Column]:
+    """The score of each module, NULL where the module is empty."""
+    return [F.when(_present(m), F.col(pd)).alias(pd) for m, _, pd in OFFER_MODULES]
+
+
 def combination_records(offers: DataFrame) -> DataFrame:
-    """One record per offer: the calibrated score and the scores of its non-empty modules."""
-    return _with_features(offers).select(
+    """One record per scored offer: the blended score and those of its non-empty modules."""
+    return parsed_offers(offers).select(*OFFER_COLUMNS, "_doc", *_paths(_SCORES)).select(
         "ID",
         iso_day("CREATED_AT").alias("CREATED_AT"),
         month_label("CREATED_AT").alias("MONTH_YEAR"),
         "USER_ID",
         "LOAN_APPLICATION_ID",
         "CALIB_PD",
-        *[F.when(_present(m), F.col(pd)).alias(pd) for m, _, pd in OFFER_MODULES],
+        *_gated_scores(),
     )
 
 
 def module_columns(offers: DataFrame, features: Mapping[str, Sequence[str]]) -> DataFrame:
-    """One row per offer: the listed features of each module table, and the scores.
+    """One row per scored offer: the listed features of each module table, and the scores.
 
     Columns are named ``{module table}_{feature}``; the module's own score is
     among them and is NULL where the module is empty.  Nothing is exploded, so
     all modules are read in one pass.
     """
-    columns = []
-    for source, table, pd in OFFER_MODULES:
-        columns.append(F.when(_present(source), F.col(pd)).alias(f"{table}_{pd}"))
-        columns += [
-            F.element_at(F.element_at("_features", source), key).alias(f"{table}_{key}")
-            for key in features.get(table, ())
-        ]
-        columns.append(F.when(_present(source), F.col(pd)).alias(pd))
-    return _with_features(offers).select(
-        "ID", month_label("CREATED_AT").alias("MONTH_YEAR"), "CALIB_PD", *columns
+    doc = F.col("_doc")
+    values = [
+        json_value(doc, f"{FEATURES}{_member(source)}{_member(key)}", "string").alias(f"{table}_{key}")
+        for source, table, _ in OFFER_MODULES
+        for key in features.get(table, ())
+    ]
+    scored = parsed_offers(offers).select(
+        "ID", "CREATED_AT", "_doc", *values, *_paths(_SCORES)
+    )
+    gated = scored.select(
+        "ID",
+        month_label("CREATED_AT").alias("MONTH_YEAR"),
+        "CALIB_PD",
+        *[f"{table}_{key}" for _, table, _ in OFFER_MODULES for key in features.get(table, ())],
+        *_gated_scores(),
     )
+    return gated.select("*", *[F.col(pd).alias(f"{table}_{pd}") for _, table, pd in OFFER_MODULES])
 
 
 def feature_keys(records: DataFrame, module: str) -> list[str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanlens.plans.monitoring import offer_drift
+from loanlens.session import stored
 from loanlens.sources import offers as O
 from loanlens.sources.assets import Roles
 from testbed import proxies as P
@@ -82,7 +83,7 @@ _RECORDS = ("offers", "scored_offers", "offer_records")
     ),
 )
 def json_module_explode(spark, sf):
-    records = O.module_records(O.offer_scan(P.offers(spark, sf)))
+    records = O.module_records(P.offers(spark, sf))
     return rounded(records.select("*", F.size("FEATURES").alias("N_FEATURES")).drop("FEATURES"))
 
 
@@ -101,7 +102,7 @@ def json_module_explode(spark, sf):
     ),
 )
 def json_combination_records(spark, sf):
-    return O.combination_records(O.offer_scan(P.offers(spark, sf)))
+    return O.combination_records(P.offers(spark, sf))
 
 
 @query(
@@ -114,7 +115,7 @@ def json_combination_records(spark, sf):
 )
 def json_module_table(spark, sf):
     """The columns are the feature names found in the records."""
-    records = O.module_records(O.offer_scan(P.offers(spark, sf)))
+    records = O.module_records(P.offers(spark, sf))
     return O.module_table(records, "sms_module", O.feature_keys(records, "sms_module"))
 
 
@@ -172,13 +173,13 @@ _OC = _category_psi_ctes("oc", _drift_items(2, False), _drift_items(2, True), "o
 def offer_drift_report(spark, sf):
     """Offers from the split day on, against the offers before it."""
     offers = P.offers(spark, sf)
-    old = O.offer_scan(offers.where(F.col("CREATED_AT") < F.lit(SPLIT).cast("timestamp_ntz")))
+    old = offers.where(F.col("CREATED_AT") < F.lit(SPLIT).cast("timestamp_ntz"))
     new = offers.where(F.col("CREATED_AT") >= F.lit(SPLIT).cast("timestamp_ntz"))
-    records = O.module_records(old)
     roles = {m: Roles(tuple(n), tuple(c)) for m, (_, n, c) in _MODULES.items()}
+    records = stored(O.module_records(old), "baseline_records")
     baselines = {
         module: O.module_table(records, module, [*roles[module].numerical, *roles[module].categorical])
         for _, module, _ in O.OFFER_MODULES
     }
-    baselines["combination_module_xg"] = O.combination_records(old)
+    baselines["combination_module_xg"] = stored(O.combination_records(old), "baseline_scores")
     return rounded(offer_drift(new, baselines, roles))
