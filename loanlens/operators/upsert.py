@@ -1,10 +1,10 @@
-"""Upsert of verdicts into the master, as an anti join and a union."""
+"""Upsert of verdicts into the master, as a left join for updates and an anti join for inserts."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions import trimmed
@@ -47,17 +47,34 @@ def upsert(
     latest_by: str = "BRE_RUN_DATE",
     new_columns: Sequence[str] = (),
 ) -> DataFrame:
-    """The target after the merge: matched keys replaced, new keys added, others kept.
+    """The target after the merge: matched rows take the source's values, new keys are added.
 
-    Keys are compared trimmed.  The source has to hold every target column;
+    Keys are compared trimmed; of several source rows with one key the latest
+    counts.  Every matched target row is updated and stays one row.  Columns
+    the source lacks keep the target's value, NULL on added rows.
     ``new_columns`` are source columns an older target lacks, NULL on rows kept.
+    Both joins have the larger side on the left, where a hot key can be split.
     """
     columns = [*target.columns, *new_columns]
-    missing = [c for c in columns if c.upper() not in {s.upper() for s in source.columns}]
+    given = {c.upper() for c in source.columns}
+    missing = [c for c in [*keys, *new_columns] if c.upper() not in given]
     if missing:
         raise ValueError(f"source lacks {missing}")
-    fresh = latest_per_key(source, keys, latest_by).select(*columns)
+    carried = [c for c in columns if c.upper() in given]
     keyed_target, names = _with_keys(target, keys)
-    replaced = _with_keys(fresh.select(*keys), keys)[0].select(*names)
-    kept = keyed_target.join(replaced, names, "left_anti").drop(*names)
-    return kept.unionByName(fresh, allowMissingColumns=True).select(*columns)
+    fresh, _ = _with_keys(latest_per_key(source, keys, latest_by).select(*carried), keys)
+
+    changes = fresh.select(*names, F.struct(*carried).alias("_new"))
+    joined = keyed_target.join(changes, names, "left")
+    matched = F.col("_new").isNotNull()
+
+    def value(c: str) -> Column:
+        if c in new_columns:
+            return F.when(matched, F.col("_new")[c])
+        if c in carried:
+            return F.when(matched, F.col("_new")[c]).otherwise(F.col(c))
+        return F.col(c)
+
+    updated = joined.select(*[value(c).alias(c) for c in columns])
+    added = fresh.join(keyed_target.select(*names).distinct(), names, "left_anti").drop(*names)
+    return updated.unionByName(added, allowMissingColumns=True).select(*columns)

@@ -90,14 +90,21 @@ def offer_scan(offers: DataFrame, model_type: str = "XGBOOST") -> DataFrame:
     )
 
 
-def _member(key: str) -> str:
-    """A key as a step of a JSON path."""
-    return "['" + key.replace("'", "\\'") + "']"
+def _members(module: str) -> Column:
+    """The features of one module as a map."""
+    return json_value(F.col("_doc"), f"{FEATURES}['{module}']", "map<string, string>")
+
+
+def _feature(module: str, key: str) -> Column:
+    """One feature by its path; a name with a quote is looked up in the map."""
+    if "'" in key:
+        return F.element_at(_members(module), key)
+    return json_value(F.col("_doc"), f"{FEATURES}['{module}']['{key}']", "string")
 
 
 def _present(module: str) -> Column:
     """The module is in the document and not empty."""
-    members = json_value(F.col("_doc"), FEATURES + _member(module), "map<string, string>")
+    members = _members(module)
     return F.coalesce(F.size(members) > 0, F.lit(False))
 
 
@@ -158,9 +165,8 @@ def module_columns(offers: DataFrame, features: Mapping[str, Sequence[str]]) ->
     among them and is NULL where the module is empty.  Nothing is exploded, so
     all modules are read in one pass.
     """
-    doc = F.col("_doc")
     values = [
-        json_value(doc, f"{FEATURES}{_member(source)}{_member(key)}", "string").alias(f"{table}_{key}")
+        _feature(source, key).alias(f"{table}_{key}")
         for source, table, _ in OFFER_MODULES
         for key in features.get(table, ())
     ]

@@ -45,7 +45,7 @@ def warehouse_types(df: DataFrame) -> DataFrame:
 
 def _writer(df: DataFrame, partition_by: Sequence[str]):
     writer = upper_columns(warehouse_types(df)).write.format("parquet")
-    return writer.partitionBy(*partition_by) if partition_by else writer
+    return writer.partitionBy(*[c.upper() for c in partition_by]) if partition_by else writer
 
 
 def overwrite_table(

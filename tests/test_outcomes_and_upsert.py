@@ -141,13 +141,21 @@ def test_upsert_twice_is_once(spark):
 def test_upsert_checks_and_widens_columns(spark):
     target = spark.createDataFrame(TARGET, ROW)
     source = spark.createDataFrame(SOURCE, ROW)
-    with pytest.raises(ValueError, match="V"):
-        upsert(target, source.drop("V"))
+    with pytest.raises(ValueError, match="MODEL_TYPE"):
+        upsert(target, source.drop("MODEL_TYPE"))
+    partial = upsert(target, source.drop("V").where("CUSTOMER_ID is not null"))
+    assert {(r["CUSTOMER_ID"], r["V"]) for r in partial.collect()} == {(" 1", "old"), ("2", "old"), (None, "old"), ("3", None)}
     wide = upsert(target, source.withColumn("RULE", F.lit("PASS")), new_columns=["RULE"])
     assert wide.columns[-1] == "RULE"
     assert {(r["V"], r["RULE"]) for r in wide.collect()} == {("old", None), ("new", "PASS")}
 
 
+def test_every_matched_target_row_is_updated(spark):
+    target = spark.createDataFrame([("1", "a", "X", day(1), "old")] * 3, ROW)
+    merged = upsert(target, spark.createDataFrame(SOURCE[:1], ROW))
+    assert rows_of(merged) == [repr((" 1", "a ", "X", day(2), "new"))] * 3
+
+
 def test_latest_per_key_takes_the_latest(spark):
     got = latest_per_key(spark.createDataFrame(SOURCE[:3], ROW), ["CUSTOMER_ID", "BRE_RUN_ID"]).collect()
     assert sorted(r["V"] for r in got) == ["new", "new"]
