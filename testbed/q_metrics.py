@@ -39,25 +39,30 @@ def _gini_specs():
             )
 
 
-CTES["gini_long"] = " UNION ALL ".join(
-    f"SELECT '{metric}' AS METRIC, MODEL_TYPE, {_MONTH if monthly else 'NULL'} AS MONTH_YEAR,"
-    f" {score} AS SCORE, {_Y} AS Y FROM scored WHERE {rows}"
-    for metric, score, monthly, rows in _gini_specs()
-)
-CTES["gini_counts"] = (
-    "SELECT METRIC, MODEL_TYPE, MONTH_YEAR, SCORE, sum(Y) AS B, count(*) - sum(Y) AS G"
-    " FROM gini_long GROUP BY ALL"
-)
-CTES["gini_below"] = (
-    "SELECT *, coalesce(sum(G) OVER (PARTITION BY METRIC, MODEL_TYPE, MONTH_YEAR ORDER BY SCORE"
-    " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS L FROM gini_counts"
-)
-CTES["gini_values"] = (
-    "SELECT METRIC, MODEL_TYPE, MONTH_YEAR, cast(sum(B) AS bigint) AS BADS, cast(sum(G) AS bigint) AS GOODS,"
-    " 2 * sum(B::double * (L + G / 2.0)) / nullif(sum(B)::double * sum(G), 0) - 1 AS GINI"
-    " FROM gini_below GROUP BY ALL"
-)
-_GINI = ("scored", "gini_long", "gini_counts", "gini_below", "gini_values")
+def gini_ctes(tag, source):
+    """Names of the inputs that end in {tag}_values, from the scored rows of a source."""
+    CTES[f"{tag}_long"] = " UNION ALL ".join(
+        f"SELECT '{metric}' AS METRIC, MODEL_TYPE, {_MONTH if monthly else 'NULL'} AS MONTH_YEAR,"
+        f" {score} AS SCORE, {_Y} AS Y FROM {source} WHERE {rows}"
+        for metric, score, monthly, rows in _gini_specs()
+    )
+    CTES[f"{tag}_counts"] = (
+        "SELECT METRIC, MODEL_TYPE, MONTH_YEAR, SCORE, sum(Y) AS B, count(*) - sum(Y) AS G"
+        f" FROM {tag}_long GROUP BY ALL"
+    )
+    CTES[f"{tag}_below"] = (
+        "SELECT *, coalesce(sum(G) OVER (PARTITION BY METRIC, MODEL_TYPE, MONTH_YEAR ORDER BY SCORE"
+        f" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS L FROM {tag}_counts"
+    )
+    CTES[f"{tag}_values"] = (
+        "SELECT METRIC, MODEL_TYPE, MONTH_YEAR, cast(sum(B) AS bigint) AS BADS, cast(sum(G) AS bigint) AS GOODS,"
+        " 2 * sum(B::double * (L + G / 2.0)) / nullif(sum(B)::double * sum(G), 0) - 1 AS GINI"
+        f" FROM {tag}_below GROUP BY ALL"
+    )
+    return tuple(f"{tag}_{part}" for part in ("long", "counts", "below", "values"))
+
+
+_GINI = ("scored", *gini_ctes("gini", "scored"))
 
 
 def _gini_query(name, pattern, columns):
@@ -215,7 +220,7 @@ def _long_sql(items, source):
     )
 
 
-def _numeric_psi_ctes(tag, base_items, new_items, source, kind):
+def numeric_psi_ctes(tag, base_items, new_items, source, kind):
     """Names of the inputs that end in psi_num_{tag}."""
     CTES[f"nb_{tag}"] = _long_sql(base_items, source)
     CTES[f"nn_{tag}"] = _long_sql(new_items, source)
@@ -265,7 +270,7 @@ def _numeric_psi_ctes(tag, base_items, new_items, source, kind):
     return (f"nb_{tag}", f"nn_{tag}", *steps, f"nbk_{tag}", f"nnk_{tag}", f"nbt_{tag}", f"nnt_{tag}", f"psi_num_{tag}")
 
 
-def _category_psi_ctes(tag, base_items, new_items, source):
+def category_psi_ctes(tag, base_items, new_items, source):
     clean = "CASE WHEN V IS NULL OR V = '--' THEN 'MISSING' ELSE V END"
     CTES[f"cb_{tag}"] = _long_sql(base_items, source)
     CTES[f"cn_{tag}"] = _long_sql(new_items, source)
@@ -294,9 +299,9 @@ def _items(columns, rows):
 
 
 _PSI_OUT = f"SELECT L AS PSI_MONTH, VAR AS PSI_VAR, {s6('PSI')} AS PSI FROM "
-_Q = _numeric_psi_ctes("q", _items(NUMBERS, _BASE), _items(NUMBERS, _NEW), "drift_rows", "quantiles")
-_B = _numeric_psi_ctes("b", _items(NUMBERS, _BASE), _items(NUMBERS, _NEW), "drift_rows", "bins")
-_C = _category_psi_ctes("c", _items(CATEGORIES, _BASE), _items(CATEGORIES, _NEW), "drift_rows")
+_Q = numeric_psi_ctes("q", _items(NUMBERS, _BASE), _items(NUMBERS, _NEW), "drift_rows", "quantiles")
+_B = numeric_psi_ctes("b", _items(NUMBERS, _BASE), _items(NUMBERS, _NEW), "drift_rows", "bins")
+_C = category_psi_ctes("c", _items(CATEGORIES, _BASE), _items(CATEGORIES, _NEW), "drift_rows")
 
 
 @query("psi_numeric_quantile", with_ctes(_PSI_OUT + "psi_num_q", "drift_rows", *_Q))
@@ -350,8 +355,8 @@ def _report_items(index, rows):
     return items
 
 
-_RN = _numeric_psi_ctes("r", _report_items(2, _BASE), _report_items(2, _NEW), "report_rows", "quantiles")
-_RC = _category_psi_ctes("rc", _report_items(3, _BASE), _report_items(3, _NEW), "report_rows")
+_RN = numeric_psi_ctes("r", _report_items(2, _BASE), _report_items(2, _NEW), "report_rows", "quantiles")
+_RC = category_psi_ctes("rc", _report_items(3, _BASE), _report_items(3, _NEW), "report_rows")
 
 
 def report_rows(spark, sf):

@@ -9,7 +9,7 @@ from loanlens.session import stored
 from loanlens.sources import offers as O
 from loanlens.sources.assets import Roles
 from testbed import proxies as P
-from testbed.q_metrics import _category_psi_ctes, _numeric_psi_ctes
+from testbed.q_metrics import category_psi_ctes, numeric_psi_ctes
 from testbed.registry import CTES, query, rounded, s6, with_ctes
 
 _OUT = "$.scoringServiceOutput"
@@ -158,8 +158,8 @@ def _drift_items(index, new):
     return items
 
 
-_ON = _numeric_psi_ctes("o", _drift_items(1, False), _drift_items(1, True), "offer_rows", "quantiles")
-_OC = _category_psi_ctes("oc", _drift_items(2, False), _drift_items(2, True), "offer_rows")
+_ON = numeric_psi_ctes("o", _drift_items(1, False), _drift_items(1, True), "offer_rows", "quantiles")
+_OC = category_psi_ctes("oc", _drift_items(2, False), _drift_items(2, True), "offer_rows")
 
 
 @query(
