@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions import day_diff, in_day_window, trimmed
-from loanlens.operators.skew import left_join_many
+from loanlens.operators.skew import left_join, left_join_many
 from loanlens.sources import schemas as S
 
 _PAIR = ["_customer", "_run"]
@@ -139,5 +139,5 @@ def features_for_master(
     lookup = fact.select(
         "*", trimmed("CUSTOMER_ID").alias("_customer"), trimmed("BRE_RUN_ID").alias("_run")
     )
-    joined = big.join(lookup, _PAIR, "left")
+    joined = left_join(big, lookup, _PAIR)
     return joined.select(*fact.columns, *columns)

@@ -18,7 +18,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.functions import number
 from loanlens.operators.ranges import exact_quantiles, small_table
 from loanlens.sources.assets import Roles
 
@@ -26,6 +25,7 @@ BUCKETS = 10
 TINY = 0.0001
 OVERALL = "OVERALL"
 PLACEHOLDER = "--"
+BLOCK = 24
 
 Edges = dict[tuple[str, str], list[float]]
 
@@ -87,7 +87,7 @@ def fit_edges(
                     f"named_struct('MODULE', {_text(spec.name)}, 'VAR', {_text(c)}, 'V', {value})"
                 ),
                 lambda roles: roles.numerical,
-                lambda spec, c: number(c),
+                _number_sql,
                 new=False,
             )
             for baseline, members in _by_baseline(specs)
@@ -122,6 +122,11 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _number_sql(column: str) -> str:
+    """Number or NULL, as ``functions.number``."""
+    return f"nanvl(try_cast({column} as double), cast(null as double))"
+
+
 def bucket_sql(value: str, edges: Sequence[float]) -> str:
     """Index of the last edge (but the final one) at or below the value, as SQL.
 
@@ -149,23 +154,34 @@ def _long(
 ) -> DataFrame:
     """One row per counted row, module and variable.
 
-    Values are prepared once per column; entries of modules a row does not
-    count for are dropped.  The entries are one SQL text, since a table may
-    have hundreds of variables.
+    Variables are unpivoted in blocks: a block stays within the size up to which
+    Spark compiles a stage, and a columnar table is read once over all blocks,
+    since each reads its own columns.  Entries of modules a row does not count
+    for are dropped.  They are one SQL text per block, which keeps the plan small.
     """
-    values: dict[str, Column] = {}
-    flags: list[Column] = []
-    entries: list[str] = []
-    for i, (spec, roles) in enumerate(members):
-        prefix = spec.prefix if new else ""
-        flags.append((spec.counts_row() if new else F.lit(True)).alias(f"_in{i}"))
-        for c in columns_of(roles):
-            values[prefix + c] = value_of(spec, prefix + c)
-            entries.append(f"if(_in{i}, {entry_of(spec, c, _quoted('_v ' + prefix + c))}, null)")
-    prepared = df.select(*groups, *flags, *[v.alias(f"_v {c}") for c, v in values.items()])
-    return prepared.select(*groups, F.expr(f"inline(array({', '.join(entries)}))")).where(
-        "MODULE is not null"
-    )
+    variables = [(spec, c) for spec, roles in members for c in columns_of(roles)]
+    blocks = []
+    for start in range(0, len(variables), BLOCK):
+        block = variables[start : start + BLOCK]
+        flags: dict[str, Column] = {}
+        values: dict[str, str] = {}
+        entries: list[str] = []
+        for spec, c in block:
+            name = (spec.prefix if new else "") + c
+            flag = f"_in {spec.name}"
+            flags[flag] = spec.counts_row() if new else F.lit(True)
+            values[f"_v {name}"] = value_of(_quoted(name))
+            entry = entry_of(spec, c, _quoted(f"_v {name}"))
+            entries.append(f"if({_quoted(flag)}, {entry}, null)")
+        prepared = df.withColumns(flags).selectExpr(
+            *[_quoted(n) for n in (*groups, *flags)],
+            *[f"{text} as {_quoted(n)}" for n, text in values.items()],
+        )
+        rows = prepared.selectExpr(
+            *[_quoted(n) for n in groups], f"inline(array({', '.join(entries)}))"
+        )
+        blocks.append(rows.where("MODULE is not null"))
+    return _union(blocks)
 
 
 def _long_numbers(
@@ -175,7 +191,7 @@ def _long_numbers(
         df, groups, members,
         lambda spec, c, value: _numeric_entry(spec, c, value, edges, buckets),
         lambda roles: roles.numerical,
-        lambda spec, c: number(c),
+        _number_sql,
         new,
     )
 
@@ -192,7 +208,7 @@ def _long_categories(
     return _long(
         df, groups, members, entry,
         lambda roles: roles.categorical,
-        lambda spec, c: F.nullif(F.col(c).cast("string"), F.lit(PLACEHOLDER)),
+        lambda column: f"nullif(cast({column} as string), {_text(PLACEHOLDER)})",
         new,
     )
 
@@ -342,6 +358,8 @@ def psi_report(
 ) -> DataFrame:
     """COL_MODULE, PSI_MONTH (each month and OVERALL), PSI_VAR, PSI.
 
+    Give stored frames when there are many variables: each block of them scans
+    its own columns (see ``_long``).
     Dictionary features that only the baseline or only the new rows have are
     reported once with NULL; so are numbers the baseline holds no value of.
     """

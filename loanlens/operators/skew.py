@@ -70,6 +70,16 @@ def left_joins(
     return joined.drop("_group")
 
 
+def left_join(kept: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A plain left join, unless one key holds much of the lookup (see ``left_join_many``).
+
+    The check reads the key columns of the lookup alone.
+    """
+    if hot_buckets(lookup, keys):
+        return left_join_many(kept, lookup, keys)
+    return kept.join(lookup, list(keys), "left")
+
+
 def left_join_many(kept: DataFrame, many: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of ``kept`` with a right side that may hold many rows per key.
 

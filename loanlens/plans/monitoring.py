@@ -51,8 +51,10 @@ def drift_report(
     model_type: str = "XGBOOST",
 ) -> DataFrame:
     """PSI of every module's features and scores, overall and by month."""
-    full = features_for_master(gini_rows, fact)
-    return psi_report(specs, scans.of_model(full, model_type))
+    full = scans.of_model(features_for_master(gini_rows, fact), model_type)
+    asked = {c for s in specs for c in (*s.asked().numerical, *s.asked().categorical, s.score, s.flag)}
+    needed = [c for c in full.columns if c in asked or c == "MONTH_YEAR"]
+    return psi_report(specs, stored(full.select(*needed), "drift_rows"))
 
 
 def offer_drift(

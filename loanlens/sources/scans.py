@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens.functions import in_day_window, null_if_nan, trimmed
+from loanlens.operators.skew import left_join
 from loanlens.sources import schemas as S
 
 
@@ -137,7 +138,7 @@ def sms_sufficiency_scan(
         trimmed("BRE_RUN_ID").alias("_run"),
         "NUM_READABLE_SMS_180D",
     )
-    return facts.join(counts, ["_customer", "_run"], "left").drop("_customer", "_run")
+    return left_join(facts, counts, ["_customer", "_run"]).drop("_customer", "_run")
 
 
 def matured(

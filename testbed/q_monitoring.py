@@ -43,7 +43,8 @@ _JOB = (*_TO_BANDED, *_FULL, "repayments", "job_loans", "job_latest", "job_rows"
 def _labelled(spark, sf):
     """The decided master, stored as its table, with the outcomes attached."""
     master = stored(D.decided(_blended(spark, sf)), "master")
-    return M.attach_outcomes(master, P.repayments(spark, sf), PAID_FROM, PAID_TO, LABELLED_SINCE)
+    rows = M.attach_outcomes(master, P.repayments(spark, sf), PAID_FROM, PAID_TO, LABELLED_SINCE)
+    return stored(rows, "labelled_master")
 
 
 @query(
