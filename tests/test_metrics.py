@@ -250,6 +250,19 @@ def test_exact_quantiles_equal_numpy(spark, ranges):
         assert got[g]["N"] == len(vs)
 
 
+def test_more_variables_than_a_block(spark):
+    names = [f"x{i}" for i in range(P.BLOCK * 2 + 3)]
+    rows = [tuple(float((i * (j + 3)) % 17) for j in range(len(names))) + ("M",) for i in range(120)]
+    df = spark.createDataFrame(rows, [*names, "MONTH_YEAR"])
+    base, new = df.where("x0 < 9"), df.where("x0 >= 9")
+    got = {r["PSI_VAR"]: r["PSI"] for r in P.numeric_psi(base, new, names).collect() if r["PSI_MONTH"] == "OVERALL"}
+    assert set(got) == set(names)
+    for j in (0, P.BLOCK, len(names) - 1):
+        b = [r[j] for r in rows if r[0] < 9]
+        n = [r[j] for r in rows if r[0] >= 9]
+        assert got[names[j]] == pytest.approx(numpy_psi(b, n))
+
+
 def test_names_with_quotes(spark):
     df = spark.createDataFrame([(1.0, "it's", "M"), (2.0, "x", "M")], ["a'b", "c d", "MONTH_YEAR"])
     spec = P.DriftModule("m'1", None, Roles(("a'b",), ("c d",)), df)

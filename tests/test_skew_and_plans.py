@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loanlens.operators import outcomes as O
 from loanlens.operators.gini import gini
-from loanlens.operators.skew import hot_buckets, left_join_many, left_joins
+from loanlens.operators.skew import hot_buckets, left_join, left_join_many, left_joins
 from loanlens.operators.upsert import upsert
 
 SPLITTING = {
@@ -88,6 +88,16 @@ def test_left_join_many_equals_a_left_join(spark, hot_side):
     assert rows_of(got.select(plain.columns).collect()) == rows_of(plain.collect())
 
 
+def test_left_join_takes_the_split_plan_only_for_a_hot_lookup(spark):
+    kept = spark.createDataFrame([("hot", 1), ("k5", 3), ("none", 4), (None, 5)], "k string, w int")
+    lookup = keyed(spark)
+    got, plain = left_join(kept, lookup, ["k"]), kept.join(lookup, ["k"], "left")
+    assert rows_of(got.select(plain.columns).collect()) == rows_of(plain.collect())
+    assert "LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()
+    even = spark.range(0, 5000, 1, 8).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    assert "LeftAnti" not in left_join(kept, even, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+
+
 def loans_and_runs(spark):
     day = F.date_add(F.lit(dt.date(2022, 1, 1)), (F.col("id") % 50).cast("int"))
     user = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string"))
