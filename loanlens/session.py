@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,15 +29,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, a temporary folder is used.
+    Where that is unset, the folder given to ``setCheckpointDir`` is used; with
+    neither there is no place all executors share, and this raises.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="loanlens-")
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{root.rstrip('/')}/loanlens-{uuid.uuid4().hex}"

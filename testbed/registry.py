@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from testbed import proxies as P
+from testbed.storage import stored_locally
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +18,7 @@ SQL_TEXTS: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
-        QUERIES[name] = f
+        QUERIES[name] = stored_locally(f)
         if sql is not None:
             SQL_TEXTS[name] = sql
         return f

@@ -120,13 +120,26 @@ def test_catalog_table_round_trip(spark, tmp_path):
 
 def test_shared_folder_follows_the_session(spark):
     class Session:
-        conf = {"spark.checkpoint.dir": "s3://bucket/shared/"}
+        conf = {"spark.checkpoint.dir": "store:/shared/"}
 
-    assert shared_folder(Session).startswith("s3://bucket/shared/loanlens-")
+    assert shared_folder(Session).startswith("store:/shared/loanlens-")
     assert shared_folder(Session) != shared_folder(Session)
     assert stored(spark.range(4), "x").count() == 4
 
 
+def test_shared_folder_raises_when_unset():
+    class Context:
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        conf, sparkContext = {}, Context
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+
+
 def test_assets(spark, tmp_path):
     (tmp_path / "d.csv").write_text("variables,Type\na,Numerical\nb,Categorical\nc,Other\n")
     roles = assets.feature_roles(assets.read_csv(spark, str(tmp_path / "d.csv"), assets.FEATURE_DICTIONARY))
