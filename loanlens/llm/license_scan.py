@@ -66,7 +66,7 @@ TEMPLATES = {
 THRESHOLD = 0.8
 BLOCK_BREAK = r"\n[ \t\r]*\n"
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
-_SEPARATORS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words_of(text: str) -> list[str]:
@@ -75,8 +75,13 @@ def words_of(text: str) -> list[str]:
 
 
 def _words(text: Column) -> Column:
-    plain = F.translate(text, UPPER + _SEPARATORS, LOWER + " " * len(_SEPARATORS))
-    return F.array_remove(F.split(plain, " "), "")
+    """The words in order; those of ASCII alone are lower-cased exactly.
+
+    Words with other letters lose their case too, which no template word can
+    tell: the Kelvin sign, the one letter that would become an ASCII word, is
+    replaced first.
+    """
+    return F.array_remove(F.split(F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u00e6"))), _BETWEEN), "")
 
 
 def needed_words(size: int, threshold: float) -> int:
@@ -194,7 +199,7 @@ def license_scan(
     last_words = sorted({p.split(" ")[-1] for p in phrases})
     may_hold = F.lit(False)
     for word in last_words:
-        may_hold = may_hold | F.contains(F.translate("_whole", UPPER, LOWER), F.lit(word))
+        may_hold = may_hold | F.contains(F.lower("_whole"), F.lit(word))
     none = F.array().cast("array<struct<start:int,label:string>>")
     base = rows.select(
         "_key",
