@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.llm import license_scan as licenses
+from loanlens.llm import sentencepiece_codec, simhash, warc
+from loanlens.llm.chunk_dedup import chunk_dedup
 from loanlens.llm.common import table
+from loanlens.llm.decontamination import benchmark_hits, n_hit
 from loanlens.llm.line_dedup import MIN_SITES, line_dedup
+from loanlens.llm.lm_scoring import lm_scores
 from loanlens.llm.quality_rules import quality_rules
+from loanlens.llm.suffix_dedup import suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL_TEXTS: dict[str, str] = {}
@@ -113,3 +118,123 @@ FROM d LEFT JOIN base ON d.doc_id = base.doc_id LEFT JOIN found ON d.doc_id = fo
 @query("op5_license_scan", _op5_sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    codes = F.array_join(F.col("coded.ids").cast("array<string>"), " ")
+    return sentencepiece_codec.encode(docs, keep=["doc_id"]).select(
+        "doc_id",
+        "coded.n_tokens",
+        "coded.n_byte_tokens",
+        F.sha2(codes.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("coded.decoded").cast("binary"), 256).alias("decoded_sha256"),
+        "coded.round_trip",
+    )
+
+
+@query("op3_lm_scoring")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what people labelled as good and not toxic."""
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 and toxic = 0")
+    scored = lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"), good)
+    return scored.select("doc_id", "n_tokens", F.round("score", 6).alias("score"))
+
+
+@query("op6_simhash_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def _base32_sql(digest: str) -> str:
+    """Base32 of 40 hex digits: every 5 of them are 4 letters."""
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+    part = f"CAST('0x' || substr({digest}, 5 * (i // 4) + 1, 5) AS INTEGER)"
+    return (
+        "array_to_string(list_transform(range(32), lambda i: "
+        f"substr({letters}, 1 + ({part} >> (15 - 5 * (i % 4))) % 32, 1)), '')"
+    )
+
+
+OP7_SQL = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, payload_bytes, {_base32_sql("h")} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f USING (h)
+"""
+
+
+@query("op7_warc_archives", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return warc.round_trip(pages, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query("op8_chunk_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return chunk_dedup(docs).select(
+        "row.doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("clean", 256).alias("kept_sha256"),
+    )
+
+
+OP9_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(list_slice(ws, i, i + size - 1), ' ') AS w FROM (
+    SELECT item_id, ws, least(10, len(ws)) AS size, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i
+    FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+starts AS (
+  SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d JOIN sizes ON len(ws) >= size),
+found AS (
+  SELECT doc_id, i, s.size, item_id FROM starts s
+  JOIN windows w ON s.size = w.size AND array_to_string(list_slice(s.ws, i, i + s.size - 1), ' ') = w.w),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
+"""
+
+
+@query("op9_decontamination", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    items = table(spark, sf_dir, "benchmark", "item_id", "text")
+    return benchmark_hits(docs, items, keep=["doc_id"]).select(
+        "doc_id",
+        "_hits.n_words",
+        n_hit().alias("n_hit"),
+        F.size("_hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_hits.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit() > 0).alias("contaminated"),
+    )
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + F.get(s, 1) - F.get(s, 0))
+    return suffix_dedup(table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("clean", 256).alias("kept_sha256"),
+    )
