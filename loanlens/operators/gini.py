@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions import month_label
-from loanlens.operators.ranges import small_table, with_range
+from loanlens.operators.ranges import with_range
+from loanlens.session import stored
 from loanlens.sources import schemas as S
 
 # Score column and the flag that has to be true for it.
@@ -38,15 +39,20 @@ def gini(
     map tasks.  Goods below a score are counted within its range and the totals
     of lower ranges added.  NULL when a group holds one class only.
     """
-    groups = list(groups)
-    outcome = F.col(label).cast("long")
     rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).withColumn(
         "_score", F.col(score)
     )
-    counts = rows.groupBy(*groups, "_score").agg(
-        F.sum(outcome).alias("_b"), F.sum(1 - outcome).alias("_g")
-    )
-    ranged = with_range(counts, "_score", rows, ranges)
+    return _of_counts(_counted(rows, [*groups, "_score"], label), list(groups), ranges)
+
+
+def _counted(rows: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    outcome = F.col(label).cast("long")
+    return rows.groupBy(*keys).agg(F.sum(outcome).alias("_b"), F.sum(1 - outcome).alias("_g"))
+
+
+def _of_counts(counts: DataFrame, groups: list[str], ranges: int | None) -> DataFrame:
+    """``gini`` from the bads (_b) and goods (_g) per group and _score."""
+    ranged = with_range(counts, "_score", counts, ranges)
     below = (
         Window.partitionBy(*groups, "_range")
         .orderBy("_score")
@@ -114,25 +120,52 @@ def gini_metrics(
     """METRIC, MODEL_TYPE, MONTH_YEAR (NULL for overall), BADS, GOODS, GINI.
 
     Rows disbursed from ``since`` on count for the overall figures, all rows
-    for the monthly ones.  All metrics come from one pass over the rows.
+    for the monthly ones.  Each row is taken once per score, with a mask of the
+    metrics it counts for; rows are counted per score, value, model, month and
+    mask, and the metrics are made from the counts, which are stored: they are
+    read for the cuts and for the figures.
     """
-    entries = [
+    specs = _metrics(since, scores, day)
+    measured = list(dict.fromkeys(score for _, score, _, _ in specs))
+
+    def entry(number: int, score: str) -> Column:
+        mask = F.lit(0)
+        for i, (_, of, _, rows) in enumerate(specs):
+            if of == score:
+                mask = mask.bitwiseOR(F.when(rows, F.lit(1 << i)).otherwise(F.lit(0)))
+        return F.struct(
+            F.lit(number).alias("_of"), mask.alias("_mask"), F.col(score).cast("double").alias("_score")
+        )
+
+    long = (
+        df.withColumn("_month", F.trunc(day, "month"))
+        .select(
+            "MODEL_TYPE",
+            "_month",
+            F.col(label).alias("_label"),
+            F.inline(F.array(*[entry(n, s) for n, s in enumerate(measured)])),
+        )
+        .where("_mask <> 0 and _label is not null")
+    )
+    counted = _counted(long, ["_of", "_mask", "MODEL_TYPE", "_month", "_score"], "_label")
+    made = [
         F.when(
-            rows,
+            F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0,
             F.struct(
                 F.lit(metric).alias("METRIC"),
-                (F.col("_month") if monthly else F.lit(None).cast("date")).alias("_month"),
-                F.col(score).cast("double").alias("SCORE"),
+                (F.col("_month") if monthly else F.lit(None).cast("date")).alias("_of_month"),
             ),
         )
-        for metric, score, monthly, rows in _metrics(since, scores, day)
+        for i, (metric, _, monthly, _) in enumerate(specs)
     ]
-    long = (
-        df.withColumn("_month", F.trunc(day, "month"))
-        .select("MODEL_TYPE", F.col(label).alias("_label"), F.inline(F.array(*entries)))
-        .where("METRIC is not null")
+    groups = ["METRIC", "MODEL_TYPE", "_month"]
+    counts = (
+        counted.select("MODEL_TYPE", "_score", "_b", "_g", F.inline(F.array_compact(F.array(*made))))
+        .withColumnRenamed("_of_month", "_month")
+        .groupBy(*groups, "_score")
+        .agg(F.sum("_b").alias("_b"), F.sum("_g").alias("_g"))
     )
-    figures = gini(long, ["METRIC", "MODEL_TYPE", "_month"], "SCORE", "_label", ranges)
+    figures = _of_counts(stored(counts, "gini_counts"), groups, ranges)
     return figures.select(
         "METRIC", "MODEL_TYPE", month_label("_month").alias("MONTH_YEAR"), "BADS", "GOODS", "GINI"
     )
@@ -148,11 +181,11 @@ def with_gini_columns(
 ) -> DataFrame:
     """MONTH_YEAR and one Gini column per metric, on the rows that counted for it.
 
-    The figures (a few rows per model and month) come back as a local table once
-    their number is known to be small, so the joins with all rows broadcast them.
+    The figures (a few rows per model and month) are stored and read back, so
+    the optimizer sees their size when it plans the joins with all rows.
     """
     specs = _metrics(since, scores, day)
-    figures = small_table(gini_metrics(df, since, scores, label, day, ranges))
+    figures = stored(gini_metrics(df, since, scores, label, day, ranges), "gini_figures")
 
     def wide(monthly: bool, keys: list[str]) -> DataFrame:
         return figures.groupBy(*keys).agg(

@@ -15,13 +15,10 @@ def aligned_shares(p: DataFrame, q: DataFrame, bucket: str) -> DataFrame:
     """
 
     def shares(df: DataFrame, name: str) -> DataFrame:
-        total = df.where(F.col(bucket).isNotNull()).agg(F.count("*")).scalar()
-        return (
-            df.where(F.col(bucket).isNotNull())
-            .groupBy(F.col(bucket).alias("BUCKET"))
-            .agg(F.count("*").alias("_c"))
-            .select("BUCKET", (F.col("_c").cast("double") / total).alias(name))
-        )
+        given = df.where(F.col(bucket).isNotNull())
+        counts = given.groupBy(F.col(bucket).alias("BUCKET")).agg(F.count("*").alias("_c"))
+        total = counts.agg(F.sum("_c")).scalar()
+        return counts.select("BUCKET", (F.col("_c").cast("double") / total).alias(name))
 
     return shares(p, "P").join(shares(q, "Q"), ["BUCKET"], "full").fillna(0.0, ["P", "Q"])
 

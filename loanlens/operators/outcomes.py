@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions import day_diff, in_day_window, trimmed
-from loanlens.operators.skew import left_join, left_join_many
+from loanlens.operators.skew import left_join
 from loanlens.sources import schemas as S
 
 _PAIR = ["_customer", "_run"]
@@ -18,12 +18,14 @@ _PAIR = ["_customer", "_run"]
 def one_per_loan(repayments: DataFrame) -> DataFrame:
     """One row per user, loan and payout day; a bad outcome wins over a good one.
 
-    Spark keeps one row per key in each map task before the shuffle.
+    All other columns settle what is left of a tie, so the input's order says
+    nothing.  Spark keeps one row per key in each map task before the shuffle.
     """
+    first = [S.OUTCOME_LABEL, "VENDOR", "STATUS"]
+    rest = sorted(c for c in repayments.columns if c not in (*first, *S.REPAYMENT_KEYS))
     order = Window.partitionBy(*S.REPAYMENT_KEYS).orderBy(
         F.col(S.OUTCOME_LABEL).desc_nulls_last(),
-        F.col("VENDOR").asc_nulls_last(),
-        F.col("STATUS").asc_nulls_last(),
+        *[F.col(c).asc_nulls_last() for c in (*first[1:], *rest)],
     )
     return repayments.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
@@ -101,7 +103,8 @@ def labelled_master(
 
     Loans count when paid out in the day window.  Rows decided before
     ``labelled_since`` stay and remain without a label: their run key is NULL
-    for the join.
+    for the join.  Give stored loans: their keys are counted first, to see
+    whether one run holds many of them.
     """
     paid = loans.where(in_day_window("DISBURSED_DATE", start, end) & F.col("BRE_RUN_ID").isNotNull())
     many = paid.select(
@@ -115,7 +118,7 @@ def labelled_master(
         trimmed("CUSTOMER_ID").alias("_customer"),
         F.when(recent, trimmed("BRE_RUN_ID")).alias("_run"),
     )
-    return left_join_many(kept, many, _PAIR).drop(*_PAIR)
+    return left_join(kept, many, _PAIR).drop(*_PAIR)
 
 
 def features_for_master(

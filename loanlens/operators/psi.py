@@ -18,7 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.operators.ranges import exact_quantiles, small_table
+from loanlens.operators.ranges import exact_quantiles
+from loanlens.session import stored
 from loanlens.sources.assets import Roles
 
 BUCKETS = 10
@@ -277,15 +278,15 @@ def _numeric_report(
 
 def _shares(baseline: DataFrame, members: Chosen) -> DataFrame:
     """MODULE, VAR, CATEGORY and the share of all baseline rows."""
-    total = baseline.agg(F.count("*")).scalar()
-    return (
+    counts = (
         _long_categories(baseline, [], members, new=False)
         .groupBy("MODULE", "VAR", "CATEGORY")
         .agg(F.count("*").alias("COUNT"))
-        .select(
-            "MODULE", "VAR", "CATEGORY", "COUNT",
-            (F.col("COUNT").cast("double") / total).alias("SHARE"),
-        )
+    )
+    # every row has one category per variable; one row per column bounds the broadcast
+    totals = counts.groupBy("MODULE", "VAR").agg(F.sum("COUNT").alias("_all"))
+    return counts.join(F.broadcast(totals), ["MODULE", "VAR"]).select(
+        "MODULE", "VAR", "CATEGORY", "COUNT", (F.col("COUNT").cast("double") / F.col("_all")).alias("SHARE")
     )
 
 
@@ -313,14 +314,15 @@ def _category_report(
     per_module = F.array(
         *[F.when(s.counts_row(), F.struct(F.lit(s.name).alias("MODULE"))) for s, _ in specs]
     )
-    totals = small_table(
+    totals = stored(
         new.select(month, F.inline(per_module))
         .where("MODULE is not null")
         .groupBy(month, "MODULE")
         .agg(F.count("*").alias("_n"))
         .select("MODULE", F.explode(_labels(month)).alias("PSI_MONTH"), "_n")
         .groupBy("MODULE", "PSI_MONTH")
-        .agg(F.sum("_n").alias("_n"))
+        .agg(F.sum("_n").alias("_n")),
+        "psi_totals",
     )
     counts = (
         _long_categories(new, [month], specs, new=True)

@@ -11,22 +11,33 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MIN_RANGES, MAX_RANGES = 64, 8192
-SMALL_ROWS = 100_000
+MIN_RANGES = 64
+SKETCH_GROUPS = 64
 
 
 def ranges_for(df: DataFrame) -> int:
-    """As many ranges as shuffle partitions, within limits."""
+    """As many ranges as shuffle partitions, and at least a few."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(partitions, MIN_RANGES), MAX_RANGES)
+    return max(partitions, MIN_RANGES)
 
 
 def _cuts(df: DataFrame, value: str, ranges: int) -> DataFrame:
+    """Approximate percentiles, merged in two steps.
+
+    The sketches of the map tasks first meet in ``SKETCH_GROUPS`` tasks; the one
+    task after them sees only the groups' percentiles, however many map tasks
+    there were.
+    """
     probabilities = [i / ranges for i in range(1, ranges)]
-    return df.agg(F.percentile_approx(value, probabilities, 4 * ranges).alias("_cuts"))
+    sketch = lambda v: F.percentile_approx(v, probabilities, 4 * ranges)
+    grouped = df.select(
+        F.col(value).alias("_v"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g")
+    )
+    parts = grouped.groupBy("_g").agg(sketch("_v").alias("_c"))
+    return parts.select(F.explode("_c").alias("_v")).agg(sketch("_v").alias("_cuts"))
 
 
 def _stride(ranges: int) -> int:
@@ -47,8 +58,8 @@ def with_range(
 ) -> DataFrame:
     """Adds the range of a value; the cuts are a one-row subquery over ``rows``.
 
-    ``rows`` are the rows ``df`` was counted from.  Their percentiles need no
-    shuffle, and no range can hold more distinct values than rows.
+    ``rows`` are ``df`` itself or the rows it was counted from; no range can
+    hold more distinct values than rows.
     """
     ranges = ranges_for(df) if ranges is None else ranges
     if ranges <= 1:
@@ -81,19 +92,6 @@ def in_fixed_range(value: str, cuts: Sequence[float]) -> Column:
     return _range_of(value, _as_array(cuts), _as_array(cuts[stride - 1 :: stride]), stride)
 
 
-def small_table(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """A broadcast copy of a small result; a larger one is returned as it is.
-
-    At most ``limit`` + 1 rows come to the driver, which is the check of the
-    size; the copy also saves computing the result again.
-    """
-    spark: SparkSession = df.sparkSession
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(spark.createDataFrame(rows, df.schema))
-
-
 def _position(p: float) -> str:
     """Where quantile p lies among the ranks 0 to n - 1."""
     return f"(double(_n - 1) * double('{p!r}'))"

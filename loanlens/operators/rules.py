@@ -64,7 +64,10 @@ def new_to_credit() -> Column:
 
 
 def build_rules() -> dict[str, Rule]:
-    """The active rules by number; 1 and 3 are not in use."""
+    """The active rules by number; 1 and 3 are not in use.
+
+    Fixed values: numbers, output names and input names.
+    """
     bounces = F.col("OVERALL_BOUNCE_M0123")
     m0, m1 = "AUTO_DEBIT_BOUNCE_M0", "AUTO_DEBIT_BOUNCE_M1"
     score = number("BUREAUSCORE")
@@ -133,17 +136,28 @@ def build_rules() -> dict[str, Rule]:
     }
 
 
+# The one rule whose inputs a table may lack; it then takes no part.
+OPTIONAL_RULES = ("15",)
 # Rules whose failure fails the policy on its own.
 POLICY_RULES = ("2", "4", "5", "6", "7", "8", "9", "10", "11", "12", "15")
 EXTERNAL_RULES = ("13", "14")
 
 
 def apply_rules(df: DataFrame, numbers: Sequence[str] | None = None) -> DataFrame:
-    """NTC_FLAG and one column per rule, by default every rule whose inputs are there."""
-    flagged = df.withColumn("NTC_FLAG", new_to_credit())
+    """NTC_FLAG and one column per rule, by default all of them.
+
+    Raises when an input of a rule is absent.  By default rule 15 is left out
+    where its inputs are.
+    """
     rules = build_rules()
-    present = {c.upper() for c in flagged.columns}
-    chosen = numbers or [n for n, r in rules.items() if present.issuperset(r.inputs)]
+    present = {"NTC_FLAG", *(c.upper() for c in df.columns)}
+    chosen = numbers or [
+        n for n, r in rules.items() if n not in OPTIONAL_RULES or present.issuperset(r.inputs)
+    ]
+    needed = {"BUREAUSCORE", *(c for n in chosen for c in rules[n].inputs)}
+    if absent := sorted(needed - present):
+        raise ValueError(f"rule inputs are absent: {absent}")
+    flagged = df.withColumn("NTC_FLAG", new_to_credit())
     return flagged.withColumns({rules[n].output: rules[n].decision() for n in chosen})
 
 
@@ -154,13 +168,16 @@ def _any_failed(df: DataFrame, numbers: Sequence[str]) -> Column:
     for n in numbers:
         if rules[n].output in present:
             failed = failed | (F.col(rules[n].output) == FAIL)
+        elif n not in OPTIONAL_RULES:
+            raise ValueError(f"{rules[n].output} is absent")
     return F.coalesce(failed, F.lit(False))
 
 
 def with_verdicts(df: DataFrame) -> DataFrame:
     """VERDICT_POLICY_ALONE and VERDICT_POLICY_WITH_FB from the rule columns.
 
-    NOT_DECIDED counts as a pass.  Rule 15 takes part when it was computed.
+    NOT_DECIDED counts as a pass.  Rule 15 takes part when it was computed; any
+    other rule column that is absent raises.
     """
     alone = _any_failed(df, POLICY_RULES)
     with_external = alone | _any_failed(df, EXTERNAL_RULES)

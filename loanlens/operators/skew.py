@@ -9,12 +9,12 @@ is the hot one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 32
 BUCKETS = 65_536
 HOT_SHARE = 0.005
 
@@ -23,19 +23,20 @@ def _bucket(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(BUCKETS))
 
 
-def hot_buckets(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hash buckets of the keys that hold more than ``share`` of the rows.
+def hot_buckets(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> dict[int, float]:
+    """Hash buckets of the keys that hold more than ``share`` of the rows, with their shares.
 
-    Reads the key columns alone and counts in the map tasks; one row with at
-    most 1 / share bucket numbers comes back.  An even key has no such bucket.
+    Runs when it is called: it reads the key columns alone and counts in the map
+    tasks; one row with at most 1 / share buckets comes back.  An even key has
+    no such bucket.
     """
     counts = df.groupBy(_bucket(keys).alias("b")).agg(F.count("*").alias("n"))
     row = (
         counts.agg(F.sum("n").alias("total"), F.array_agg(F.struct("n", "b")).alias("all"))
-        .selectExpr(f"transform(filter(all, x -> x.n > total * {share}D), x -> x.b) as hot")
+        .selectExpr(f"transform(filter(all, x -> x.n > total * {share}D), x -> struct(x.b as b, x.n / total as s)) as hot")
         .first()
     )
-    return list(row["hot"] or [])
+    return {r["b"]: r["s"] for r in row["hot"] or []}
 
 
 def left_joins(
@@ -43,39 +44,49 @@ def left_joins(
     lookups: Sequence[DataFrame],
     keys: Sequence[str],
     counted: DataFrame | None = None,
-    salts: int = SALTS,
+    share: float = HOT_SHARE,
 ) -> DataFrame:
     """Left joins of ``big`` with each lookup on the same keys; ``big`` moves once.
 
-    Rows under a hot key (a NULL key may be one) are spread over ``salts``
-    groups by a hash of the row, and the lookup rows of that bucket are
-    repeated once per group; all other rows stay in group 0 and nothing is
-    repeated for them.  Which keys are hot is counted on ``counted``, a cheaper
-    frame with the same keys, or on ``big``.  The result is exact either way.
+    Rows under a hot key (a NULL key may be one) are spread over groups by a
+    hash of the row, and the lookup rows of that bucket are repeated once per
+    group; all other rows stay in group 0 and nothing is repeated for them.  A
+    bucket gets twice as many groups as its share of the rows is worth in
+    shuffle partitions, so a group is smaller than a usual partition.
+
+    The plan depends on the data: which buckets hold more than ``share`` of the
+    rows is counted, when this is called, on ``counted``, a cheaper frame with
+    the same keys, or on ``big``.  The result is exact either way.
     """
     on = list(keys)
-    hot = hot_buckets(big if counted is None else counted, on)
+    hot = hot_buckets(big if counted is None else counted, on, share)
     if not hot:
         for lookup in lookups:
             big = big.join(lookup, on, "left")
         return big
-    is_hot = _bucket(on).isin(*hot)
+    partitions = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.create_map(
+        *[F.lit(x).cast(t) for b, s in hot.items() for x, t in ((b, "bigint"), (max(2, math.ceil(2 * s * partitions)), "int"))]
+    )
+    salts = F.coalesce(F.element_at(spread, _bucket(on)), F.lit(1))
     row_hash = F.xxhash64(F.lit("group"), *[F.col(c) for c in big.columns])
-    group = F.when(is_hot, F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    groups = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    joined = big.withColumn("_group", group)
+    groups = F.sequence(F.lit(0), salts - 1)
+    joined = big.withColumn("_group", F.pmod(row_hash, salts).cast("int"))
     for lookup in lookups:
         repeated = lookup.select("*", F.explode(groups).alias("_group"))
         joined = joined.join(repeated, [*on, "_group"], "left")
     return joined.drop("_group")
 
 
-def left_join(kept: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+def left_join(
+    kept: DataFrame, lookup: DataFrame, keys: Sequence[str], share: float = HOT_SHARE
+) -> DataFrame:
     """A plain left join, unless one key holds much of the lookup (see ``left_join_many``).
 
-    The check reads the key columns of the lookup alone.
+    The plan depends on the data: when this is called, the key columns of the
+    lookup are counted to see whether a bucket holds more than ``share`` of it.
     """
-    if hot_buckets(lookup, keys):
+    if hot_buckets(lookup, keys, share):
         return left_join_many(kept, lookup, keys)
     return kept.join(lookup, list(keys), "left")
 

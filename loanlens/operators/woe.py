@@ -63,20 +63,32 @@ def apply_woe(
     )
 
 
+def _upper(df: DataFrame) -> DataFrame:
+    return df.toDF(*[c.upper() for c in df.columns])
+
+
+def woe_score_rows(encoded: DataFrame, model: Sequence[tuple[str, float]]) -> DataFrame:
+    """Logistic-regression score of the encoded rows themselves, beside their ids.
+
+    ``model`` holds (variable, coefficient); its first row is the intercept.
+    """
+    (_, intercept), *terms = model
+    terms = [(name.upper(), weight) for name, weight in terms]
+    return _upper(encoded).withColumn("PRED_TRAIN", linear_score(intercept, terms))
+
+
 def woe_score(
     ids: DataFrame,
     encoded: DataFrame,
     model: Sequence[tuple[str, float]],
     key: str = "BRE_RUN_ID",
 ) -> DataFrame:
-    """Logistic-regression score over encoded features, joined to all ids.
+    """The same for encoded features of another table, joined to all ids.
 
     ``model`` holds (variable, coefficient); its first row is the intercept.
     """
     (_, intercept), *terms = model
     terms = [(name.upper(), weight) for name, weight in terms]
-    chosen = encoded.toDF(*[c.upper() for c in encoded.columns]).select(
-        key, *[name for name, _ in terms]
-    )
+    chosen = _upper(encoded).select(key, *[name for name, _ in terms])
     joined = ids.join(chosen, [key], "left")
     return joined.withColumn("PRED_TRAIN", linear_score(intercept, terms))

@@ -13,7 +13,7 @@ from loanlens.operators import blend as B
 from loanlens.operators import rules as R
 from loanlens.operators.cleaning import clean
 from loanlens.operators.scoring import Calibration, ModuleModel, prepare
-from loanlens.operators.woe import apply_woe, woe_score
+from loanlens.operators.woe import apply_woe, woe_score_rows
 from loanlens.sources import scans, schemas as S
 from loanlens.sources.assets import Roles
 
@@ -49,8 +49,8 @@ def activity_woe_score(
     """Activity rows cleaned, WOE-encoded and scored with a logistic regression."""
     rows = scans.module_scan(fact, "activity_module", start, end)
     prepared = clean(rows, roles, missing_num, missing_cat)
-    encoded = apply_woe(prepared, bins, S.ID_COLUMNS)
-    return woe_score(rows.select(*S.ID_COLUMNS), encoded, model)
+    scored = woe_score_rows(apply_woe(prepared, bins, S.ID_COLUMNS), model)
+    return scored.select(*S.ID_COLUMNS, *[name.upper() for name, _ in model[1:]], "PRED_TRAIN")
 
 
 def blended_decisions(
@@ -71,8 +71,15 @@ def blended_decisions(
 
 
 def decided(blended: DataFrame, model_type: str = "XGBOOST") -> DataFrame:
-    """Rules and verdicts, in the column order of the master."""
+    """Rules and verdicts, in the column order of the master.
+
+    Raises when a column of the master is absent; only rule 15 and its inputs
+    may be.
+    """
     verdicts = R.with_verdicts(R.apply_rules(blended.withColumn("MODEL_TYPE", F.lit(model_type))))
+    optional = {c for n in R.OPTIONAL_RULES for c in (R.build_rules()[n].output, *R.build_rules()[n].inputs)}
+    if absent := [c for c in S.MASTER_COLUMNS if c not in verdicts.columns and c not in optional]:
+        raise ValueError(f"columns of the master are absent: {absent}")
     return verdicts.select(*[c for c in S.MASTER_COLUMNS if c in verdicts.columns])
 
 

@@ -29,19 +29,20 @@ def attach_outcomes(
     labelled_since: dt.date | str = "2022-08-01",
 ) -> DataFrame:
     """As-of join of loans with runs, then the labels on every master row."""
-    loans = as_of_latest_run(repayments, master)
+    loans = stored(as_of_latest_run(repayments, master), "loans_with_runs")
     return labelled_master(master, loans, start, end, labelled_since)
 
 
 def gini_table(labelled: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
     """Matured rows with their Gini columns."""
-    rows = scans.require_rows(scans.matured(labelled, as_of), "matured master")
-    return with_gini_columns(rows, **options)
+    rows = stored(scans.matured(labelled, as_of), "matured_master")
+    return with_gini_columns(scans.require_rows(rows, "matured master"), **options)
 
 
 def ks_report(labelled: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
     """KS tables of the module scores and the blend on matured rows."""
-    return ks_table(scans.require_rows(scans.matured(labelled, as_of), "matured master"), **options)
+    rows = stored(scans.matured(labelled, as_of), "matured_master")
+    return ks_table(scans.require_rows(rows, "matured master"), **options)
 
 
 def drift_report(

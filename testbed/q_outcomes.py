@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanlens.operators.outcomes import as_of_latest_run, features_for_master, labelled_master
-from loanlens.session import shared_folder
+from loanlens.session import shared_folder, stored
 from loanlens.sources import scans, sinks
 from loanlens.sources import schemas as S
 from testbed import proxies as P
@@ -48,7 +48,7 @@ def master(spark, sf):
 
 def labelled(spark, sf):
     rows = master(spark, sf)
-    loans = as_of_latest_run(P.repayments(spark, sf), rows)
+    loans = stored(as_of_latest_run(P.repayments(spark, sf), rows), "loans_with_runs")
     return labelled_master(rows, loans, PAID_FROM, PAID_TO, LABELLED_SINCE)
 
 
@@ -58,7 +58,7 @@ _LOAN = "USER_ID, LOAN_ID, cast(DISBURSED_DATE AS string) AS DISBURSED_DATE"
 @query(
     "asof_latest_run",
     with_ctes(
-        f"SELECT {_LOAN}, VENDOR, STATUS, EVER_15DPD_IN_90DAYS, cast(BRE_RUN_DATE AS string) AS BRE_RUN_DATE,"
+        f"SELECT {_LOAN}, VENDOR, STATUS, EVER_15DPD_IN_90DAYS, EVER_30DPD_IN_90DAYS, cast(BRE_RUN_DATE AS string) AS BRE_RUN_DATE,"
         " BRE_RUN_ID, cast(date_diff('day', BRE_RUN_DATE, DISBURSED_DATE) AS integer) AS DAYS_DIFF FROM latest",
         *_AS_OF,
     ),
@@ -67,7 +67,8 @@ def asof_latest_run(spark, sf):
     rows = as_of_latest_run(P.repayments(spark, sf), master(spark, sf))
     return rounded(
         rows.select(
-            *S.REPAYMENT_KEYS, "VENDOR", "STATUS", S.OUTCOME_LABEL, "BRE_RUN_DATE", "BRE_RUN_ID", "DAYS_DIFF"
+            *S.REPAYMENT_KEYS, "VENDOR", "STATUS", S.OUTCOME_LABEL, "EVER_30DPD_IN_90DAYS",
+            "BRE_RUN_DATE", "BRE_RUN_ID", "DAYS_DIFF",
         )
     )
 

@@ -10,7 +10,7 @@ from loanlens.operators import gini as G
 from loanlens.operators import ks as K
 from loanlens.operators import psi as P
 from loanlens.operators.kl import aligned_shares, kl_divergence
-from loanlens.operators.ranges import exact_quantiles, small_table
+from loanlens.operators.ranges import exact_quantiles
 from loanlens.sources import schemas as S
 from loanlens.sources.assets import Roles
 
@@ -281,9 +281,3 @@ def test_kl(spark):
     b = spark.createDataFrame([("x",), ("z",)], "b string")
     shares = {r["BUCKET"]: (r["P"], r["Q"]) for r in aligned_shares(a, b, "b").collect()}
     assert shares == {"x": (pytest.approx(2 / 3), 0.5), "y": (pytest.approx(1 / 3), 0.0), "z": (0.0, 0.5)}
-
-
-def test_small_table_checks_its_size(spark):
-    df = spark.range(10)
-    assert small_table(df, 9) is df
-    assert small_table(df, 10) is not df and small_table(df, 10).count() == 10

@@ -162,3 +162,21 @@ def test_cascade_names_the_first_policy_that_accepts(spark):
     by_rules = PO.with_cascade(df.withColumn("VERDICT_POLICY_ALONE", F.lit("PASS"))).collect()
     assert by_rules[3]["ACCEPTED_BY"] == "1_9_a"
     assert set(DECISION_COLUMNS) >= {"OVERALL_BOUNCE_M0123"}
+
+
+def test_absent_inputs_raise(spark):
+    df = frame(spark, [{}])
+    with pytest.raises(ValueError, match="OVERALL_BOUNCE_M0123"):
+        R.apply_rules(df.drop("OVERALL_BOUNCE_M0123"))
+    with pytest.raises(ValueError, match="BUREAUSCORE"):
+        R.apply_rules(df.drop("BUREAUSCORE"), ["2"])
+    with pytest.raises(ValueError, match="RULE9"):
+        R.with_verdicts(R.apply_rules(df).drop("RULE9_MAX_DPD_2_YEARS_FOR_RULE"))
+
+
+def test_rule_15_may_be_absent(spark):
+    ruled = R.apply_rules(frame(spark, [{}]).drop("NUM_LOAN_DEFAULT_30D"))
+    assert "RULE15_NUM_LOAN_DEFAULTS_30D" not in ruled.columns
+    assert R.with_verdicts(ruled).first()["VERDICT_POLICY_ALONE"] == PASS
+    with pytest.raises(ValueError):
+        R.apply_rules(frame(spark, [{}]).drop("NUM_LOAN_DEFAULT_30D"), ["15"])
