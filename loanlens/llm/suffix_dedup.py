@@ -34,7 +34,7 @@ from loanlens.session import stored
 LENGTH = 50
 SHORT = 20  # bytes of the strings that are hashed
 BLOCK_BYTES = 4 << 20
-PARTS_EACH = 4  # parts for every shuffle partition
+PARTS_EACH = 2  # parts for every block
 CHUNK = 1 << 17
 BUCKET = 1 << 18  # suffixes sorted at a time
 NO_KEY = np.iinfo(np.int64).max
@@ -146,8 +146,30 @@ def _pack(values: np.ndarray, kind) -> bytes:
     return values.astype(kind).tobytes()
 
 
-def _unpacked(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
-    return [np.frombuffer(x, kind) for x in column.to_pylist()]
+def _packed(arrays: list[np.ndarray], text: bytes = b"") -> bytes:
+    """Arrays of one length, each in as few bytes as its spread needs, and a text; compressed."""
+    out = [len(arrays[0]).to_bytes(8, "little")]
+    for values in arrays:
+        low = int(values.min()) if len(values) else 0
+        spread = values.astype(np.int64) - low
+        spread = spread.astype(np.min_scalar_type(int(spread.max()) if len(spread) else 0))
+        # bytes of one weight side by side compress better
+        planes = spread.view(np.uint8).reshape(len(spread), -1).T.tobytes() if len(spread) else b""
+        out += [bytes([spread.itemsize]), low.to_bytes(8, "little", signed=True), planes]
+    return zstandard.ZstdCompressor(3).compress(b"".join([*out, text]))
+
+
+def _unpacked(blob: bytes, arrays: int) -> tuple[list[np.ndarray], bytes]:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    n, at, out = int.from_bytes(data[:8], "little"), 8, []
+    for _ in range(arrays):
+        width, low = data[at], int.from_bytes(data[at + 1 : at + 9], "little", signed=True)
+        at += 9
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T
+        out.append(wide.view(np.int64).ravel() + low)
+        at += n * width
+    return out, data[at:]
 
 
 def blocks(docs: DataFrame, key: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -226,7 +248,6 @@ def _sent_runs(answered: DataFrame, parts: int, length: int, short: int) -> Data
     """Runs whose minimiser several documents share, by part, with their bytes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(3)
         for row in _rows(batches):
             block = _opened(row["sizes"], row["texts"], length, short)
             keys = np.array([NO_KEY if k is None else k for k in row["keys"]], np.int64)
@@ -238,29 +259,25 @@ def _sent_runs(answered: DataFrame, parts: int, length: int, short: int) -> Data
             chosen = np.flatnonzero(shared[block.of])
             chosen = chosen[np.argsort(block.value[chosen], kind="stable")]
             ends = np.searchsorted(_part_of(block.value[chosen], parts), np.arange(parts + 1))
-            out = {name: [] for name in ("part", "value", "doc", "start", "key", "size", "text")}
-            raw = memoryview(block.data)
-            for p in np.flatnonzero(np.diff(ends)).tolist():
+            full = np.flatnonzero(np.diff(ends)).tolist()
+            raw, runs = memoryview(block.data), []
+            for p in full:
                 mine = chosen[ends[p] : ends[p + 1]]
-                sizes = block.count[mine] + length - 1
-                out["part"].append(p)
-                out["value"].append(_pack(block.value[mine], np.uint64))
-                out["doc"].append(_pack(block.doc[mine], np.uint32))
-                out["start"].append(_pack(block.run[mine] - block.starts[block.doc[mine]], np.int64))
-                out["key"].append(_pack(keys[block.doc[mine]], np.int64))
-                out["size"].append(_pack(sizes, np.int64))
+                doc, sizes = block.doc[mine], block.count[mine] + length - 1
                 texts = b"".join(raw[a : a + s] for a, s in zip(block.run[mine].tolist(), sizes.tolist()))
-                out["text"].append(packer.compress(texts))
+                # a part is a range of minimisers, so the low bits tell most of them apart
+                low = (block.value[mine] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                runs.append(_packed([low, doc, block.run[mine] - block.starts[doc], keys[doc], sizes], texts))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "part": pa.array(out["part"], pa.int32()),
-                    "block": pa.array([row["block"]] * len(out["part"]), pa.int64()),
-                    **{k: pa.array(out[k], pa.binary()) for k in ("value", "doc", "start", "key", "size", "text")},
+                    "part": pa.array(full, pa.int32()),
+                    "block": pa.array([row["block"]] * len(full), pa.int64()),
+                    "runs": pa.array(runs, pa.binary()),
                 }
             )
 
-    schema = "part int, block long, value binary, doc binary, start binary, key binary, size binary, text binary"
-    return answered.select("block", "keys", "sizes", "texts", "answers").mapInArrow(run, schema)
+    chosen = answered.select("block", "keys", "sizes", "texts", "answers")
+    return chosen.mapInArrow(run, "part int, block long, runs binary")
 
 
 def _words(data: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray]:
@@ -350,13 +367,12 @@ def equal_windows(data: np.ndarray, ends: np.ndarray, windows: np.ndarray, lengt
 
 def _removed(table: pa.Table, length: int) -> dict[str, np.ndarray]:
     """Byte ranges (block, doc, start, size) to remove, found in one part."""
-    opener = zstandard.ZstdDecompressor()
-    texts = b"".join(opener.decompress(t) for t in table.column("text").to_pylist())
-    size = np.concatenate(_unpacked(table.column("size"), np.int64))
-    value, key = (np.concatenate(_unpacked(table.column(c), k)) for c, k in (("value", np.uint64), ("key", np.int64)))
-    doc, start = (np.concatenate(_unpacked(table.column(c), k)) for c, k in (("doc", np.uint32), ("start", np.int64)))
-    each = [len(x) for x in _unpacked(table.column("size"), np.int64)]
+    opened = [_unpacked(x, 5) for x in table.column("runs").to_pylist()]
+    value, doc, start, key, size = (np.concatenate(x) for x in zip(*[arrays for arrays, _ in opened]))
+    texts = b"".join(text for _, text in opened)
+    each = [len(arrays[0]) for arrays, _ in opened]
     block = np.repeat(np.array(table.column("block").to_pylist(), np.int64), each)
+    del opened
     begin = np.cumsum(size) - size
     # distinct runs, and the smallest document of each
     ids: dict[bytes, int] = {}
@@ -366,7 +382,7 @@ def _removed(table: pa.Table, length: int) -> dict[str, np.ndarray]:
     later = key > least[of]
     found = [(block[later], doc[later], start[later], size[later])]
     # only runs of one minimiser can share windows; a minimiser with one run has nothing to sort
-    run_value = np.empty(len(ids), np.uint64)
+    run_value = np.empty(len(ids), np.int64)
     run_value[of] = value
     _, group, members = np.unique(run_value, return_inverse=True, return_counts=True)
     sorted_runs = np.flatnonzero(members[group] > 1)
@@ -406,13 +422,9 @@ def _ranges(length: int):
         found = _removed(table, length)
         order = np.argsort(found["block"], kind="stable")
         names, first = np.unique(found["block"][order], return_index=True)
-        pieces = {c: np.split(found[c][order], first[1:]) if len(names) else [] for c in ("doc", "start", "size")}
-        return pa.table(
-            {
-                "block": pa.array(names, pa.int64()),
-                **{c: pa.array([_pack(x, np.int64) for x in pieces[c]], pa.binary()) for c in pieces},
-            }
-        )
+        pieces = [np.split(found[c][order], first[1:]) if len(names) else [] for c in ("doc", "start", "size")]
+        ranges = [_packed(list(x)) for x in zip(*pieces)]
+        return pa.table({"block": pa.array(names, pa.int64()), "ranges": pa.array(ranges, pa.binary())})
 
     return run
 
@@ -427,8 +439,7 @@ def _cleaned(answered: DataFrame, key: str) -> DataFrame:
             starts = np.cumsum(sizes) - sizes
             ranges: dict[int, list[tuple[int, int]]] = {}
             for answer in row["answers"] or ():
-                columns = [np.frombuffer(answer[c], np.int64).tolist() for c in ("doc", "start", "size")]
-                for doc, start, size in zip(*columns):
+                for doc, start, size in zip(*[x.tolist() for x in _unpacked(answer, 3)[0]]):
                     ranges.setdefault(doc, []).append((start, start + size))
             spans, rest = [], []
             for doc, (begin, size) in enumerate(zip(starts.tolist(), sizes.tolist())):
@@ -479,9 +490,9 @@ def suffix_dedup(
     other, so repeated rows are treated alike.  An empty table gives an empty
     result; other columns are not read.
     """
-    spark = docs.sparkSession
-    parts = PARTS_EACH * partitions(spark)
     packed = stored(blocks(docs, key, text, block_bytes), "blocks")
+    # parts grow with the data, so that each holds no more than a block's worth
+    parts = max(partitions(docs.sparkSession), PARTS_EACH * packed.count())
     bits = (
         _sent_minimisers(packed, parts, length, short)
         .groupBy("part")
@@ -492,8 +503,8 @@ def suffix_dedup(
     runs = _sent_runs(packed.join(bits, "block"), parts, length, short)
     ranges = (
         runs.groupBy("part")
-        .applyInArrow(_ranges(length), "block long, doc binary, start binary, size binary")
+        .applyInArrow(_ranges(length), "block long, ranges binary")
         .groupBy("block")
-        .agg(F.collect_list(F.struct("doc", "start", "size")).alias("answers"))
+        .agg(F.collect_list("ranges").alias("answers"))
     )
     return _cleaned(packed.join(ranges, "block", "left"), key)
