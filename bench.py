@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from testbed import all_queries  # noqa: E402
+from testbed.storage import with_storage  # noqa: E402
 
 HEADLINE = [
     "transaction_scan",
@@ -43,6 +44,12 @@ HEADLINE = [
     "kl_divergence",
     "json_path_extract",
     "offer_drift_report",
+    "module_scoring_trees",
+    "upsert_full_master",
+    "fact_right_join_full",
+    "job_gini",
+    "job_ks",
+    "job_drift",
 ]
 
 
@@ -60,7 +67,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    with_storage(spark).sparkContext.setLogLevel("ERROR")
     queries = all_queries()[0]
     queries["risk_bands"](spark, sf_dir).count()
     seconds: dict[str, float] = {}

@@ -8,10 +8,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.functions import iso_day
 from loanlens.operators import blend as B
 from loanlens.operators import rules as R
-from loanlens.operators.cleaning import clean
+from loanlens.operators.cleaning import clean, require_numbers
 from loanlens.operators.scoring import Calibration, ModuleModel, prepare
 from loanlens.operators.woe import apply_woe, woe_score_rows
 from loanlens.sources import scans, schemas as S
@@ -26,13 +25,18 @@ def score_module(
     model: ModuleModel,
     scorer: Callable[[DataFrame, Calibration], DataFrame],
     columns: Sequence[str] | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Scan, prepare and score one module.  No shuffle: one stage from scan to write.
 
     ``columns`` are the feature columns to read, by default those of the model.
+    Text that is no number becomes NULL; with ``strict`` it raises instead, at
+    the cost of reading the numeric columns once more beforehand.
     """
     chosen = list(model.features if columns is None else columns)
     rows = scans.module_scan(fact, module, start, end, features=chosen)
+    if strict:
+        rows = require_numbers(rows, [c for c in model.roles.numerical if c in rows.columns])
     return scorer(prepare(rows, model), model.calibration)
 
 
@@ -45,9 +49,15 @@ def activity_woe_score(
     model: Sequence[tuple[str, float]],
     missing_num: float,
     missing_cat: str,
+    strict: bool = False,
 ) -> DataFrame:
-    """Activity rows cleaned, WOE-encoded and scored with a logistic regression."""
+    """Activity rows cleaned, WOE-encoded and scored with a logistic regression.
+
+    ``strict`` raises on text that is no number (see ``score_module``).
+    """
     rows = scans.module_scan(fact, "activity_module", start, end)
+    if strict:
+        rows = require_numbers(rows, [c for c in roles.numerical if c in rows.columns])
     prepared = clean(rows, roles, missing_num, missing_cat)
     scored = woe_score_rows(apply_woe(prepared, bins, S.ID_COLUMNS), model)
     return scored.select(*S.ID_COLUMNS, *[name.upper() for name, _ in model[1:]], "PRED_TRAIN")
@@ -66,7 +76,7 @@ def blended_decisions(
     flagged = B.sufficiency_flags(scans.decision_scan(fact, start, end)).withColumn(
         "COMBINATION_TYPE", B.combination_type()
     )
-    dated = flagged.withColumn("BRE_RUN_DATE", iso_day("BRE_RUN_DATE"))
+    dated = flagged.withColumn("BRE_RUN_DATE", F.to_date("BRE_RUN_DATE"))
     return B.blend(B.join_module_scores(dated, bureau, transaction, sms), calibration)
 
 

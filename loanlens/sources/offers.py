@@ -74,6 +74,21 @@ def parsed_offers(offers: DataFrame) -> DataFrame:
     return offers.select(*OFFER_COLUMNS, F.explode(kept).alias("_doc"))
 
 
+def document_counts(offers: DataFrame) -> DataFrame:
+    """One row: offers, those without a document, with one that does not parse, and without a scoring output.
+
+    The scans leave all three kinds out; a job reports these counts beside its result.
+    """
+    doc = F.try_parse_json("METADATA")
+    given = F.col("METADATA").isNotNull()
+    return offers.select(given.alias("_given"), doc.isNotNull().alias("_parsed"), has_path(doc, SCORING_OUTPUT).alias("_scored")).agg(
+        F.count("*").alias("OFFERS"),
+        F.count_if(~F.col("_given")).alias("WITHOUT_DOCUMENT"),
+        F.count_if(F.col("_given") & ~F.col("_parsed")).alias("FAILED_DOCUMENTS"),
+        F.count_if(F.col("_parsed") & ~F.col("_scored")).alias("NOT_SCORED"),
+    )
+
+
 def _paths(names: Sequence[str] | None = None) -> list[Column]:
     doc = F.col("_doc")
     return [

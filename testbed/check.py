@@ -13,6 +13,7 @@ import duckdb
 from pyspark.sql import SparkSession
 
 from testbed import all_queries
+from testbed.storage import with_storage
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -58,7 +59,7 @@ def session(cpus: str = "8") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    with_storage(spark).sparkContext.setLogLevel("ERROR")
     return spark
 
 

@@ -61,6 +61,30 @@ def json_output_present(spark, sf):
     ).groupBy("PRESENT", "IS_JSON_NULL").agg(F.count("*").alias("N"))
 
 
+# Some documents lost their last brace, some are missing.
+CTES["damaged_offers"] = (
+    "SELECT CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 13 = 0 THEN METADATA[:-2] ELSE METADATA END AS METADATA"
+    " FROM (SELECT ID AS event_id, METADATA FROM offers)"
+)
+
+
+@query(
+    "failed_documents",
+    with_ctes(
+        "SELECT count(*) AS OFFERS, count(*) FILTER (WHERE METADATA IS NULL) AS WITHOUT_DOCUMENT,"
+        " count(*) FILTER (WHERE NOT json_valid(METADATA)) AS FAILED_DOCUMENTS,"
+        f" count(*) FILTER (WHERE json_valid(METADATA) AND json_extract(CASE WHEN json_valid(METADATA) THEN METADATA END, '{_OUT}') IS NULL)"
+        " AS NOT_SCORED FROM damaged_offers",
+        "offers", "damaged_offers",
+    ),
+)
+def failed_documents(spark, sf):
+    damaged = F.when(F.col("ID") % 17 == 0, None).when(
+        F.col("ID") % 13 == 0, F.expr("substr(METADATA, 1, length(METADATA) - 1)")
+    )
+    return O.document_counts(P.offers(spark, sf).withColumn("METADATA", damaged.otherwise(F.col("METADATA"))))
+
+
 _FEATURES = "$.scoringServiceInput.features"
 _PD_PATH = {"sms": "SMS_PD", "ledger": "Trx_PD", "bureau": "Br_PD"}
 CTES["offer_records"] = " UNION ALL ".join(
@@ -119,6 +143,55 @@ def json_module_table(spark, sf):
     return O.module_table(records, "sms_module", O.feature_keys(records, "sms_module"))
 
 
+def _listed_table(table, key, pd):
+    """A module's table with its features as listed, not as found."""
+    name = f"json_{table}_table"
+
+    @query(
+        name,
+        with_ctes(
+            "SELECT ID, CREATED_AT, MONTH_YEAR, USER_ID, LOAN_APPLICATION_ID,"
+            f" json_extract_string(F, '$.{key}') AS {key}, MODULE_PD AS {pd} FROM offer_records WHERE MODULE = '{table}'",
+            *_RECORDS,
+        ),
+    )
+    def run(spark, sf):
+        return O.module_table(O.module_records(P.offers(spark, sf)), table, [key])
+
+
+_listed_table("transaction_module", "n", "TRX_PD")
+_listed_table("bureau_module", "score", "BR_PD")
+
+_IN = "$.scoringServiceInput.features"
+_INPUT_TEXT = (
+    "'{\"features\":{\"bureau\":' || " + f"json_extract(METADATA, '{_IN}.bureau')"
+    + " || ',\"ledger\":' || " + f"json_extract(METADATA, '{_IN}.ledger')"
+    + " || ',\"sms\":' || " + f"json_extract(METADATA, '{_IN}.sms')" + " || '}}'"
+)
+
+
+@query(
+    "json_all_paths",
+    with_ctes(
+        "SELECT ID, strftime(EXPIRE_AT, '%Y-%m-%d %H:%M:%S') AS EXPIRE_AT, strftime(UPDATED_AT, '%Y-%m-%d %H:%M:%S') AS UPDATED_AT,"
+        f" {_INPUT_TEXT} AS MODEL_INPUT, json_extract_string(METADATA, '{_OUT}.raw_output.Risk_bands') AS OUTPUT_BAND,"
+        f" json_extract_string(METADATA, '{_OUT}.model_config.model_version') AS OUTPUT_VERSION FROM scored_offers",
+        "offers", "scored_offers",
+    ),
+)
+def json_all_paths(spark, sf):
+    """Both documents and the times: the input as text with sorted names, the output parsed again."""
+    rows = O.offer_scan(P.offers(spark, sf))
+    again = F.try_parse_json("MODEL_OUTPUT")
+    return rows.select(
+        "ID",
+        *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("EXPIRE_AT", "UPDATED_AT")],
+        "MODEL_INPUT",
+        O.json_value(again, "$.raw_output.Risk_bands", "string").alias("OUTPUT_BAND"),
+        O.json_value(again, "$.model_config.model_version", "string").alias("OUTPUT_VERSION"),
+    )
+
+
 SPLIT = "2024-01-16"
 CTES["offer_features"] = (
     "SELECT MODULE, CREATED_AT, TS AS DAY, MODULE_PD, try_cast(json_extract_string(F, '$.amt') AS double) AS amt,"
