@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from loanlens.session import use_recommended  # noqa: E402
 from testbed import all_queries  # noqa: E402
 from testbed.storage import with_storage  # noqa: E402
 
@@ -67,7 +68,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    with_storage(spark).sparkContext.setLogLevel("ERROR")
+    use_recommended(with_storage(spark)).sparkContext.setLogLevel("ERROR")
     queries = all_queries()[0]
     queries["risk_bands"](spark, sf_dir).count()
     seconds: dict[str, float] = {}

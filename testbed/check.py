@@ -12,6 +12,7 @@ import time
 import duckdb
 from pyspark.sql import SparkSession
 
+from loanlens.session import use_recommended
 from testbed import all_queries
 from testbed.storage import with_storage
 
@@ -59,7 +60,7 @@ def session(cpus: str = "8") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    with_storage(spark).sparkContext.setLogLevel("ERROR")
+    use_recommended(with_storage(spark)).sparkContext.setLogLevel("ERROR")
     return spark
 
 
