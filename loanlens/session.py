@@ -12,6 +12,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # what a Python task holds at a time, on both sides
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
