@@ -1,6 +1,6 @@
 """Repeated passages, by content-defined chunks.
 
-A gear hash rolls over the bytes; a chunk ends where the hash's low bits are
+A gear hash rolls over the bytes; a chunk ends where the hash's upper bits are
 all zero, so cuts depend on the last few bytes only and settle again soon after
 an insertion.  Chunks are compared by digest: the first place of each stays and
 all others go.
@@ -15,10 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loanlens.llm.common import as_bytes, slices
-from loanlens.session import stored
+from loanlens.llm.blocks import BLOCK_BYTES, Spans, cleaned, opened, packed, rows_of, stored_blocks, unpacked
 
 AVERAGE_BITS = 5  # a cut at every 32nd byte on average: short enough to fit in passages of 50 words
 LEAST, MOST = 8, 512
@@ -69,32 +67,78 @@ def cuts(text: bytes, table: np.ndarray, bits: int = AVERAGE_BITS, least: int =
     return found
 
 
-def chunks(docs: DataFrame, text: str, bits: int = AVERAGE_BITS, least: int = LEAST, most: int = MOST) -> DataFrame:
-    """One row per chunk: the other columns, ``start``, ``size`` and a digest of 12 bytes (``_d``, ``_e``)."""
+class Chunks:
+    """All chunks of a block's documents, and their distinct digests."""
+
+    def __init__(self, text: bytes, sizes: np.ndarray, keys: np.ndarray, bits: int, least: int, most: int):
+        table, begins = gear_table(), (np.cumsum(sizes) - sizes).tolist()
+        doc, start, end, digests = [], [], [], []
+        for i, (begin, size) in enumerate(zip(begins, sizes.tolist())):
+            whole, a = text[begin : begin + size], 0
+            for b in cuts(whole, table, bits, least, most):
+                doc.append(i)
+                start.append(a)
+                end.append(b)
+                digests.append(hashlib.blake2b(whole[a:b], digest_size=12).digest())
+                a = b
+        both = np.frombuffer(b"".join(digests), [("d", "<i8"), ("e", "<i4")])
+        d, e = both["d"].copy(), both["e"].astype(np.int64)
+        self.doc, self.start, self.end = (np.array(x, np.int64) for x in (doc, start, end))
+        key = keys[self.doc] if len(doc) else np.empty(0, np.int64)
+        order = np.lexsort((self.start, self.doc, key, e, d.view(np.uint64)))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(d[order]) != 0) | (np.diff(e[order]) != 0)
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = np.cumsum(new) - 1
+        first = order[new]
+        # per distinct digest: its two numbers and the smallest key in the block
+        self.d, self.e, self.key = d[first], e[first], key[first]
+        # an earlier chunk of the same document, or a document of smaller key in the block
+        again = np.zeros(len(order), bool)
+        again[1:] = ~new[1:] & (np.diff(self.doc[order]) == 0)
+        self.repeated = np.empty(len(order), bool)
+        self.repeated[order] = again
+        self.repeated |= key > self.key[self.of] if len(order) else False
+
+    def edges(self, parts: int) -> np.ndarray:
+        """Where each part begins among the distinct digests, which are in order of d."""
+        part = (self.d.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        return np.searchsorted(part.astype(np.int64), np.arange(parts + 1))
+
+
+def _sent_digests(written: DataFrame, parts: int, *sizes_of_chunks: int) -> DataFrame:
+    """(part, block, digests): each block's distinct digests with their smallest keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = gear_table()
-        for batch in slices(batches, text, 4 << 20):
-            rows, starts, sizes, digests = [], [], [], []
-            for i, t in enumerate(as_bytes(batch.column(text)).to_pylist()):
-                start = 0
-                for end in cuts(t, table, bits, least, most):
-                    rows.append(i)
-                    starts.append(start)
-                    sizes.append(end - start)
-                    digests.append(hashlib.blake2b(t[start:end], digest_size=12).digest())
-                    start = end
-            columns = [batch.column(c).take(pa.array(rows, pa.int32())) for c in kept]
-            both = np.frombuffer(b"".join(digests), [("d", "<i8"), ("e", "<i4")])
-            made = [pa.array(starts, pa.int32()), pa.array(sizes, pa.int32())]
-            made += [pa.array(np.ascontiguousarray(both[c])) for c in ("d", "e")]
-            yield pa.RecordBatch.from_arrays([*columns, *made], [*kept, "start", "size", "_d", "_e"])
-
-    kept = [c for c in docs.columns if c != text]
-    schema = T.StructType([f for f in docs.schema if f.name != text])
-    for name, kind in (("start", T.IntegerType()), ("size", T.IntegerType()), ("_d", T.LongType()), ("_e", T.IntegerType())):
-        schema = schema.add(name, kind)
-    return docs.mapInArrow(run, schema)
+        for row in rows_of(batches):
+            found = Chunks(*opened(row), *sizes_of_chunks)
+            edges = found.edges(parts)
+            full = np.flatnonzero(np.diff(edges)).tolist()
+            sent = [packed([x[edges[p] : edges[p + 1]] for x in (found.d, found.e, found.key)]) for p in full]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "part": pa.array(full, pa.int32()),
+                    "block": pa.array([row["block"]] * len(full), pa.int64()),
+                    "digests": pa.array(sent, pa.binary()),
+                }
+            )
+
+    return written.mapInArrow(run, "part int, block long, digests binary")
+
+
+def _earlier(table: pa.Table) -> pa.Table:
+    """For each block's digests of a part, whether another block has a smaller key with them."""
+    sent = [unpacked(x, 3)[0] for x in table.column("digests").to_pylist()]
+    d, e, key = (np.concatenate(x) for x in zip(*sent))
+    order = np.lexsort((key, e, d))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(d[order]) != 0) | (np.diff(e[order]) != 0)
+    least = key[order][new][np.cumsum(new) - 1]
+    earlier = np.empty(len(order), bool)
+    earlier[order] = least < key[order]
+    ends = np.cumsum([len(x[0]) for x in sent])
+    bits = [np.packbits(x).tobytes() for x in np.split(earlier, ends[:-1])]
+    return pa.table({"block": table.column("block"), "part": table.column("part"), "bits": pa.array(bits, pa.binary())})
 
 
 def chunk_dedup(
@@ -105,63 +149,49 @@ def chunk_dedup(
     least: int = LEAST,
     most: int = MOST,
     least_run: int = LEAST_RUN,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Removes chunks that an earlier place holds, in runs of ``least_run`` bytes or more.
 
-    Returns ``row`` (a struct of all columns), ``clean`` (what is left, as
-    binary: a cut may fall inside a character), ``spans`` (the removed
-    [start, size], merged, in bytes), ``n_bytes`` and ``n_removed``.  Places are ordered by key, text hash and start; neighbouring
-    repeated chunks form a run, and shorter runs stay.
-
-    A null or empty text has no chunks and an empty rest.  A null key is smaller
-    than any other.  Rows with equal key and text are treated alike.  An empty
-    table gives an empty result.
+    A place is earlier if its document has a smaller key, or if it comes before
+    in the same document.  Blocks of documents send each distinct digest once,
+    so a chunk that a third of all documents hold is one entry per block, and
+    get one bit back for each.  Neighbouring repeated chunks form a run; shorter
+    runs stay.
+
+    Returns the key (as a long), ``n_bytes``, ``spans`` (removed [start, end) in
+    bytes) and ``clean`` (the remaining bytes; a cut may fall inside a
+    character).  A null or empty text has no chunks and an empty rest.  A null
+    key is larger than any other.  Rows of one key are no earlier than each
+    other, so repeated rows are treated alike.  An empty table gives an empty
+    result; other columns are not read.
     """
-    # a few bytes of text hash tell rows of one key apart
-    own = F.struct(F.col(key).alias("key"), F.hash(text).alias("text")).alias("_id")
-    slim = docs.select(own, F.col(text).alias("_whole"))
-    parts = chunks(slim, "_whole", bits, least, most)
-    # one row per digest and task reaches the shuffle, however often a chunk occurs
-    firsts = (
-        parts.groupBy("_d", "_e")
-        .agg(F.count("*").alias("n"), F.min(F.struct("_id", "start")).alias("first"))
-        .where("n > 1")
-        .select("_d", "_e", "first")
-    )
-    repeated = parts.join(firsts, ["_d", "_e"]).where(F.struct("_id", "start") != F.col("first"))
-    by_doc = repeated.groupBy("_id").agg(
-        F.sort_array(F.collect_set(F.struct("start", "size"))).alias("_repeated")
-    )
-    rows = docs.select(
-        own,
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_bytes"),
-    )
-    # runs of neighbours: each chunk either goes on from the last run or starts one
-    runs = F.expr(
-        """aggregate(_repeated, cast(array() as array<struct<start:int,size:int>>), (runs, c) ->
-             if(size(runs) > 0 and runs[size(runs) - 1].start + runs[size(runs) - 1].size = c.start,
-                concat(slice(runs, 1, size(runs) - 1),
-                       array(struct(runs[size(runs) - 1].start as start,
-                                    runs[size(runs) - 1].size + c.size as size))),
-                concat(runs, array(c))))"""
-    )
-    joined = (
-        rows.join(by_doc, "_id", "left")
-        .withColumn("_spans", F.expr("cast(array() as array<struct<start:int,size:int>>)"))
-        .withColumn("_spans", F.when(F.col("_repeated").isNull(), F.col("_spans")).otherwise(runs))
-        .withColumn("_spans", F.filter("_spans", lambda s: s["size"] >= least_run))
-    )
-    kept_parts = F.expr(
-        """transform(sequence(0, size(_spans)), i -> substring(_bytes,
-             if(i = 0, 0, _spans[i - 1].start + _spans[i - 1].size) + 1,
-             if(i = size(_spans), octet_length(_bytes), _spans[i].start)
-               - if(i = 0, 0, _spans[i - 1].start + _spans[i - 1].size)))"""
-    )
-    return joined.select(
-        "row",
-        F.aggregate(kept_parts, F.lit(b""), lambda a, b: F.concat(a, b)).alias("clean"),
-        F.col("_spans").alias("spans"),
-        F.octet_length("_bytes").cast("long").alias("n_bytes"),
-        F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + s["size"]).alias("n_removed"),
+    written, parts = stored_blocks(docs, key, text, block_bytes)
+    answers = (
+        _sent_digests(written, parts, bits, least, most)
+        .groupBy("part")
+        .applyInArrow(_earlier, "block long, part int, bits binary")
+        .groupBy("block")
+        .agg(F.collect_list(F.struct("part", "bits")).alias("answers"))
     )
+
+    def spans(answers, whole, sizes, keys) -> Spans:
+        found = Chunks(whole, sizes, keys, bits, least, most)
+        edges, earlier = found.edges(parts), np.zeros(len(found.d), bool)
+        for answer in answers:
+            c = slice(edges[answer["part"]], edges[answer["part"] + 1])
+            earlier[c] = np.unpackbits(np.frombuffer(answer["bits"], np.uint8))[: c.stop - c.start]
+        gone = np.flatnonzero(found.repeated | earlier[found.of]) if len(found.of) else found.of
+        doc, start, end = found.doc[gone], found.start[gone], found.end[gone]
+        # a run goes on where the next chunk of the same document begins at its end
+        new = np.ones(len(gone), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != end[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(gone))[: len(first)] - 1
+        out: Spans = {}
+        for i, a, b in zip(doc[first].tolist(), start[first].tolist(), end[last].tolist()):
+            if b - a >= least_run:
+                out.setdefault(i, []).append((a, b))
+        return out
+
+    return cleaned(written.join(answers, "block", "left"), key, spans)

@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.llm import license_scan as licenses
+from loanlens.llm import quality_rules as rules
 from loanlens.llm import sentencepiece_codec, simhash, warc
 from loanlens.llm.chunk_dedup import chunk_dedup
 from loanlens.llm.common import table
 from loanlens.llm.decontamination import benchmark_hits, n_hit
 from loanlens.llm.line_dedup import MIN_SITES, line_dedup
-from loanlens.llm.lm_scoring import lm_scores
+from loanlens.llm.lm_scoring import ADDED, VOCABULARY, WEIGHT, lm_scores
 from loanlens.llm.quality_rules import quality_rules
 from loanlens.llm.suffix_dedup import suffix_dedup
+from loanlens.session import use_recommended
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL_TEXTS: dict[str, str] = {}
@@ -23,7 +25,7 @@ SQL_TEXTS: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(f):
-        QUERIES[name] = f
+        QUERIES[name] = lambda spark, sf_dir: f(use_recommended(spark), sf_dir)
         if sql is not None:
             SQL_TEXTS[name] = sql
         return f
@@ -31,7 +33,71 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op2_quality_rules")
+def _op2_sql(rounds: int = 100) -> str:
+    """Measures, votes and the estimation as a recursive query over the vote patterns."""
+    blank, word = "[\\x20\\x09-\\x0D]", "[^\\x20\\x09-\\x0D]"
+    stop = ", ".join(f"'{w}'" for w in sorted(set(rules.STOP_WORDS)))
+    numbers = range(len(rules.RULES))
+    v = ", ".join(f"v{j}" for j in numbers)
+    votes = ", ".join(
+        f"CASE WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END AS v{j}" for j, r in enumerate(rules.RULES)
+    )
+
+    def within(x: str, low: str, high: str) -> str:
+        return f"least(greatest({x}, {low}), {high})"
+
+    least, most = f"{rules.LEAST:e}", f"{1 - rules.LEAST:.3e}"
+    sums = ", ".join(
+        f"sum(n * q) FILTER (WHERE v{j} > 0) OVER () AS p{j}, sum(n * q) FILTER (WHERE v{j} <> 0) OVER () AS a{j},"
+        f" sum(n * (1 - q)) FILTER (WHERE v{j} > 0) OVER () AS r{j}, sum(n * (1 - q)) FILTER (WHERE v{j} <> 0) OVER () AS c{j}"
+        for j in numbers
+    )
+    good = ", ".join(within(f"(1 + coalesce(p{j}, 0)) / (2 + coalesce(a{j}, 0))", least, most) + f" AS g{j}" for j in numbers)
+    bad = ", ".join(within(f"(1 + coalesce(r{j}, 0)) / (2 + coalesce(c{j}, 0))", least, f"g{j}") + f" AS b{j}" for j in numbers)
+    odds = "ln(s / (1 - s))" + "".join(
+        f" + CASE WHEN v{j} > 0 THEN ln(g{j} / b{j}) WHEN v{j} < 0 THEN ln((1 - g{j}) / (1 - b{j})) ELSE 0 END" for j in numbers
+    )
+    n_bad = " + ".join(f"CAST(v{j} < 0 AS INTEGER)" for j in numbers)
+    n_good = " + ".join(f"CAST(v{j} > 0 AS INTEGER)" for j in numbers)
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '{word}+') AS ws FROM documents),
+tokens AS (SELECT id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+windows AS (
+  SELECT id, i, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o AS t FROM tokens
+  WINDOW o AS (PARTITION BY id ORDER BY i)),
+twice AS (SELECT id, t FROM windows WHERE t IS NOT NULL GROUP BY id, t HAVING count(*) > 1),
+repeated AS (
+  SELECT id, count(DISTINCT p) AS n FROM (
+    SELECT id, unnest([i, i + 1, i + 2]) AS p FROM windows JOIN twice USING (id, t)) GROUP BY id),
+texts AS (
+  SELECT d.*, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{word}')) AS ls FROM d),
+m AS (
+  SELECT id, doc_id, len(ws) AS n_words, length(regexp_replace(text, '{blank}', '', 'g')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(ls) AS n_lines,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+    len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '[0-9]')) AS n_digits,
+    len(list_filter([{stop}], lambda x: list_contains(ws, x))) AS n_stop_words
+  FROM texts LEFT JOIN repeated r USING (id)),
+voted AS (SELECT m.*, {votes} FROM m),
+em AS (
+  SELECT 0 AS round, {v}, n, 1 / (1 + exp(-2e0 * (1.5e0 - ({n_bad}) * 1.5e0 + 0.25e0 * ({n_good})))) AS q
+  FROM (SELECT {v}, count(*) AS n FROM voted GROUP BY {v})
+  UNION ALL
+  SELECT round + 1, {v}, n, 1 / (1 + exp(-({odds}))) FROM (
+    SELECT *, {bad} FROM (
+      SELECT *, {within("sum(n * q) OVER () / sum(n) OVER ()", least, most)} AS s, {good}
+      FROM (SELECT *, {sums} FROM em WHERE round < {rounds}))))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words) AND q >= 0.5 AS kept,
+  round(q, 6) + 0.0 AS quality
+FROM voted JOIN (SELECT * FROM em WHERE round = {rounds}) USING ({v})
+"""
+
+
+@query("op2_quality_rules", _op2_sql())
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     judged = quality_rules(docs, keep=["doc_id"])
@@ -134,7 +200,35 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_lm_scoring")
+OP3_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+tokens AS (SELECT id, doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+vocabulary AS (
+  SELECT w, row_number() OVER (ORDER BY count(*) DESC, w) AS v FROM tokens GROUP BY w QUALIFY v < {VOCABULARY}),
+coded AS (SELECT id, doc_id, i, coalesce(v, 0) AS b FROM tokens LEFT JOIN vocabulary USING (w)),
+pairs AS (
+  SELECT id, doc_id, coalesce(lag(b) OVER (PARTITION BY id ORDER BY i), 0) AS a, b,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0) AS is_target FROM coded),
+cells AS (SELECT a, b, count(*) FILTER (WHERE is_target) AS t, count(*) AS g FROM pairs GROUP BY a, b),
+sums AS (
+  SELECT *, sum(t) OVER (PARTITION BY a) AS ta, sum(g) OVER (PARTITION BY a) AS ga, sum(t) OVER (PARTITION BY b) AS tb,
+    sum(g) OVER (PARTITION BY b) AS gb, sum(t) OVER () AS tn, sum(g) OVER () AS gn FROM cells),
+shares AS (
+  SELECT *, (tb + {ADDED:e}) / (tn + {ADDED * VOCABULARY:e}) AS tu,
+    (gb * CAST(tn AS DOUBLE) / gn + {ADDED:e}) / (tn + {ADDED * VOCABULARY:e}) AS gu FROM sums),
+losses AS (
+  SELECT a, b, CASE WHEN tn = 0 THEN 0e0 ELSE
+    ln(CASE WHEN ta > 0 THEN {WEIGHT:e} * t / ta + {1 - WEIGHT:e} * tu ELSE tu END)
+      - ln({WEIGHT:e} * g / ga + {1 - WEIGHT:e} * gu) END AS x FROM shares),
+scored AS (SELECT id, count(*) AS n, avg(x) AS score FROM pairs JOIN losses USING (a, b) GROUP BY id)
+SELECT doc_id, coalesce(n, 0) AS n_tokens, round(coalesce(score, 0e0), 6) + 0.0 AS score
+FROM d LEFT JOIN scored USING (id)
+"""
+
+
+@query("op3_lm_scoring", OP3_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is what people labelled as good and not toxic."""
     good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 and toxic = 0")
@@ -175,18 +269,24 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op8_chunk_dedup")
-def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return chunk_dedup(docs).select(
-        "row.doc_id",
+def _cut_texts(cut: DataFrame) -> DataFrame:
+    """Digest columns of what is left of each document."""
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + F.get(s, 1) - F.get(s, 0))
+    return cut.select(
+        "doc_id",
         "n_bytes",
-        "n_removed",
+        removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("clean", 256).alias("kept_sha256"),
     )
 
 
+@query("op8_chunk_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return _cut_texts(chunk_dedup(docs))
+
+
 OP9_SQL = """
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -228,13 +328,28 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op10_suffix_dedup")
+OP10_SQL = """
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT id, doc_id, i, substr(h, 2 * i + 1, 100) AS s
+  FROM (SELECT *, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+hit AS (SELECT id, i FROM w JOIN f USING (s) WHERE first < doc_id),
+runs AS (
+  SELECT id, i, sum(new) OVER (PARTITION BY id ORDER BY i) AS run FROM (
+    SELECT id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM hit)),
+spans AS (SELECT id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY id, run),
+parts AS (SELECT id, a, b, coalesce(lag(b) OVER (PARTITION BY id ORDER BY a), 0) AS since FROM spans),
+kept AS (
+  SELECT id, sum(b - a) AS n, count(*) AS spans, max(b) AS last,
+    string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS before
+  FROM parts JOIN d USING (id) GROUP BY id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN kept USING (id)
+"""
+
+
+@query("op10_suffix_dedup", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + F.get(s, 1) - F.get(s, 0))
-    return suffix_dedup(table(spark, sf_dir, "documents", "doc_id", "text")).select(
-        "doc_id",
-        "n_bytes",
-        removed.alias("n_removed"),
-        F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("clean", 256).alias("kept_sha256"),
-    )
+    return _cut_texts(suffix_dedup(table(spark, sf_dir, "documents", "doc_id", "text")))

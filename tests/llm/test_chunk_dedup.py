@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from loanlens.llm import chunk_dedup as C
 
@@ -21,29 +22,28 @@ def brute_cuts(text):
 
 
 def brute(rows):
-    """Removed [start, size] runs of (doc_id, text) rows."""
-    order = lambda r: (r[0] is not None, r[0] or 0)
-    first, parts = {}, []
-    for row in rows:
-        data, start, own = (row[1] or "").encode(), 0, []
+    """Removed [start, end) runs of (doc_id, text) rows."""
+    order = lambda d: (d is None, d or 0)
+    least, parts = {}, []
+    for doc_id, text in rows:
+        data, start, own = (text or "").encode(), 0, []
         for end in brute_cuts(data):
             d = hashlib.md5(data[start:end]).digest()
-            place = (*order(row), row[1], start)
-            own.append((d, start, end - start, place))
-            first[d] = min(first.get(d, place), place)
+            own.append((d, start, end))
+            least[d] = min(least.get(d, order(doc_id)), order(doc_id))
             start = end
         parts.append(own)
     out = []
-    for own in parts:
-        runs = []
-        for d, start, size, place in own:
-            if first[d] == place:
-                continue
-            if runs and runs[-1][0] + runs[-1][1] == start:
-                runs[-1][1] += size
-            else:
-                runs.append([start, size])
-        out.append([r for r in runs if r[1] >= C.LEAST_RUN])
+    for (doc_id, _), own in zip(rows, parts):
+        runs, seen = [], set()
+        for d, start, end in own:
+            if least[d] < order(doc_id) or d in seen:
+                if runs and runs[-1][1] == start:
+                    runs[-1][1] = end
+                else:
+                    runs.append([start, end])
+            seen.add(d)
+        out.append([r for r in runs if r[1] - r[0] >= C.LEAST_RUN])
     return out
 
 
@@ -64,37 +64,29 @@ def test_cuts_settle_after_an_insertion(prose):
     assert len(shared) > 0.9 * len(ends) - 12
 
 
-def test_equals_brute_force(docs_of, prose, awkward):
+@pytest.mark.parametrize("block_bytes", [1, 3000, 1 << 22])
+def test_equals_brute_force(docs_of, prose, awkward, block_bytes):
     passages = [prose(800 + i, 70) for i in range(3)]
-    rows = [(d, t) for d, t in awkward if d not in (None, 2, 11)]
-    rows += [(100 + i, prose(i, 150) + passages[i % 3] + prose(i + 500, 50)) for i in range(20)]
-    rows += [(200, prose(1, 120))]
-    got = C.chunk_dedup(docs_of(rows)).select("row.doc_id", "row.text", "clean", "spans", "n_bytes", "n_removed").collect()
-    expected = {r[0]: spans for r, spans in zip(rows, brute(rows))}
-    assert len(got) == len(rows)
-    for r in got:
-        spans = [[s.start, s["size"]] for s in r.spans]
-        assert spans == expected[r.doc_id], r.doc_id
-        data, rest, done = (r.text or "").encode(), b"", 0
-        for a, n in spans:
-            rest, done = rest + data[done:a], a + n
-        assert bytes(r.clean) == rest + data[done:]
-        assert r.n_bytes == len(data) and r.n_removed == sum(n for _, n in spans)
+    rows = awkward + [(100 + i // 2, prose(i, 150) + passages[i % 3] + prose(i + 500, 50)) for i in range(20)]
+    rows += [(200, prose(1, 120)), (201, passages[0] + passages[0])]
+    got = C.chunk_dedup(docs_of(rows), block_bytes=block_bytes).collect()
+    expected = []
+    for (doc_id, text), spans in zip(rows, brute(rows)):
+        data, rest, done = (text or "").encode(), b"", 0
+        for a, b in spans:
+            rest, done = rest + data[done:a], b
+        expected.append((str(doc_id), len(data), spans, rest + data[done:]))
+    assert sorted((str(r.doc_id), r.n_bytes, r.spans, bytes(r.clean)) for r in got) == sorted(expected)
 
 
 def test_passages_are_caught_and_others_kept(docs_of, prose):
     passage = prose(77, 60)
     rows = [(i, prose(i, 100) + " " + passage + " " + prose(i + 300, 100)) for i in range(10)]
     rows += [(50 + i, prose(i + 900, 200)) for i in range(10)]
-    got = {r.doc_id: r.n_removed for r in C.chunk_dedup(docs_of(rows)).select("row.doc_id", "n_removed").collect()}
+    got = {r.doc_id: sum(b - a for a, b in r.spans) for r in C.chunk_dedup(docs_of(rows)).collect()}
     assert got[0] == 0 and all(got[i] > len(passage) // 3 for i in range(1, 10))
     assert all(got[50 + i] == 0 for i in range(10))
 
 
-def test_awkward_rows(docs_of, awkward):
-    docs = docs_of(awkward)
-    got = C.chunk_dedup(docs)
-    assert got.count() == len(awkward) and got.select("row.*").columns == docs.columns
-    repeats = got.where("row.doc_id = 2").select("clean").collect()
-    assert len(repeats) == 2 and repeats[0] == repeats[1]
+def test_empty_table(docs_of):
     assert C.chunk_dedup(docs_of([])).count() == 0
