@@ -7,6 +7,9 @@ result to the shared folder and reads it again.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,13 +18,26 @@ from loanlens.llm.common import BLANKS, table
 from loanlens.llm.decontamination import decontaminate
 from loanlens.llm.line_dedup import line_dedup
 from loanlens.llm.quality_rules import keep_good
-from loanlens.session import stored
+from loanlens.session import stored, use_recommended
 from testbed.storage import stored_locally
 
-# SimHash fingerprints and trained votes have no SQL form; the tests hold run() against brute force.
+# XXH64 fingerprints have no SQL form; the tests hold run() against brute force.
 ORACLE_SQL = None
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _set_up(stage: Stage) -> Stage:
+    """The stage, run with the settings the library recommends."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(use_recommended(spark), docs, sf_dir)
+
+    return run
+
+
 def _with_text(cleaned: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` from ``row``, with the text ``clean`` and its length."""
     columns = []
@@ -37,11 +53,13 @@ def _with_text(cleaned: DataFrame, docs: DataFrame) -> DataFrame:
     return cleaned.select(*columns)
 
 
+@_set_up
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return keep_good(docs)
 
 
+@_set_up
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines are cut; a document that loses all its words goes."""
     cleaned = line_dedup(docs)
@@ -49,17 +67,20 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(cleaned.where(~empty), docs)
 
 
+@_set_up
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every SimHash component."""
     return simhash.keep_first(docs)
 
 
+@_set_up
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut; a document that is mostly such passages goes."""
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
     return _with_text(decontaminate(docs, items), docs)
 
 
+@_set_up
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left."""
     coded = sentencepiece_codec.encode(docs, keep=["doc_id"])
