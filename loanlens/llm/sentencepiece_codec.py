@@ -8,6 +8,7 @@ SentencePiece library gives, at the speed of batches on several threads.
 
 from __future__ import annotations
 
+import functools
 import os
 import struct
 from collections.abc import Iterable, Iterator
@@ -23,7 +24,7 @@ from loanlens.llm.common import slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_MODEL_BYTES = 64 << 20
 THREADS = 2
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 MARK = "▁"
 
 # Fixed values of the model format.
@@ -176,6 +177,49 @@ def byte_ids(model: Model) -> np.ndarray:
     return np.array([kind == BYTE for _, _, kind in model.pieces], bool)
 
 
+def piece_bytes(model: Model) -> list[bytes]:
+    """What each id stands for in decoded text: a byte piece's byte, else the piece with blanks."""
+    return [
+        bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode()
+        for piece, _, kind in model.pieces
+    ]
+
+
+class Codec:
+    """A model made ready for a worker."""
+
+    def __init__(self, data: bytes):
+        self.model = parse_model(data)
+        self.made, self.is_byte = build(self.model), byte_ids(self.model)
+        self._bytes = piece_bytes(self.model)
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.made.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids that came from a text, whose byte pieces are whole characters.
+
+        For ids of any origin there is the tokenizer's own ``decode``.
+        """
+        text = b"".join([self._bytes[i] for i in ids]).decode("utf-8", "replace")
+        if self.model.collapse_blanks:
+            return text.lstrip(" ")
+        return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
+
+    def plain(self, text: str) -> str:
+        """The normalised text, as decoding should give it."""
+        if not self.model.charsmap and not self.model.collapse_blanks:
+            return text.replace(MARK, " ")
+        found = self.made.normalizer.normalize_str(text).replace(MARK, " ")
+        return found.lstrip(" ") if self.model.collapse_blanks else found[self.model.dummy_prefix :]
+
+
+@functools.lru_cache(maxsize=1)
+def _ready(data: bytes) -> Codec:
+    """Built once in a worker, for all its tasks."""
+    return Codec(data)
+
+
 def model_bytes(path: str = MODEL) -> bytes:
     """The model file, of a checked size, as it goes to the executors."""
     if (size := os.path.getsize(path)) > MOST_MODEL_BYTES:
@@ -214,8 +258,8 @@ def encode(
     """The columns ``keep`` (default all) with ``coded``: ids, counts, the decoded text.
 
     ``n_byte_tokens`` counts byte pieces; ``round_trip`` says whether decoding
-    gave the normalised text back.  Texts are encoded whole, in batches of about
-    a megabyte on ``threads`` threads of the task.
+    gave the normalised text back.  Texts are encoded whole, in small batches on
+    ``threads`` threads of the task.
 
     A null text gives null ids, counts and decoded text; an empty one no ids and
     an empty text.  Keys may be null or repeat; each row is coded.  An empty
@@ -227,27 +271,22 @@ def encode(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
-        parsed = parse_model(packed.value)
-        made, is_byte = build(parsed), byte_ids(parsed)
+        codec = _ready(packed.value)
         for batch in slices(batches, text, BATCH_BYTES):
             texts = batch.column(text).to_pylist()
-            given = [t or "" for t in texts]
-            ids = [e.ids for e in made.encode_batch_fast(given, add_special_tokens=False)]
-            decoded = made.decode_batch(ids, skip_special_tokens=False)
             out = []
-            for t, codes, back in zip(texts, ids, decoded):
+            for t, codes in zip(texts, codec.encode([t or "" for t in texts])):
                 if t is None:
                     out.append(dict.fromkeys(_CODED.names))
                     continue
-                plain = made.normalizer.normalize_str(t).replace(MARK, " ")
-                plain = plain[1:] if parsed.dummy_prefix else plain
+                decoded = codec.decode(codes)
                 out.append(
                     {
                         "ids": codes,
                         "n_tokens": len(codes),
-                        "n_byte_tokens": int(is_byte[np.array(codes, np.int64)].sum()) if codes else 0,
-                        "decoded": back,
-                        "round_trip": back == plain,
+                        "n_byte_tokens": int(codec.is_byte[np.array(codes, np.int64)].sum()) if codes else 0,
+                        "decoded": decoded,
+                        "round_trip": decoded == codec.plain(t),
                     }
                 )
             columns = [batch.column(c) for c in kept]

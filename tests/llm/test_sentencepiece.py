@@ -47,10 +47,13 @@ def test_unigram_parity(collapse):
     data = unigram_model(collapse)
     reference = sentencepiece.SentencePieceProcessor(model_proto=data)
     made = C.build(C.parse_model(data))
+    codec = C.Codec(data)
     for text in TEXTS:
         ids = made.encode(text, add_special_tokens=False).ids
         assert ids == reference.encode(text), text
         assert made.decode(ids, skip_special_tokens=False) == reference.decode(ids), text
+        assert codec.encode([text]) == [ids]
+        assert codec.decode(ids) == reference.decode(ids) == codec.plain(text), text
 
 
 def test_bpe_parity_on_corpus_and_odd_texts(spark):
@@ -63,8 +66,9 @@ def test_bpe_parity_on_corpus_and_odd_texts(spark):
     ids = [e.ids for e in made.encode_batch(texts, add_special_tokens=False)]
     expected = reference.encode(texts, num_threads=4)
     assert [t for t, a, b in zip(texts, ids, expected) if a != b] == []
+    codec = C.Codec(data)
     for text, codes, back in zip(texts, ids, made.decode_batch(ids, skip_special_tokens=False)):
-        assert back == reference.decode(codes) == text.replace("▁", " ")
+        assert back == reference.decode(codes) == text.replace("▁", " ") == codec.decode(codes) == codec.plain(text)
 
 
 def test_encode_awkward_rows(docs_of, awkward):
