@@ -23,21 +23,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import as_bytes, partitions, slices
-from loanlens.session import stored
+from loanlens.llm.blocks import BLOCK_BYTES, NO_KEY, Spans, cleaned, opened, packed, rows_of, stored_blocks, unpacked
 
 LENGTH = 50
 SHORT = 20  # bytes of the strings that are hashed
-BLOCK_BYTES = 4 << 20
-PARTS_EACH = 2  # parts for every block
 CHUNK = 1 << 17
 BUCKET = 1 << 18  # suffixes sorted at a time
-NO_KEY = np.iinfo(np.int64).max
 
 # A difference cover of 0 to 6: any two residues differ by a difference of two members.
 COVER, PERIOD = (0, 1, 3), 7
@@ -110,11 +104,11 @@ class Block:
         least = minimisers(self.data, _byte_numbers(), length, short)
         n = len(least)
         # windows that start in a document's last length - 1 bytes reach into the next one
-        inside = np.zeros(len(self.data) + 1, np.int32)
+        inside = np.zeros(len(self.data) + 1, np.int8)
         whole = sizes >= length
         np.add.at(inside, self.starts[whole], 1)
         np.add.at(inside, (self.starts + sizes - length + 1)[whole], -1)
-        inside = np.cumsum(inside)[:n] > 0
+        inside = np.cumsum(inside, dtype=np.int8)[:n] > 0
         new = np.empty(n, bool)
         if n:
             new[0] = True
@@ -142,73 +136,17 @@ class Block:
         return low < high
 
 
-def _pack(values: np.ndarray, kind) -> bytes:
-    return values.astype(kind).tobytes()
+def _opened(row: dict, length: int, short: int) -> tuple[Block, np.ndarray]:
+    text, sizes, keys = opened(row)
+    return Block(text, sizes, length, short), keys
 
 
-def _packed(arrays: list[np.ndarray], text: bytes = b"") -> bytes:
-    """Arrays of one length, each in as few bytes as its spread needs, and a text; compressed."""
-    out = [len(arrays[0]).to_bytes(8, "little")]
-    for values in arrays:
-        low = int(values.min()) if len(values) else 0
-        spread = values.astype(np.int64) - low
-        spread = spread.astype(np.min_scalar_type(int(spread.max()) if len(spread) else 0))
-        # bytes of one weight side by side compress better
-        planes = spread.view(np.uint8).reshape(len(spread), -1).T.tobytes() if len(spread) else b""
-        out += [bytes([spread.itemsize]), low.to_bytes(8, "little", signed=True), planes]
-    return zstandard.ZstdCompressor(3).compress(b"".join([*out, text]))
-
-
-def _unpacked(blob: bytes, arrays: int) -> tuple[list[np.ndarray], bytes]:
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    n, at, out = int.from_bytes(data[:8], "little"), 8, []
-    for _ in range(arrays):
-        width, low = data[at], int.from_bytes(data[at + 1 : at + 9], "little", signed=True)
-        at += 9
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T
-        out.append(wide.view(np.int64).ravel() + low)
-        at += n * width
-    return out, data[at:]
-
-
-def blocks(docs: DataFrame, key: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Documents in scan order as rows (block, keys, sizes, texts); the texts are compressed."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, number = zstandard.ZstdCompressor(3), TaskContext.get().partitionId() << 32
-        for batch in slices(batches, "text", block_bytes):
-            texts = as_bytes(batch.column("text")).to_pylist()
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "block": pa.array([number], pa.int64()),
-                    "keys": pa.array([batch.column("key").to_pylist()], pa.list_(pa.int64())),
-                    "sizes": [_pack(np.array(list(map(len, texts))), np.int64)],
-                    "texts": pa.array([packer.compress(b"".join(texts))], pa.binary()),
-                }
-            )
-            number += 1
-
-    slim = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return slim.mapInArrow(run, "block long, keys array<long>, sizes binary, texts binary")
-
-
-def _opened(sizes: bytes, texts: bytes, length: int, short: int) -> Block:
-    return Block(zstandard.ZstdDecompressor().decompress(texts), np.frombuffer(sizes, np.int64), length, short)
-
-
-def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
-
-
-def _sent_minimisers(packed: DataFrame, parts: int, length: int, short: int) -> DataFrame:
+def _sent_minimisers(written: DataFrame, parts: int, length: int, short: int) -> DataFrame:
     """(part, block, values, many): each block's distinct minimisers by part."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            block = _opened(row["sizes"], row["texts"], length, short)
+        for row in rows_of(batches):
+            block, _ = _opened(row, length, short)
             many = block.in_many()
             edges = np.searchsorted(_part_of(block.values, parts), np.arange(parts + 1))
             full = np.flatnonzero(np.diff(edges)).tolist()
@@ -223,7 +161,7 @@ def _sent_minimisers(packed: DataFrame, parts: int, length: int, short: int) ->
                 }
             )
 
-    return packed.select("block", "sizes", "texts").mapInArrow(run, "part int, block long, values binary, many binary")
+    return written.select("block", "keys", "sizes", "texts").mapInArrow(run, "part int, block long, values binary, many binary")
 
 
 def _shared_bits(table: pa.Table) -> pa.Table:
@@ -248,9 +186,8 @@ def _sent_runs(answered: DataFrame, parts: int, length: int, short: int) -> Data
     """Runs whose minimiser several documents share, by part, with their bytes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            block = _opened(row["sizes"], row["texts"], length, short)
-            keys = np.array([NO_KEY if k is None else k for k in row["keys"]], np.int64)
+        for row in rows_of(batches):
+            block, keys = _opened(row, length, short)
             edges = np.searchsorted(_part_of(block.values, parts), np.arange(parts + 1))
             shared = np.zeros(len(block.values), bool)
             for answer in row["answers"]:
@@ -267,7 +204,7 @@ def _sent_runs(answered: DataFrame, parts: int, length: int, short: int) -> Data
                 texts = b"".join(raw[a : a + s] for a, s in zip(block.run[mine].tolist(), sizes.tolist()))
                 # a part is a range of minimisers, so the low bits tell most of them apart
                 low = (block.value[mine] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                runs.append(_packed([low, doc, block.run[mine] - block.starts[doc], keys[doc], sizes], texts))
+                runs.append(packed([low, doc, block.run[mine] - block.starts[doc], keys[doc], sizes], texts))
             yield pa.RecordBatch.from_pydict(
                 {
                     "part": pa.array(full, pa.int32()),
@@ -367,12 +304,12 @@ def equal_windows(data: np.ndarray, ends: np.ndarray, windows: np.ndarray, lengt
 
 def _removed(table: pa.Table, length: int) -> dict[str, np.ndarray]:
     """Byte ranges (block, doc, start, size) to remove, found in one part."""
-    opened = [_unpacked(x, 5) for x in table.column("runs").to_pylist()]
-    value, doc, start, key, size = (np.concatenate(x) for x in zip(*[arrays for arrays, _ in opened]))
-    texts = b"".join(text for _, text in opened)
-    each = [len(arrays[0]) for arrays, _ in opened]
+    sent = [unpacked(x, 5) for x in table.column("runs").to_pylist()]
+    value, doc, start, key, size = (np.concatenate(x) for x in zip(*[arrays for arrays, _ in sent]))
+    texts = b"".join(text for _, text in sent)
+    each = [len(arrays[0]) for arrays, _ in sent]
     block = np.repeat(np.array(table.column("block").to_pylist(), np.int64), each)
-    del opened
+    del sent
     begin = np.cumsum(size) - size
     # distinct runs, and the smallest document of each
     ids: dict[bytes, int] = {}
@@ -423,53 +360,12 @@ def _ranges(length: int):
         order = np.argsort(found["block"], kind="stable")
         names, first = np.unique(found["block"][order], return_index=True)
         pieces = [np.split(found[c][order], first[1:]) if len(names) else [] for c in ("doc", "start", "size")]
-        ranges = [_packed(list(x)) for x in zip(*pieces)]
+        ranges = [packed(list(x)) for x in zip(*pieces)]
         return pa.table({"block": pa.array(names, pa.int64()), "ranges": pa.array(ranges, pa.binary())})
 
     return run
 
 
-def _cleaned(answered: DataFrame, key: str) -> DataFrame:
-    """Documents with their removed ranges merged and what is left of them."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            text = zstandard.ZstdDecompressor().decompress(row["texts"])
-            sizes = np.frombuffer(row["sizes"], np.int64)
-            starts = np.cumsum(sizes) - sizes
-            ranges: dict[int, list[tuple[int, int]]] = {}
-            for answer in row["answers"] or ():
-                for doc, start, size in zip(*[x.tolist() for x in _unpacked(answer, 3)[0]]):
-                    ranges.setdefault(doc, []).append((start, start + size))
-            spans, rest = [], []
-            for doc, (begin, size) in enumerate(zip(starts.tolist(), sizes.tolist())):
-                merged: list[list[int]] = []
-                for a, b in sorted(ranges.get(doc, ())):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
-                left, done = [], 0
-                for a, b in merged:
-                    left.append(text[begin + done : begin + a])
-                    done = b
-                left.append(text[begin + done : begin + size])
-                spans.append(merged)
-                rest.append(b"".join(left))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(row["keys"], pa.int64()),
-                    pa.array(sizes),
-                    pa.array(spans, pa.list_(pa.list_(pa.int64()))),
-                    pa.array(rest, pa.binary()),
-                ],
-                [key, "n_bytes", "spans", "clean"],
-            )
-
-    schema = f"`{key}` long, n_bytes long, spans array<array<long>>, clean binary"
-    return answered.select("keys", "sizes", "texts", "answers").mapInArrow(run, schema)
-
-
 def suffix_dedup(
     docs: DataFrame,
     key: str = "doc_id",
@@ -490,21 +386,27 @@ def suffix_dedup(
     other, so repeated rows are treated alike.  An empty table gives an empty
     result; other columns are not read.
     """
-    packed = stored(blocks(docs, key, text, block_bytes), "blocks")
-    # parts grow with the data, so that each holds no more than a block's worth
-    parts = max(partitions(docs.sparkSession), PARTS_EACH * packed.count())
+    written, parts = stored_blocks(docs, key, text, block_bytes)
     bits = (
-        _sent_minimisers(packed, parts, length, short)
+        _sent_minimisers(written, parts, length, short)
         .groupBy("part")
         .applyInArrow(_shared_bits, "block long, part int, bits binary")
         .groupBy("block")
         .agg(F.collect_list(F.struct("part", "bits")).alias("answers"))
     )
-    runs = _sent_runs(packed.join(bits, "block"), parts, length, short)
+    runs = _sent_runs(written.join(bits, "block"), parts, length, short)
     ranges = (
         runs.groupBy("part")
         .applyInArrow(_ranges(length), "block long, ranges binary")
         .groupBy("block")
         .agg(F.collect_list("ranges").alias("answers"))
     )
-    return _cleaned(packed.join(ranges, "block", "left"), key)
+    
+    def spans(answers, text, sizes, keys) -> Spans:
+        found: Spans = {}
+        for answer in answers:
+            for doc, start, size in zip(*[x.tolist() for x in unpacked(answer, 3)[0]]):
+                found.setdefault(doc, []).append((start, start + size))
+        return found
+
+    return cleaned(written.join(ranges, "block", "left"), key, spans)
