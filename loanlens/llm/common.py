@@ -27,14 +27,9 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
-
-
 def blank_split(text: Column) -> Column:
     """Words between blanks (space, and U+0009 to U+000D), in order."""
-    spaced = F.translate(text, BLANKS[1:], " " * (len(BLANKS) - 1))
-    return F.array_remove(F.split(spaced, " "), "")
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
 
 
 def partitions(spark: SparkSession) -> int:

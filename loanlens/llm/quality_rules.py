@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import BLANKS, UPPER, bind, blank_split
+from loanlens.llm.common import BLANKS, bind, blank_split
 from loanlens.session import stored
 
 # Frequent function words of the corpus languages.
@@ -61,9 +61,9 @@ MEASURES = (
 ).split()
 
 
-def _without(text: Column, characters: str) -> Column:
-    """Number of the text's code points among the characters."""
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+def _count(text: Column, characters: str) -> Column:
+    """Number of the text's code points in a regular expression's character class."""
+    return F.regexp_count(text, F.lit(f"[{characters}]"))
 
 
 def _repeated(words: Column) -> Column:
@@ -111,13 +111,13 @@ def measures(text: Column) -> Column:
     def all_of(t: Column, words: Column, ln: Column) -> Column:
         values = {
             "n_words": F.size(words),
-            "word_chars": F.length(F.translate(t, BLANKS, "")),
-            "n_symbols": _without(t, "#*$%&|<>"),
+            "word_chars": F.length(F.array_join(words, "")),
+            "n_symbols": _count(t, "#*$%&|<>"),
             "n_lines": ln["n"],
             "n_dup_lines": ln["dup"],
             "n_repeat_words": _repeated(words),
-            "n_upper": _without(t, UPPER),
-            "n_digits": _without(t, "0123456789"),
+            "n_upper": _count(t, "A-Z"),
+            "n_digits": _count(t, "0-9"),
             "n_stop_words": F.size(F.array_intersect(F.array(*map(F.lit, STOP_WORDS)), words)),
         }
         return F.struct(*[values[k].cast("long").alias(k) for k in MEASURES])
