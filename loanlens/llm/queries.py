@@ -14,7 +14,7 @@ from loanlens.llm.chunk_dedup import chunk_dedup
 from loanlens.llm.common import table
 from loanlens.llm.decontamination import benchmark_hits, n_hit
 from loanlens.llm.line_dedup import MIN_SITES, line_dedup
-from loanlens.llm.lm_scoring import ADDED, VOCABULARY, WEIGHT, lm_scores
+from loanlens.llm.lm_scoring import ADDED, VOCABULARY, WEIGHT, lm_scores, whole_lm_scores
 from loanlens.llm.quality_rules import quality_rules
 from loanlens.llm.suffix_dedup import suffix_dedup
 from loanlens.session import use_recommended
@@ -236,6 +236,40 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_tokens", F.round("score", 6).alias("score"))
 
 
+# The same with every word in the vocabulary; no word is another's stand-in.
+OP3_WHOLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+tokens AS (SELECT id, doc_id, unnest(ws) AS b, generate_subscripts(ws, 1) AS i FROM d),
+size AS (SELECT {ADDED:e} * (1 + count(DISTINCT b)) AS added FROM tokens),
+pairs AS (
+  SELECT id, coalesce(lag(b) OVER (PARTITION BY id ORDER BY i), '') AS a, b,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0) AS is_target FROM tokens),
+cells AS (SELECT a, b, count(*) FILTER (WHERE is_target) AS t, count(*) AS g FROM pairs GROUP BY a, b),
+sums AS (
+  SELECT *, sum(t) OVER (PARTITION BY a) AS ta, sum(g) OVER (PARTITION BY a) AS ga, sum(t) OVER (PARTITION BY b) AS tb,
+    sum(g) OVER (PARTITION BY b) AS gb, sum(t) OVER () AS tn, sum(g) OVER () AS gn FROM cells),
+shares AS (
+  SELECT *, (tb + {ADDED:e}) / (tn + added) AS tu, (gb * CAST(tn AS DOUBLE) / gn + {ADDED:e}) / (tn + added) AS gu
+  FROM sums, size),
+losses AS (
+  SELECT a, b, CASE WHEN tn = 0 THEN 0e0 ELSE
+    ln(CASE WHEN ta > 0 THEN {WEIGHT:e} * t / ta + {1 - WEIGHT:e} * tu ELSE tu END)
+      - ln({WEIGHT:e} * g / ga + {1 - WEIGHT:e} * gu) END AS x FROM shares),
+scored AS (SELECT id, count(*) AS n, avg(x) AS score FROM pairs JOIN losses USING (a, b) GROUP BY id)
+SELECT doc_id, coalesce(n, 0) AS n_tokens, round(coalesce(score, 0e0), 6) + 0.0 AS score
+FROM d LEFT JOIN scored USING (id)
+"""
+
+
+@query("op3_lm_scoring_whole", OP3_WHOLE_SQL)
+def op3_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 and toxic = 0")
+    scored = whole_lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"), good)
+    return scored.select("doc_id", "n_tokens", F.round("score", 6).alias("score"))
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
