@@ -109,22 +109,68 @@ def prefix_index(
     return rows
 
 
+def near_templates(templates: Mapping[str, Sequence[str]], threshold: float) -> list[tuple]:
+    """(label, text, near): for each template those of other labels that one block may match with it.
+
+    ``near`` has (mine, theirs, all, needed): the words only the template has,
+    those only the other one has, all of the other one and how many it needs.
+    """
+    every = [(label, text, set(words_of(text))) for label, texts in sorted(templates.items()) for text in texts]
+    rows = []
+    for label, text, own in every:
+        near = []
+        for other_label, _, other in every:
+            need = needed_words(len(other), threshold)
+            close = len(own & other) >= min(need, needed_words(len(own), threshold))
+            if other_label != label and other != own and close:
+                near.append((sorted(own - other), sorted(other - own), sorted(other), need))
+        rows.append((label, text, near))
+    return rows
+
+
+def _closer(tokens: Column, words: Column, near: Column, verbatim: Column) -> Column:
+    """Whether no near template fits a block better, or the template's own words stand there in their order.
+
+    Of two templates the one fits better that differs from the block in fewer
+    words, of the words in either.
+    """
+
+    def better(n: Column) -> Column:
+        mine, theirs = n["mine"], n["theirs"]
+        own = F.size(mine) - 2 * F.size(F.array_intersect(mine, tokens))
+        other = F.size(theirs) - 2 * F.size(F.array_intersect(theirs, tokens))
+        return (F.size(F.array_intersect(n["all"], tokens)) >= n["need"]) & (own > other)
+
+    whole = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+    return ~F.exists(near, better) | F.exists(verbatim, lambda v: F.contains(whole, v))
+
+
 def template_matches(
     docs: DataFrame,
     text: str = "text",
     carry: Sequence[str] = ("doc_id",),
     templates: Mapping[str, Sequence[str]] = TEMPLATES,
     threshold: float = THRESHOLD,
+    apart: bool = False,
 ) -> DataFrame:
     """Every (block, template) with at least ``threshold`` of the template's words in the block.
 
     Blocks are the parts of a text between blank lines.  Returns the ``carry``
     columns, ``block`` (its number and text), ``label`` and ``containment``.
+    With ``apart`` a template goes when one of another label fits the block
+    better, unless its own words stand there in their order.
     """
     spark = docs.sparkSession
     vocabulary = sorted({w for texts in templates.values() for t in texts for w in words_of(t)})
     index = prefix_index(templates, word_frequencies(docs, text, vocabulary), threshold)
     schema = "_word string, _place int, label string, _size int, _need int, _all array<string>"
+    if apart:
+        schema += ", _verbatim array<string>, _near array<struct<mine array<string>, theirs array<string>, all array<string>, need int>>"
+        known: dict[tuple, tuple] = {}
+        for label, t, near in near_templates(templates, threshold):
+            said = known.setdefault((label, frozenset(words_of(t))), ([], near))[0]
+            said.append(f" {' '.join(words_of(t))} ")
+        index = [(*row, *known[row[2], frozenset(row[5])]) for row in index]
     # as many rows as the given templates have prefix words
     prefixes = F.broadcast(spark.createDataFrame(index, schema))
     rare = F.array(*[F.lit(w) for w in sorted({row[0] for row in index})]).cast("array<string>")
@@ -144,15 +190,14 @@ def template_matches(
         .where(F.size(F.array_intersect(F.slice("_all", F.lit(1), F.col("_place")), F.col("_tokens"))) == 0)
     )
     shared = F.size(F.array_intersect("_all", "_tokens"))
-    return (
-        candidates.withColumn("_shared", shared)
-        .where("_shared >= _need")
-        .select(
-            *carry,
-            F.struct(F.col("_number").alias("number"), F.col("_block").alias("text")).alias("block"),
-            "label",
-            (F.col("_shared") / F.col("_size")).alias("containment"),
-        )
+    matches = candidates.withColumn("_shared", shared).where("_shared >= _need")
+    if apart:
+        matches = matches.where(_closer(F.col("_tokens"), _words(F.col("_block")), F.col("_near"), F.col("_verbatim")))
+    return matches.select(
+        *carry,
+        F.struct(F.col("_number").alias("number"), F.col("_block").alias("text")).alias("block"),
+        "label",
+        (F.col("_shared") / F.col("_size")).alias("containment"),
     )
 
 
@@ -180,13 +225,15 @@ def license_scan(
     phrases: Mapping[str, str] = PHRASES,
     templates: Mapping[str, Sequence[str]] = TEMPLATES,
     threshold: float = THRESHOLD,
+    apart: bool = False,
 ) -> DataFrame:
     """Licenses named in each document, by phrase and by template.
 
     Returns the key, ``n_words``, ``n_base`` (places of phrases), ``first_word``
     and ``last_word`` (their smallest and largest start), ``base_labels``,
     ``labels`` (also those of templates) and ``score``: 1 with a phrase, else
-    the largest containment, 0 without any.
+    the largest containment, 0 without any.  ``apart`` tells near templates of
+    different labels apart (see ``template_matches``).
 
     A null or empty text has no words, so no labels (empty strings) and score 0.
     Null keys stay; rows with equal key and text are treated alike, each gives a
@@ -221,7 +268,7 @@ def license_scan(
         F.array_intersect(F.array(*map(F.lit, labels)), "_b.places.label").alias("_base"),
     )
     found = (
-        template_matches(rows, "_whole", ["_key", "_text"], templates, threshold)
+        template_matches(rows, "_whole", ["_key", "_text"], templates, threshold, apart)
         .groupBy(F.col("_key").alias("_k"), F.col("_text").alias("_t"))
         .agg(F.collect_set("label").alias("_found"), F.max("containment").alias("_best"))
     )

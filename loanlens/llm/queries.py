@@ -139,6 +139,40 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _op5_apart_sql() -> str:
+    """The brute force of op 5, where of two near templates the one goes that differs from the block in more words."""
+    near, said = [], []
+    numbered = licenses.near_templates(licenses.TEMPLATES, licenses.THRESHOLD)
+    sets = [sorted(set(licenses.words_of(text))) for _, text, _ in numbered]
+    for number, (_, text, others) in enumerate(numbered):
+        said.append(f"({number}, ' {' '.join(licenses.words_of(text))} ')")
+        for mine, theirs, every, _ in others:
+            other = sets.index(every)
+            near += [f"({number}, {other}, '{w}', {side})" for side, ws in ((1, mine), (-1, theirs)) for w in ws]
+    found = "found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(part) AS best FROM hits GROUP BY doc_id)"
+    sql = _op5_sql()
+    assert found in sql
+    return sql.replace(
+        found,
+        f"""near(tid, other, w, side) AS (VALUES {", ".join(near)}),
+said(tid, ws) AS (VALUES {", ".join(said)}),
+worse AS (
+  SELECT DISTINCT doc_id, number, tid FROM (
+    SELECT h.doc_id, h.number, h.tid FROM hits h JOIN near n ON n.tid = h.tid
+    JOIN hits u ON u.doc_id = h.doc_id AND u.number = h.number AND u.tid = n.other
+    LEFT JOIN block_words x ON x.doc_id = h.doc_id AND x.number = h.number AND x.w = n.w
+    GROUP BY h.doc_id, h.number, h.tid, n.other HAVING sum(CASE WHEN x.w IS NULL THEN side ELSE -side END) > 0)),
+verbatim AS (
+  SELECT DISTINCT h.doc_id, h.number, h.tid FROM hits h JOIN said USING (tid)
+  JOIN blocks b ON b.doc_id = h.doc_id AND b.number = h.number
+  WHERE contains(' ' || array_to_string(regexp_extract_all(
+    translate(bs[b.number], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), ' ') || ' ', ws)),
+left_over AS (
+  SELECT hits.* FROM hits ANTI JOIN (SELECT * FROM worse EXCEPT SELECT * FROM verbatim) USING (doc_id, number, tid)),
+{found.replace("FROM hits", "FROM left_over")}""",
+    )
+
+
 def _op5_sql() -> str:
     """Brute force: all words of all blocks against all words of all templates."""
     number, rows = 0, []
@@ -186,6 +220,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op5_license_scan_apart", _op5_apart_sql())
+def op5_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With near templates, such as CC BY and CC BY-NC, told apart."""
+    return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"), apart=True)
+
+
 @query("op1_sentencepiece")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")

@@ -65,3 +65,21 @@ def test_prefixes_are_the_rarest_words():
 
 def test_empty_table(docs_of):
     assert S.license_scan(docs_of([])).count() == 0
+
+
+def test_near_templates_are_told_apart(docs_of, prose):
+    expected = {
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+        "Licensed under CC BY 4.0.": "cc-by",
+        "This text is licensed under CC BY 4.0, see there.": "cc-by",
+        "Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "Creative Commons Attribution 4.0 International License": "cc-by",
+        "Text: Licensed under CC BY 4.0. Figures: Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+        "Licensed under CC BY 4.0.\n\nLicensed under CC BY-NC 4.0.": "cc-by,cc-by-nc",
+        S.TEMPLATES["isc"][0]: "isc",
+        S.TEMPLATES["mit"][0]: "mit",
+        "none of them": "",
+    }
+    rows = [(i, f"{prose(i, 20)}\n\n{t}\n\n{prose(i + 50, 20)}") for i, t in enumerate(expected)]
+    got = S.license_scan(docs_of(rows), apart=True).collect()
+    assert {r.doc_id: r.labels for r in got} == dict(enumerate(expected.values()))
