@@ -9,7 +9,8 @@ traffic are bounded in four steps, all exact:
    minimiser occurs in one document alone are settled.  Blocks send each
    minimiser once, and get one bit back for each.
 3. The other windows go, as runs that share a minimiser, to that minimiser's
-   part.  There the distinct runs are suffix-sorted by blockwise construction:
+   part; a block sends equal runs once, with their smallest key, and keeps a
+   list of their places.  There the distinct runs are suffix-sorted by blockwise construction:
    one bucket of leading bytes at a time is sorted to a fixed depth, and longer
    ties are resolved by the ranks of a difference-cover sample, computed
    beforehand.  So a bucket needs a few words per suffix, not its bytes.
@@ -78,7 +79,11 @@ def _sliding_least(values: np.ndarray, size: int) -> np.ndarray:
 
 
 def minimisers(data: np.ndarray, numbers: np.ndarray, length: int = LENGTH, short: int = SHORT) -> np.ndarray:
-    """For every window of ``length`` bytes its minimiser, as a number of 48 bits."""
+    """For every window of ``length`` bytes its minimiser, as a number of 48 bits.
+
+    The smallest of many hashes is a small number, so its bits are mixed, one to
+    one, and ranges of the result hold about as many minimisers each.
+    """
     n = len(data) - length + 1
     if n <= 0:
         return np.empty(0, np.uint64)
@@ -86,10 +91,18 @@ def minimisers(data: np.ndarray, numbers: np.ndarray, length: int = LENGTH, shor
     for i in range(0, n, CHUNK):
         part = data[i : i + CHUNK + length - 1]
         found = _sliding_least(_string_hashes(part, numbers, short), length - short + 1)
-        out[i : i + len(found)] = found >> np.uint64(16)
+        out[i : i + len(found)] = _mixed(found >> np.uint64(16))
     return out
 
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """Other numbers of 48 bits, different for different ones."""
+    low = np.uint64((1 << 48) - 1)
+    for factor in (0x9E3779B97F4B, 0xBF58476D1CE5):
+        values = (values ^ (values >> np.uint64(25))) * np.uint64(factor) & low
+    return values ^ (values >> np.uint64(25))
+
+
 def _part_of(values: np.ndarray, parts: int) -> np.ndarray:
     """The part of a 48-bit number; parts are ranges, so sorted numbers are sorted by part."""
     return ((values >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -182,8 +195,13 @@ def _shared_bits(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block"), "part": table.column("part"), "bits": pa.array(bits, pa.binary())})
 
 
-def _sent_runs(answered: DataFrame, parts: int, length: int, short: int) -> DataFrame:
-    """Runs whose minimiser several documents share, by part, with their bytes."""
+def _sent_runs(answered: DataFrame, parts: int, length: int, short: int, places: bool = False) -> DataFrame:
+    """Distinct runs of each block whose minimiser several documents share, by part, with their bytes.
+
+    ``runs`` packs, for each run, bits of its minimiser, its smallest key and its
+    size.  With ``places`` a block gives instead, as part -1, the places of
+    the runs: part, number of the run there, document, start and size.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
@@ -197,14 +215,28 @@ def _sent_runs(answered: DataFrame, parts: int, length: int, short: int) -> Data
             chosen = chosen[np.argsort(block.value[chosen], kind="stable")]
             ends = np.searchsorted(_part_of(block.value[chosen], parts), np.arange(parts + 1))
             full = np.flatnonzero(np.diff(ends)).tolist()
-            raw, runs = memoryview(block.data), []
+            raw, runs, numbers = block.data.tobytes(), [], []
             for p in full:
                 mine = chosen[ends[p] : ends[p + 1]]
-                doc, sizes = block.doc[mine], block.count[mine] + length - 1
-                texts = b"".join(raw[a : a + s] for a, s in zip(block.run[mine].tolist(), sizes.tolist()))
+                sizes = block.count[mine] + length - 1
+                ids: dict[bytes, int] = {}
+                of = np.array(
+                    [ids.setdefault(raw[a : a + s], len(ids)) for a, s in zip(block.run[mine].tolist(), sizes.tolist())], np.int64
+                )
+                if places:
+                    numbers.append(of)
+                    continue
+                least, value = np.full(len(ids), NO_KEY), np.empty(len(ids), np.uint64)
+                np.minimum.at(least, of, keys[block.doc[mine]])
+                value[of] = block.value[mine]
                 # a part is a range of minimisers, so the low bits tell most of them apart
-                low = (block.value[mine] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                runs.append(packed([low, doc, block.run[mine] - block.starts[doc], keys[doc], sizes], texts))
+                low = (value & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                runs.append(packed([low, least, np.array(list(map(len, ids)), np.int64)], b"".join(ids)))
+            if places:
+                part, doc = np.repeat(full, np.diff(ends)[full]).astype(np.int64), block.doc[chosen]
+                number = np.concatenate([np.empty(0, np.int64), *numbers])
+                full = [-1]
+                runs = [packed([part, number, doc, block.run[chosen] - block.starts[doc], block.count[chosen] + length - 1])]
             yield pa.RecordBatch.from_pydict(
                 {
                     "part": pa.array(full, pa.int32()),
@@ -303,11 +335,12 @@ def equal_windows(data: np.ndarray, ends: np.ndarray, windows: np.ndarray, lengt
 
 
 def _removed(table: pa.Table, length: int) -> dict[str, np.ndarray]:
-    """Byte ranges (block, doc, start, size) to remove, found in one part."""
-    sent = [unpacked(x, 5) for x in table.column("runs").to_pylist()]
-    value, doc, start, key, size = (np.concatenate(x) for x in zip(*[arrays for arrays, _ in sent]))
+    """Byte ranges (block, run, offset, size) to remove from the runs the blocks sent, found in one part."""
+    sent = [unpacked(x, 3) for x in table.column("runs").to_pylist()]
+    value, key, size = (np.concatenate(x) for x in zip(*[arrays for arrays, _ in sent]))
     texts = b"".join(text for _, text in sent)
     each = [len(arrays[0]) for arrays, _ in sent]
+    number = np.concatenate([np.arange(n) for n in each])
     block = np.repeat(np.array(table.column("block").to_pylist(), np.int64), each)
     del sent
     begin = np.cumsum(size) - size
@@ -317,7 +350,7 @@ def _removed(table: pa.Table, length: int) -> dict[str, np.ndarray]:
     least = np.full(len(ids), NO_KEY)
     np.minimum.at(least, of, key)
     later = key > least[of]
-    found = [(block[later], doc[later], start[later], size[later])]
+    found = [(block[later], number[later], np.zeros(later.sum(), np.int64), size[later])]
     # only runs of one minimiser can share windows; a minimiser with one run has nothing to sort
     run_value = np.empty(len(ids), np.int64)
     run_value[of] = value
@@ -343,15 +376,15 @@ def _removed(table: pa.Table, length: int) -> dict[str, np.ndarray]:
             first, last = out[np.concatenate([[0], breaks])], out[np.concatenate([breaks - 1, [len(out) - 1]])]
             range_run = sorted_runs[run[first]]
             offset, spread = windows[first] - begins[run[first]], last - first + length
-            # for the places of these runs in their smallest document
+            # for the blocks that have these runs in their smallest document
             place = np.flatnonzero(~later)
             place = place[np.argsort(of[place], kind="stable")]
             low, high = np.searchsorted(of[place], range_run), np.searchsorted(of[place], range_run, side="right")
             n = high - low
             which = np.repeat(np.arange(len(first)), n)
             target = place[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
-            found.append((block[target], doc[target], start[target] + offset[which], spread[which]))
-    return {name: np.concatenate(x) for name, x in zip(("block", "doc", "start", "size"), zip(*found))}
+            found.append((block[target], number[target], offset[which], spread[which]))
+    return {name: np.concatenate(x) for name, x in zip(("block", "run", "offset", "size"), zip(*found))}
 
 
 def _ranges(length: int):
@@ -359,9 +392,10 @@ def _ranges(length: int):
         found = _removed(table, length)
         order = np.argsort(found["block"], kind="stable")
         names, first = np.unique(found["block"][order], return_index=True)
-        pieces = [np.split(found[c][order], first[1:]) if len(names) else [] for c in ("doc", "start", "size")]
+        pieces = [np.split(found[c][order], first[1:]) if len(names) else [] for c in ("run", "offset", "size")]
         ranges = [packed(list(x)) for x in zip(*pieces)]
-        return pa.table({"block": pa.array(names, pa.int64()), "ranges": pa.array(ranges, pa.binary())})
+        part = pa.array([table.column("part")[0].as_py()] * len(names), pa.int32())
+        return pa.table({"block": pa.array(names, pa.int64()), "part": part, "ranges": pa.array(ranges, pa.binary())})
 
     return run
 
@@ -394,19 +428,44 @@ def suffix_dedup(
         .groupBy("block")
         .agg(F.collect_list(F.struct("part", "bits")).alias("answers"))
     )
-    runs = _sent_runs(written.join(bits, "block"), parts, length, short)
+    answered = written.join(bits, "block")
     ranges = (
-        runs.groupBy("part")
-        .applyInArrow(_ranges(length), "block long, ranges binary")
-        .groupBy("block")
-        .agg(F.collect_list("ranges").alias("answers"))
+        _sent_runs(answered, parts, length, short)
+        .groupBy("part")
+        .applyInArrow(_ranges(length), "block long, part int, ranges binary")
     )
-    
+    # the places go straight back to their block
+    places = _sent_runs(answered, parts, length, short, places=True).select("block", "part", F.col("runs").alias("ranges"))
+    ranges = ranges.union(places).groupBy("block").agg(F.collect_list(F.struct("part", "ranges")).alias("answers"))
+
     def spans(answers, text, sizes, keys) -> Spans:
         found: Spans = {}
-        for answer in answers:
-            for doc, start, size in zip(*[x.tolist() for x in unpacked(answer, 3)[0]]):
-                found.setdefault(doc, []).append((start, start + size))
+        sent = {answer["part"]: answer["ranges"] for answer in answers}
+        if -1 not in sent:
+            return found
+        part, number, doc, start, size = unpacked(sent.pop(-1), 5)[0]
+        order = np.lexsort((number, part))
+        part, number, doc, start, size = (x[order] for x in (part, number, doc, start, size))
+        new = np.ones(len(part), bool)
+        new[1:] = (part[1:] != part[:-1]) | (number[1:] != number[:-1])
+        first = np.flatnonzero(new)
+        bounds = np.append(first, len(part))
+        of = np.cumsum(new) - 1
+        least = np.full(len(first), NO_KEY)
+        np.minimum.at(least, of, keys[doc])
+        # a run that an earlier document of the block has goes whole
+        later = keys[doc] > least[of]
+        whole = zip(doc[later].tolist(), start[later].tolist(), size[later].tolist())
+        for d, a, n in whole:
+            found.setdefault(d, []).append((a, a + n))
+        parts_at = part[first]
+        for p, blob in sent.items():
+            base = np.searchsorted(parts_at, p)
+            for run, offset, n in zip(*[x.tolist() for x in unpacked(blob, 3)[0]]):
+                for i in range(bounds[base + run], bounds[base + run + 1]):
+                    if not later[i]:
+                        a = int(start[i]) + offset
+                        found.setdefault(int(doc[i]), []).append((a, a + n))
         return found
 
     return cleaned(written.join(ranges, "block", "left"), key, spans)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from loanlens.llm import suffix_dedup as S
+from loanlens.llm.blocks import stored_blocks, unpacked
 
 
 def brute(rows, length=50):
@@ -109,3 +110,28 @@ def test_equal_windows_have_equal_minimisers():
         assert (S.minimisers(data, numbers) == least).all()
     finally:
         S.CHUNK = chunk
+
+
+def test_a_block_sends_equal_runs_once(docs_of, prose):
+    """Copies and common passages add places, but no runs to the part of their minimiser."""
+    passage = prose(1, 40)
+    rows = [(i, passage) for i in range(300)] + [(400 + i, f"{prose(i, 3)} {passage}") for i in range(20)]
+    written, parts = stored_blocks(docs_of(rows).coalesce(1), "doc_id", "text")
+    bits = S._sent_minimisers(written, parts, S.LENGTH, S.SHORT).groupBy("part")
+    bits = bits.applyInArrow(S._shared_bits, "block long, part int, bits binary")
+    bits = bits.selectExpr("block", "struct(part, bits) as a").groupBy("block").agg({"a": "collect_list"})
+    answered = written.join(bits.toDF("block", "answers"), "block")
+    texts = []
+    for r in S._sent_runs(answered, parts, S.LENGTH, S.SHORT).collect():
+        (_, _, sizes), data = unpacked(bytes(r.runs), 3)
+        ends = np.cumsum(sizes)
+        texts += [(r.block, data[b - n : b]) for b, n in zip(ends.tolist(), sizes.tolist())]
+    assert len(texts) == len(set(texts)) > 0
+    assert compare(docs_of(rows), rows) > 300
+
+
+def test_parts_have_about_as_many_minimisers():
+    data = np.frombuffer(random.Random(5).randbytes(200_000), np.uint8)
+    counts = np.bincount(S._part_of(np.unique(S.minimisers(data, S._byte_numbers())), 16), minlength=16)
+    assert counts.max() < 1.3 * counts.mean()
+    assert len(set(S._mixed(np.arange(1 << 16, dtype=np.uint64)).tolist())) == 1 << 16
