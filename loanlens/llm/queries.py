@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.llm import license_scan as licenses
 from loanlens.llm import quality_rules as rules
+from loanlens.llm import periodic_runs as periodic
+from loanlens.llm import secret_scan as secrets
 from loanlens.llm import sentencepiece_codec, simhash, warc
+from loanlens.llm import spelling_variants as variants
 from loanlens.llm.chunk_dedup import chunk_dedup
 from loanlens.llm.common import table
 from loanlens.llm.decontamination import benchmark_hits, n_hit
@@ -427,3 +431,179 @@ FROM d LEFT JOIN kept USING (id)
 @query("op10_suffix_dedup", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cut_texts(suffix_dedup(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def _op11_sql() -> str:
+    """All matches of each pattern with running sums of the lengths between them, and owners by value."""
+    found = "\n  UNION ALL ".join(
+        f"SELECT id, {k} AS k, string_split_regex(text, $p{k}$) AS gaps, regexp_extract_all(text, $p{k}$, 0) AS ms,"
+        f" regexp_extract_all(text, $p{k}$, {group}) AS vs FROM d WHERE regexp_matches(text, $p{k}$)"
+        for k, (_, _, group, _) in enumerate([*secrets.BASE, ("", "", 0, 0)])
+    )
+    for k, pattern in enumerate([*[p for _, p, _, _ in secrets.BASE], secrets.ADDED_PATTERN]):
+        found = found.replace(f"$p{k}$", "'" + pattern.replace("'", "''") + "'")
+    added, base = len(secrets.BASE), secrets._BASE_TAKEN.replace("'", "''")
+    kinds = "".join(
+        f" WHEN regexp_full_match(m, '{p}')"
+        + (" AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]')" if name == "opaque" else "")
+        + f" THEN {k}"
+        for k, (name, p) in enumerate(secrets.ADDED, added)
+    )
+    least = "".join(f" WHEN k = {k} THEN CASE WHEN length(v) >= {n} THEN {k} END" for k, (_, _, _, n) in enumerate(secrets.BASE))
+    names = str(secrets.KINDS)
+    counts = ", ".join(
+        f"count(*) FILTER (WHERE kind = {k}) AS n_{name}" for k, (name, *_) in enumerate(secrets.BASE)
+    )
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, source, coalesce(text, '') AS text FROM documents),
+found AS (
+  {found}),
+parts AS (SELECT id, k, unnest(gaps) AS g, unnest(ms) AS m, unnest(vs) AS v, generate_subscripts(gaps, 1) AS i FROM found),
+placed AS (
+  SELECT *, sum(length(g) + coalesce(length(m), 0)) OVER (PARTITION BY id, k ORDER BY i) AS stop FROM parts),
+spans AS (
+  SELECT id, CAST(stop - length(m) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, v,
+    CASE{least} WHEN regexp_full_match(m, '{base}') OR len(list_distinct(string_split(m, ''))) < {secrets.MIN_DISTINCT} THEN NULL{kinds} END AS kind
+  FROM placed WHERE m IS NOT NULL),
+owned AS (
+  SELECT v, count(DISTINCT source) AS owners, count(DISTINCT row(source, doc_id)) AS repositories
+  FROM spans JOIN d USING (id) WHERE kind IS NOT NULL GROUP BY v),
+told AS (
+  SELECT id, start, kind, ({names})[kind + 1] || ':' || start || ':' || stop AS span,
+    owners >= {secrets.MIN_OWNERS} AND repositories >= {secrets.MIN_REPOSITORIES} AS copied
+  FROM spans JOIN owned USING (v) WHERE kind IS NOT NULL),
+summed AS (
+  SELECT id, {counts}, string_agg(span, ',' ORDER BY start, kind) FILTER (WHERE kind < {added}) AS base,
+    string_agg(span, ',' ORDER BY start, kind) FILTER (WHERE kind < {added} OR NOT copied) AS spans,
+    count(*) FILTER (WHERE copied) AS n_copied
+  FROM told GROUP BY id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN summed USING (id)
+"""
+
+
+@query("op11_secret_scan", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document is a repository of its source."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+
+    def those(chosen) -> Column:
+        return F.filter("secrets", chosen)
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def n_of(kind: str) -> Column:
+        return F.size(those(lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = [k for k, *_ in secrets.BASE]
+
+    return secrets.secret_scan(docs, keep=["doc_id"]).select(
+        "row.doc_id",
+        *[n_of(k) for k in base],
+        F.sha2(listed(those(lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"),
+        listed(those(lambda s: s["reported"])).alias("spans"),
+        F.size(those(lambda s: s["copied"])).cast("long").alias("n_copied"),
+    )
+
+
+def _crc_sql(text: str) -> str:
+    """CRC-32 of a text in UTF-8; the table is worked out by rule."""
+    steps = [zlib.crc32(bytes([b])) ^ 0xFFFFFFFF ^ (zlib.crc32(bytes([0])) ^ 0xFFFFFFFF) for b in range(256)]
+    byte = f"CAST('0x' || substr(hex(encode({text})), 2 * j + 1, 2) AS BIGINT)"
+    every = f"list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(strlen({text})), lambda j: {byte}))"
+    return f"xor(4294967295, list_reduce({every}, lambda c, b: xor(c >> 8, ({steps})[1 + (xor(c, b) & 255)])))"
+
+
+OP12_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    {_crc_sql("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+a AS (SELECT id, doc_id, ws, h, len(ws) AS n, h // 10 AS g, (h // 10) % greatest(len(ws), 1) AS a FROM d),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+w AS (
+  SELECT id, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE ws END AS ws FROM p),
+grams AS (
+  SELECT id, i, array_to_string(list_slice(ws, i + 1, i + 16), ' ') AS s
+  FROM (SELECT id, ws, unnest(range(n - 15)) AS i FROM w WHERE n >= 24)),
+pairs AS (SELECT x.id, x.i - y.i AS q, x.i FROM grams x JOIN grams y ON x.id = y.id AND x.s = y.s AND y.i < x.i),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY id, q ORDER BY i) AS island FROM pairs),
+long AS (
+  SELECT id, min(i) - q AS start, max(i) + 16 - min(i) + q AS length, q FROM islands GROUP BY id, q, island
+  HAVING max(i) + 16 - min(i) + q >= greatest(24, 3 * q)),
+runs AS (
+  SELECT * FROM long x WHERE NOT EXISTS (
+    SELECT 1 FROM long y WHERE y.id = x.id AND y.q < x.q AND y.start <= x.start AND y.start + y.length >= x.start + x.length)),
+best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY id ORDER BY length / q DESC, start, q) = 1),
+summed AS (
+  SELECT id, count(*) AS n, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS runs
+  FROM runs GROUP BY id),
+dropped AS (SELECT DISTINCT id, unnest(range(start + q, start + length)) AS i FROM runs),
+kept AS (
+  SELECT id, string_agg(word, ' ' ORDER BY i) AS rest
+  FROM (SELECT id, unnest(ws) AS word, unnest(range(n)) AS i FROM w) ANTI JOIN dropped USING (id, i) GROUP BY id)
+SELECT w.doc_id, coalesce(summed.n, 0) AS n_runs, best.start, best.length, best.q AS period,
+  1000 * best.length // best.q AS exponent_milli, sha256(coalesce(summed.runs, '')) AS runs_sha256,
+  sha256(coalesce(kept.rest, '')) AS collapsed_sha256
+FROM w LEFT JOIN summed USING (id) LEFT JOIN best USING (id) LEFT JOIN kept USING (id)
+"""
+
+
+@query("op12_periodic_runs", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = docs.withColumn("text", periodic.repeat_tail(F.col("text"), F.col("doc_id")))
+    found = periodic.periodic_runs(docs, keep=["doc_id"])
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), periodic.strongest(F.col("runs")).alias("best"), line.alias("line"), "collapsed"
+    ).select(
+        "doc_id",
+        "n_runs",
+        "best.*",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join("line", "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+# Near words share a word with one letter missing, or with one letter blotted out at one place.
+OP13_SQL = f"""
+WITH RECURSIVE each AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT doc_id || ':' || run AS name, run, length(run) AS size, count(*) AS n FROM each GROUP BY doc_id, run),
+hashed AS (SELECT run, size, n, {_crc_sql("name")} AS h FROM counted),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % size) || substr(run, h % size + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= {variants.MIN_LETTERS} GROUP BY word HAVING sum(n) >= {variants.MIN_COUNT}),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+blots AS (SELECT word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS b FROM places),
+shorter AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS s FROM places),
+near AS (
+  SELECT x.word, y.word AS other, y.n FROM blots x JOIN blots y ON x.b = y.b AND x.i = y.i AND x.word <> y.word
+  UNION ALL SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON s.s = w.word
+  UNION ALL SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON s.s = w.word),
+best AS (
+  SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= {variants.TIMES} * w.n THEN other END AS form,
+    CASE WHEN b.n >= {variants.TIMES} * w.n THEN b.n END AS form_n FROM words w LEFT JOIN best b USING (word)),
+walk AS (
+  SELECT word, word AS here, 0 AS steps FROM formed
+  UNION ALL SELECT walk.word, formed.form, steps + 1 FROM walk JOIN formed ON walk.here = formed.word WHERE formed.form IS NOT NULL)
+SELECT word, form, arg_max(here, steps) AS root, n, n_near, form_n
+FROM formed JOIN walk USING (word) GROUP BY ALL
+"""
+
+
+@query("op13_spelling_variants", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    words = variants.counted_words(docs, change=variants.drop_letters)
+    return variants.spelling_variants(variants.frequent_words(words))
