@@ -20,7 +20,7 @@ from loanlens.llm.common import as_bytes, partitions, slices
 from loanlens.session import stored
 
 BLOCK_BYTES = 4 << 20
-PARTS_EACH = 2  # parts for every block
+PART_BYTES = 32 << 20  # of text whose entries meet in a part
 NO_KEY = np.iinfo(np.int64).max
 
 
@@ -50,11 +50,20 @@ def unpacked(blob: bytes, arrays: int) -> tuple[list[np.ndarray], bytes]:
     return out, data[at:]
 
 
-def stored_blocks(docs: DataFrame, key: str, text: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """Documents in scan order as rows (block, keys, sizes, texts), and a number of parts.
+def parts_for(written: DataFrame, part_bytes: int) -> int:
+    """A number of parts for blocks with a column ``n_bytes``: as many as the text fills, whatever the number of blocks.
 
-    Parts grow with the data, so that each holds no more than a few blocks' worth.
+    A block sends at most a row to each part, so below ``part_bytes`` for each
+    shuffle partition the rows grow with the blocks alone.
     """
+    total = written.agg(F.sum("n_bytes")).first()[0] or 0
+    return max(partitions(written.sparkSession), -(-total // part_bytes))
+
+
+def stored_blocks(
+    docs: DataFrame, key: str, text: str, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES
+) -> tuple[DataFrame, int]:
+    """Documents in scan order as rows (block, n_bytes, keys, sizes, texts), and a number of parts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, number = zstandard.ZstdCompressor(3), TaskContext.get().partitionId() << 32
@@ -63,6 +72,7 @@ def stored_blocks(docs: DataFrame, key: str, text: str, block_bytes: int = BLOCK
             yield pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array([number], pa.int64()),
+                    "n_bytes": pa.array([sum(map(len, texts))], pa.int64()),
                     "keys": pa.array([batch.column("key").to_pylist()], pa.list_(pa.int64())),
                     "sizes": pa.array([np.array(list(map(len, texts)), np.int64).tobytes()], pa.binary()),
                     "texts": pa.array([packer.compress(b"".join(texts))], pa.binary()),
@@ -71,8 +81,8 @@ def stored_blocks(docs: DataFrame, key: str, text: str, block_bytes: int = BLOCK
             number += 1
 
     slim = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    written = stored(slim.mapInArrow(run, "block long, keys array<long>, sizes binary, texts binary"), "blocks")
-    return written, max(partitions(docs.sparkSession), PARTS_EACH * written.count())
+    written = stored(slim.mapInArrow(run, "block long, n_bytes long, keys array<long>, sizes binary, texts binary"), "blocks")
+    return written, parts_for(written, part_bytes)
 
 
 def opened(row: dict) -> tuple[bytes, np.ndarray, np.ndarray]:

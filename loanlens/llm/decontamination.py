@@ -23,6 +23,7 @@ from loanlens.session import stored
 WINDOW = 10
 MOST_COVERAGE = 0.5
 BLOCK_WORDS = 100_000
+MOST_BROADCAST = 128 << 20  # bytes of automata that one pass sends to the tasks
 
 _SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
 _NORMAL = bytes.maketrans(UPPER.encode() + _SEPARATORS, LOWER.encode() + b" " * len(_SEPARATORS))
@@ -41,24 +42,27 @@ class Hits(NamedTuple):
 
 
 class Automaton:
-    """Generalised suffix automaton over the words of (item, words) pairs.
+    """Generalised suffix automaton over the words of (item ids, words) pairs.
 
     A window is ``window`` consecutive words of an item; a shorter item is one
     window.  ``at`` maps a state to the items that hold the state's substring of
-    window length; ``short`` lists the shorter items that end in a state.
+    window length; ``ends`` maps one to the shorter items that are among its
+    substrings, by their size, and ``near`` gives the nearest such state on each
+    state's chain of suffixes.  A chain has at most ``window`` - 1 of them, so
+    entries are linear in the items' words.
     """
 
-    def __init__(self, items: Sequence[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: Sequence[tuple[Iterable[str], list[bytes]]], window: int = WINDOW):
         self.window, self.ids = window, {}
         self.next, self.link, self.length = [{}], [-1], [0]
-        coded = [(item, [self.ids.setdefault(w, len(self.ids)) for w in words]) for item, words in items if words]
+        coded = [(named, [self.ids.setdefault(w, len(self.ids)) for w in words]) for named, words in items if words]
         for _, words in coded:
             last = 0
             for w in words:
                 last = self._extend(last, w)
         self.at: dict[int, set[str]] = {}
-        ends: dict[int, list[tuple[int, str]]] = {}
-        for item, words in coded:
+        self.ends: dict[int, dict[int, set[str]]] = {}
+        for named, words in coded:
             size = min(window, len(words))
             state = matched = 0
             for i, w in enumerate(words):
@@ -66,19 +70,13 @@ class Automaton:
                 if i + 1 >= size:
                     s = self._holding(state, size)
                     if len(words) < window:
-                        ends.setdefault(s, []).append((size, item))
+                        self.ends.setdefault(s, {}).setdefault(size, set()).update(named)
                     else:
-                        self.at.setdefault(s, set()).add(item)
+                        self.at.setdefault(s, set()).update(named)
         self.holder = [self._holding(s, window) if self.length[s] >= window else -1 for s in range(len(self.next))]
-        self.short: dict[int, tuple] = {}
-        if ends:
-            for s in range(len(self.next)):
-                chain, x = [], s
-                while x > 0:
-                    chain += ends.get(x, ())
-                    x = self.link[x]
-                if chain:
-                    self.short[s] = tuple(chain)
+        self.near = [0] * len(self.next)
+        for s in sorted(range(1, len(self.next)), key=self.length.__getitem__):
+            self.near[s] = s if s in self.ends else self.near[self.link[s]]
 
     def _extend(self, last: int, w: int) -> int:
         nxt, link, length = self.next, self.link, self.length
@@ -131,8 +129,9 @@ class Automaton:
         spans: list[list[int]] = []
         items: set[str] = set()
         seen: set[int] = set()
+        seen_short: set[tuple[int, int]] = set()
         state = matched = longest = 0
-        window, short = self.window, self.short
+        window, near, ends, link = self.window, self.near, self.ends, self.link
         get, nxt = self.ids.get, self.next
         for i, w in enumerate(map(get, words)):
             if w is None:
@@ -150,11 +149,15 @@ class Automaton:
                 if (h := self.holder[state]) not in seen:
                     seen.add(h)
                     items |= self.at.get(h, set())
-            if state in short:
-                for length, item in short[state]:
+            s = near[state]
+            while s:
+                for length, named in ends[s].items():
                     if length <= matched:
                         size = max(size, length)
-                        items.add(item)
+                        if (s, length) not in seen_short:
+                            seen_short.add((s, length))
+                            items |= named
+                s = near[link[s]]
             if size:
                 start = i + 1 - size
                 while spans and spans[-1][1] >= start:
@@ -163,21 +166,38 @@ class Automaton:
         return Hits([(a, b) for a, b in spans], items, longest)
 
 
-def automata(items: DataFrame, item: str, text: str, window: int, block_words: int) -> Iterator[Automaton]:
-    """Automata of blocks of items, each of about ``block_words`` words at most.
+def automata(items: DataFrame, item: str, text: str, window: int, block_words: int) -> DataFrame:
+    """(block, machine): pickled automata of blocks of items, each of about ``block_words`` words, built in tasks.
 
-    The items arrive one by one and only one block is held; a longer item is a
-    block of its own.  Null item ids take part in hits but have no name.
+    Equal texts are one item with several ids.  A text longer than a block is a
+    part of one block.  Null item ids take part in hits but have no name.
     """
-    block, held = [], 0
-    for row in items.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
-        words = normal_words((row["t"] or "").encode())
-        if block and held + len(words) > block_words:
-            yield Automaton(block, window)
-            block, held = [], 0
-        block.append((row["i"], words))
-        held += len(words)
-    yield Automaton(block, window)
+    texts = items.select(F.col(f"`{item}`").cast("string").alias("i"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
+    texts = texts.groupBy("t").agg(F.collect_set("i").alias("ids"))
+    words = F.size(F.split("t", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
+    blocks = max(1, -(-(texts.agg(F.sum(words)).first()[0] or 0) // block_words))
+
+    def build(block: pa.Table) -> pa.Table:
+        taken = [
+            (ids, normal_words(t)) for ids, t in zip(block.column("ids").to_pylist(), as_bytes(block.column("t")).to_pylist())
+        ]
+        machine = pickle.dumps(Automaton(taken, window))
+        return pa.table({"block": block.column("block").slice(0, 1), "machine": pa.array([machine], pa.binary())})
+
+    placed = texts.select("ids", "t", F.pmod(F.xxhash64("t"), F.lit(blocks)).alias("block"))
+    return stored(placed.groupBy("block").applyInArrow(build, "block long, machine binary"), "automata")
+
+
+def _loads(machines: DataFrame, most_bytes: int) -> Iterator[list[bytes]]:
+    """The pickled automata in lists of at most ``most_bytes``, or of a single one; one empty list if there are none."""
+    taken, held = [], 0
+    for row in machines.toLocalIterator():
+        if taken and held + len(row["machine"]) > most_bytes:
+            yield taken
+            taken, held = [], 0
+        taken.append(bytes(row["machine"]))
+        held += len(row["machine"])
+    yield taken
 
 
 def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -220,36 +240,39 @@ _HITS_ARROW = pa.struct(
 )
 
 
-def _pass(docs: DataFrame, text: str, packed, keep: list[str], first: bool, cut: bool) -> DataFrame:
-    """One pass with one automaton; spans of earlier passes are merged in."""
+def _pass(docs: DataFrame, packed, last: bool, cut: bool) -> DataFrame:
+    """One pass over (row, whole, hits of earlier passes) with some automata, loaded in turn for each batch."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine: Automaton = pickle.loads(packed.value)
-        for batch in slices(batches, text, 8 << 20):
-            texts = as_bytes(batch.column(text)).to_pylist()
-            before = [None] * len(texts) if first else batch.column("_hits").to_pylist()
-            found = []
-            for t, old in zip(texts, before):
-                words = normal_words(t)
-                new = machine.hits(words)
-                spans, items, longest = new.spans, new.items, new.longest
-                if old is not None:
-                    spans = _merged([*spans, *map(tuple, old["spans"])])
-                    items, longest = items | set(old["items"]), max(longest, old["longest"])
-                found.append(
-                    {
-                        "n_words": len(words),
-                        "spans": spans,
-                        "items": sorted(i for i in items if i is not None),
-                        "longest": longest,
-                        "clean": _cut(t, spans).decode("utf-8", "replace") if cut and spans else None,
-                    }
-                )
-            columns = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, _HITS_ARROW)], [*keep, "_hits"])
-
-    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("_hits", _HITS)])
-    return docs.mapInArrow(run, schema)
+        blobs = packed.value
+        alone = [pickle.loads(blob) for blob in blobs] if len(blobs) == 1 else None
+        for batch in slices(batches, "whole", 8 << 20):
+            texts = as_bytes(batch.column("whole")).to_pylist()
+            words = [normal_words(t) for t in texts]
+            found = batch.column("hits").to_pylist()
+            found = [Hits([], set(), 0) if x is None else Hits(x["spans"], set(x["items"]), x["longest"]) for x in found]
+            for machine in alone or map(pickle.loads, blobs):
+                for i, ws in enumerate(words):
+                    spans, items, longest = machine.hits(ws)
+                    old = found[i]
+                    spans = _merged([*spans, *map(tuple, old.spans)]) if old.spans else spans
+                    found[i] = Hits(spans, items | old.items, max(longest, old.longest))
+            out = [
+                {
+                    "n_words": len(ws),
+                    "spans": x.spans,
+                    "items": sorted(x.items),
+                    "longest": x.longest,
+                    "clean": _cut(t, x.spans).decode("utf-8", "replace") if cut and last and x.spans else None,
+                }
+                for t, ws, x in zip(texts, words, found)
+            ]
+            carried = ["row"] if last else ["row", "whole"]
+            columns = [batch.column(c) for c in carried]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, _HITS_ARROW)], [*carried, "hits"])
+
+    kept = docs.schema[:1] if last else docs.schema[:2]
+    return docs.mapInArrow(run, T.StructType([*kept, T.StructField("hits", _HITS)]))
 
 
 def benchmark_hits(
@@ -262,31 +285,38 @@ def benchmark_hits(
     keep: Sequence[str] | None = None,
     block_words: int = BLOCK_WORDS,
     cut: bool = False,
+    most_broadcast: int = MOST_BROADCAST,
 ) -> DataFrame:
-    """Documents with ``_hits``: words, hit word ranges, items, longest match, text without hits.
+    """``row`` (a struct of the columns ``keep``, default all) with ``hits``: words, hit word ranges, items, longest match.
 
-    A window is ``window`` consecutive words of an item, or all words of a
-    shorter item.  Test sets of any size are taken in blocks: one automaton is
-    broadcast at a time, of at most about ``block_words`` words, and the
-    documents pass once per block.
+    With ``cut``, ``hits.clean`` is the text without the hits, null where there
+    are none.  A window is ``window`` consecutive words of an item, or all words
+    of a shorter item.  Test sets of any size are taken in blocks of about
+    ``block_words`` words, whose automata tasks build and store.  The documents
+    pass once for every ``most_broadcast`` bytes of automata, which are sent to
+    the tasks together; a task holds one at a time.
 
     A null or empty text has no words and no hits; an item without words has no
     window.  Rows of one item id add up, as do repeated ones; an item without id
     hits words but is not named.  Repeated documents are treated alike; an empty
     table of either kind gives no hits.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     kept = docs.columns if keep is None else list(keep)
-    carried = kept if text in kept else [*kept, text]
-    waiting, current, first = None, docs.select(*carried), True
-    for machine in automata(items, item, item_text, window, block_words):
-        if waiting is not None:  # another block follows, so the text is needed again
-            current, first = stored(_pass(current, text, waiting, carried, first, False), "hits"), False
-        waiting = spark.sparkContext.broadcast(pickle.dumps(machine))
-    return _pass(current, text, waiting, kept, first, cut)
-
-
-def n_hit(hits: str = "_hits"):
+    current = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
+        F.col(f"`{text}`").alias("whole"),
+        F.lit(None).cast(_HITS).alias("hits"),
+    )
+    waiting = None
+    for machines in _loads(automata(items, item, item_text, window, block_words), most_broadcast):
+        if waiting is not None:  # more automata follow, so the text is needed again
+            current = stored(_pass(current, waiting, False, cut), "hits")
+        waiting = context.broadcast(machines)
+    return _pass(current, waiting, True, cut)
+
+
+def n_hit(hits: str = "hits"):
     """Number of hit words."""
     return F.aggregate(F.col(f"{hits}.spans"), F.lit(0).cast("long"), lambda n, s: n + F.get(s, 1) - F.get(s, 0))
 
@@ -302,9 +332,10 @@ def decontaminate(
     """Documents without benchmark passages: the column ``clean`` beside the struct ``row``.
 
     Every hit span is cut from the text, from its first word to its last.  A
-    document with more than ``most_coverage`` of its words hit goes as a whole.
+    document with more than ``most_coverage`` of its words hit goes as a whole;
+    one without words (null, empty) stays as it is.  Nulls, repeats, items and
+    empty tables are treated as in ``benchmark_hits``.
     """
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("_whole"))
-    found = benchmark_hits(packed, items, "_whole", window=window, cut=True, **options)
-    covered = n_hit() > F.lit(most_coverage) * F.col("_hits.n_words")
-    return found.where(~covered).select("row", F.coalesce("_hits.clean", "_whole").alias("clean"))
+    found = benchmark_hits(docs, items, text, window=window, cut=True, **options)
+    covered = n_hit() > F.lit(most_coverage) * F.col("hits.n_words")
+    return found.where(~covered).select("row", F.coalesce("hits.clean", f"row.`{text}`").alias("clean"))

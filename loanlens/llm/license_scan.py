@@ -151,26 +151,30 @@ def template_matches(
     carry: Sequence[str] = ("doc_id",),
     templates: Mapping[str, Sequence[str]] = TEMPLATES,
     threshold: float = THRESHOLD,
-    apart: bool = False,
 ) -> DataFrame:
     """Every (block, template) with at least ``threshold`` of the template's words in the block.
 
     Blocks are the parts of a text between blank lines.  Returns the ``carry``
-    columns, ``block`` (its number and text), ``label`` and ``containment``.
-    With ``apart`` a template goes when one of another label fits the block
-    better, unless its own words stand there in their order.
+    columns, ``block`` (its number and text), ``label`` and ``containment``.  A
+    template goes when one of another label fits the block better, unless its
+    own words stand there in their order: so a CC BY-NC statement is no CC BY
+    one, though it holds all of its words.
+
+    A null or empty text has no block that matches; rows are treated one by
+    one, repeated ones alike.  Empty tables or no templates give no rows.
     """
     spark = docs.sparkSession
     vocabulary = sorted({w for texts in templates.values() for t in texts for w in words_of(t)})
     index = prefix_index(templates, word_frequencies(docs, text, vocabulary), threshold)
-    schema = "_word string, _place int, label string, _size int, _need int, _all array<string>"
-    if apart:
-        schema += ", _verbatim array<string>, _near array<struct<mine array<string>, theirs array<string>, all array<string>, need int>>"
-        known: dict[tuple, tuple] = {}
-        for label, t, near in near_templates(templates, threshold):
-            said = known.setdefault((label, frozenset(words_of(t))), ([], near))[0]
-            said.append(f" {' '.join(words_of(t))} ")
-        index = [(*row, *known[row[2], frozenset(row[5])]) for row in index]
+    schema = (
+        "_word string, _place int, label string, _size int, _need int, _all array<string>, _verbatim array<string>,"
+        " _near array<struct<mine array<string>, theirs array<string>, all array<string>, need int>>"
+    )
+    known: dict[tuple, tuple] = {}
+    for label, t, near in near_templates(templates, threshold):
+        said = known.setdefault((label, frozenset(words_of(t))), ([], near))[0]
+        said.append(f" {' '.join(words_of(t))} ")
+    index = [(*row, *known[row[2], frozenset(row[5])]) for row in index]
     # as many rows as the given templates have prefix words
     prefixes = F.broadcast(spark.createDataFrame(index, schema))
     rare = F.array(*[F.lit(w) for w in sorted({row[0] for row in index})]).cast("array<string>")
@@ -191,9 +195,8 @@ def template_matches(
     )
     shared = F.size(F.array_intersect("_all", "_tokens"))
     matches = candidates.withColumn("_shared", shared).where("_shared >= _need")
-    if apart:
-        matches = matches.where(_closer(F.col("_tokens"), _words(F.col("_block")), F.col("_near"), F.col("_verbatim")))
-    return matches.select(
+    closest = _closer(F.col("_tokens"), _words(F.col("_block")), F.col("_near"), F.col("_verbatim"))
+    return matches.where(closest).select(
         *carry,
         F.struct(F.col("_number").alias("number"), F.col("_block").alias("text")).alias("block"),
         "label",
@@ -225,15 +228,13 @@ def license_scan(
     phrases: Mapping[str, str] = PHRASES,
     templates: Mapping[str, Sequence[str]] = TEMPLATES,
     threshold: float = THRESHOLD,
-    apart: bool = False,
 ) -> DataFrame:
     """Licenses named in each document, by phrase and by template.
 
     Returns the key, ``n_words``, ``n_base`` (places of phrases), ``first_word``
     and ``last_word`` (their smallest and largest start), ``base_labels``,
     ``labels`` (also those of templates) and ``score``: 1 with a phrase, else
-    the largest containment, 0 without any.  ``apart`` tells near templates of
-    different labels apart (see ``template_matches``).
+    the largest containment, 0 without any.
 
     A null or empty text has no words, so no labels (empty strings) and score 0.
     Null keys stay; rows with equal key and text are treated alike, each gives a
@@ -268,7 +269,7 @@ def license_scan(
         F.array_intersect(F.array(*map(F.lit, labels)), "_b.places.label").alias("_base"),
     )
     found = (
-        template_matches(rows, "_whole", ["_key", "_text"], templates, threshold, apart)
+        template_matches(rows, "_whole", ["_key", "_text"], templates, threshold)
         .groupBy(F.col("_key").alias("_k"), F.col("_text").alias("_t"))
         .agg(F.collect_set("label").alias("_found"), F.max("containment").alias("_best"))
     )

@@ -6,15 +6,12 @@ are scaled to the number of target tokens, so smoothing weighs alike in both.
 A document's score is the mean over its tokens of background loss less target
 loss: the higher, the more it reads like the target.
 
-The vocabulary is the most frequent words and one entry for all others, so the
-models are two square tables of a fixed size; every token is counted and scored.
-``whole_lm_scores`` has every word in the vocabulary: its counts stay in Spark.
+Every word of the documents is in the vocabulary, and the counts stay in Spark.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -25,15 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlens.llm.blocks import PARTS_EACH, packed, rows_of, unpacked
-from loanlens.llm.common import as_bytes, partitions, slices
+from loanlens.llm.blocks import packed, parts_for, rows_of, unpacked
+from loanlens.llm.common import as_bytes, slices
 from loanlens.session import stored
 
-VOCABULARY = 2048  # words, with the entry for all others; the tables hold its square
-OTHER = 0
 WEIGHT = 0.7  # of the bigram estimate, against the unigram's
 ADDED = 0.5  # to every word count
-BLOCK_BYTES = 8 << 20  # of text, for the whole vocabulary
+BLOCK_BYTES = 8 << 20  # of text
+PART_BYTES = 8 << 20  # of text whose words and bigrams meet in a part
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -41,195 +37,45 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def word_counts(docs: DataFrame, text: str) -> DataFrame:
-    """(word, n) over all documents; each task adds up its batches before the shuffle."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, 8 << 20):
-            counts: Counter = Counter()
-            for t in as_bytes(batch.column(text)).to_pylist():
-                counts.update(words_of(t))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"]
-            )
-
-    counted = docs.select(text).mapInArrow(run, "word binary, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def vocabulary(docs: DataFrame, text: str, size: int = VOCABULARY) -> list[bytes]:
-    """The size - 1 most frequent words, ties by the word; number 0 stands for all others."""
-    most = word_counts(docs, text).orderBy(F.col("n").desc(), "word").limit(size - 1)
-    return [bytes(r["word"]) for r in most.collect()]
-
-
-def _cells(words: list[bytes], ids: dict[bytes, int], size: int) -> np.ndarray:
-    """Cell numbers of a text's bigrams; the first word follows the entry for others."""
-    if not words:
-        return np.empty(0, np.int64)
-    coded = np.array([OTHER, *[ids.get(w, OTHER) for w in words]], np.int64)
-    return coded[:-1] * size + coded[1:]
-
-
-def bigram_counts(docs: DataFrame, text: str, target: str, ids: dict[bytes, int], size: int) -> DataFrame:
-    """(cell, target, background): bigram counts in target documents and in all.
-
-    A task holds two tables of size * size counts and sends their nonzero cells.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(ids)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        counts = np.zeros((2, size * size), np.int64)
-        for batch in slices(batches, text, 8 << 20):
-            for t, is_target in zip(as_bytes(batch.column(text)).to_pylist(), batch.column(target).to_pylist()):
-                cells = _cells(words_of(t), known, size)
-                for which in (0, 1) if is_target else (1,):
-                    np.add.at(counts[which], cells, 1)
-        found = np.flatnonzero(counts[1])
-        for i in range(0, len(found), 1 << 18):
-            part = found[i : i + (1 << 18)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array(counts[0][part]), pa.array(counts[1][part])],
-                ["cell", "target", "background"],
-            )
-
-    counted = docs.select(text, target).mapInArrow(run, "cell long, target long, background long")
-    return counted.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def losses(counts: np.ndarray, unigram: np.ndarray, weight: float = WEIGHT) -> np.ndarray:
-    """-log p(word | previous word) in nats, for rows of a table of counts.
-
-    The bigram estimate is mixed with the smoothed unigram estimate; a word that
-    never came before has the unigram estimate alone.
-    """
-    before = counts.sum(axis=1, keepdims=True)
-    share = np.divide(counts, before, out=np.zeros(counts.shape), where=before > 0)
-    return -np.log(np.where(before > 0, weight * share + (1 - weight) * unigram, unigram))
-
-
-def loss_difference(
-    cells: np.ndarray,
-    target: np.ndarray,
-    background: np.ndarray,
-    size: int,
-    weight: float = WEIGHT,
-    added: float = ADDED,
-) -> np.ndarray:
-    """Background loss less target loss for every cell; zero without target documents.
-
-    Worked out a few rows at a time, so that little more than the counts and the
-    result is held.
-    """
-    out = np.zeros((size, size))
-    total, all_total = target.sum(), background.sum()
-    if not total or not all_total:
-        return out.ravel()
-    tables = []
-    for n, scale in ((target, 1.0), (background, total / all_total)):
-        counts = np.zeros(size * size)
-        counts[cells] = n
-        counts *= scale
-        counts = counts.reshape(size, size)
-        tables.append((counts, (counts.sum(axis=0) + added) / (counts.sum() + added * size)))
-    for i in range(0, size, 64):
-        t, g = (losses(counts[i : i + 64], unigram, weight) for counts, unigram in tables)
-        out[i : i + 64] = g - t
-    return out.ravel()
-
-
-def lm_scores(
-    docs: DataFrame,
-    targets: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    size: int = VOCABULARY,
-    weight: float = WEIGHT,
-    keep: Sequence[str] | None = None,
-) -> DataFrame:
-    """The columns ``keep`` (default the key) with ``n_tokens`` and ``score``.
-
-    ``targets`` lists the keys of the target documents; the background is all
-    documents.  At most ``size`` squared cells come to the driver, and the table
-    of loss differences (8 bytes each: 32 MB by default) goes to the tasks.
-
-    A null or empty text has no tokens and score 0.  A null key is no target;
-    repeated rows count and are scored each; listed keys may repeat or be
-    missing.  Without any target all scores are 0.
-    """
-    kept = [key] if keep is None else list(keep)
-    listed = targets.select(F.col(key).alias("_target")).where("_target is not null").distinct()
-    # the list may be long, so the join takes the same form at every size
-    marked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_whole")).join(
-        listed.hint("merge"), F.col("_key") == F.col("_target"), "left"
-    )
-    marked = marked.select("_whole", F.col("_target").isNotNull().alias("_is"))
-    ids = {w: i + 1 for i, w in enumerate(vocabulary(docs, text, size))}
-    cells = bigram_counts(marked, "_whole", "_is", ids, size).toArrow()
-    counts = [cells.column(c).to_numpy() for c in ("cell", "target", "background")]
-    del cells
-    table = loss_difference(*counts, size, weight)
-    del counts
-    context = docs.sparkSession.sparkContext
-    shared, shared_ids = context.broadcast(table), context.broadcast(ids)
-    del table
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        difference, known = shared.value, shared_ids.value
-        for batch in slices(batches, text, 8 << 20):
-            n, scores = [], []
-            for t in as_bytes(batch.column(text)).to_pylist():
-                found = _cells(words_of(t), known, size)
-                n.append(len(found))
-                scores.append(float(difference[found].mean()) if len(found) else 0.0)
-            columns = [batch.column(c) for c in kept]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(n, pa.int64()), pa.array(scores, pa.float64())], [*kept, "n_tokens", "score"]
-            )
-
-    schema = T.StructType(
-        [*[docs.schema[c] for c in kept], T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())]
-    )
-    return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
-
-
-def _token_blocks(docs: DataFrame, key: str, text: str, kept: list[str], block_bytes: int) -> DataFrame:
-    """Documents in scan order as rows (block, keys, kept, sizes, words, tokens); tokens number the block's words."""
+def _token_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """(row, key, text) in scan order as rows (block, n_bytes, keys, rows, sizes, words, tokens); tokens number the block's words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, number = zstandard.ZstdCompressor(3), TaskContext.get().partitionId() << 32
-        for batch in slices(batches, text, block_bytes):
+        for batch in slices(batches, "text", block_bytes):
             ids: dict[bytes, int] = {}
             tokens: list[np.ndarray] = []
-            for t in as_bytes(batch.column(text)).to_pylist():
+            texts = as_bytes(batch.column("text")).to_pylist()
+            for t in texts:
                 tokens.append(np.array([ids.setdefault(w, len(ids)) for w in words_of(t)], np.int32))
-            some = pa.RecordBatch.from_arrays([batch.column(c) for c in kept], kept)
+            some = batch.select(["row"])
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, some.schema) as out:
                 out.write_batch(some)
-            keys = batch.column(key)
+            keys = batch.column("key")
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()),
+                    pa.array([sum(map(len, texts))], pa.int64()),
                     pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
                     pa.array([packer.compress(sink.getvalue().to_pybytes())], pa.binary()),
                     pa.array([np.array(list(map(len, tokens)), np.int64).tobytes()], pa.binary()),
                     pa.array([packer.compress(b" ".join(ids))], pa.binary()),
                     pa.array([packed([np.concatenate(tokens)])], pa.binary()),
                 ],
-                ["block", "keys", "kept", "sizes", "words", "tokens"],
+                ["block", "n_bytes", "keys", "rows", "sizes", "words", "tokens"],
             )
             number += 1
 
     schema = T.StructType(
         [
             T.StructField("block", T.LongType()),
-            T.StructField("keys", T.ArrayType(docs.schema[key].dataType)),
-            *[T.StructField(c, T.BinaryType()) for c in ("kept", "sizes", "words", "tokens")],
+            T.StructField("n_bytes", T.LongType()),
+            T.StructField("keys", T.ArrayType(docs.schema["key"].dataType)),
+            *[T.StructField(c, T.BinaryType()) for c in ("rows", "sizes", "words", "tokens")],
         ]
     )
-    return stored(docs.select(*dict.fromkeys([*kept, key, text])).mapInArrow(run, schema), "token_blocks")
+    return stored(docs.mapInArrow(run, schema), "token_blocks")
 
 
 def _by_part(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,7 +122,7 @@ def _word_numbers(written: DataFrame, parts: int) -> DataFrame:
 
 
 def _numbered(written: DataFrame, marks: DataFrame, numbers: DataFrame, parts: int) -> DataFrame:
-    """(block, kept, sizes, tokens, target, ids, n, n_target): blocks with their words' numbers and target documents."""
+    """(block, rows, sizes, tokens, target, ids, n, n_target): blocks with their words' numbers and target documents."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
@@ -288,14 +134,14 @@ def _numbered(written: DataFrame, marks: DataFrame, numbers: DataFrame, parts: i
             sizes = np.frombuffer(row["sizes"], np.int64)
             target = np.zeros(len(sizes), bool)
             target[row["places"] or []] = True
-            out = {c: [row[c]] for c in ("block", "kept", "sizes", "tokens")}
+            out = {c: [row[c]] for c in ("block", "rows", "sizes", "tokens")}
             out |= {"target": [target.tobytes()], "ids": [packed([ids])], "n": [int(sizes.sum())], "n_target": [int(sizes[target].sum())]}
             yield pa.RecordBatch.from_pydict(out, schema)
 
-    binary = ["kept", "sizes", "tokens", "target", "ids"]
+    binary = ["rows", "sizes", "tokens", "target", "ids"]
     schema = pa.schema([("block", pa.int64()), *[(c, pa.binary()) for c in binary], ("n", pa.int64()), ("n_target", pa.int64())])
     by_block = numbers.groupBy("block").agg(F.collect_list(F.struct("part", "ids")).alias("numbers"))
-    joined = written.drop("keys").join(by_block, "block", "left").join(marks, "block", "left")
+    joined = written.drop("keys", "n_bytes").join(by_block, "block", "left").join(marks, "block", "left")
     kind = "block long, " + ", ".join(f"{c} binary" for c in binary) + ", n long, n_target long"
     return stored(joined.mapInArrow(run, kind), "numbered_blocks")
 
@@ -381,7 +227,7 @@ def _answered(table: pa.Table) -> pa.Table:
     )
 
 
-def whole_lm_scores(
+def lm_scores(
     docs: DataFrame,
     targets: DataFrame,
     key: str = "doc_id",
@@ -391,17 +237,27 @@ def whole_lm_scores(
     keep: Sequence[str] | None = None,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``lm_scores`` with every word of the documents in the vocabulary, and an entry for what precedes a text.
+    """``row`` (a struct of the columns ``keep``, default the key) with ``n_tokens`` and ``score``.
+
+    ``targets`` lists the keys of the target documents; the background is all
+    documents.  The vocabulary is every word of the documents, and an entry for
+    what precedes a text.  Documents are coded in blocks.  Words get their
+    numbers, then bigrams and words their counts, from parts of the word and
+    bigram space that grow with the text; a block sends each word and bigram
+    once, so a frequent one is no larger than a rare one.  Only two sums of
+    tokens and the number of words come to the driver.
 
-    Documents are coded in blocks.  Words get their numbers, then bigrams and
-    words their counts, from parts of the word and bigram space that grow with
-    the number of blocks; a block sends each word and bigram once, so a frequent
-    one is no larger than a rare one.  Only two sums of tokens and the number of
-    words come to the driver.
+    A null or empty text has no tokens and score 0.  A null key is no target;
+    repeated rows count and are scored each; listed keys may repeat or be
+    missing.  Without any target all scores are 0.  Extra columns are not read;
+    an empty table gives an empty result.
     """
     kept = [key] if keep is None else list(keep)
-    written = _token_blocks(docs, key, text, kept, block_bytes)
-    parts = max(partitions(docs.sparkSession), PARTS_EACH * written.count())
+    packed_rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")
+    )
+    written = _token_blocks(packed_rows, block_bytes)
+    parts = parts_for(written, PART_BYTES)
     listed = targets.select(F.col(key).alias("_target")).where("_target is not null").distinct()
     # the list may be long, so the join takes the same form at every size
     places = written.select("block", F.posexplode("keys").alias("place", "_key"))
@@ -439,14 +295,14 @@ def whole_lm_scores(
                 far = weight * g / ga + (1 - weight) * (gb * (total / all_total) + added) / (total + added * size)
                 difference = np.log(near) - np.log(far)
             sums = np.bincount(block.doc, weights=difference[block.of], minlength=len(block.sizes))
-            with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(row["kept"])) as stream:
+            with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(row["rows"])) as stream:
                 some = stream.read_next_batch()
             yield pa.RecordBatch.from_arrays(
                 [*some.columns, pa.array(block.sizes), pa.array(sums / np.maximum(block.sizes, 1))],
-                [*kept, "n_tokens", "score"],
+                ["row", "n_tokens", "score"],
             )
 
     schema = T.StructType(
-        [*[docs.schema[c] for c in kept], T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())]
+        [packed_rows.schema["row"], T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())]
     )
     return coded.join(answers, "block", "left").mapInArrow(run, schema)

@@ -18,7 +18,7 @@ from loanlens.llm.chunk_dedup import chunk_dedup
 from loanlens.llm.common import table
 from loanlens.llm.decontamination import benchmark_hits, n_hit
 from loanlens.llm.line_dedup import MIN_SITES, line_dedup
-from loanlens.llm.lm_scoring import ADDED, VOCABULARY, WEIGHT, lm_scores, whole_lm_scores
+from loanlens.llm.lm_scoring import ADDED, WEIGHT, lm_scores
 from loanlens.llm.quality_rules import quality_rules
 from loanlens.llm.suffix_dedup import suffix_dedup
 from loanlens.session import use_recommended
@@ -143,8 +143,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _op5_apart_sql() -> str:
-    """The brute force of op 5, where of two near templates the one goes that differs from the block in more words."""
+def _op5_sql() -> str:
+    """The brute force of op 5: of two near templates the one goes that differs from the block in more words."""
     near, said = [], []
     numbered = licenses.near_templates(licenses.TEMPLATES, licenses.THRESHOLD)
     sets = [sorted(set(licenses.words_of(text))) for _, text, _ in numbered]
@@ -154,7 +154,7 @@ def _op5_apart_sql() -> str:
             other = sets.index(every)
             near += [f"({number}, {other}, '{w}', {side})" for side, ws in ((1, mine), (-1, theirs)) for w in ws]
     found = "found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(part) AS best FROM hits GROUP BY doc_id)"
-    sql = _op5_sql()
+    sql = _op5_matches_sql()
     assert found in sql
     return sql.replace(
         found,
@@ -177,7 +177,7 @@ left_over AS (
     )
 
 
-def _op5_sql() -> str:
+def _op5_matches_sql() -> str:
     """Brute force: all words of all blocks against all words of all templates."""
     number, rows = 0, []
     for label, texts in sorted(licenses.TEMPLATES.items()):
@@ -224,18 +224,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-@query("op5_license_scan_apart", _op5_apart_sql())
-def op5_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With near templates, such as CC BY and CC BY-NC, told apart."""
-    return licenses.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"), apart=True)
-
-
 @query("op1_sentencepiece")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     codes = F.array_join(F.col("coded.ids").cast("array<string>"), " ")
     return sentencepiece_codec.encode(docs, keep=["doc_id"]).select(
-        "doc_id",
+        "row.doc_id",
         "coded.n_tokens",
         "coded.n_byte_tokens",
         F.sha2(codes.cast("binary"), 256).alias("ids_sha256"),
@@ -245,43 +239,6 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
-  FROM documents),
-tokens AS (SELECT id, doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
-vocabulary AS (
-  SELECT w, row_number() OVER (ORDER BY count(*) DESC, w) AS v FROM tokens GROUP BY w QUALIFY v < {VOCABULARY}),
-coded AS (SELECT id, doc_id, i, coalesce(v, 0) AS b FROM tokens LEFT JOIN vocabulary USING (w)),
-pairs AS (
-  SELECT id, doc_id, coalesce(lag(b) OVER (PARTITION BY id ORDER BY i), 0) AS a, b,
-    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0) AS is_target FROM coded),
-cells AS (SELECT a, b, count(*) FILTER (WHERE is_target) AS t, count(*) AS g FROM pairs GROUP BY a, b),
-sums AS (
-  SELECT *, sum(t) OVER (PARTITION BY a) AS ta, sum(g) OVER (PARTITION BY a) AS ga, sum(t) OVER (PARTITION BY b) AS tb,
-    sum(g) OVER (PARTITION BY b) AS gb, sum(t) OVER () AS tn, sum(g) OVER () AS gn FROM cells),
-shares AS (
-  SELECT *, (tb + {ADDED:e}) / (tn + {ADDED * VOCABULARY:e}) AS tu,
-    (gb * CAST(tn AS DOUBLE) / gn + {ADDED:e}) / (tn + {ADDED * VOCABULARY:e}) AS gu FROM sums),
-losses AS (
-  SELECT a, b, CASE WHEN tn = 0 THEN 0e0 ELSE
-    ln(CASE WHEN ta > 0 THEN {WEIGHT:e} * t / ta + {1 - WEIGHT:e} * tu ELSE tu END)
-      - ln({WEIGHT:e} * g / ga + {1 - WEIGHT:e} * gu) END AS x FROM shares),
-scored AS (SELECT id, count(*) AS n, avg(x) AS score FROM pairs JOIN losses USING (a, b) GROUP BY id)
-SELECT doc_id, coalesce(n, 0) AS n_tokens, round(coalesce(score, 0e0), 6) + 0.0 AS score
-FROM d LEFT JOIN scored USING (id)
-"""
-
-
-@query("op3_lm_scoring", OP3_SQL)
-def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target is what people labelled as good and not toxic."""
-    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 and toxic = 0")
-    scored = lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"), good)
-    return scored.select("doc_id", "n_tokens", F.round("score", 6).alias("score"))
-
-
-# The same with every word in the vocabulary; no word is another's stand-in.
-OP3_WHOLE_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
   FROM documents),
@@ -307,11 +264,12 @@ FROM d LEFT JOIN scored USING (id)
 """
 
 
-@query("op3_lm_scoring_whole", OP3_WHOLE_SQL)
-def op3_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("op3_lm_scoring", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what people labelled as good and not toxic."""
     good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 and toxic = 0")
-    scored = whole_lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"), good)
-    return scored.select("doc_id", "n_tokens", F.round("score", 6).alias("score"))
+    scored = lm_scores(table(spark, sf_dir, "documents", "doc_id", "text"), good)
+    return scored.select("row.doc_id", "n_tokens", F.round("score", 6).alias("score"))
 
 
 @query("op6_simhash_near_dedup")
@@ -397,11 +355,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
     return benchmark_hits(docs, items, keep=["doc_id"]).select(
-        "doc_id",
-        "_hits.n_words",
+        "row.doc_id",
+        "hits.n_words",
         n_hit().alias("n_hit"),
-        F.size("_hits.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_hits.items", ",").cast("binary"), 256).alias("items_sha256"),
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hits.items", ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit() > 0).alias("contaminated"),
     )
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens.llm.common import slices
@@ -255,7 +256,7 @@ def encode(
     keep: list[str] | None = None,
     threads: int = THREADS,
 ) -> DataFrame:
-    """The columns ``keep`` (default all) with ``coded``: ids, counts, the decoded text.
+    """``row`` (a struct of the columns ``keep``, default all) with ``coded``: ids, counts, the decoded text.
 
     ``n_byte_tokens`` counts byte pieces; ``round_trip`` says whether decoding
     gave the normalised text back.  Texts are encoded whole, in small batches on
@@ -272,8 +273,8 @@ def encode(
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         codec = _ready(packed.value)
-        for batch in slices(batches, text, BATCH_BYTES):
-            texts = batch.column(text).to_pylist()
+        for batch in slices(batches, "whole", BATCH_BYTES):
+            texts = batch.column("whole").to_pylist()
             out = []
             for t, codes in zip(texts, codec.encode([t or "" for t in texts])):
                 if t is None:
@@ -289,10 +290,8 @@ def encode(
                         "round_trip": decoded == codec.plain(t),
                     }
                 )
-            columns = [batch.column(c) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, _CODED_ARROW)], [*kept, "coded"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, _CODED_ARROW)], ["row", "coded"])
 
-    carried = kept if text in kept else [*kept, text]
-    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField("coded", _CODED)])
-    return docs.select(*carried).mapInArrow(run, schema)
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").alias("whole"))
+    return carried.mapInArrow(run, T.StructType([carried.schema["row"], T.StructField("coded", _CODED)]))
 

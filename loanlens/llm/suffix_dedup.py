@@ -32,6 +32,7 @@ from loanlens.llm.blocks import BLOCK_BYTES, NO_KEY, Spans, cleaned, opened, pac
 LENGTH = 50
 SHORT = 20  # bytes of the strings that are hashed
 CHUNK = 1 << 17
+PART_BYTES = 8 << 20  # of text; a part's suffixes are sorted at once, so it is smaller than where digests meet
 BUCKET = 1 << 18  # suffixes sorted at a time
 
 # A difference cover of 0 to 6: any two residues differ by a difference of two members.
@@ -420,7 +421,7 @@ def suffix_dedup(
     other, so repeated rows are treated alike.  An empty table gives an empty
     result; other columns are not read.
     """
-    written, parts = stored_blocks(docs, key, text, block_bytes)
+    written, parts = stored_blocks(docs, key, text, block_bytes, PART_BYTES)
     bits = (
         _sent_minimisers(written, parts, length, short)
         .groupBy("part")

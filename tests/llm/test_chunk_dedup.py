@@ -90,3 +90,17 @@ def test_passages_are_caught_and_others_kept(docs_of, prose):
 
 def test_empty_table(docs_of):
     assert C.chunk_dedup(docs_of([])).count() == 0
+
+
+def test_rows_sent_grow_with_the_blocks(docs_of, prose):
+    from loanlens.llm.blocks import stored_blocks
+
+    rows = []
+    for n in (12, 48):
+        docs = docs_of([(i, prose(i, 300)) for i in range(n)]).coalesce(1)
+        written, parts = stored_blocks(docs, "doc_id", "text", block_bytes=1)
+        assert written.count() == n and parts == 8
+        rows.append(C._sent_digests(written, parts, 6, 32, 256).count())
+    assert rows[1] <= 4.2 * rows[0]
+    written, parts = stored_blocks(docs, "doc_id", "text", part_bytes=5_000)
+    assert parts == -(-written.selectExpr("sum(n_bytes)").first()[0] // 5_000) > 8

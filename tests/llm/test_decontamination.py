@@ -37,7 +37,7 @@ def test_automaton_equals_brute_force(window):
     for _ in range(60):
         letters = "ab" if rng.random() < 0.5 else "abcd"
         items = [(i % 4, " ".join(rng.choices(letters, k=rng.randrange(0, 9)))) for i in range(rng.randrange(1, 6))]
-        machine = D.Automaton([(str(i), D.normal_words(t.encode())) for i, t in items], window)
+        machine = D.Automaton([([str(i)], D.normal_words(t.encode())) for i, t in items], window)
         for _ in range(5):
             text = " ".join(rng.choices(letters + "z", k=rng.randrange(0, 25)))
             got = machine.hits(D.normal_words(text.encode()))
@@ -61,15 +61,16 @@ def tables(spark, docs_of, awkward, prose):
     return docs_of(docs), docs, spark.createDataFrame(items, "item_id long, text string"), items
 
 
-@pytest.mark.parametrize("block_words", [100_000, 45, 1])
-def test_equals_brute_force_in_any_blocks(tables, block_words):
+@pytest.mark.parametrize("block_words, most_broadcast", [(100_000, 1 << 20), (45, 1 << 20), (45, 1), (1, 30_000)])
+def test_equals_brute_force_in_any_blocks(tables, block_words, most_broadcast):
     docs, rows, items_df, items = tables
-    got = D.benchmark_hits(docs, items_df, keep=["doc_id", "text"], block_words=block_words).collect()
+    options = {"block_words": block_words, "most_broadcast": most_broadcast}
+    got = D.benchmark_hits(docs, items_df, keep=["doc_id", "text"], **options).collect()
     assert len(got) == len(rows)
     for r in got:
-        n, hit, found = brute(r.text, items)
-        assert r["_hits"].n_words == n and r["_hits"]["items"] == found
-        assert {p for a, b in r["_hits"].spans for p in range(a, b)} == hit
+        n, hit, found = brute(r.row.text, items)
+        assert r.hits.n_words == n and r.hits["items"] == found
+        assert {p for a, b in r.hits.spans for p in range(a, b)} == hit
 
 
 def test_spans_are_cut(tables):
@@ -90,6 +91,25 @@ def test_spans_are_cut(tables):
 
 def test_empty_tables(spark, docs_of, awkward):
     items = spark.createDataFrame([], "item_id long, text string")
-    assert {len(r["_hits"].spans) for r in D.benchmark_hits(docs_of(awkward), items).collect()} == {0}
+    assert {len(r.hits.spans) for r in D.benchmark_hits(docs_of(awkward), items).collect()} == {0}
     some = spark.createDataFrame([(1, "x y")], "item_id long, text string")
     assert D.benchmark_hits(docs_of([]), some).count() == 0
+
+
+def test_entries_grow_with_the_items():
+    """Many equal short items, and items that end in them, hold each id once or twice."""
+    sizes = []
+    for n in (200, 400, 800):
+        machine = D.Automaton([([f"a{i}"], [b"yes"]) for i in range(n)] + [([f"b{i}"], [b"w%d" % i, b"yes"]) for i in range(n)])
+        sizes.append(sum(len(ids) for by_size in machine.ends.values() for ids in by_size.values()))
+        found = machine.hits([b"w1", b"yes"])
+        assert found.items == {f"a{i}" for i in range(n)} | {"b1"} and found.spans == [(0, 2)]
+    assert sizes == [400, 800, 1600]
+
+
+def test_names_of_results_may_be_columns(spark, docs_of, awkward):
+    docs = docs_of(awkward).selectExpr("*", "1 as hits", "2 as whole", "3 as _hits")
+    items = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    got = D.benchmark_hits(docs, items)
+    assert got.select("row.*").columns == docs.columns and got.count() == len(awkward)
+    assert D.decontaminate(docs, items).select("row.*").columns == docs.columns

@@ -74,8 +74,8 @@ def test_bpe_parity_on_corpus_and_odd_texts(spark):
 def test_encode_awkward_rows(docs_of, awkward):
     docs = docs_of(awkward)
     got = C.encode(docs)
-    assert got.columns == [*docs.columns, "coded"]
-    rows = got.select("text", "coded.*").collect()
+    assert got.select("row.*").columns == docs.columns
+    rows = got.select("row.text", "coded.*").collect()
     assert len(rows) == len(awkward)
     reference = sentencepiece.SentencePieceProcessor(model_proto=C.model_bytes())
     for r in rows:
@@ -90,7 +90,7 @@ def test_encode_awkward_rows(docs_of, awkward):
 
 def test_threads_do_not_change_the_ids(docs_of, prose):
     docs = docs_of([(i, prose(i, 50)) for i in range(50)])
-    one, four = (sorted((r.doc_id, tuple(r.ids)) for r in C.encode(docs, threads=n).select("doc_id", "coded.ids").collect()) for n in (1, 4))
+    one, four = (sorted((r.doc_id, tuple(r.ids)) for r in C.encode(docs, threads=n).select("row.doc_id", "coded.ids").collect()) for n in (1, 4))
     assert one == four
 
 
