@@ -19,7 +19,6 @@ from loanlens.llm.decontamination import decontaminate
 from loanlens.llm.line_dedup import line_dedup
 from loanlens.llm.quality_rules import keep_good
 from loanlens.session import stored, use_recommended
-from testbed.storage import stored_locally
 
 # XXH64 fingerprints have no SQL form; the tests hold run() against brute force.
 ORACLE_SQL = None
@@ -55,13 +54,22 @@ def _with_text(cleaned: DataFrame, docs: DataFrame) -> DataFrame:
 
 @_set_up
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    A null, empty or very short text fails; repeated rows are judged alike, keys
+    are not read; an empty table stays empty.
+    """
     return keep_good(docs)
 
 
 @_set_up
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines are cut; a document that loses all its words goes."""
+    """Boilerplate lines are cut; a document that loses all its words goes.
+
+    Of equal lines that of the smallest key stays, so ties and repeated rows are
+    settled by the key and text.  Null and empty texts stay; an empty table
+    stays empty.
+    """
     cleaned = line_dedup(docs)
     empty = (F.col("n_removed") > 0) & ~F.coalesce(F.col("clean"), F.lit("")).rlike(f"[^{BLANKS}]")
     return _with_text(cleaned.where(~empty), docs)
@@ -69,23 +77,34 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_set_up
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every SimHash component."""
+    """One document of every SimHash component, that of the smallest key.
+
+    Texts without words, null ones too, are one fingerprint and so one
+    component; of repeated rows one stays; null keys are larger than any other.
+    """
     return simhash.keep_first(docs)
 
 
 @_set_up
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark passages are cut; a document that is mostly such passages goes."""
+    """Benchmark passages are cut; a document that is mostly such passages goes.
+
+    Null and empty texts have no hits and stay; repeated rows are treated alike;
+    without items, or documents, nothing changes.
+    """
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
     return _with_text(decontaminate(docs, items), docs)
 
 
 @_set_up
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
+    """Token ids of every document that is left.
+
+    A null text has null ids, an empty one none; null and repeated keys stay.
+    """
     coded = sentencepiece_codec.encode(docs, keep=["doc_id"])
     return coded.select(
-        "doc_id", "coded.n_tokens", "coded.n_byte_tokens", "coded.ids", "coded.round_trip"
+        "row.doc_id", "coded.n_tokens", "coded.n_byte_tokens", "coded.ids", "coded.round_trip"
     )
 
 
@@ -98,7 +117,6 @@ STAGES = [
 ]
 
 
-@stored_locally
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, from the documents table on."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
