@@ -1,9 +1,17 @@
 """Boosted decision trees as plain data, applied as column expressions.
 
-A tree is ``{"weight": w, "root": node}``; a node is ``{"value": v}`` or
-``{"feature": name, "threshold": t, "low": node, "high": node}``, where rows at
-or below the threshold go to ``low``.  A fitted Spark model is exported to this
-form once; applying it needs no model object, no vectors and no Python.
+A tree is ``{"weight": w, "root": node}``.  A node is one of
+
+* ``{"value": v}``, a leaf;
+* ``{"feature": name, "threshold": t, "low": node, "high": node}``: rows at or
+  below the threshold go to ``low``, with ``"strict": true`` those below it;
+* ``{"feature": name, "categories": [...], "low": node, "high": node}``: rows
+  whose category is listed go to ``low``.
+
+``"missing": "low"`` or ``"high"`` says where a row without the feature goes;
+a node without it makes the leaf NULL.  A fitted model is exported to this form
+once; applying it needs no model object, no vectors, no filled-in markers and
+no Python.
 """
 
 from __future__ import annotations
@@ -37,18 +45,81 @@ def exported(model: GBTClassificationModel, features: Sequence[str]) -> list[dic
     ]
 
 
-def tree_value(node: Mapping) -> Column:
-    """The leaf a row falls into; a missing feature makes it NULL."""
+def from_dump(trees: Sequence[Mapping]) -> list[dict]:
+    """Trees from a JSON model dump, whose nodes name their children by number.
+
+    A split there has ``nodeid``, ``split`` (the feature), ``split_condition``
+    (a number, or a list of categories), ``yes``, ``no``, ``missing`` and
+    ``children``; a leaf has ``leaf``.  Numbers below the condition go to
+    ``yes``, and so do categories that are not listed.
+    """
+
+    def node(x: Mapping) -> dict:
+        if "leaf" in x:
+            return {"value": x["leaf"]}
+        children = {c["nodeid"]: node(c) for c in x["children"]}
+        yes, no, condition = children[x["yes"]], children[x["no"]], x["split_condition"]
+        if isinstance(condition, (list, tuple)):
+            out = {"feature": x["split"], "categories": list(condition), "low": no, "high": yes}
+        else:
+            out = {"feature": x["split"], "threshold": condition, "strict": True, "low": yes, "high": no}
+        if "missing" in x:
+            out["missing"] = "low" if (children[x["missing"]] is out["low"]) else "high"
+        return out
+
+    return [{"weight": 1.0, "root": node(t)} for t in trees]
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _text(value: object) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _goes_low(node: Mapping) -> str:
+    if "categories" in node:
+        if not node["categories"]:
+            return f"{_name(node['feature'])} is null and false"
+        return f"{_name(node['feature'])} in ({', '.join(map(_text, node['categories']))})"
+    return f"{_name(node['feature'])} {'<' if node.get('strict') else '<='} double('{float(node['threshold'])!r}')"
+
+
+def tree_sql(node: Mapping) -> str:
+    """One tree as a SQL expression: the leaf a row falls into."""
     if "value" in node:
-        return F.lit(float(node["value"]))
-    feature = F.col(node["feature"])
-    low = feature <= F.lit(float(node["threshold"]))
-    return F.when(low, tree_value(node["low"])).when(feature.isNotNull(), tree_value(node["high"]))
-
-
-def tree_probability(trees: Sequence[Mapping]) -> Column:
-    """P(class 1): the logistic of twice the weighted sum of the trees."""
-    margin = F.lit(0.0)
-    for tree in trees:
-        margin = margin + F.lit(float(tree["weight"])) * tree_value(tree["root"])
-    return sigmoid(2.0 * margin)
+        return f"double('{float(node['value'])!r}')"
+    low, high, missing = tree_sql(node["low"]), tree_sql(node["high"]), node.get("missing")
+    if missing not in (None, "low", "high"):
+        raise ValueError(f"missing rows go low or high, not {missing!r}")
+    absent, test = f"{_name(node['feature'])} is null", _goes_low(node)
+    if missing == "low":
+        return f"case when {absent} or {test} then {low} else {high} end"
+    if missing == "high":  # a comparison with NULL is not true
+        return f"case when {test} then {low} else {high} end"
+    return f"case when {absent} then null when {test} then {low} else {high} end"
+
+
+def tree_value(node: Mapping) -> Column:
+    """The leaf a row falls into; NULL where a missing feature has no direction."""
+    return F.expr(tree_sql(node))
+
+
+def tree_margin(trees: Sequence[Mapping], bias: float = 0.0) -> Column:
+    """The weighted sum of the trees; NULL when one of them is.
+
+    The trees are elements of an array: Spark compiles those one by one, where a
+    sum of hundreds of trees would be too long for one compiled method.
+    """
+    values = F.array(*[F.lit(float(t["weight"])) * tree_value(t["root"]) for t in trees])
+    return F.aggregate(values.cast("array<double>"), F.lit(float(bias)), lambda total, x: total + x)
+
+
+def tree_probability(trees: Sequence[Mapping], scale: float = 2.0, bias: float = 0.0) -> Column:
+    """P(class 1): the logistic of the margin, twice it by default, as boosting on a label of -1 and 1 has it.
+
+    Trees of logistic boosting (see ``from_dump``) take ``scale=1``, and the
+    log-odds of their base score as ``bias``.
+    """
+    return sigmoid(scale * tree_margin(trees, bias))

@@ -12,11 +12,11 @@ from loanlens.operators.cleaning import clean
 from loanlens.operators.outcomes import features_for_master
 from loanlens.operators.scoring import ModuleModel, linear_score, with_scores
 from loanlens.operators.trees import tree_probability
-from loanlens.operators.upsert import upsert
+from loanlens.operators.upsert import upsert_table
 from loanlens.plans import decisions as D
 from loanlens.plans.monitoring import attach_outcomes
 from loanlens.session import shared_folder, stored
-from loanlens.sources import scans, sinks
+from loanlens.sources import scans, sinks, versions
 from loanlens.sources import schemas as S
 from loanlens.sources.assets import Roles
 from testbed import proxies as P
@@ -158,6 +158,66 @@ def module_scoring_trees(spark, sf):
     )
 
 
+# --- boosted trees with directions for missing values and splits on categories ---
+
+with open(os.path.join(os.path.dirname(__file__), "assets", "activity_trees.json")) as _f:
+    MISSING_TREES = json.load(_f)
+_TREE_FEATURES = [*[c for c, _ in _ACTIVITY], "DEVICE_BRAND_GD"]
+
+
+def _node_rows() -> list[str]:
+    """The nodes as rows; node 0 is each tree's root."""
+    rows = []
+    for number, tree in enumerate(MISSING_TREES["trees"]):
+        waiting, count = [(0, tree["root"])], 1
+        for place, node in waiting:
+            if "value" in node:
+                rows.append(f"({number}, {place}, NULL, NULL, NULL, NULL, NULL, NULL, {node['value']:e})")
+                continue
+            waiting += [(count, node["low"]), (count + 1, node["high"])]
+            listed = str(node["categories"]) if "categories" in node else "NULL"
+            limit = f"{node['threshold']:e}" if "threshold" in node else "NULL"
+            missing = node["missing"] == "low"
+            rows.append(f"({number}, {place}, '{node['feature']}', {limit}, {listed}, {missing}, {count}, {count + 1}, NULL)")
+            count += 2
+    return rows
+
+
+_WALKED = f"""
+nodes(tree, node, feature, threshold, listed, missing_low, low, high, leaf) AS (VALUES {", ".join(_node_rows())}),
+given AS (
+  {" UNION ALL ".join(
+      f"SELECT BRE_RUN_ID, '{c}' AS feature, CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS number, CAST(NULL AS VARCHAR) AS kind FROM fact_activity"
+      for c in _TREE_FEATURES[:-1]
+  )}
+  UNION ALL SELECT BRE_RUN_ID, 'DEVICE_BRAND_GD', CAST(NULL AS DOUBLE), DEVICE_BRAND_GD FROM fact_activity),
+walk AS (
+  SELECT BRE_RUN_ID, tree, 0 AS node FROM fact_activity, (SELECT DISTINCT tree FROM nodes)
+  UNION ALL SELECT w.BRE_RUN_ID, w.tree, CASE WHEN CASE
+      WHEN g.number IS NULL AND g.kind IS NULL THEN n.missing_low
+      WHEN n.listed IS NOT NULL THEN list_contains(n.listed, g.kind) ELSE g.number <= n.threshold END THEN n.low ELSE n.high END
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node
+  JOIN given g ON g.BRE_RUN_ID = w.BRE_RUN_ID AND g.feature = n.feature),
+margins AS (
+  SELECT BRE_RUN_ID, {MISSING_TREES["bias"]:e} + sum(leaf) AS z FROM walk JOIN nodes USING (tree, node)
+  WHERE leaf IS NOT NULL GROUP BY BRE_RUN_ID)
+"""
+
+
+@query(
+    "module_scoring_trees_missing",
+    with_ctes(_WALKED.strip() + "\n" + _scored_sql(sigmoid_sql("z"), "margins"), "fact_activity")
+    .replace("WITH ", "WITH RECURSIVE ", 1)
+    .replace(")\nnodes(", "),\nnodes(", 1),
+)
+def module_scoring_trees_missing(spark, sf):
+    """Trees that send missing values and sets of categories their own ways, over features that nobody filled."""
+    numbers = tuple(_TREE_FEATURES[:-1])
+    model = ModuleModel(_TREE_FEATURES, Roles(numerical=numbers, categorical=("DEVICE_BRAND_GD",)), CALIBRATION)
+    probability = tree_probability(MISSING_TREES["trees"], scale=1.0, bias=MISSING_TREES["bias"])
+    return _score(spark, sf, "activity", "activity_module", model, lambda df, c: with_scores(df, probability, c))
+
+
 # --- prepared table, catalog, full-width upsert -------------------------------
 
 _PREPARED = ["LAST_1_MONTH_CUSTOMERS", "TOTAL_APPS", "PRICE"]
@@ -180,7 +240,7 @@ def activity_prepared_table(spark, sf):
     rows = scans.module_scan(P.fact(spark, sf, "activity"), "activity_module", START, END)
     prepared = clean(rows, activity_roles(spark), -99999, "MISSING")
     path = sinks.overwrite_path(prepared, shared_folder(spark), "prepared", "ACTIVITY_MODULE")
-    return rounded(spark.read.parquet(path).select(*S.ID_COLUMNS, *_PREPARED, "DEVICE_BRAND_GD"))
+    return rounded(sinks.read_path(spark, path).select(*S.ID_COLUMNS, *_PREPARED, "DEVICE_BRAND_GD"))
 
 
 @query(
@@ -210,15 +270,15 @@ CTES["full_merged"] = (
 
 @query("upsert_full_master", with_ctes("SELECT * FROM full_merged", *_TO_BANDED, *_FULL, "full_rows", "full_merged"))
 def upsert_full_master(spark, sf):
-    """Verdicts merged into an older master with all its columns, as a new snapshot."""
+    """Verdicts merged into an older master with all its columns; only the years that change are written."""
     rows = stored(D.decided(_blended(spark, sf)), "decided")
     old = rows.where(_OLD).withColumns(
         {c: F.expr(v).cast(rows.schema[c].dataType) for c, v in _OLD_VALUES.items()}
     )
-    root = shared_folder(spark)
-    target = spark.read.parquet(sinks.write_snapshot(old, f"{root}/master/run=1"))
-    merged = upsert(target, rows.where(_FRESH))
-    return rounded(spark.read.parquet(sinks.write_snapshot(merged, f"{root}/master/run=2")).select(*S.MASTER_COLUMNS))
+    root = f"{shared_folder(spark)}/master"
+    versions.replace(old, root, {"RUN_YEAR": "year(BRE_RUN_DATE)"})
+    upsert_table(root, rows.where(_FRESH))
+    return rounded(sinks.read_path(spark, root).select(*S.MASTER_COLUMNS))
 
 
 _SHARE_TEXT = ("DISTRIBUTION_BADS", "DISTRIBUTION_GOODS", "CUM_BADS_SHARE", "CUM_GOODS_SHARE")

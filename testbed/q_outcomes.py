@@ -97,7 +97,7 @@ def labelled_master_table(spark, sf):
     path = sinks.overwrite_path(
         labelled(spark, sf), shared_folder(spark), "verdict_with_bad_flag", "MASTER", partition_by=["MODEL_TYPE"]
     )
-    return spark.read.parquet(path).groupBy("MODEL_TYPE", "STATUS").agg(
+    return sinks.read_path(spark, path).groupBy("MODEL_TYPE", "STATUS").agg(
         F.count("*").alias("N"),
         F.count("LOAN_ID").alias("LOANS"),
         F.coalesce(F.sum(S.OUTCOME_LABEL), F.lit(0)).alias("BADS"),

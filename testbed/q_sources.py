@@ -353,4 +353,4 @@ def table_overwrite_scan(spark, sf):
     root = shared_folder(spark)
     sinks.overwrite_path(rows.where("flag"), root, "final_result", "DECISIONS")
     path = sinks.overwrite_path(rows, root, "final_result", "DECISIONS")
-    return spark.read.parquet(path).withColumn("BRE_RUN_DATE", text_day("BRE_RUN_DATE"))
+    return sinks.read_path(spark, path).withColumn("BRE_RUN_DATE", text_day("BRE_RUN_DATE"))

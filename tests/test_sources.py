@@ -91,7 +91,7 @@ def test_writing_upper_cases_widens_and_replaces(spark, tmp_path):
     path = sinks.overwrite_path(df, str(tmp_path), "final_result", "MODEL_X", partition_by=["s"])
     sinks.overwrite_path(df.unionAll(df), str(tmp_path), "final_result", "MODEL_X", partition_by=["s"])
     assert path.endswith("/final_result_model_x_dag_version_two")
-    back = spark.read.parquet(path)
+    back = sinks.read_path(spark, path)
     assert back.count() == 2 and set(back.columns) == {"I", "TRX_PD", "S", "B", "D"}
     assert dict(back.dtypes)["I"] == "bigint" and dict(back.dtypes)["TRX_PD"] == "double"
     with pytest.raises(TypeError, match="m"):
