@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.operators.ranges import exact_quantiles
+from loanlens.operators.quantiles import exact_quantiles, sketched_quantiles
 from loanlens.session import stored
 from loanlens.sources.assets import Roles
 
@@ -71,12 +71,12 @@ def fit_edges(
     specs: Chosen,
     buckettype: str = "quantiles",
     buckets: int = BUCKETS,
-    ranges: int | None = None,
 ) -> Edges:
     """Bucket edges per module and numeric column, from the whole baselines.
 
-    ``"quantiles"`` takes exact quantiles, ``"bins"`` equal widths between the
-    least and the greatest value.  The result has one short list per column and
+    ``"quantiles"`` takes exact quantiles, ``"approx_quantiles"`` those of a
+    sketch (one pass, ranks within ``SKETCH_RANK_ERROR``), ``"bins"`` equal
+    widths between the least and the greatest value.  The result has one short list per column and
     is kept on the driver, like the splits of a fitted bucketizer.  Columns
     without any value in the baseline are left out.
     """
@@ -95,9 +95,10 @@ def fit_edges(
         ]
     )
     keys = ["MODULE", "VAR"]
-    if buckettype == "quantiles":
+    if buckettype in ("quantiles", "approx_quantiles"):
         steps = [i / buckets for i in range(buckets + 1)]
-        fitted = exact_quantiles(long, keys, "V", steps, ranges)
+        quantiles = exact_quantiles if buckettype == "quantiles" else sketched_quantiles
+        fitted = quantiles(long, keys, "V", steps)
         return {(r["MODULE"], r["VAR"]): list(r["QUANTILES"]) for r in fitted.collect()}
     if buckettype != "bins":
         raise ValueError(f"unknown buckettype {buckettype!r}")
@@ -243,9 +244,8 @@ def _numeric_report(
     month: str,
     buckettype: str,
     buckets: int,
-    ranges: int | None,
 ) -> DataFrame:
-    edges = fit_edges(specs, buckettype, buckets, ranges)
+    edges = fit_edges(specs, buckettype, buckets)
     base = _union(
         [
             _bucket_counts(_long_numbers(df, [], members, edges, buckets, new=False), [], buckets)
@@ -356,7 +356,6 @@ def psi_report(
     month: str = "MONTH_YEAR",
     buckettype: str = "quantiles",
     buckets: int = BUCKETS,
-    ranges: int | None = None,
 ) -> DataFrame:
     """COL_MODULE, PSI_MONTH (each month and OVERALL), PSI_VAR, PSI.
 
@@ -382,7 +381,7 @@ def psi_report(
         ]
     parts = []
     if numeric:
-        parts.append(_numeric_report(numeric, new, month, buckettype, buckets, ranges))
+        parts.append(_numeric_report(numeric, new, month, buckettype, buckets))
     if categorical:
         parts.append(_category_report(categorical, new, month))
     if one_sided:
@@ -403,11 +402,10 @@ def numeric_psi(
     month: str = "MONTH_YEAR",
     buckettype: str = "quantiles",
     buckets: int = BUCKETS,
-    ranges: int | None = None,
 ) -> DataFrame:
     """PSI of numeric columns alone."""
     spec = DriftModule("", None, Roles(numerical=tuple(columns)), baseline)
-    return psi_report([spec], new, month, buckettype, buckets, ranges).drop("COL_MODULE")
+    return psi_report([spec], new, month, buckettype, buckets).drop("COL_MODULE")
 
 
 def categorical_psi(

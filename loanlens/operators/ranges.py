@@ -90,71 +90,3 @@ def in_fixed_range(value: str, cuts: Sequence[float]) -> Column:
     """The range of a value for cuts known as numbers."""
     stride = _stride(len(cuts))
     return _range_of(value, _as_array(cuts), _as_array(cuts[stride - 1 :: stride]), stride)
-
-
-def _position(p: float) -> str:
-    """Where quantile p lies among the ranks 0 to n - 1."""
-    return f"(double(_n - 1) * double('{p!r}'))"
-
-
-def _ranks(probabilities: Sequence[float]) -> Column:
-    """The ranks next to every quantile, each once."""
-    low = [f"floor({_position(p)})" for p in probabilities]
-    high = [f"least({rank} + 1, _n - 1)" for rank in low]
-    return F.expr(f"array_distinct(array({', '.join(low + high)}))")
-
-
-def _interpolated(p: float) -> str:
-    """Linear interpolation between the two order statistics in the map ``_at``."""
-    low = f"floor({_position(p)})"
-    a, b = f"_at[{low}]", f"_at[least({low} + 1, _n - 1)]"
-    t = f"({_position(p)} - {low})"
-    return f"if({t} < 0.5D, {a} + ({b} - {a}) * {t}, {b} - ({b} - {a}) * (1.0D - {t}))"
-
-
-def exact_quantiles(
-    long: DataFrame,
-    groups: Sequence[str],
-    value: str,
-    probabilities: Sequence[float],
-    ranges: int | None = None,
-) -> DataFrame:
-    """Exact quantiles per group with linear interpolation, without a sort in one task.
-
-    Rank (n - 1) * p falls between two order statistics; both are found by
-    counting.  Returns (*groups, QUANTILES array, N); NULL values do not count.
-    """
-    groups = list(groups)
-    given = long.where(F.col(value).isNotNull())
-    counts = given.groupBy(*groups, value).agg(F.count("*").alias("_c"))
-    cuts = fixed_cuts(given, value, ranges)
-    ranged = counts.withColumn("_range", in_fixed_range(value, cuts))
-    totals = ranged.groupBy(*groups, "_range").agg(F.sum("_c").alias("_t"))
-    by_range = Window.partitionBy(*groups).orderBy("_range")
-    offsets = totals.select(
-        *groups,
-        "_range",
-        F.coalesce(
-            F.sum("_t").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_offset"),
-        F.sum("_t").over(Window.partitionBy(*groups)).alias("_n"),
-    ).withColumn("_ranks", _ranks(probabilities))
-    inside = (
-        Window.partitionBy(*groups, "_range")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    placed = ranged.withColumn("_through", F.sum("_c").over(inside)).join(
-        offsets, [*groups, "_range"]
-    )
-    first = F.col("_offset") + F.col("_through") - F.col("_c")
-    last = F.col("_offset") + F.col("_through") - 1
-    hit = F.filter("_ranks", lambda rank: (first <= rank) & (rank <= last))
-    # at most two ranks per quantile, so the map is as short as the quantile list
-    found = (
-        placed.select(*groups, "_n", F.col(value).alias("_value"), F.explode(hit).alias("_rank"))
-        .groupBy(*groups, "_n")
-        .agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"))
-    )
-    quantiles = ", ".join(_interpolated(p) for p in probabilities)
-    return found.select(*groups, F.expr(f"array({quantiles})").alias("QUANTILES"), F.col("_n").alias("N"))

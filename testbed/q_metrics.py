@@ -8,6 +8,7 @@ from loanlens.operators import gini as G
 from loanlens.operators import ks as K
 from loanlens.operators import psi as PSI
 from loanlens.operators.kl import aligned_shares, kl_divergence
+from loanlens.operators.quantiles import SKETCH_RANK_ERROR, sketched_quantiles
 from loanlens.sources import schemas as S
 from loanlens.sources.assets import Roles
 from testbed import proxies as P
@@ -309,6 +310,34 @@ def psi_numeric_quantile(spark, sf):
     return rounded(PSI.numeric_psi(*P.drift(spark, sf), NUMBERS))
 
 
+@query(
+    "sketch_edge_ranks",
+    with_ctes(
+        "SELECT VAR, cast(EDGE AS integer) AS EDGE, N, true AS WITHIN FROM (SELECT VAR, count(V) AS N FROM nb_q GROUP BY VAR),"
+        " (SELECT unnest(range(0, 11)) AS EDGE)",
+        "drift_rows", "nb_q",
+    ),
+)
+def sketch_edge_ranks(spark, sf):
+    """Every bucket edge from a sketch has its wanted rank within the stated error, counted over all rows."""
+    entries = F.array(*[F.struct(F.lit(c).alias("VAR"), F.col(c).cast("double").alias("V")) for c in NUMBERS])
+    long = P.drift(spark, sf)[0].select(F.inline(entries)).where("V is not null")
+    edges = sketched_quantiles(long, ["VAR"], "V", [i / 10 for i in range(11)])
+    counted = long.join(F.broadcast(edges), ["VAR"]).groupBy("VAR", "N").agg(  # one row for each variable
+        *[F.count_if(F.col("V") < F.col("QUANTILES")[i]).alias(f"below{i}") for i in range(11)],
+        *[F.count_if(F.col("V") <= F.col("QUANTILES")[i]).alias(f"until{i}") for i in range(11)],
+    )
+    error = SKETCH_RANK_ERROR * F.col("N") + 1
+    within = [
+        F.struct(
+            F.lit(i).alias("EDGE"),
+            ((F.col(f"below{i}") - error <= F.col("N") * i / 10) & (F.col("N") * i / 10 <= F.col(f"until{i}") + error)).alias("WITHIN"),
+        )
+        for i in range(11)
+    ]
+    return counted.select("VAR", "N", F.inline(F.array(*within)))
+
+
 @query("psi_numeric_width", with_ctes(_PSI_OUT + "psi_num_b", "drift_rows", *_B))
 def psi_numeric_width(spark, sf):
     return rounded(PSI.numeric_psi(*P.drift(spark, sf), NUMBERS, buckettype="bins"))

@@ -10,7 +10,7 @@ from loanlens.operators import gini as G
 from loanlens.operators import ks as K
 from loanlens.operators import psi as P
 from loanlens.operators.kl import aligned_shares, kl_divergence
-from loanlens.operators.ranges import exact_quantiles
+from loanlens.operators.quantiles import SKETCH_RANK_ERROR, exact_quantiles, sketched_quantiles
 from loanlens.sources import schemas as S
 from loanlens.sources.assets import Roles
 
@@ -192,7 +192,7 @@ def test_numeric_psi_equals_numpy(spark, kind, ties):
     months[0] = None
     bdf = spark.createDataFrame([(v, None) for v in base], "x double, empty double")
     ndf = spark.createDataFrame([(v, 1.0, m) for v, m in zip(new, months)], "x double, empty double, MONTH_YEAR string")
-    got = {(r["PSI_MONTH"], r["PSI_VAR"]): r["PSI"] for r in P.numeric_psi(bdf, ndf, ["x", "empty"], buckettype=kind, ranges=9).collect()}
+    got = {(r["PSI_MONTH"], r["PSI_VAR"]): r["PSI"] for r in P.numeric_psi(bdf, ndf, ["x", "empty"], buckettype=kind).collect()}
     assert set(m for m, _ in got) == {"JAN-2022", "FEB-2022", "OVERALL"}
     assert got["OVERALL", "x"] == pytest.approx(numpy_psi(base, new, kind))
     for m in ("Jan-2022", "Feb-2022"):
@@ -237,17 +237,74 @@ def test_report_counts_only_rows_with_score_and_flag(spark):
     assert not any(v == "nowhere" for _, v in got)
 
 
-@pytest.mark.parametrize("ranges", [1, 3, 64])
-def test_exact_quantiles_equal_numpy(spark, ranges):
+def spread_values(seed, n):
+    """Many magnitudes and signs, one value a third of all, and values that differ in the last digits alone."""
+    rnd = random.Random(seed)
+    close = 1.0 + 2.0**-50
+    draws = [
+        lambda: 7.25, lambda: rnd.lognormvariate(0, 30), lambda: -rnd.lognormvariate(0, 5), lambda: rnd.choice([1.0, close]),
+        lambda: float(rnd.randrange(-5, 5)), lambda: 1e6 + rnd.random(), lambda: rnd.choice([5e-324, -0.0, 0.0, 1.7e308, -1.7e308]),
+    ]
+    return [draws[0]() if rnd.random() < 0.3 else rnd.choice(draws)() for _ in range(n)]
+
+
+@pytest.mark.parametrize("few", [0, 3, 20_000])
+def test_exact_quantiles_equal_numpy(spark, few):
     rnd = random.Random(9)
     groups = {"g": [rnd.choice([1.5, rnd.random()]) for _ in range(101)], "h": [3.0], "k": [float(rnd.randrange(3)) for _ in range(64)]}
+    groups |= {f"s{seed}": spread_values(seed, 1500) for seed in range(4)}
+    groups["equal"] = [0.1 * 3] * 50
     df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("n", None)], "g string, v double")
-    probabilities = [i / 10 for i in range(11)]
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", probabilities, ranges).collect()}
+    probabilities = [i / 10 for i in range(11)] + [0.999]
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", probabilities, few).collect()}
     assert set(got) == set(groups)
     for g, vs in groups.items():
-        assert got[g]["QUANTILES"] == [float(np.percentile(vs, p * 100)) for p in probabilities]
+        ordered = sorted(vs)
+        for p, q in zip(probabilities, got[g]["QUANTILES"]):
+            low, high = ordered[math.floor((len(vs) - 1) * p)], ordered[math.ceil((len(vs) - 1) * p)]
+            if high - low < 1e300:  # beyond, the interpolation itself is not one number
+                assert q == float(np.percentile(vs, p * 100)), (g, p)
         assert got[g]["N"] == len(vs)
+    none = exact_quantiles(df.where("false"), ["g"], "v", probabilities)
+    assert none.count() == 0 and none.columns == ["g", "QUANTILES", "N"]
+
+
+def test_counts_that_are_shuffled_do_not_grow_with_the_values(spark):
+    """A hundred thousand distinct values of a variable leave a few thousand counts."""
+    from loanlens.operators import quantiles as Q
+
+    rows = spark.range(100_000).select(F.lit("x").alias("g"), (F.col("id") / 7.0).alias("_v"))
+    assert Q._counted(rows, ["g"], Q._log_bucket(F.col("_v"))).count() < 1000
+    assert exact_quantiles(rows, ["g"], "_v", [0.5], few=10).first()["QUANTILES"] == [np.percentile(np.arange(100_000) / 7.0, 50)]
+
+
+def test_sketched_quantiles_keep_their_rank_error(spark):
+    groups = {f"s{seed}": spread_values(seed, 30_000) for seed in range(2)} | {"u": [random.Random(4).random() for _ in range(30_000)]}
+    groups["small"] = [3.0, 1.0, 2.0]
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("n", None)], "g string, v double").repartition(7)
+    probabilities = [i / 20 for i in range(21)]
+    got = {r["g"]: r for r in sketched_quantiles(df, ["g"], "v", probabilities).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        ordered, n = np.sort(vs), len(vs)
+        assert got[g]["N"] == n and got[g]["QUANTILES"][0] == ordered[0] and got[g]["QUANTILES"][-1] == ordered[-1]
+        for p, q in zip(probabilities, got[g]["QUANTILES"]):
+            below, until = np.searchsorted(ordered, q, "left") / n, np.searchsorted(ordered, q, "right") / n
+            assert below - SKETCH_RANK_ERROR - 1 / n <= p <= until + SKETCH_RANK_ERROR + 1 / n, (g, p)
+
+
+def test_psi_over_sketched_edges_is_near_the_exact_one(spark):
+    """An edge off by one percent of the rows moves a share by two at most; the bound allows that for each bucket."""
+    rnd = random.Random(2)
+    rows = [(rnd.gauss(0, 1), rnd.expovariate(1.0)) for _ in range(8000)]
+    base = spark.createDataFrame(rows, "a double, b double")
+    new = base.selectExpr("a * 1.1 + 0.2 as a", "b * 0.8 as b", "'M-1' as MONTH_YEAR")
+    exact, near = (
+        {r["PSI_VAR"]: r["PSI"] for r in P.numeric_psi(base, new, ["a", "b"], buckettype=kind).collect() if r["PSI_MONTH"] == "OVERALL"}
+        for kind in ("quantiles", "approx_quantiles")
+    )
+    for v in ("a", "b"):
+        assert near[v] == pytest.approx(exact[v], abs=0.01) and near[v] > 0
 
 
 def test_more_variables_than_a_block(spark):
