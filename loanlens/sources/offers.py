@@ -6,8 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanlens.functions import iso_day, month_label
+from loanlens.session import stored
 
 OFFER_COLUMNS = [
     "ID", "EXPIRE_AT", "CREATED_AT", "UPDATED_AT", "LOAN_APPLICATION_ID", "UID", "USER_ID",
@@ -50,6 +52,7 @@ OFFER_MODULES = [
 ]
 
 FEATURES = "$.scoringServiceInput.features"
+MOST_FEATURES = 2_000  # that one module's table has as columns
 SCORING_OUTPUT = "$.scoringServiceOutput"
 
 
@@ -198,14 +201,28 @@ def module_columns(offers: DataFrame, features: Mapping[str, Sequence[str]]) ->
     return gated.select("*", *[F.col(pd).alias(f"{table}_{pd}") for _, table, pd in OFFER_MODULES])
 
 
-def feature_keys(records: DataFrame, module: str) -> list[str]:
-    """All feature names seen in one module (one row per name comes back)."""
-    keys = (
-        records.where(F.col("MODULE") == module)
-        .select(F.explode(F.map_keys("FEATURES")).alias("key"))
-        .distinct()
+def module_long(records: DataFrame) -> DataFrame:
+    """One row per record and feature: the form that holds any number of feature names."""
+    return records.select(
+        "ID", "MODULE", "CREATED_AT", "MONTH_YEAR", "USER_ID", "LOAN_APPLICATION_ID", "MODULE_PD",
+        F.explode("FEATURES").alias("FEATURE", "VALUE"),
     )
-    return sorted(r["key"] for r in keys.collect())
+
+
+def module_union(records: DataFrame, module: str, most: int = MOST_FEATURES) -> DataFrame:
+    """Records of one module with a column for every feature name that any of them has.
+
+    The names are the fields of one schema, which the tasks merge; the records
+    are written once, as a stored frame, and read for the schema and for the
+    table.  A module with more than ``most`` names raises: it has no use as
+    columns, but ``module_long`` takes it.
+    """
+    kept = stored(records.where(F.col("MODULE") == module), "module_records")
+    merged = kept.agg(F.schema_of_variant_agg(F.to_variant_object("FEATURES"))).first()[0] or ""
+    fields = T.StructType.fromDDL("f STRUCT<" + merged.removeprefix("OBJECT<"))["f"].dataType if merged.startswith("OBJECT<") else []
+    if len(fields) > most:
+        raise ValueError(f"{module} has {len(fields)} features, more than {most}; module_long holds them as rows")
+    return module_table(kept, module, sorted(f.name for f in fields))
 
 
 def module_table(

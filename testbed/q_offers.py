@@ -139,8 +139,20 @@ def json_combination_records(spark, sf):
 )
 def json_module_table(spark, sf):
     """The columns are the feature names found in the records."""
-    records = O.module_records(P.offers(spark, sf))
-    return O.module_table(records, "sms_module", O.feature_keys(records, "sms_module"))
+    return O.module_union(O.module_records(P.offers(spark, sf)), "sms_module")
+
+
+@query(
+    "json_module_long",
+    with_ctes(
+        "SELECT ID, MODULE, CREATED_AT, MONTH_YEAR, USER_ID, LOAN_APPLICATION_ID, MODULE_PD, k AS FEATURE,"
+        " json_extract_string(F, '$.\"' || k || '\"') AS VALUE FROM (SELECT *, unnest(json_keys(F)) AS k FROM offer_records)",
+        *_RECORDS,
+    ),
+)
+def json_module_long(spark, sf):
+    """All modules' features as rows, whatever their names and number."""
+    return rounded(O.module_long(O.module_records(P.offers(spark, sf))))
 
 
 def _listed_table(table, key, pd):

@@ -60,7 +60,15 @@ def test_module_records(spark):
     assert got[5, "transaction_module"][0] == 0.25 and got[5, "transaction_module"][2] == "Sep-2022"
     assert got[5, "activity"][0] is None and got[1, "sms_module"][1] == {"amt": None}
     assert (0, "transaction_module") not in got and len(got) == 5
-    assert offers.feature_keys(records, "transaction_module") == ["n", "odd key's"]
+    union = offers.module_union(records, "transaction_module")
+    assert [c for c in union.columns if c not in records.columns and c != "TRX_PD"] == ["n", "odd key's"]
+    long = offers.module_long(records)
+    assert {(r.FEATURE, r.VALUE) for r in long.where("MODULE = 'transaction_module'").collect()} == {
+        (k, r[k]) for r in union.collect() for k in ("n", "odd key's") if r[k] is not None
+    }
+    with pytest.raises(ValueError, match="more than 1"):
+        offers.module_union(records, "transaction_module", most=1)
+    assert offers.module_union(records, "nowhere").count() == 0
     table = offers.module_table(records, "sms_module", ["amt", "kind"]).orderBy("ID").collect()
     assert [(r["amt"], r["kind"], r["SMS_PD"]) for r in table] == [("5", "x", 0.1), (None, None, None)]
 
