@@ -77,11 +77,20 @@ def overwrite_table(
 
 
 def overwrite_path(
-    df: DataFrame, root: str, identifier: str, dataset: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    root: str,
+    identifier: str,
+    dataset: str,
+    partition_by: Sequence[str] = (),
+    checks: Sequence[versions.Verified] = (),
 ) -> str:
-    """The same as files under a shared folder; returns the path, for ``read_path``."""
+    """The same as files under a shared folder; returns the path, for ``read_path``.
+
+    ``checks`` are verified after the write; a failed one raises, and the old
+    rows stay.
+    """
     path = f"{root.rstrip('/')}/{table_name(identifier, dataset)}"
-    versions.replace(_as_stored(df), path, [c.upper() for c in partition_by])
+    versions.replace(_as_stored(df), path, [c.upper() for c in partition_by], checks=checks)
     return path
 
 

@@ -8,6 +8,7 @@ import os
 from pyspark.sql import functions as F
 
 from loanlens.operators import ks as K
+from loanlens.operators.checks import checked_numbers, checked_rows
 from loanlens.operators.cleaning import clean
 from loanlens.operators.outcomes import features_for_master
 from loanlens.operators.scoring import ModuleModel, linear_score, with_scores
@@ -236,10 +237,12 @@ _PREPARED = ["LAST_1_MONTH_CUSTOMERS", "TOTAL_APPS", "PRICE"]
     ),
 )
 def activity_prepared_table(spark, sf):
-    """Scanned, cleaned, written as its table and read back."""
+    """Scanned, cleaned, written as its table, with failed casts and rows counted by the write, and read back."""
     rows = scans.module_scan(P.fact(spark, sf, "activity"), "activity_module", START, END)
+    rows, given = checked_rows(rows, "activity rows")
+    rows, numeric = checked_numbers(rows, _PREPARED)
     prepared = clean(rows, activity_roles(spark), -99999, "MISSING")
-    path = sinks.overwrite_path(prepared, shared_folder(spark), "prepared", "ACTIVITY_MODULE")
+    path = sinks.overwrite_path(prepared, shared_folder(spark), "prepared", "ACTIVITY_MODULE", checks=[given, numeric])
     return rounded(sinks.read_path(spark, path).select(*S.ID_COLUMNS, *_PREPARED, "DEVICE_BRAND_GD"))
 
 

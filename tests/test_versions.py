@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from loanlens.operators.checks import checked_numbers, checked_rows
 from loanlens.operators.trees import from_dump, tree_probability, tree_value
 from loanlens.operators.upsert import upsert, upsert_table
 from loanlens.sources import sinks, versions
@@ -146,6 +147,46 @@ def test_of_two_writers_from_one_version_the_second_fails(spark, tmp_path):
     assert versions.read(spark, root).count() == len(TARGET) + 1
 
 
+# --- checks that the write itself counts ------------------------------------------
+
+
+def jobs_of(spark, run):
+    """What a call returns, and the number of jobs it started."""
+    group = f"g{id(run)}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_failed_casts_are_counted_by_the_write(spark, tmp_path):
+    good = spark.createDataFrame([("r", "1"), ("s", None), ("t", "2.5")], "BRE_RUN_ID string, X string")
+    bad = good.unionByName(spark.createDataFrame([("u", "many")], "BRE_RUN_ID string, X string"))
+    plain = lambda df: sinks.overwrite_path(df, str(tmp_path), "plain", "T")
+    _, alone = jobs_of(spark, lambda: plain(good))
+
+    def checked(df):
+        numbers, check = checked_numbers(df, ["X"])
+        return sinks.overwrite_path(numbers, str(tmp_path), "checked", "T", checks=[check]), check
+
+    (path, check), together = jobs_of(spark, lambda: checked(good))
+    assert check.counts() == {"c0": 0} and together == alone
+    with pytest.raises(ValueError, match="'X': 1"):
+        checked(bad)
+    assert sorted(r.X for r in sinks.read_path(spark, path).collect() if r.X) == [1.0, 2.5]
+
+
+def test_rows_are_counted_by_the_write(spark, tmp_path):
+    rows, check = checked_rows(spark.range(3), "scores")
+    path = sinks.overwrite_path(rows, str(tmp_path), "rows", "T", checks=[check])
+    assert check.counts() == {"n": 3}
+    none, check = checked_rows(spark.range(3).where("id > 5"), "scores")
+    with pytest.raises(ValueError, match="scores: 0 rows"):
+        sinks.overwrite_path(none, str(tmp_path), "rows", "T", checks=[check])
+    assert sinks.read_path(spark, path).count() == 3
+
+
 # --- trees with directions for missing values ------------------------------------
 
 SPLITS = {
