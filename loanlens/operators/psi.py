@@ -27,6 +27,8 @@ TINY = 0.0001
 OVERALL = "OVERALL"
 PLACEHOLDER = "--"
 BLOCK = 24
+NUMBER, CATEGORY = "number", "category"
+_VARIABLE = ("MODULE", "VAR", "KIND")
 
 Edges = dict[tuple[str, str], list[float]]
 
@@ -88,7 +90,7 @@ def fit_edges(
                     f"named_struct('MODULE', {_text(spec.name)}, 'VAR', {_text(c)}, 'V', {value})"
                 ),
                 lambda roles: roles.numerical,
-                _number_sql,
+                lambda spec, c: _number_sql,
                 new=False,
             )
             for baseline, members in _by_baseline(specs)
@@ -141,16 +143,6 @@ def bucket_sql(value: str, edges: Sequence[float]) -> str:
     return f"case when {value} > {number_of[-1]} then null {steps} end"
 
 
-def _numeric_entry(spec: DriftModule, c: str, value: str, edges: Edges, buckets: int) -> str:
-    """(MODULE, VAR, B); B is the bucket, the last one for missing."""
-    fitted = edges.get((spec.name, c))
-    inside = bucket_sql(value, fitted) if fitted else "cast(null as int)"
-    return (
-        f"named_struct('MODULE', {_text(spec.name)}, 'VAR', {_text(c)},"
-        f" 'B', if({value} is null, {buckets}, {inside}))"
-    )
-
-
 def _long(
     df: DataFrame, groups: Sequence[str], members: Chosen, entry_of, columns_of, value_of, new: bool
 ) -> DataFrame:
@@ -172,7 +164,7 @@ def _long(
             name = (spec.prefix if new else "") + c
             flag = f"_in {spec.name}"
             flags[flag] = spec.counts_row() if new else F.lit(True)
-            values[f"_v {name}"] = value_of(_quoted(name))
+            values[f"_v {name}"] = value_of(spec, c)(_quoted(name))
             entry = entry_of(spec, c, _quoted(f"_v {name}"))
             entries.append(f"if({_quoted(flag)}, {entry}, null)")
         prepared = df.withColumns(flags).selectExpr(
@@ -186,41 +178,38 @@ def _long(
     return _union(blocks)
 
 
-def _long_numbers(
-    df: DataFrame, groups: Sequence[str], members: Chosen, edges: Edges, buckets: int, new: bool
-) -> DataFrame:
-    return _long(
-        df, groups, members,
-        lambda spec, c, value: _numeric_entry(spec, c, value, edges, buckets),
-        lambda roles: roles.numerical,
-        _number_sql,
-        new,
-    )
-
+def _entry_of(edges: Edges, buckets: int):
+    """(MODULE, VAR, KIND, KEY) of a value: its bucket's number, or its category."""
 
-def _long_categories(
-    df: DataFrame, groups: Sequence[str], members: Chosen, new: bool
-) -> DataFrame:
     def entry(spec: DriftModule, c: str, value: str) -> str:
-        marked = f"coalesce({value}, {_text(spec.missing_cat)})"
-        return (
-            f"named_struct('MODULE', {_text(spec.name)}, 'VAR', {_text(c)}, 'CATEGORY', {marked})"
-        )
+        if c in spec.asked().numerical:
+            fitted = edges.get((spec.name, c))
+            inside = bucket_sql(value, fitted) if fitted else "cast(null as int)"
+            key, kind = f"cast(if({value} is null, {buckets}, {inside}) as string)", NUMBER
+        else:
+            key, kind = f"coalesce({value}, {_text(spec.missing_cat)})", CATEGORY
+        return f"named_struct('MODULE', {_text(spec.name)}, 'VAR', {_text(c)}, 'KIND', '{kind}', 'KEY', {key})"
+
+    return entry
 
-    return _long(
-        df, groups, members, entry,
-        lambda roles: roles.categorical,
-        lambda column: f"nullif(cast({column} as string), {_text(PLACEHOLDER)})",
-        new,
-    )
 
+def _category_sql(column: str) -> str:
+    """A category as text; the placeholder is no category."""
+    return f"nullif(cast({column} as string), {_text(PLACEHOLDER)})"
 
-def _bucket_counts(long: DataFrame, groups: Sequence[str], buckets: int) -> DataFrame:
-    """TOTAL and COUNTS (the buckets plus missing); one row per group leaves each map task."""
-    return long.groupBy(*groups, "MODULE", "VAR").agg(
-        F.count("*").alias("TOTAL"),
-        F.array(*[F.count_if(F.col("B") == i) for i in range(buckets + 1)]).alias("COUNTS"),
+
+def _counts(
+    df: DataFrame, groups: Sequence[str], members: Chosen, edges: Edges, buckets: int, new: bool
+) -> DataFrame:
+    """COUNT of rows per group, MODULE, VAR, KIND and KEY: buckets and categories in one pass.
+
+    A number outside the edges has a NULL key, which counts in the total alone.
+    """
+    long = _long(
+        df, groups, members, _entry_of(edges, buckets), lambda roles: (*roles.numerical, *roles.categorical),
+        lambda spec, c: _number_sql if c in spec.asked().numerical else _category_sql, new,
     )
+    return long.groupBy(*groups, *_VARIABLE, "KEY").agg(F.count("*").alias("COUNT"))
 
 
 def _labels(month: str) -> Column:
@@ -238,55 +227,41 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _numeric_report(
-    specs: Chosen,
-    new: DataFrame,
-    month: str,
-    buckettype: str,
-    buckets: int,
-) -> DataFrame:
-    edges = fit_edges(specs, buckettype, buckets)
-    base = _union(
-        [
-            _bucket_counts(_long_numbers(df, [], members, edges, buckets, new=False), [], buckets)
-            for df, members in _by_baseline(specs)
-        ]
-    ).select("MODULE", "VAR", F.col("TOTAL").alias("_n"), F.col("COUNTS").alias("_base"))
-    fitted = F.concat_ws("/", "MODULE", "VAR").isin(*["/".join(k) for k in edges]) if edges else F.lit(False)
-    slots = range(buckets + 1)
-    counted = (
-        _bucket_counts(
-            _long_numbers(new, [month], specs, edges, buckets, new=True), [month], buckets
-        )
-        .select("MODULE", "VAR", "TOTAL", "COUNTS", F.explode(_labels(month)).alias("PSI_MONTH"))
-        .groupBy("MODULE", "PSI_MONTH", "VAR")
-        .agg(
-            F.sum("TOTAL").alias("TOTAL"),
-            F.array(*[F.sum(F.col("COUNTS")[i]) for i in slots]).alias("COUNTS"),
-        )
-    )
-    # the baseline has one row per column of the table, which bounds the broadcast
-    joined = counted.join(F.broadcast(base), ["MODULE", "VAR"], "left")
-    psi = F.lit(0.0)
-    for i in slots:
-        psi = psi + _term(
-            F.col("_base")[i].cast("double") / F.col("_n"),
-            F.col("COUNTS")[i].cast("double") / F.col("TOTAL"),
-        )
-    return joined.select("MODULE", "PSI_MONTH", "VAR", F.when(fitted, psi).alias("PSI"))
+@dataclass(frozen=True)
+class Baseline:
+    """What a report needs of the baselines: bucket edges, and the share of every bucket and category.
+
+    ``shares`` is a stored table of counts (MODULE, VAR, KIND, KEY, COUNT, SHARE);
+    later reports over the same baseline take it as it is and do not read the
+    baseline's rows again.
+    """
 
+    edges: Edges
+    shares: DataFrame
+    buckets: int = BUCKETS
 
-def _shares(baseline: DataFrame, members: Chosen) -> DataFrame:
-    """MODULE, VAR, CATEGORY and the share of all baseline rows."""
-    counts = (
-        _long_categories(baseline, [], members, new=False)
-        .groupBy("MODULE", "VAR", "CATEGORY")
-        .agg(F.count("*").alias("COUNT"))
+
+def fit_baseline(specs: Chosen, buckettype: str = "quantiles", buckets: int = BUCKETS) -> Baseline:
+    """Edges from the baselines' numbers, then one counting pass over each baseline."""
+    numeric = [(spec, roles) for spec, roles in specs if roles.numerical]
+    edges = fit_edges(numeric, buckettype, buckets) if numeric else {}
+    counted = stored(
+        _union([_counts(df, [], members, edges, buckets, new=False) for df, members in _by_baseline(specs)]),
+        "baseline_counts",
     )
-    # every row has one category per variable; one row per column bounds the broadcast
-    totals = counts.groupBy("MODULE", "VAR").agg(F.sum("COUNT").alias("_all"))
-    return counts.join(F.broadcast(totals), ["MODULE", "VAR"]).select(
-        "MODULE", "VAR", "CATEGORY", "COUNT", (F.col("COUNT").cast("double") / F.col("_all")).alias("SHARE")
+    return Baseline(edges, stored(_shares(counted, buckets), "baseline_shares"), buckets)
+
+
+def _shares(counted: DataFrame, buckets: int) -> DataFrame:
+    """Counts with SHARE of all rows; a number has a row for each bucket, also for the empty ones."""
+    slots = F.explode(F.sequence(F.lit(0), F.lit(buckets)).cast("array<string>"))
+    numbers = counted.where(F.col("KIND") == NUMBER).select(*_VARIABLE).distinct().select(*_VARIABLE, slots.alias("KEY"))
+    filled = counted.where("KEY is not null").unionByName(numbers.withColumn("COUNT", F.lit(0).cast("long")))
+    filled = filled.groupBy(*_VARIABLE, "KEY").agg(F.sum("COUNT").alias("COUNT"))
+    # one row for each column of the table bounds the broadcast
+    totals = counted.groupBy(*_VARIABLE).agg(F.sum("COUNT").alias("_all"))
+    return filled.join(F.broadcast(totals), [*_VARIABLE]).select(
+        *_VARIABLE, "KEY", "COUNT", (F.col("COUNT").cast("double") / F.col("_all")).alias("SHARE")
     )
 
 
@@ -294,96 +269,89 @@ def category_shares(df: DataFrame, columns: Sequence[str], missing_cat: str = "M
     """VAR, CATEGORY, COUNT and SHARE of all rows."""
     roles = Roles(categorical=tuple(columns))
     spec = DriftModule("", None, roles, df, missing_cat=missing_cat)
-    return _shares(df, [(spec, roles)]).drop("MODULE")
+    shares = _shares(_counts(df, [], [(spec, roles)], {}, BUCKETS, new=False), BUCKETS)
+    return shares.select("VAR", F.col("KEY").alias("CATEGORY"), "COUNT", "SHARE")
 
 
-def _category_report(
-    specs: Chosen, new: DataFrame, month: str
-) -> DataFrame:
-    """A category the new rows lack adds the term of share 0.0001.
+def _report(specs: Chosen, new: DataFrame, month: str, baseline: Baseline) -> DataFrame:
+    """MODULE, PSI_MONTH, VAR, PSI, from counts of the new rows and the baseline's shares.
 
-    Those terms are summed once per variable; a category both sides have
-    replaces its own.  So no table of months x categories is built.
+    A bucket or category that the new rows lack adds the term of share 0.0001.
+    Those terms are summed once per variable; one that both sides have replaces
+    its own.  So no table of months x categories is built, and the totals come
+    from the same counts: every row counts once for each variable.
     """
-    base = _union([_shares(df, members) for df, members in _by_baseline(specs)]).select(
-        "MODULE", "VAR", "CATEGORY", F.col("SHARE").alias("_e")
-    )
-    absent = base.groupBy("MODULE", "VAR").agg(
-        F.sum(_term(F.col("_e"), F.lit(0.0))).alias("_absent")
-    )
-    per_module = F.array(
-        *[F.when(s.counts_row(), F.struct(F.lit(s.name).alias("MODULE"))) for s, _ in specs]
-    )
-    totals = stored(
-        new.select(month, F.inline(per_module))
-        .where("MODULE is not null")
-        .groupBy(month, "MODULE")
-        .agg(F.count("*").alias("_n"))
-        .select("MODULE", F.explode(_labels(month)).alias("PSI_MONTH"), "_n")
-        .groupBy("MODULE", "PSI_MONTH")
-        .agg(F.sum("_n").alias("_n")),
-        "psi_totals",
-    )
-    counts = (
-        _long_categories(new, [month], specs, new=True)
-        .groupBy(month, "MODULE", "VAR", "CATEGORY")
-        .agg(F.count("*").alias("COUNT"))
-        .select("MODULE", "VAR", "CATEGORY", "COUNT", F.explode(_labels(month)).alias("PSI_MONTH"))
-        .groupBy("MODULE", "PSI_MONTH", "VAR", "CATEGORY")
-        .agg(F.sum("COUNT").alias("_c"))
+    counted = stored(
+        _counts(new, [month], specs, baseline.edges, baseline.buckets, new=True)
+        .select(*_VARIABLE, "KEY", "COUNT", F.explode(_labels(month)).alias("PSI_MONTH"))
+        .groupBy(*_VARIABLE, "PSI_MONTH", "KEY")
+        .agg(F.sum("COUNT").alias("_c")),
+        "drift_counts",
     )
+    base = baseline.shares.select(*_VARIABLE, "KEY", F.col("SHARE").alias("_e"))
+    absent = base.groupBy(*_VARIABLE).agg(F.sum(_term(F.col("_e"), F.lit(0.0))).alias("_absent"))
+    totals = counted.groupBy(*_VARIABLE, "PSI_MONTH").agg(F.sum("_c").alias("_n"))
     e, a = F.col("_e"), F.col("_c").cast("double") / F.col("_n")
     present = (
-        counts.join(base, ["MODULE", "VAR", "CATEGORY"])
-        .join(totals, ["MODULE", "PSI_MONTH"])
-        .groupBy("MODULE", "PSI_MONTH", "VAR")
+        counted.join(base, [*_VARIABLE, "KEY"])
+        .join(totals, [*_VARIABLE, "PSI_MONTH"])
+        .groupBy(*_VARIABLE, "PSI_MONTH")
         .agg(F.sum(_term(e, a) - _term(e, F.lit(0.0))).alias("_present"))
     )
+    known = [f"{module}/{c}" for module, c in baseline.edges]
+    fitted = (F.col("KIND") == CATEGORY) | (F.concat_ws("/", "MODULE", "VAR").isin(known) if known else F.lit(False))
     # ``absent`` has one row per column of the table, which bounds the broadcast
     return (
-        totals.join(F.broadcast(absent), ["MODULE"])
-        .join(present, ["MODULE", "PSI_MONTH", "VAR"], "left")
+        totals.join(F.broadcast(absent), [*_VARIABLE], "left")
+        .where((F.col("KIND") == NUMBER) | F.col("_absent").isNotNull())
+        .join(present, [*_VARIABLE, "PSI_MONTH"], "left")
         .select(
             "MODULE", "PSI_MONTH", "VAR",
-            (F.col("_absent") + F.coalesce(F.col("_present"), F.lit(0.0))).alias("PSI"),
+            F.when(fitted, F.col("_absent") + F.coalesce(F.col("_present"), F.lit(0.0))).alias("PSI"),
         )
     )
 
 
+def compared(specs: Sequence[DriftModule], new: DataFrame) -> tuple[Chosen, list[tuple]]:
+    """The modules with the columns that both sides have, and rows for those that one side has."""
+    chosen, one_sided = [], []
+    for spec in specs:
+        asked = spec.asked()
+        old_has = set(spec.baseline.columns)
+        new_has = {c for c in (*asked.numerical, *asked.categorical) if spec.prefix + c in new.columns}
+        roles = asked.within([c for c in new_has if c in old_has])
+        if roles.numerical or roles.categorical:
+            chosen.append((spec, roles))
+        one_sided += [
+            (spec.name, OVERALL, c, None)
+            for c in (*asked.numerical, *asked.categorical)
+            if (c in old_has) != (c in new_has)
+        ]
+    return chosen, one_sided
+
+
 def psi_report(
     specs: Sequence[DriftModule],
     new: DataFrame,
     month: str = "MONTH_YEAR",
     buckettype: str = "quantiles",
     buckets: int = BUCKETS,
+    baseline: Baseline | None = None,
 ) -> DataFrame:
     """COL_MODULE, PSI_MONTH (each month and OVERALL), PSI_VAR, PSI.
 
     Give stored frames when there are many variables: each block of them scans
-    its own columns (see ``_long``).
+    its own columns (see ``_long``).  ``baseline`` is what ``fit_baseline`` gave
+    for the same modules; with it the baselines' rows are not read.
     Dictionary features that only the baseline or only the new rows have are
     reported once with NULL; so are numbers the baseline holds no value of.
     """
-    numeric, categorical, one_sided = [], [], []
-    for spec in specs:
-        asked = spec.asked()
-        old_has = set(spec.baseline.columns)
-        new_has = {c for c in (*asked.numerical, *asked.categorical) if spec.prefix + c in new.columns}
-        roles = asked.within([c for c in new_has if c in old_has])
-        if roles.numerical:
-            numeric.append((spec, roles))
-        if roles.categorical:
-            categorical.append((spec, roles))
-        one_sided += [
-            (spec.name, OVERALL, c, None)
-            for c in (*asked.numerical, *asked.categorical)
-            if (c in old_has) != (c in new_has)
-        ]
+    chosen, one_sided = compared(specs, new)
     parts = []
-    if numeric:
-        parts.append(_numeric_report(numeric, new, month, buckettype, buckets))
-    if categorical:
-        parts.append(_category_report(categorical, new, month))
+    if chosen:
+        if baseline is None:
+            baseline = fit_baseline(chosen, buckettype, buckets)
+        parts.append(_report(chosen, new, month, baseline))
     if one_sided:
         parts.append(
             new.sparkSession.createDataFrame(

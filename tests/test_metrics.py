@@ -307,6 +307,19 @@ def test_psi_over_sketched_edges_is_near_the_exact_one(spark):
         assert near[v] == pytest.approx(exact[v], abs=0.01) and near[v] > 0
 
 
+def test_a_stored_baseline_is_not_read_again(spark):
+    rows = [(float(i % 9), f"k{i % 4}", "M-1") for i in range(200)]
+    base = spark.createDataFrame(rows, "x double, k string, MONTH_YEAR string")
+    spec = P.DriftModule("m", None, Roles(("x",), ("k",)), base)
+    new = base.where("x > 2")
+    chosen, _ = P.compared([spec], new)
+    fitted = P.fit_baseline(chosen)
+    once = sorted(map(tuple, P.psi_report([spec], new).collect()))
+    broken = base.withColumn("x", F.raise_error(F.lit("read")).cast("double"))
+    again = P.psi_report([P.DriftModule("m", None, Roles(("x",), ("k",)), broken)], new, baseline=fitted)
+    assert sorted(map(tuple, again.collect())) == once and len(once) == 4
+
+
 def test_more_variables_than_a_block(spark):
     names = [f"x{i}" for i in range(P.BLOCK * 2 + 3)]
     rows = [tuple(float((i * (j + 3)) % 17) for j in range(len(names))) + ("M",) for i in range(120)]
