@@ -231,7 +231,7 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 class Baseline:
     """What a report needs of the baselines: bucket edges, and the share of every bucket and category.
 
-    ``shares`` is a stored table of counts (MODULE, VAR, KIND, KEY, COUNT, SHARE);
+    ``shares`` comes from a stored table of counts (MODULE, VAR, KIND, KEY, COUNT, SHARE);
     later reports over the same baseline take it as it is and do not read the
     baseline's rows again.
     """
@@ -249,7 +249,7 @@ def fit_baseline(specs: Chosen, buckettype: str = "quantiles", buckets: int = BU
         _union([_counts(df, [], members, edges, buckets, new=False) for df, members in _by_baseline(specs)]),
         "baseline_counts",
     )
-    return Baseline(edges, stored(_shares(counted, buckets), "baseline_shares"), buckets)
+    return Baseline(edges, _shares(counted, buckets), buckets)
 
 
 def _shares(counted: DataFrame, buckets: int) -> DataFrame:
