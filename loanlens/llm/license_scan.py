@@ -27,40 +27,129 @@ PHRASES = {
     "general public license": "gpl",
 }
 
-# Sentences of well-known licenses, by label.
+# Notices and paragraphs of well-known licenses, by label.
 TEMPLATES = {
+    "agpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of"
+        " the GNU Affero General Public License as published by the Free Software Foundation",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"
+        " without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See"
+        " the GNU Affero General Public License for more details.",
+    ),
     "apache": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file"
         " except in compliance with the License. You may obtain a copy of the License at",
+        "Unless required by applicable law or agreed to in writing, software distributed under the"
+        " License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND,"
+        " either express or implied. See the License for the specific language governing permissions"
+        " and limitations under the License.",
+        "Grant of Copyright License. Subject to the terms and conditions of this License, each"
+        " Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge,"
+        " royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of,"
+        " publicly display, publicly perform, sublicense, and distribute the Work and such Derivative"
+        " Works in Source or Object form.",
+        "Trademarks. This License does not grant permission to use the trade names, trademarks,"
+        " service marks, or product names of the Licensor, except as required for reasonable and"
+        " customary use in describing the origin of the Work and reproducing the content of the"
+        " NOTICE file.",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are"
         " permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of"
+        " conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of"
+        " conditions and the following disclaimer in the documentation and/or other materials provided"
+        " with the distribution.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS"
+        " OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF"
+        " MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE"
+        " COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,"
+        " EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE"
+        " GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED"
+        " AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING"
+        " NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED"
+        " OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    "bsd-3-clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to"
+        " endorse or promote products derived from this software without specific prior written"
+        " permission.",
     ),
     "cc-by": ("Licensed under CC BY 4.0.", "Creative Commons Attribution 4.0 International License"),
     "cc-by-nc": (
         "Licensed under CC BY-NC 4.0.",
         "Creative Commons Attribution-NonCommercial 4.0 International License",
     ),
+    "cc-by-sa": (
+        "Licensed under CC BY-SA 4.0.",
+        "Creative Commons Attribution-ShareAlike 4.0 International License",
+    ),
+    "cc0": (
+        "To the extent possible under law, the person who associated CC0 with this work has waived all"
+        " copyright and related or neighboring rights to this work.",
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse"
+        " Public License 2.0 which is available at",
+    ),
     "gpl": (
         "This program is free software: you can redistribute it and/or modify it under the terms of"
         " the GNU General Public License as published by the Free Software Foundation",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"
+        " without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See"
+        " the GNU General Public License for more details.",
         "This work is licensed under the GNU General Public License, version 3.",
     ),
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or"
         " without fee is hereby granted, provided that the above copyright notice and this"
         " permission notice appear in all copies",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS"
+        " SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL"
+        " THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY"
+        " DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF"
+        " CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE"
+        " OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    "lgpl": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of"
+        " the GNU Lesser General Public License as published by the Free Software Foundation",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"
+        " without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See"
+        " the GNU Lesser General Public License for more details.",
     ),
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
         " software and associated documentation files (the \"Software\"), to deal in the Software"
         " without restriction",
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute,"
+        " sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is"
+        " furnished to do so, subject to the following conditions",
+        "The above copyright notice and this permission notice shall be included in all copies or"
+        " substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,"
+        " INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR"
+        " PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR"
+        " ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,"
+        " ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE"
+        " SOFTWARE.",
     ),
     "mpl": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a"
         " copy of the MPL was not distributed with this file, you can obtain one at",
     ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software,"
+        " either in source code form or as a compiled binary, for any purpose, commercial or"
+        " non-commercial, and by any means.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,"
+        " INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR"
+        " PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES"
+        " OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF"
+        " OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
 }
 
 THRESHOLD = 0.8

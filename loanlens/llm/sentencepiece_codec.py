@@ -8,7 +8,9 @@ SentencePiece library gives, at the speed of batches on several threads.
 
 from __future__ import annotations
 
+import codecs
 import functools
+import itertools
 import os
 import struct
 from collections.abc import Iterable, Iterator
@@ -32,6 +34,11 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BYTE_CUT = "<0"
+UNKNOWN_TEXT = " ⁇ "
+BYTE_ERRORS = "loanlens-each-byte"
+
+# a byte that belongs to no character stands for one replacement character, each on its own
+codecs.register_error(BYTE_ERRORS, lambda e: ("\ufffd", e.start + 1))
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -76,6 +83,7 @@ class Model:
     dummy_prefix: bool = True
     collapse_blanks: bool = True
     escape_blanks: bool = True
+    unknown_text: str = UNKNOWN_TEXT
 
 
 def parse_model(data: bytes) -> Model:
@@ -99,6 +107,8 @@ def parse_model(data: bytes) -> Model:
                     model.suffix_mark = bool(v)
                 elif n == 35:
                     model.byte_fallback = bool(v)
+                elif n == 44:
+                    model.unknown_text = v.decode()
         elif number == 3:
             for n, v in fields(value):
                 if n == 2:
@@ -179,11 +189,16 @@ def byte_ids(model: Model) -> np.ndarray:
 
 
 def piece_bytes(model: Model) -> list[bytes]:
-    """What each id stands for in decoded text: a byte piece's byte, else the piece with blanks."""
-    return [
-        bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode()
-        for piece, _, kind in model.pieces
-    ]
+    """What each id stands for in decoded text: a byte piece's byte, nothing for control, else the piece with blanks."""
+
+    def one(piece: str, kind: int) -> bytes:
+        if kind == BYTE:
+            return bytes([int(piece[3:5], 16)])
+        if kind == CONTROL:
+            return b""
+        return (model.unknown_text if kind == UNKNOWN else piece.replace(MARK, " ")).encode()
+
+    return [one(piece, kind) for piece, _, kind in model.pieces]
 
 
 class Codec:
@@ -193,19 +208,45 @@ class Codec:
         self.model = parse_model(data)
         self.made, self.is_byte = build(self.model), byte_ids(self.model)
         self._bytes = piece_bytes(self.model)
+        self._control = {i for i, (_, _, kind) in enumerate(self.model.pieces) if kind == CONTROL}
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.made.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _blanks_before(self, ids: list[int]) -> int:
+        """How many blanks at the start are markers and no text: one of the first piece that is not empty.
+
+        Where blanks are collapsed, a piece that is a marker and nothing else
+        leaves the next one at the start, too.
+        """
+        if not (self.model.dummy_prefix or self.model.collapse_blanks):
+            return 0
+        cut = 0
+        for i in ids:
+            piece, _, kind = self.model.pieces[i]
+            if kind == CONTROL:
+                continue
+            if kind in (UNKNOWN, BYTE) or not piece.startswith(MARK):
+                break
+            cut += 1
+            if not self.model.collapse_blanks or piece != MARK:
+                break
+        return cut
+
     def decode(self, ids: list[int]) -> str:
-        """The text of ids that came from a text, whose byte pieces are whole characters.
+        """The text of ids of any origin, as the SentencePiece library gives it.
 
-        For ids of any origin there is the tokenizer's own ``decode``.
+        Control ids give nothing, an unknown one the model's own sign for it,
+        and bytes that make no character a replacement character each.
         """
-        text = b"".join([self._bytes[i] for i in ids]).decode("utf-8", "replace")
-        if self.model.collapse_blanks:
-            return text.lstrip(" ")
-        return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
+        parts = [ids]
+        if not self._control.isdisjoint(ids):  # bytes on both sides of a control id make no character
+            parts = [list(part) for control, part in itertools.groupby(ids, self._control.__contains__) if not control]
+        text = "".join(b"".join([self._bytes[i] for i in part]).decode("utf-8", BYTE_ERRORS) for part in parts)
+        return text[self._blanks_before(ids) :]
+
+    def has(self, ids: list[int | None]) -> bool:
+        return all(i is not None and 0 <= i < len(self._bytes) for i in ids)
 
     def plain(self, text: str) -> str:
         """The normalised text, as decoding should give it."""
@@ -249,6 +290,25 @@ _CODED_ARROW = pa.struct(
 )
 
 
+def _coded(codec: Codec, texts: list[str | None], codes: list[list[int]]) -> pa.StructArray:
+    """The result column: one flat array of ids with offsets, and a value per text."""
+    null = np.array([t is None for t in texts], bool)
+    sizes = np.array([len(c) for c in codes], np.int64)
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    flat = np.fromiter((i for c in codes for i in c), np.int32, int(offsets[-1]))
+    byte_sums = np.concatenate(([0], np.cumsum(codec.is_byte[flat])))
+    decoded = [None if t is None else codec.decode(c) for t, c in zip(texts, codes)]
+    same = [None if t is None else d == codec.plain(t) for t, d in zip(texts, decoded)]
+    columns = [
+        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat), mask=pa.array(null)),
+        pa.array(sizes, pa.int64(), mask=null),
+        pa.array(byte_sums[offsets[1:]] - byte_sums[offsets[:-1]], pa.int64(), mask=null),
+        pa.array(decoded, pa.string()),
+        pa.array(same, pa.bool_()),
+    ]
+    return pa.StructArray.from_arrays(columns, fields=list(_CODED_ARROW))
+
+
 def encode(
     docs: DataFrame,
     text: str = "text",
@@ -275,23 +335,34 @@ def encode(
         codec = _ready(packed.value)
         for batch in slices(batches, "whole", BATCH_BYTES):
             texts = batch.column("whole").to_pylist()
-            out = []
-            for t, codes in zip(texts, codec.encode([t or "" for t in texts])):
-                if t is None:
-                    out.append(dict.fromkeys(_CODED.names))
-                    continue
-                decoded = codec.decode(codes)
-                out.append(
-                    {
-                        "ids": codes,
-                        "n_tokens": len(codes),
-                        "n_byte_tokens": int(codec.is_byte[np.array(codes, np.int64)].sum()) if codes else 0,
-                        "decoded": decoded,
-                        "round_trip": decoded == codec.plain(t),
-                    }
-                )
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, _CODED_ARROW)], ["row", "coded"])
+            codes = codec.encode([t or "" for t in texts])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), _coded(codec, texts, codes)], ["row", "coded"])
 
     carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").alias("whole"))
     return carried.mapInArrow(run, T.StructType([carried.schema["row"], T.StructField("coded", _CODED)]))
 
+
+def decode(
+    coded: DataFrame,
+    ids: str = "ids",
+    model: bytes | None = None,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """``row`` (a struct of the columns ``keep``, default all) with ``decoded``, the text of the ids.
+
+    The ids may be of any origin: see ``Codec.decode``.  Null ids give a null
+    text, and so do lists with a null or with an id the model does not have; an
+    empty list gives an empty text.  Rows are decoded one by one, repeated ones
+    alike.  An empty table gives an empty result.
+    """
+    kept = coded.columns if keep is None else list(keep)
+    packed = coded.sparkSession.sparkContext.broadcast(model_bytes() if model is None else model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _ready(packed.value)
+        for batch in batches:
+            texts = [None if c is None or not codec.has(c) else codec.decode(c) for c in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "decoded"])
+
+    carried = coded.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{ids}`").alias("ids"))
+    return carried.mapInArrow(run, T.StructType([carried.schema["row"], T.StructField("decoded", T.StringType())]))

@@ -92,3 +92,24 @@ def test_near_templates_are_told_apart(docs_of, prose):
     rows = [(i, f"{prose(i, 20)}\n\n{t}\n\n{prose(i + 50, 20)}") for i, t in enumerate(expected)]
     got = S.license_scan(docs_of(rows)).collect()
     assert {r.doc_id: r.labels for r in got} == dict(enumerate(expected.values()))
+
+
+def test_every_template_has_its_label_alone(docs_of, prose):
+    """Each notice between other text gets its label; half of its words replaced, none."""
+    every = [(label, t) for label, texts in sorted(S.TEMPLATES.items()) for t in texts]
+    whole = [f"{prose(i, 20)}\n\n{t}\n\n{prose(i + 90, 20)}" for i, (_, t) in enumerate(every)]
+    halves = [" ".join(w if i % 2 else f"other{i}" for i, w in enumerate(words(t))) for _, t in every]
+    got = {r.doc_id: r for r in _check(docs_of, whole + halves)}
+    for i, (label, t) in enumerate(every):
+        base = [x for x in got[i].base_labels.split(",") if x]
+        assert got[i].labels == ",".join(sorted({label, *base})), t
+        assert got[i + len(every)].labels == "", t
+
+
+def test_whole_licenses(docs_of):
+    """All paragraphs of one license in one document: its label, and that of the license it is made from."""
+    labels = sorted(S.TEMPLATES)
+    got = _check(docs_of, ["\n\n".join(S.TEMPLATES[label]) for label in labels])
+    assert {labels[r.doc_id]: set(r.labels.split(",")) - set(r.base_labels.split(",")) - {labels[r.doc_id]} for r in got} == {
+        label: set() for label in labels
+    }

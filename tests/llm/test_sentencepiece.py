@@ -3,6 +3,7 @@ import struct
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from loanlens.llm import sentencepiece_codec as C
 
@@ -71,6 +72,36 @@ def test_bpe_parity_on_corpus_and_odd_texts(spark):
         assert back == reference.decode(codes) == text.replace("▁", " ") == codec.decode(codes) == codec.plain(text)
 
 
+@pytest.mark.parametrize("data", [unigram_model(True), unigram_model(False), C.model_bytes()], ids=["collapse", "blanks", "bpe"])
+def test_decode_ids_of_any_origin(data):
+    reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+    codec = C.Codec(data)
+    size, pick = reference.get_piece_size(), np.random.default_rng(5)
+    marks = [i for i in range(size) if set(reference.id_to_piece(i)) == {"▁"}]
+    lists = [[], [0], [1], [2, 2], [0, 0, 1], [1, *marks], [0, *marks], [*marks, *marks, 0], [marks[0]] * 4, [marks[0], 1, marks[0], size - 1]]
+    for n in range(3000):
+        pool = (np.arange(size), np.array([0, 1, 2, *marks, size - 1]), np.arange(262))[n % 3]
+        lists.append(pick.choice(pool, pick.integers(1, 12)).tolist())
+    lists += [[3 + 32, size - 1], [3 + 0xE6, 3 + 0xBC, size - 1], [3 + 0xE6, 3 + 0xBC, 3 + 0xA2, 3 + 0xBC], [3 + 0xED, 3 + 0xA0, 3 + 0x80]]
+    assert [x for x in lists if codec.decode(x) != reference.decode(x)] == []
+
+
+def test_decode_a_column(spark):
+    rows = [(1, [5, 400, 0, 1]), (2, None), (3, []), (4, [7, None]), (5, [40_000]), (6, [-1]), (1, [5, 400, 0, 1]), (None, [290, 300])]
+    coded = spark.createDataFrame(rows, "decoded long, ids array<int>")
+    got = C.decode(coded).select("row.*", F.col("decoded").alias("text")).collect()
+    reference = sentencepiece.SentencePieceProcessor(model_proto=C.model_bytes())
+    bad = (2, 4, 5, 6)
+    expected = [(k, None if k in bad else reference.decode(i)) for k, i in rows]
+    assert sorted(((r[0], r.text) for r in got), key=repr) == sorted(expected, key=repr)
+    assert C.decode(coded.where("false")).count() == 0
+
+
+def test_encode_then_decode(docs_of, awkward):
+    back = C.decode(C.encode(docs_of(awkward)).select("row", "coded.ids"), keep=["row"]).select("row.row.text", "decoded").collect()
+    assert len(back) == len(awkward) and all(r.text == r.decoded for r in back)
+
+
 def test_encode_awkward_rows(docs_of, awkward):
     docs = docs_of(awkward)
     got = C.encode(docs)
@@ -80,7 +111,7 @@ def test_encode_awkward_rows(docs_of, awkward):
     reference = sentencepiece.SentencePieceProcessor(model_proto=C.model_bytes())
     for r in rows:
         if r.text is None:
-            assert r.ids is None and r.decoded is None and r.round_trip is None
+            assert r.ids is None and r.n_tokens is None and r.n_byte_tokens is None and r.decoded is None and r.round_trip is None
             continue
         assert r.ids == reference.encode(r.text) and r.n_tokens == len(r.ids)
         assert r.decoded == r.text and r.round_trip
