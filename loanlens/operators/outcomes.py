@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions import day_diff, in_day_window, trimmed
-from loanlens.operators.skew import left_join
+from loanlens.operators.skew import Hot, left_join
 from loanlens.sources import schemas as S
 
 _PAIR = ["_customer", "_run"]
+# The keys of the two joins below as SQL, for counts that are kept with a table.
+RUN_KEYS = ("trim(cast(CUSTOMER_ID as string))", "trim(cast(BRE_RUN_ID as string))")
+LOAN_KEYS = ("trim(cast(USER_ID as string))", "trim(cast(BRE_RUN_ID as string))")
 
 
 def one_per_loan(repayments: DataFrame) -> DataFrame:
@@ -98,13 +101,15 @@ def labelled_master(
     start: dt.date | str,
     end: dt.date | str,
     labelled_since: dt.date | str,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Every master row with the loans paid out on its run, or NULLs.
 
     Loans count when paid out in the day window.  Rows decided before
     ``labelled_since`` stay and remain without a label: their run key is NULL
-    for the join.  Give stored loans: their keys are counted first, to see
-    whether one run holds many of them.
+    for the join.  ``hot`` are the hot buckets of the loans' trimmed customer and
+    run (see ``LOAN_KEYS``).  Without it, give stored loans: their keys are
+    counted first, to see whether one run holds many of them.
     """
     paid = loans.where(in_day_window("DISBURSED_DATE", start, end) & F.col("BRE_RUN_ID").isNotNull())
     many = paid.select(
@@ -118,18 +123,21 @@ def labelled_master(
         trimmed("CUSTOMER_ID").alias("_customer"),
         F.when(recent, trimmed("BRE_RUN_ID")).alias("_run"),
     )
-    return left_join(kept, many, _PAIR).drop(*_PAIR)
+    return left_join(kept, many, _PAIR, hot=hot).drop(*_PAIR)
 
 
 def features_for_master(
     master: DataFrame,
     fact: DataFrame,
     columns: Sequence[str] | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """All fact columns for every master row, beside the listed master columns.
 
     The tables meet on trimmed customer and run.  ``columns`` defaults to the
-    master columns the fact does not have.
+    master columns the fact does not have.  ``hot`` are the hot buckets of the
+    fact's keys: a fact stored with ``key_counts`` of ``RUN_KEYS`` has them, and
+    without them the keys of the whole fact are counted when this is called.
     """
     fact_names = {c.upper() for c in fact.columns}
     if columns is None:
@@ -142,5 +150,5 @@ def features_for_master(
     lookup = fact.select(
         "*", trimmed("CUSTOMER_ID").alias("_customer"), trimmed("BRE_RUN_ID").alias("_run")
     )
-    joined = left_join(big, lookup, _PAIR)
+    joined = left_join(big, lookup, _PAIR, hot=hot)
     return joined.select(*fact.columns, *columns)

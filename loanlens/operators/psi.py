@@ -273,6 +273,17 @@ def category_shares(df: DataFrame, columns: Sequence[str], missing_cat: str = "M
     return shares.select("VAR", F.col("KEY").alias("CATEGORY"), "COUNT", "SHARE")
 
 
+def _new_counts(specs: Chosen, new: DataFrame, month: str, baseline: Baseline) -> DataFrame:
+    """Counts ``_c`` of the new rows by variable, month and KEY, from one pass over them; stored."""
+    return stored(
+        _counts(new, [month], specs, baseline.edges, baseline.buckets, new=True)
+        .select(*_VARIABLE, "KEY", "COUNT", F.explode(_labels(month)).alias("PSI_MONTH"))
+        .groupBy(*_VARIABLE, "PSI_MONTH", "KEY")
+        .agg(F.sum("COUNT").alias("_c")),
+        "drift_counts",
+    )
+
+
 def _report(specs: Chosen, new: DataFrame, month: str, baseline: Baseline) -> DataFrame:
     """MODULE, PSI_MONTH, VAR, PSI, from counts of the new rows and the baseline's shares.
 
@@ -281,13 +292,7 @@ def _report(specs: Chosen, new: DataFrame, month: str, baseline: Baseline) -> Da
     its own.  So no table of months x categories is built, and the totals come
     from the same counts: every row counts once for each variable.
     """
-    counted = stored(
-        _counts(new, [month], specs, baseline.edges, baseline.buckets, new=True)
-        .select(*_VARIABLE, "KEY", "COUNT", F.explode(_labels(month)).alias("PSI_MONTH"))
-        .groupBy(*_VARIABLE, "PSI_MONTH", "KEY")
-        .agg(F.sum("COUNT").alias("_c")),
-        "drift_counts",
-    )
+    counted = _new_counts(specs, new, month, baseline)
     base = baseline.shares.select(*_VARIABLE, "KEY", F.col("SHARE").alias("_e"))
     absent = base.groupBy(*_VARIABLE).agg(F.sum(_term(F.col("_e"), F.lit(0.0))).alias("_absent"))
     totals = counted.groupBy(*_VARIABLE, "PSI_MONTH").agg(F.sum("_c").alias("_n"))
@@ -363,6 +368,52 @@ def psi_report(
     )
 
 
+def divergence_report(
+    specs: Sequence[DriftModule],
+    new: DataFrame,
+    month: str = "MONTH_YEAR",
+    buckettype: str = "quantiles",
+    buckets: int = BUCKETS,
+    baseline: Baseline | None = None,
+) -> DataFrame:
+    """COL_MODULE, KL_MONTH (each month and OVERALL), KL_VAR, KL of all variables from the drift counts.
+
+    KL is the sum of p * log2(p / q) over the baseline's buckets and categories,
+    with the baseline's share as p and that of the new rows as q.  It is NULL
+    where the new rows lack a bucket that the baseline has, and for a variable
+    without edges.  New values outside the edges are in no bucket and do not
+    count.  ``baseline`` and the columns compared are those of ``psi_report``.
+    """
+    chosen, _ = compared(specs, new)
+    if not chosen:
+        return new.sparkSession.createDataFrame([], "COL_MODULE string, KL_MONTH string, KL_VAR string, KL double")
+    if baseline is None:
+        baseline = fit_baseline(chosen, buckettype, buckets)
+    counted = _new_counts(chosen, new, month, baseline)
+    variable = [*_VARIABLE, "PSI_MONTH"]
+    base = baseline.shares.where("SHARE > 0").select(*_VARIABLE, "KEY", F.col("SHARE").alias("_p"))
+    wanted = base.groupBy(*_VARIABLE).agg(F.count("*").alias("_wanted"))
+    totals = counted.groupBy(*variable).agg(F.sum(F.when(F.col("KEY").isNotNull(), F.col("_c"))).alias("_n"))
+    p, q = F.col("_p"), F.col("_c").cast("double") / F.col("_n")
+    met = (
+        counted.join(base, [*_VARIABLE, "KEY"])
+        .join(totals, variable)
+        .groupBy(*variable)
+        .agg(F.sum(p * F.log2(p / q)).alias("_kl"), F.count("*").alias("_met"))
+    )
+    # ``wanted`` has one row per column of the table, which bounds the broadcast
+    return (
+        totals.join(F.broadcast(wanted), [*_VARIABLE], "left")
+        .join(met, variable, "left")
+        .select(
+            F.upper("MODULE").alias("COL_MODULE"),
+            F.col("PSI_MONTH").alias("KL_MONTH"),
+            F.col("VAR").alias("KL_VAR"),
+            F.when(F.col("_met") == F.col("_wanted"), F.col("_kl")).alias("KL"),
+        )
+    )
+
+
 def numeric_psi(
     baseline: DataFrame,
     new: DataFrame,

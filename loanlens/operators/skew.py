@@ -10,13 +10,20 @@ is the hot one.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from loanlens.session import stored
+
 BUCKETS = 65_536
 HOT_SHARE = 0.005
+MOST_COUNTED = 400  # of a sketch's buckets that are kept; no more than 1 / HOT_SHARE of them can be hot
+SKETCH_ITEMS = 16_384  # that a sketch tracks: its counts are off by less than 0.03 % of the rows
+
+Hot = Mapping[int, float]
 
 
 def _bucket(keys: Sequence[str]) -> Column:
@@ -39,6 +46,68 @@ def hot_buckets(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) ->
     return {r["b"]: r["s"] for r in row["hot"] or []}
 
 
+@dataclass(frozen=True)
+class KeyCounts:
+    """Counts of the rows by hash bucket of some keys, which the job that writes the rows makes.
+
+    Each task keeps a sketch of the most frequent buckets, and the sketches are
+    merged.  A task that ran twice, after a lost executor, counts twice: good
+    enough to choose a plan, which is all that these counts are for.
+    """
+
+    observation: Observation
+    names: Sequence[str]
+
+    def counts(self) -> dict[str, dict]:
+        """By name of the keys ``rows`` and ``buckets``, the largest first; waits for the job."""
+        seen = self.observation.get
+        return {
+            name: {"rows": seen[f"n{i}"], "buckets": {str(b["item"]): b["count"] for b in seen[f"b{i}"] if b["item"] is not None}}
+            for i, name in enumerate(self.names)
+        }
+
+
+def counted_keys(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> tuple[DataFrame, KeyCounts]:
+    """The rows, and counts of keys (SQL expressions by name) that the next job over them makes.
+
+    Rows with a NULL in the key are left out: as a join's right side they never match.
+    """
+    seen, metrics = Observation(), []
+    for i, parts in enumerate(keys.values()):
+        columns = [F.expr(e) for e in parts]
+        given = F.lit(True)
+        for c in columns:
+            given = given & c.isNotNull()
+        bucket = F.when(given, F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)))
+        metrics += [
+            F.count(bucket).alias(f"n{i}"),
+            F.call_function("approx_top_k", bucket, F.lit(MOST_COUNTED), F.lit(SKETCH_ITEMS)).alias(f"b{i}"),
+        ]
+    return (df.observe(seen, *metrics) if metrics else df), KeyCounts(seen, list(keys))
+
+
+def merged_hot(counts: Sequence[Mapping], share: float = HOT_SHARE) -> dict[int, float]:
+    """Hot buckets of rows that several jobs wrote, from the counts of each.
+
+    A bucket that is hot in all of them together is so in one at least, and
+    that one kept it.
+    """
+    total, sums = sum(c["rows"] for c in counts), {}
+    for c in counts:
+        for b, n in c["buckets"].items():
+            sums[int(b)] = sums.get(int(b), 0) + n
+    return {b: n / total for b, n in sums.items() if n > total * share}
+
+
+def stored_with_hot(
+    df: DataFrame, name: str, keys: Sequence[str], share: float = HOT_SHARE
+) -> tuple[DataFrame, dict[int, float]]:
+    """``session.stored``, and the hot buckets of the keys (SQL expressions), counted by that write."""
+    counted, kept = counted_keys(df, {"keys": keys})
+    rows = stored(counted, name)
+    return rows, merged_hot([kept.counts()["keys"]], share)
+
+
 def left_joins(
     big: DataFrame,
     lookups: Sequence[DataFrame],
@@ -79,14 +148,18 @@ def left_joins(
 
 
 def left_join(
-    kept: DataFrame, lookup: DataFrame, keys: Sequence[str], share: float = HOT_SHARE
+    kept: DataFrame, lookup: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, hot: Hot | None = None
 ) -> DataFrame:
     """A plain left join, unless one key holds much of the lookup (see ``left_join_many``).
 
-    The plan depends on the data: when this is called, the key columns of the
-    lookup are counted to see whether a bucket holds more than ``share`` of it.
+    The plan depends on the data.  ``hot`` gives the lookup's hot buckets where
+    they are known, from ``versions.hot_buckets`` or ``stored_with_hot``; then
+    no job runs here.  Without it the key columns of the lookup are counted when
+    this is called, to see whether a bucket holds more than ``share`` of it.
     """
-    if hot_buckets(lookup, keys, share):
+    if hot is None:
+        hot = hot_buckets(lookup, keys, share)
+    if hot:
         return left_join_many(kept, lookup, keys)
     return kept.join(lookup, list(keys), "left")
 

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 
 from loanlens.operators.gini import with_gini_columns
 from loanlens.operators.ks import ks_table
-from loanlens.operators.outcomes import as_of_latest_run, features_for_master, labelled_master
+from loanlens.operators.outcomes import LOAN_KEYS, as_of_latest_run, features_for_master, labelled_master
 from loanlens.operators.psi import DriftModule, psi_report
+from loanlens.operators.skew import Hot, stored_with_hot
 from loanlens.session import stored
 from loanlens.sources import offers as O
 from loanlens.sources import scans
@@ -29,8 +30,8 @@ def attach_outcomes(
     labelled_since: dt.date | str = "2022-08-01",
 ) -> DataFrame:
     """As-of join of loans with runs, then the labels on every master row."""
-    loans = stored(as_of_latest_run(repayments, master), "loans_with_runs")
-    return labelled_master(master, loans, start, end, labelled_since)
+    loans, hot = stored_with_hot(as_of_latest_run(repayments, master), "loans_with_runs", LOAN_KEYS)
+    return labelled_master(master, loans, start, end, labelled_since, hot)
 
 
 def gini_table(labelled: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
@@ -50,9 +51,13 @@ def drift_report(
     fact: DataFrame,
     specs: Sequence[DriftModule],
     model_type: str = "XGBOOST",
+    hot: Hot | None = None,
 ) -> DataFrame:
-    """PSI of every module's features and scores, overall and by month."""
-    full = scans.of_model(features_for_master(gini_rows, fact), model_type)
+    """PSI of every module's features and scores, overall and by month.
+
+    ``hot`` are the hot buckets of the fact's keys (see ``features_for_master``).
+    """
+    full = scans.of_model(features_for_master(gini_rows, fact, hot=hot), model_type)
     asked = {c for s in specs for c in (*s.asked().numerical, *s.asked().categorical, s.score, s.flag)}
     needed = [c for c in full.columns if c in asked or c == "MONTH_YEAR"]
     return psi_report(specs, stored(full.select(*needed), "drift_rows"))

@@ -430,3 +430,31 @@ def psi_monthly_report(spark, sf):
 def kl(spark, sf):
     baseline, new = P.drift(spark, sf)
     return rounded(kl_divergence(aligned_shares(baseline, new, "PRIORITY")))
+
+
+_KL = "CASE WHEN bool_or(q IS NULL) THEN NULL ELSE sum(p * log2(p / q)) END"
+CTES["kl_numbers"] = (
+    f"SELECT VAR, L, {_KL} AS KL FROM (SELECT t.VAR, t.L, b.c::double / bt.n AS p, a.c::double / t.n AS q"
+    " FROM (SELECT VAR, L, sum(c) AS n FROM nnk_q WHERE k IS NOT NULL GROUP BY ALL) t"
+    " JOIN nbk_q b ON b.VAR = t.VAR JOIN nbt_q bt ON bt.VAR = t.VAR"
+    " LEFT JOIN nnk_q a ON a.VAR = t.VAR AND a.L = t.L AND a.k = b.k) GROUP BY ALL"
+)
+CTES["kl_categories"] = (
+    f"SELECT VAR, L, {_KL} AS KL FROM (SELECT t.VAR, t.L, b.e AS p, a.c::double / t.n AS q FROM cnt_c t"
+    " JOIN cbk_c b ON b.VAR = t.VAR LEFT JOIN cnk_c a ON a.VAR = t.VAR AND a.L = t.L AND a.k = b.k) GROUP BY ALL"
+)
+
+
+@query(
+    "kl_drift_report",
+    with_ctes(
+        f"SELECT 'M' AS COL_MODULE, L AS KL_MONTH, VAR AS KL_VAR, {s6('KL')} AS KL"
+        " FROM (SELECT * FROM kl_numbers UNION ALL SELECT * FROM kl_categories)",
+        "drift_rows", *_Q, *_C, "kl_numbers", "kl_categories",
+    ),
+)
+def kl_drift_report(spark, sf):
+    """The divergence of all drift variables, overall and by month, from one count of each side."""
+    baseline, new = P.drift(spark, sf)
+    spec = PSI.DriftModule("m", None, Roles(numerical=tuple(NUMBERS), categorical=tuple(CATEGORIES)), baseline)
+    return rounded(PSI.divergence_report([spec], new))

@@ -351,3 +351,20 @@ def test_kl(spark):
     b = spark.createDataFrame([("x",), ("z",)], "b string")
     shares = {r["BUCKET"]: (r["P"], r["Q"]) for r in aligned_shares(a, b, "b").collect()}
     assert shares == {"x": (pytest.approx(2 / 3), 0.5), "y": (pytest.approx(1 / 3), 0.0), "z": (0.0, 0.5)}
+
+
+def test_divergence_report_equals_the_one_variable_form(spark):
+    old = [(float(i % 7), "ab"[i % 2], "M1") for i in range(70)] + [(None, "--", None)]
+    later = [(float(i % 5), "aabc"[i % 4], "M2" if i % 3 else None) for i in range(60)] + [(9.0, "a", "M2"), (None, None, "M2")]
+    schema = "X double, C string, MONTH_YEAR string"
+    baseline, new = spark.createDataFrame(old, schema), spark.createDataFrame(later, schema)
+    spec = P.DriftModule("m", None, Roles(numerical=("X",), categorical=("C",)), baseline)
+    got = {(r.KL_MONTH, r.KL_VAR): r.KL for r in P.divergence_report([spec], new).collect()}
+    assert set(got) == {(m, v) for m in ("M2", "OVERALL") for v in ("X", "C")}
+    clean = F.coalesce(F.nullif(F.col("C"), F.lit("--")), F.lit("MISSING")).alias("C")
+    for month, rows in (("OVERALL", new), ("M2", new.where("MONTH_YEAR = 'M2'"))):
+        one = kl_divergence(aligned_shares(baseline.select(clean), rows.select(clean), "C")).first()["KL"]
+        assert got[month, "C"] == pytest.approx(one)
+    assert got["OVERALL", "X"] is None  # the last bucket is empty on the new side
+    nothing = P.divergence_report([spec], new.select("MONTH_YEAR"))
+    assert nothing.columns == ["COL_MODULE", "KL_MONTH", "KL_VAR", "KL"] and nothing.count() == 0

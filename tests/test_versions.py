@@ -5,8 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanlens.operators.checks import checked_numbers, checked_rows
+from loanlens.operators.outcomes import RUN_KEYS, features_for_master
+from loanlens.operators.skew import hot_buckets
 from loanlens.operators.trees import from_dump, tree_probability, tree_value
 from loanlens.operators.upsert import upsert, upsert_table
+from loanlens.session import run_folder, shared_folder, stored
 from loanlens.sources import sinks, versions
 
 ROW = "CUSTOMER_ID string, BRE_RUN_ID string, MODEL_TYPE string, BRE_RUN_DATE date, V string"
@@ -160,6 +163,51 @@ def jobs_of(spark, run):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_key_counts_are_kept_with_the_table(spark, tmp_path):
+    """Counted by the writes, merged over the runs of a version, and read without a job."""
+    root, keys = str(tmp_path / "t"), {"run": RUN_KEYS}
+    many = spark.range(0, 4000, 1, 4).select(
+        F.when(F.col("id") % 4 == 0, F.lit(" hot ")).when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("c"), "id")).alias("CUSTOMER_ID"),
+        F.when(F.col("id") % 4 == 0, F.lit("1")).otherwise(F.col("id").cast("string")).alias("BRE_RUN_ID"),
+        F.lit("XG").alias("MODEL_TYPE"),
+        F.date_add(F.lit("2021-01-01").cast("date"), (F.col("id") % 900).cast("int")).alias("BRE_RUN_DATE"),
+        F.lit("v").alias("V"),
+    )
+    done = versions.replace(many, root, YEAR, key_counts=keys)
+    (bucket, share), = versions.hot_buckets(done, "run").items()
+    assert share == pytest.approx(1000 / 3920, abs=0.001)
+    exact = hot_buckets(versions.read(spark, root).selectExpr(*[f"{e} AS k{i}" for i, e in enumerate(RUN_KEYS)]).dropna(), ["k0", "k1"])
+    assert exact.keys() == {bucket} and exact[bucket] == pytest.approx(share)
+    assert versions.hot_buckets(versions.version(spark, root), "run") == {bucket: share}
+    upsert_table(root, spark.createDataFrame([row("c2", "2", "2021-01-03", "new"), row("z", "9", "2030-01-01", "new")], ROW))
+    after = versions.version(spark, root)
+    assert after.keys == {"run": list(RUN_KEYS)} and set(after.counted) == set(after.runs())
+    assert versions.hot_buckets(after, "run").keys() == {bucket}
+    with pytest.raises(KeyError):
+        versions.hot_buckets(after, "other")
+    plain = versions.replace(many.limit(0), root)
+    assert plain.counted == {} and versions.hot_buckets(versions.replace(many.limit(0), root, key_counts=keys), "run") == {}
+
+
+def test_joins_with_kept_counts_start_no_job(spark, tmp_path):
+    root = str(tmp_path / "fact")
+    fact = spark.createDataFrame([("hot", "1", i) for i in range(300)] + [(f"c{i}", str(i), i) for i in range(300)], "CUSTOMER_ID string, BRE_RUN_ID string, F long")
+    master = spark.createDataFrame([(" hot", "1", 0.5), ("c7", "7 ", 0.1), ("none", "0", 0.2)], "CUSTOMER_ID string, BRE_RUN_ID string, PD double")
+    hot = versions.hot_buckets(versions.replace(fact, root, key_counts={"run": RUN_KEYS}), "run")
+    read = versions.read(spark, root)
+    group = f"kept-{root}"
+    spark.sparkContext.setJobGroup(group, "plan")
+    try:
+        joined = features_for_master(master, read, hot=hot)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        features_for_master(master, read)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert "LeftAnti" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert rows_of(joined) == rows_of(features_for_master(master, read, hot={})) and joined.count() == 302
+
+
 def test_failed_casts_are_counted_by_the_write(spark, tmp_path):
     good = spark.createDataFrame([("r", "1"), ("s", None), ("t", "2.5")], "BRE_RUN_ID string, X string")
     bad = good.unionByName(spark.createDataFrame([("u", "many")], "BRE_RUN_ID string, X string"))
@@ -242,3 +290,16 @@ def test_many_deep_trees_compile(spark):
     for r in df.select("*", tree_probability(trees, 1.0, -2.0).alias("p")).collect():
         z = -2.0 + sum(0.1 * walked(r, t["root"]) for t in trees)
         assert r.p == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-12)
+
+
+def test_a_run_leaves_no_stored_rows(spark):
+    with run_folder(spark) as folder:
+        first = stored(spark.range(5), "numbers")
+        with run_folder(spark) as inner:
+            assert inner.startswith(folder) and stored(spark.range(3), "more").count() == 3 and os.path.isdir(inner)
+        assert not os.path.exists(inner) and first.count() == 5
+    assert not os.path.exists(folder)
+    with pytest.raises(ZeroDivisionError), run_folder(spark) as folder:
+        stored(spark.range(5), "numbers")
+        raise ZeroDivisionError
+    assert not os.path.exists(folder) and not shared_folder(spark).startswith(folder)
