@@ -40,9 +40,14 @@ CTES["job_rows"] = (
 _JOB = (*_TO_BANDED, *_FULL, "repayments", "job_loans", "job_latest", "job_rows")
 
 
-def _labelled(spark, sf):
-    """The decided master, stored as its table, with the outcomes attached."""
-    master = stored(D.decided(_blended(spark, sf)), "master")
+def _master(spark, sf):
+    """The decided master, stored as its table."""
+    return stored(D.decided(_blended(spark, sf)), "master")
+
+
+def _labelled(spark, sf, master=None):
+    """The master with the outcomes attached."""
+    master = _master(spark, sf) if master is None else master
     rows = M.attach_outcomes(master, P.repayments(spark, sf), PAID_FROM, PAID_TO, LABELLED_SINCE)
     return stored(rows, "labelled_master")
 
@@ -116,9 +121,10 @@ _DRIFT = numeric_psi_ctes(
 )
 def job_drift(spark, sf):
     """Fact features and scores of the matured rows against the decisions of the first years."""
-    rows = M.gini_table(_labelled(spark, sf), AS_OF, since=SINCE)
+    master = _master(spark, sf)
+    rows = M.gini_table(_labelled(spark, sf, master), AS_OF, since=SINCE)
     fact = P.fact(spark, sf, "transaction").select("CUSTOMER_ID", "BRE_RUN_ID", *FEATURES)
-    first = D.decided(_blended(spark, sf)).where(F.col("BRE_RUN_DATE") < BASELINE_END)
+    first = master.where(F.col("BRE_RUN_DATE") < BASELINE_END)
     baseline = stored(
         first.select("BRE_RUN_ID", "TRX_PD", "SMS_PD", "BR_PD", "CALIB_PD").join(
             fact.drop("CUSTOMER_ID"), ["BRE_RUN_ID"]
