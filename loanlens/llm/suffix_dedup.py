@@ -15,6 +15,12 @@ traffic are bounded in four steps, all exact:
    ties are resolved by the ranks of a difference-cover sample, computed
    beforehand.  So a bucket needs a few words per suffix, not its bytes.
 4. Each window's smallest document decides; removed ranges go back to the blocks.
+
+A minimiser in a common passage or phrase may have any number of distinct runs.
+Beyond ``HOT_RUNS`` of them they are cut into windows, each filed under a number
+of its own whole bytes in place of the minimiser, and step 2 is done anew
+for these numbers.  Equal windows have equal minimisers and equal numbers, so no
+pair is lost, and no part gets more of such a minimiser than of others.
 """
 
 from __future__ import annotations
@@ -28,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm.blocks import BLOCK_BYTES, NO_KEY, Spans, cleaned, opened, packed, rows_of, stored_blocks, unpacked
+from loanlens.session import stored
 
 LENGTH = 50
 SHORT = 20  # bytes of the strings that are hashed
 CHUNK = 1 << 17
 PART_BYTES = 8 << 20  # of text; a part's suffixes are sorted at once, so it is smaller than where digests meet
 BUCKET = 1 << 18  # suffixes sorted at a time
+HOT_RUNS = 1024  # distinct runs of one minimiser, beyond one for each block, that stay together
 
 # A difference cover of 0 to 6: any two residues differ by a difference of two members.
 COVER, PERIOD = (0, 1, 3), 7
@@ -104,6 +112,19 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(25))
 
 
+def window_numbers(data: np.ndarray, at: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """A number of 48 bits for each string data[i : i + length], i of ``at``; equal strings, equal number."""
+    numbers, base = _byte_numbers(), np.uint64(0x9E3779B97F4A7C15)
+    out = np.empty(len(at), np.uint64)
+    for i in range(0, len(at), CHUNK):
+        starts = at[i : i + CHUNK]
+        value = np.zeros(len(starts), np.uint64)
+        for j in range(length):
+            value = value * base + numbers[data[starts + j]]
+        out[i : i + len(starts)] = _mixed((value ^ (value >> np.uint64(31))) >> np.uint64(16))
+    return out
+
+
 def _part_of(values: np.ndarray, parts: int) -> np.ndarray:
     """The part of a 48-bit number; parts are ranges, so sorted numbers are sorted by part."""
     return ((values >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -113,6 +134,7 @@ class Block:
     """Runs of windows with one minimiser in the documents of a block."""
 
     def __init__(self, text: bytes, sizes: np.ndarray, length: int, short: int):
+        self.length = length
         self.data = np.frombuffer(text, np.uint8)
         self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64) if len(sizes) else np.empty(0, np.int64)
         least = minimisers(self.data, _byte_numbers(), length, short)
@@ -149,56 +171,135 @@ class Block:
         np.maximum.at(high, self.of, self.doc)
         return low < high
 
+    def further(self) -> np.ndarray:
+        """For each distinct minimiser how many distinct runs it has beyond the first.
+
+        Runs are told apart by their first and last windows, which are all of a
+        run unless its minimiser stands in it more than once.
+        """
+        of = np.flatnonzero(np.bincount(self.of, minlength=len(self.values))[self.of] > 1)
+        first = window_numbers(self.data, self.run[of], self.length)
+        last = window_numbers(self.data, self.run[of] + self.count[of] - 1, self.length)
+        told = np.unique(np.stack([self.of[of].astype(np.uint64), first, last]), axis=1)
+        found = np.bincount(told[0].astype(np.int64), minlength=len(self.values))
+        return np.maximum(found - 1, 0)
+
+    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The starts, documents and numbers of the windows of some runs."""
+        n = self.count[chosen]
+        at = np.arange(n.sum()) + np.repeat(self.run[chosen] - (np.cumsum(n) - n), n)
+        return at, np.repeat(self.doc[chosen], n), window_numbers(self.data, at, self.length)
+
 
 def _opened(row: dict, length: int, short: int) -> tuple[Block, np.ndarray]:
     text, sizes, keys = opened(row)
     return Block(text, sizes, length, short), keys
 
 
+_SENT = "part int, block long, values binary, many binary, further binary"
+
+
+def _by_part(block: int, values: np.ndarray, many: np.ndarray, further: np.ndarray, parts: int, first: int = 0) -> pa.RecordBatch:
+    """A block's sorted numbers, cut into parts that are numbered from ``first``."""
+    edges = np.searchsorted(_part_of(values, parts), np.arange(parts + 1))
+    full = np.flatnonzero(np.diff(edges)).tolist()
+    cut = [slice(edges[p], edges[p + 1]) for p in full]
+    six = values.view(np.uint8).reshape(-1, 8)[:, :6]
+    return pa.RecordBatch.from_pydict(
+        {
+            "part": pa.array([first + p for p in full], pa.int32()),
+            "block": pa.array([block] * len(full), pa.int64()),
+            "values": pa.array([six[c].tobytes() for c in cut], pa.binary()),
+            "many": pa.array([np.packbits(many[c]).tobytes() for c in cut], pa.binary()),
+            "further": pa.array([packed([further[c]]) if further[c].any() else None for c in cut], pa.binary()),
+        }
+    )
+
+
 def _sent_minimisers(written: DataFrame, parts: int, length: int, short: int) -> DataFrame:
-    """(part, block, values, many): each block's distinct minimisers by part."""
+    """(part, block, values, many, further): each block's distinct minimisers by part."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             block, _ = _opened(row, length, short)
-            many = block.in_many()
-            edges = np.searchsorted(_part_of(block.values, parts), np.arange(parts + 1))
-            full = np.flatnonzero(np.diff(edges)).tolist()
-            cut = [slice(edges[p], edges[p + 1]) for p in full]
-            six = block.values.view(np.uint8).reshape(-1, 8)[:, :6]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "part": pa.array(full, pa.int32()),
-                    "block": pa.array([row["block"]] * len(full), pa.int64()),
-                    "values": pa.array([six[c].tobytes() for c in cut], pa.binary()),
-                    "many": pa.array([np.packbits(many[c]).tobytes() for c in cut], pa.binary()),
-                }
-            )
+            yield _by_part(row["block"], block.values, block.in_many(), block.further(), parts)
 
-    return written.select("block", "keys", "sizes", "texts").mapInArrow(run, "part int, block long, values binary, many binary")
+    return written.select("block", "keys", "sizes", "texts").mapInArrow(run, _SENT)
 
 
-def _shared_bits(table: pa.Table) -> pa.Table:
-    """For each block's minimisers of a part, whether another document has them too."""
-    lists = []
-    for x in table.column("values").to_pylist():
-        wide = np.zeros((len(x) // 6, 8), np.uint8)
-        wide[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
-        lists.append(wide.view(np.uint64).ravel())
-    sizes = np.array(list(map(len, lists)))
-    many = np.concatenate(
-        [np.unpackbits(np.frombuffer(b, np.uint8))[:n].astype(bool) for b, n in zip(table.column("many").to_pylist(), sizes)]
-    )
-    values, of, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-    shared = counts > 1
-    shared[of[many]] = True
-    bits = [np.packbits(x).tobytes() for x in np.split(shared[of], np.cumsum(sizes)[:-1])]
-    return pa.table({"block": table.column("block"), "part": table.column("part"), "bits": pa.array(bits, pa.binary())})
+def _sent_windows(answered: DataFrame, parts: int, length: int, short: int) -> DataFrame:
+    """The same for the numbers of the windows of hot minimisers; their parts follow those of the minimisers."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            block, _ = _opened(row, length, short)
+            _, hot = _told(row["answers"], block.values, parts)
+            _, doc, number = block.windows(np.flatnonzero(hot[block.of]))
+            values, of = np.unique(number, return_inverse=True)
+            low, high = np.full(len(values), np.iinfo(np.int64).max), np.full(len(values), -1)
+            np.minimum.at(low, of, doc)
+            np.maximum.at(high, of, doc)
+            yield _by_part(row["block"], values, low < high, np.zeros(len(values), np.int64), parts, parts)
+
+    return answered.select("block", "keys", "sizes", "texts", "answers").mapInArrow(run, _SENT)
+
+
+def _shared_bits(hot_runs: int):
+    """For each block's numbers of a part, whether another document has them too, and whether they are hot.
+
+    ``bits`` begins with a byte that is 1 if bits of the hot ones follow.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        lists = []
+        for x in table.column("values").to_pylist():
+            wide = np.zeros((len(x) // 6, 8), np.uint8)
+            wide[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
+            lists.append(wide.view(np.uint64).ravel())
+        sizes = np.array(list(map(len, lists)))
+        many = np.concatenate(
+            [np.unpackbits(np.frombuffer(b, np.uint8))[:n].astype(bool) for b, n in zip(table.column("many").to_pylist(), sizes)]
+        )
+        values, of, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        shared = counts > 1
+        shared[of[many]] = True
+        further, begins = np.zeros(len(values), np.int64), np.cumsum(sizes) - sizes
+        for blob, begin, n in zip(table.column("further").to_pylist(), begins.tolist(), sizes.tolist()):
+            if blob is not None:
+                further[of[begin : begin + n]] += unpacked(blob, 1)[0][0]
+        hot = further > hot_runs
+        bits = [
+            b"\x01" + np.packbits(shared[x]).tobytes() + np.packbits(hot[x]).tobytes()
+            if hot[x].any()
+            else b"\x00" + np.packbits(shared[x]).tobytes()
+            for x in np.split(of, begins[1:])
+        ]
+        return pa.table({"block": table.column("block"), "part": table.column("part"), "bits": pa.array(bits, pa.binary())})
+
+    return run
+
+
+def _told(answers: list[dict], values: np.ndarray, parts: int, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """For each of a block's sorted numbers whether it is shared and whether it is hot, from the parts from ``first`` on."""
+    edges = np.searchsorted(_part_of(values, parts), np.arange(parts + 1))
+    shared, hot = np.zeros(len(values), bool), np.zeros(len(values), bool)
+    for answer in answers:
+        p = answer["part"] - first
+        if 0 <= p < parts:
+            n, bits = edges[p + 1] - edges[p], np.frombuffer(answer["bits"], np.uint8)
+            end = 1 + -(-n // 8)
+            shared[edges[p] : edges[p + 1]] = np.unpackbits(bits[1:end])[:n]
+            if bits[0]:
+                hot[edges[p] : edges[p + 1]] = np.unpackbits(bits[end:])[:n]
+    return shared, hot
 
 
 def _sent_runs(answered: DataFrame, parts: int, length: int, short: int, places: bool = False) -> DataFrame:
     """Distinct runs of each block whose minimiser several documents share, by part, with their bytes.
 
+    Runs of hot minimisers are cut into windows, and those that several
+    documents share are sent, under the windows' own numbers.
+
     ``runs`` packs, for each run, bits of its minimiser, its smallest key and its
     size.  With ``places`` a block gives instead, as part -1, the places of
     the runs: part, number of the run there, document, start and size.
@@ -207,37 +308,39 @@ def _sent_runs(answered: DataFrame, parts: int, length: int, short: int, places:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             block, keys = _opened(row, length, short)
-            edges = np.searchsorted(_part_of(block.values, parts), np.arange(parts + 1))
-            shared = np.zeros(len(block.values), bool)
-            for answer in row["answers"]:
-                c = slice(edges[answer["part"]], edges[answer["part"] + 1])
-                shared[c] = np.unpackbits(np.frombuffer(answer["bits"], np.uint8))[: c.stop - c.start]
-            chosen = np.flatnonzero(shared[block.of])
-            chosen = chosen[np.argsort(block.value[chosen], kind="stable")]
-            ends = np.searchsorted(_part_of(block.value[chosen], parts), np.arange(parts + 1))
+            shared, hot = _told(row["answers"], block.values, parts)
+            chosen = np.flatnonzero((shared & ~hot)[block.of])
+            found = [(block.run[chosen], block.count[chosen], block.doc[chosen], block.value[chosen])]
+            if hot.any():
+                at, doc, number = block.windows(np.flatnonzero(hot[block.of]))
+                values, of = np.unique(number, return_inverse=True)
+                both = _told(row["answers"], values, parts, parts)[0][of]
+                found.append((at[both], np.ones(both.sum(), np.int64), doc[both], number[both]))
+            start, count, doc, value = map(np.concatenate, zip(*found))
+            order = np.argsort(value, kind="stable")
+            start, count, doc, value = start[order], count[order], doc[order], value[order]
+            ends = np.searchsorted(_part_of(value, parts), np.arange(parts + 1))
             full = np.flatnonzero(np.diff(ends)).tolist()
             raw, runs, numbers = block.data.tobytes(), [], []
             for p in full:
-                mine = chosen[ends[p] : ends[p + 1]]
-                sizes = block.count[mine] + length - 1
+                mine = slice(ends[p], ends[p + 1])
+                sizes = count[mine] + length - 1
                 ids: dict[bytes, int] = {}
-                of = np.array(
-                    [ids.setdefault(raw[a : a + s], len(ids)) for a, s in zip(block.run[mine].tolist(), sizes.tolist())], np.int64
-                )
+                of = np.array([ids.setdefault(raw[a : a + s], len(ids)) for a, s in zip(start[mine].tolist(), sizes.tolist())], np.int64)
                 if places:
                     numbers.append(of)
                     continue
-                least, value = np.full(len(ids), NO_KEY), np.empty(len(ids), np.uint64)
-                np.minimum.at(least, of, keys[block.doc[mine]])
-                value[of] = block.value[mine]
+                least, told = np.full(len(ids), NO_KEY), np.empty(len(ids), np.uint64)
+                np.minimum.at(least, of, keys[doc[mine]])
+                told[of] = value[mine]
                 # a part is a range of minimisers, so the low bits tell most of them apart
-                low = (value & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                low = (told & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 runs.append(packed([low, least, np.array(list(map(len, ids)), np.int64)], b"".join(ids)))
             if places:
-                part, doc = np.repeat(full, np.diff(ends)[full]).astype(np.int64), block.doc[chosen]
+                part = np.repeat(full, np.diff(ends)[full]).astype(np.int64)
                 number = np.concatenate([np.empty(0, np.int64), *numbers])
                 full = [-1]
-                runs = [packed([part, number, doc, block.run[chosen] - block.starts[doc], block.count[chosen] + length - 1])]
+                runs = [packed([part, number, doc, start - block.starts[doc], count + length - 1])]
             yield pa.RecordBatch.from_pydict(
                 {
                     "part": pa.array(full, pa.int32()),
@@ -401,6 +504,14 @@ def _ranges(length: int):
     return run
 
 
+def _answers(sent: DataFrame, hot_runs: int) -> DataFrame:
+    return sent.groupBy("part").applyInArrow(_shared_bits(hot_runs), "block long, part int, bits binary")
+
+
+def _by_block(bits: DataFrame) -> DataFrame:
+    return bits.groupBy("block").agg(F.collect_list(F.struct("part", "bits")).alias("answers"))
+
+
 def suffix_dedup(
     docs: DataFrame,
     key: str = "doc_id",
@@ -408,13 +519,15 @@ def suffix_dedup(
     length: int = LENGTH,
     short: int = SHORT,
     block_bytes: int = BLOCK_BYTES,
+    hot_runs: int = HOT_RUNS,
 ) -> DataFrame:
     """Removes every byte in a ``length``-byte string that also starts in a document of smaller key.
 
     Returns the key (as a long), ``n_bytes``, ``spans`` (maximal removed
     [start, end) in bytes) and ``clean`` (the remaining bytes; a cut may fall
     inside a character).  Strings are judged on the input and never cross
-    documents.
+    documents.  ``hot_runs`` sets when the runs of a minimiser are cut into
+    windows, not what is found.
 
     A null or empty text has no bytes; a text shorter than ``length`` stays.  A
     null key is larger than any other.  Rows of one key are no earlier than each
@@ -422,14 +535,10 @@ def suffix_dedup(
     result; other columns are not read.
     """
     written, parts = stored_blocks(docs, key, text, block_bytes, PART_BYTES)
-    bits = (
-        _sent_minimisers(written, parts, length, short)
-        .groupBy("part")
-        .applyInArrow(_shared_bits, "block long, part int, bits binary")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("part", "bits")).alias("answers"))
-    )
-    answered = written.join(bits, "block")
+    bits = stored(_answers(_sent_minimisers(written, parts, length, short), hot_runs), "bits")
+    hot = _by_block(bits.where(F.substring("bits", 1, 1) == F.lit(b"\x01")))
+    more = stored(_answers(_sent_windows(written.join(hot, "block"), parts, length, short), hot_runs), "bits")
+    answered = written.join(_by_block(bits.union(more)), "block")
     ranges = (
         _sent_runs(answered, parts, length, short)
         .groupBy("part")

@@ -5,6 +5,7 @@ import pytest
 
 from loanlens.llm import suffix_dedup as S
 from loanlens.llm.blocks import stored_blocks, unpacked
+from loanlens.session import stored
 
 
 def brute(rows, length=50):
@@ -118,7 +119,7 @@ def test_a_block_sends_equal_runs_once(docs_of, prose):
     rows = [(i, passage) for i in range(300)] + [(400 + i, f"{prose(i, 3)} {passage}") for i in range(20)]
     written, parts = stored_blocks(docs_of(rows).coalesce(1), "doc_id", "text")
     bits = S._sent_minimisers(written, parts, S.LENGTH, S.SHORT).groupBy("part")
-    bits = bits.applyInArrow(S._shared_bits, "block long, part int, bits binary")
+    bits = bits.applyInArrow(S._shared_bits(S.HOT_RUNS), "block long, part int, bits binary")
     bits = bits.selectExpr("block", "struct(part, bits) as a").groupBy("block").agg({"a": "collect_list"})
     answered = written.join(bits.toDF("block", "answers"), "block")
     texts = []
@@ -135,3 +136,41 @@ def test_parts_have_about_as_many_minimisers():
     counts = np.bincount(S._part_of(np.unique(S.minimisers(data, S._byte_numbers())), 16), minlength=16)
     assert counts.max() < 1.3 * counts.mean()
     assert len(set(S._mixed(np.arange(1 << 16, dtype=np.uint64)).tolist())) == 1 << 16
+
+
+def common_passage(n, passage=70):
+    """Different texts around one passage, whose minimisers have a run for each text."""
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    middle = "".join(rng.choices(letters, k=passage))
+    around = ["".join(rng.choices(letters, k=200)) for _ in range(n)]
+    return [(i, x[:100] + middle + x[100:]) for i, x in enumerate(around)]
+
+
+@pytest.mark.parametrize("block_bytes", [2000, 1 << 20])
+def test_hot_minimisers_cut_into_windows_equal_brute_force(docs_of, prose, awkward, block_bytes):
+    rows = [*common_passage(60), *((100 + i, "ab" * (30 + i)) for i in range(40)), (None, "b" + "ab" * 50)]
+    rows += [(d, t) for d, t in awkward if t is None or len(t) < 50_000]
+    rows += [(200 + i, prose(i, 30) + " the same long line of text that many documents hold " + prose(50 + i, 30)) for i in range(40)]
+    assert compare(docs_of(rows).repartition(3), rows, block_bytes=block_bytes, hot_runs=3) > 100
+
+
+def test_runs_of_a_common_passage_are_spread(docs_of):
+    """The largest part gets less than five times what the median part gets."""
+    rows = common_passage(8000)
+    written, _ = stored_blocks(docs_of(rows).coalesce(1), "doc_id", "text")
+    parts, hot_runs = 32, 200
+    bits = stored(S._answers(S._sent_minimisers(written, parts, S.LENGTH, S.SHORT), hot_runs), "bits")
+    hot = S._by_block(bits.where("substring(bits, 1, 1) = X'01'"))
+    more = S._answers(S._sent_windows(written.join(hot, "block"), parts, S.LENGTH, S.SHORT), hot_runs)
+
+    def sent(bits):
+        each = np.zeros(parts, np.int64)
+        for r in S._sent_runs(written.join(S._by_block(bits), "block"), parts, S.LENGTH, S.SHORT).collect():
+            each[r.part] += len(unpacked(bytes(r.runs), 3)[1])
+        return each
+
+    together = S._answers(S._sent_minimisers(written, parts, S.LENGTH, S.SHORT), 1 << 40)
+    assert sent(together).max() > 50 * np.median(sent(together))
+    spread = sent(bits.union(more))
+    assert 0 < spread.max() < 5 * np.median(spread)
