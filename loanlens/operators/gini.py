@@ -52,16 +52,25 @@ def _counted(rows: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
 
 def _of_counts(counts: DataFrame, groups: list[str], ranges: int | None) -> DataFrame:
     """``gini`` from the bads (_b) and goods (_g) per group and _score."""
-    ranged = with_range(counts, "_score", counts, ranges)
+    return _of_ranges(with_range(counts, "_score", counts, ranges), groups)
+
+
+def _of_ranges(ranged: DataFrame, groups: list[str], dealt_by: Sequence[str] = ()) -> DataFrame:
+    """``_of_counts`` of rows with their _range.
+
+    Rows that are dealt by ``dealt_by`` and the range already, columns that say
+    no more than the groups do, stay where they are.
+    """
+    inside = [*dealt_by, *groups, "_range"]
     below = (
-        Window.partitionBy(*groups, "_range")
+        Window.partitionBy(*inside)
         .orderBy("_score")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     goods_below = F.coalesce(F.sum("_g").over(below), F.lit(0))
     per_range = (
         ranged.withColumn("_below", goods_below)
-        .groupBy(*groups, "_range")
+        .groupBy(*inside)
         .agg(
             F.sum(F.col("_b") * (F.col("_below") + F.col("_g") / 2.0)).alias("_area"),
             F.sum("_b").alias("_b"),
@@ -122,8 +131,9 @@ def gini_metrics(
     Rows disbursed from ``since`` on count for the overall figures, all rows
     for the monthly ones.  Each row is taken once per score, with a mask of the
     metrics it counts for; rows are counted per score, value, model, month and
-    mask, and the metrics are made from the counts, which are stored: they are
-    read for the cuts and for the figures.
+    mask.  These counts are stored, since they are read for the cuts and for the
+    figures, and dealt once, by score and range: the metrics are made from them
+    where they lie.
     """
     specs = _metrics(since, scores, day)
     measured = list(dict.fromkeys(score for _, score, _, _ in specs))
@@ -147,25 +157,29 @@ def gini_metrics(
         )
         .where("_mask <> 0 and _label is not null")
     )
-    counted = _counted(long, ["_of", "_mask", "MODEL_TYPE", "_month", "_score"], "_label")
-    made = [
-        F.when(
-            F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0,
+    counted = stored(_counted(long, ["_of", "_mask", "MODEL_TYPE", "_month", "_score"], "_label"), "gini_counts")
+    metrics = F.array(
+        *[
             F.struct(
-                F.lit(metric).alias("METRIC"),
-                (F.col("_month") if monthly else F.lit(None).cast("date")).alias("_of_month"),
-            ),
-        )
-        for i, (metric, _, monthly, _) in enumerate(specs)
-    ]
-    groups = ["METRIC", "MODEL_TYPE", "_month"]
+                F.lit(i).alias("_metric"), F.lit(measured.index(score)).alias("_of"),
+                F.lit(1 << i).alias("_bit"), F.lit(monthly).alias("_monthly"),
+            )
+            for i, (_, score, monthly, _) in enumerate(specs)
+        ]
+    )
+    # one row per metric bounds the broadcast
+    table = F.broadcast(df.sparkSession.range(1).select(F.inline(metrics)))
+    groups = ["_metric", "MODEL_TYPE", "_month"]
+    dealt = with_range(counted, "_score", counted, ranges).repartition("_of", "_range")
     counts = (
-        counted.select("MODEL_TYPE", "_score", "_b", "_g", F.inline(F.array_compact(F.array(*made))))
-        .withColumnRenamed("_of_month", "_month")
-        .groupBy(*groups, "_score")
+        dealt.join(table, ["_of"])
+        .where(F.col("_mask").bitwiseAND(F.col("_bit")) != 0)
+        .withColumn("_month", F.when(F.col("_monthly"), F.col("_month")))
+        .groupBy("_of", "_range", *groups, "_score")
         .agg(F.sum("_b").alias("_b"), F.sum("_g").alias("_g"))
     )
-    figures = _of_counts(stored(counts, "gini_counts"), groups, ranges)
+    names = F.array(*[F.lit(metric) for metric, _, _, _ in specs])
+    figures = _of_ranges(counts, groups, ["_of"]).withColumn("METRIC", F.get(names, F.col("_metric")))
     return figures.select(
         "METRIC", "MODEL_TYPE", month_label("_month").alias("MONTH_YEAR"), "BADS", "GOODS", "GINI"
     )

@@ -16,31 +16,29 @@ _PAIR = ["_customer", "_run"]
 # The keys of the two joins below as SQL, for counts that are kept with a table.
 RUN_KEYS = ("trim(cast(CUSTOMER_ID as string))", "trim(cast(BRE_RUN_ID as string))")
 LOAN_KEYS = ("trim(cast(USER_ID as string))", "trim(cast(BRE_RUN_ID as string))")
+USER_KEYS = LOAN_KEYS[:1]
 
 
-def one_per_loan(repayments: DataFrame) -> DataFrame:
+def one_per_loan(repayments: DataFrame, dealt_by: Sequence[str] = ()) -> DataFrame:
     """One row per user, loan and payout day; a bad outcome wins over a good one.
 
     All other columns settle what is left of a tie, so the input's order says
     nothing.  Spark keeps one row per key in each map task before the shuffle.
+    Rows that are dealt by ``dealt_by`` already, columns that follow from the
+    keys, as all whose names begin with _ do, stay where they are.
     """
     first = [S.OUTCOME_LABEL, "VENDOR", "STATUS"]
-    rest = sorted(c for c in repayments.columns if c not in (*first, *S.REPAYMENT_KEYS))
-    order = Window.partitionBy(*S.REPAYMENT_KEYS).orderBy(
+    rest = sorted(c for c in repayments.columns if c not in (*first, *S.REPAYMENT_KEYS) and not c.startswith("_"))
+    order = Window.partitionBy(*dealt_by, *S.REPAYMENT_KEYS).orderBy(
         F.col(S.OUTCOME_LABEL).desc_nulls_last(),
         *[F.col(c).asc_nulls_last() for c in (*first[1:], *rest)],
     )
     return repayments.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
-def latest_run_per_day(repayments: DataFrame, decisions: DataFrame) -> DataFrame:
-    """For each (user, day) asked for, the latest run on or before that day.
-
-    Both sides first shrink to one row per user and day, so a user with any
-    number of runs or loans has no more rows in the window than there are days.
-    Of several runs on one day the greatest run id counts.
-    """
-    runs = (
+def _runs_by_day(decisions: DataFrame) -> DataFrame:
+    """For each user and day with runs, ``_seen``: the day and the greatest run id."""
+    return (
         decisions.select(
             trimmed("CUSTOMER_ID").alias("_user"),
             F.to_date("BRE_RUN_DATE").alias("_day"),
@@ -51,6 +49,16 @@ def latest_run_per_day(repayments: DataFrame, decisions: DataFrame) -> DataFrame
         .agg(F.max("BRE_RUN_ID").alias("_id"))
         .select("_user", "_day", F.struct(F.col("_day").alias("day"), "_id").alias("_seen"))
     )
+
+
+def latest_run_per_day(repayments: DataFrame, decisions: DataFrame) -> DataFrame:
+    """For each (user, day) asked for, the latest run on or before that day.
+
+    Both sides first shrink to one row per user and day, so a user with any
+    number of runs or loans has no more rows in the window than there are days.
+    Of several runs on one day the greatest run id counts.
+    """
+    runs = _runs_by_day(decisions)
     asked = (
         repayments.select(
             trimmed("USER_ID").alias("_user"), F.to_date("DISBURSED_DATE").alias("_day")
@@ -78,12 +86,42 @@ def latest_run_per_day(repayments: DataFrame, decisions: DataFrame) -> DataFrame
     )
 
 
-def as_of_latest_run(repayments: DataFrame, decisions: DataFrame) -> DataFrame:
+def _as_of_by_user(repayments: DataFrame, decisions: DataFrame) -> DataFrame:
+    """``as_of_latest_run`` where no user holds many of the loans: all is done where a user's rows lie.
+
+    Loans and days with runs move once, by user.  Rows without a user or a day
+    stand before every run, so they meet none.
+    """
+    loans = repayments.select(
+        "*", trimmed("USER_ID").alias("_user"), F.to_date("DISBURSED_DATE").alias("_day"), F.lit(1).alias("_asked")
+    )
+    events = loans.unionByName(_runs_by_day(decisions).withColumn("_asked", F.lit(0)), allowMissingColumns=True)
+    so_far = (
+        Window.partitionBy("_user")
+        .orderBy("_day", "_asked")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    answered = events.withColumn("_latest", F.last("_seen", ignorenulls=True).over(so_far)).where("_asked = 1")
+    return one_per_loan(answered.drop("_asked", "_seen"), ["_user"]).select(
+        *repayments.columns,
+        F.col("_latest.day").alias("BRE_RUN_DATE"),
+        F.col("_latest._id").alias("BRE_RUN_ID"),
+        day_diff("_latest.day", "_day").alias("DAYS_DIFF"),
+    )
+
+
+def as_of_latest_run(repayments: DataFrame, decisions: DataFrame, hot: Hot | None = None) -> DataFrame:
     """As-of join: each loan with the latest run on or before its payout day.
 
     Loans without an earlier run stay, with NULLs.  Days are compared, as the
-    decision table stores them.  No pairs of loans and runs are formed.
+    decision table stores them.  No pairs of loans and runs are formed.  ``hot``
+    are the hot buckets of the loans' trimmed users (see ``USER_KEYS``): without
+    any, loans move once, by user.  Otherwise, or where they are not known, users
+    and days are answered first, and adaptive execution can split the join with
+    the loans.
     """
+    if hot is not None and not hot:
+        return _as_of_by_user(repayments, decisions)
     loans = one_per_loan(repayments).select(
         "*", trimmed("USER_ID").alias("_user"), F.to_date("DISBURSED_DATE").alias("_day")
     )

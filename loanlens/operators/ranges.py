@@ -8,7 +8,6 @@ exact result; they only decide how even the work is.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,17 +39,17 @@ def _cuts(df: DataFrame, value: str, ranges: int) -> DataFrame:
     return parts.select(F.explode("_c").alias("_v")).agg(sketch("_v").alias("_cuts"))
 
 
-def _stride(ranges: int) -> int:
-    """Cuts are looked up in two steps: every stride-th cut, then those up to the next."""
-    return max(2, math.isqrt(ranges))
+def _range_of(value: str, cuts: Column, most: int) -> Column:
+    """Number of sorted cuts, ``most`` at most, below the value; 0 without cuts.
 
+    A binary search: the work for a row grows with the logarithm of the cuts.
+    """
+    steps = [1 << k for k in reversed(range(most.bit_length()))] or [1]
+
+    def further(found: Column, step: Column) -> Column:
+        return F.when(F.get(cuts, found + step - 1) < F.col(value), found + step).otherwise(found)
 
-def _range_of(value: str, cuts: Column, coarse: Column, stride: int) -> Column:
-    """Number of sorted cuts below the value; 0 without cuts."""
-    below = lambda cut: cut < F.col(value)
-    first = F.size(F.filter(coarse, below)) * stride
-    rest = F.size(F.filter(F.slice(cuts, first + 1, stride - 1), below))
-    return F.coalesce(F.when(cuts.isNotNull(), first + rest), F.lit(0))
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further)
 
 
 def with_range(
@@ -64,10 +63,8 @@ def with_range(
     ranges = ranges_for(df) if ranges is None else ranges
     if ranges <= 1:
         return df.withColumn(name, F.lit(0))
-    stride = _stride(ranges)
-    coarse = F.filter("_cuts", lambda _, i: i % stride == stride - 1)
-    found = _cuts(rows, value, ranges).select(F.struct("_cuts", coarse.alias("_coarse"))).scalar()
-    placed = _range_of(value, F.col("_found._cuts"), F.col("_found._coarse"), stride)
+    found = _cuts(rows, value, ranges).scalar()
+    placed = _range_of(value, F.col("_found"), ranges - 1)
     return df.select("*", found.alias("_found")).withColumn(name, placed).drop("_found")
 
 
@@ -88,5 +85,4 @@ def _as_array(cuts: Sequence[float]) -> Column:
 
 def in_fixed_range(value: str, cuts: Sequence[float]) -> Column:
     """The range of a value for cuts known as numbers."""
-    stride = _stride(len(cuts))
-    return _range_of(value, _as_array(cuts), _as_array(cuts[stride - 1 :: stride]), stride)
+    return _range_of(value, _as_array(cuts), len(cuts))

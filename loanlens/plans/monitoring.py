@@ -6,12 +6,13 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loanlens.operators.gini import with_gini_columns
 from loanlens.operators.ks import ks_table
-from loanlens.operators.outcomes import LOAN_KEYS, as_of_latest_run, features_for_master, labelled_master
+from loanlens.operators.outcomes import LOAN_KEYS, USER_KEYS, as_of_latest_run, features_for_master, labelled_master
 from loanlens.operators.psi import DriftModule, psi_report
-from loanlens.operators.skew import Hot, stored_with_hot
+from loanlens.operators.skew import Hot, hot_buckets, stored_with_hot
 from loanlens.session import stored
 from loanlens.sources import offers as O
 from loanlens.sources import scans
@@ -29,7 +30,17 @@ def attach_outcomes(
     end: dt.date | str,
     labelled_since: dt.date | str = "2022-08-01",
 ) -> DataFrame:
-    """As-of join of loans with runs, then the labels on every master row."""
+    """As-of join of loans with runs, then the labels on every master row.
+
+    The plan depends on the data: the users of the loans are counted when this
+    is called.  Where none holds many of them, no run does either, and nothing
+    is stored: rows and columns that the caller leaves out are not carried.
+    ``master`` is read twice, so give a stored one.
+    """
+    users = repayments.select(F.expr(USER_KEYS[0]).alias("_user"))
+    if not hot_buckets(users, ["_user"]):
+        loans = as_of_latest_run(repayments, master, {})
+        return labelled_master(master, loans, start, end, labelled_since, {})
     loans, hot = stored_with_hot(as_of_latest_run(repayments, master), "loans_with_runs", LOAN_KEYS)
     return labelled_master(master, loans, start, end, labelled_since, hot)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loanlens.functions import month_label
 from loanlens.operators.gini import gini_metrics
 from loanlens.operators.ks import ks_statistic, ks_table
 from loanlens.operators.psi import DriftModule
@@ -46,10 +47,9 @@ def _master(spark, sf):
 
 
 def _labelled(spark, sf, master=None):
-    """The master with the outcomes attached."""
+    """The master with the outcomes attached, for one reader: of its columns only those that are read are joined."""
     master = _master(spark, sf) if master is None else master
-    rows = M.attach_outcomes(master, P.repayments(spark, sf), PAID_FROM, PAID_TO, LABELLED_SINCE)
-    return stored(rows, "labelled_master")
+    return M.attach_outcomes(master, P.repayments(spark, sf), PAID_FROM, PAID_TO, LABELLED_SINCE)
 
 
 @query(
@@ -122,7 +122,8 @@ _DRIFT = numeric_psi_ctes(
 def job_drift(spark, sf):
     """Fact features and scores of the matured rows against the decisions of the first years."""
     master = _master(spark, sf)
-    rows = M.gini_table(_labelled(spark, sf, master), AS_OF, since=SINCE)
+    matured = scans.matured(_labelled(spark, sf, master), AS_OF)
+    rows = matured.withColumn("MONTH_YEAR", month_label("DISBURSED_DATE"))
     fact = P.fact(spark, sf, "transaction").select("CUSTOMER_ID", "BRE_RUN_ID", *FEATURES)
     first = master.where(F.col("BRE_RUN_DATE") < BASELINE_END)
     baseline = stored(

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanlens.operators import outcomes as O
-from loanlens.operators.gini import gini
+from loanlens.operators.gini import GINI_SCORES, gini, gini_metrics
+from loanlens.operators.ranges import in_fixed_range
 from loanlens.operators.skew import hot_buckets, left_join, left_join_many, left_joins
 from loanlens.operators.upsert import upsert
 
@@ -178,3 +179,40 @@ def test_gini_window_is_cut_into_ranges(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_range" in plan and ("ScalarSubquery" in plan or "Subquery" in plan)
     assert abs(out.first()["GINI"]) < 0.05
+
+
+def test_gini_metrics_deal_their_counts_once(spark):
+    day = F.date_add(F.lit(dt.date(2022, 9, 1)), (F.col("id") % 90).cast("int"))
+    scores = [(F.rand(i) * 1e-3).alias(s) for i, (s, _) in enumerate(GINI_SCORES)]
+    flags = [F.lit(True).alias(f) for _, f in GINI_SCORES if f]
+    df = spark.range(0, 3000, 1, 8).select(
+        F.lit("X").alias("MODEL_TYPE"), day.alias("DISBURSED_DATE"), (F.col("id") % 2).cast("int").alias("EVER_15DPD_IN_90DAYS"),
+        *scores, *flags,
+    )
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        plan = gini_metrics(df)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_range" in line]
+    assert len(dealt) == 1 and "_of" in dealt[0] and "_metric" not in dealt[0]
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 7, 8, 200])
+def test_ranges_are_found_by_binary_search(spark, count):
+    cuts = [i / 7.0 for i in range(count)]
+    df = spark.createDataFrame([(i / 14.0 - 0.5,) for i in range(460)] + [(None,)], "v double")
+    with_number = df.select("v", in_fixed_range("v", cuts).alias("r"))
+    assert all(r.r == sum(r.v is not None and c < r.v for c in cuts) for r in with_number.collect())
+    text = with_number._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in text or "filter(" not in text  # no look at every cut
+
+
+def test_as_of_by_user_moves_the_loans_once(spark):
+    loans, runs = loans_and_runs(spark)
+    day = F.when(F.col("LOAN_ID").cast("int") % 50 != 7, F.col("DISBURSED_DATE"))
+    user = F.when(F.col("LOAN_ID").cast("int") % 40 != 3, F.concat(F.lit(" "), "USER_ID"))
+    odd = loans.withColumn("DISBURSED_DATE", day).withColumn("USER_ID", user)
+    loans = odd.unionByName(odd.where("LOAN_ID % 5 = 0").withColumn("VENDOR", F.lit("u")))
+    got, plain = O.as_of_latest_run(loans, runs, {}), O.as_of_latest_run(loans, runs)
+    assert got.columns == plain.columns and rows_of(got.collect()) == rows_of(plain.collect())
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        plan = O.as_of_latest_run(loans, runs, {})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # runs by user and day, then all by user
