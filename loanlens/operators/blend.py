@@ -86,10 +86,11 @@ def join_module_scores(
     """Decisions with the scores of three modules; decisions without one keep NULL.
 
     Full-row duplicates go before the joins, on both sides, which gives the
-    same rows as removing them after each join and shuffles less.
+    same rows as removing them after each join and shuffles less.  Decisions
+    move once, by the key of the joins.
     """
     return left_joins(
-        decisions.distinct(),
+        decisions,
         [
             _module_scores(bureau, "BR_PD", "LOGODDS_BR"),
             _module_scores(transaction, "TRX_PD", "LOGODDS_TRX"),
@@ -97,6 +98,7 @@ def join_module_scores(
         ],
         ["BRE_RUN_ID"],
         counted=decisions,
+        distinct=True,
     )
 
 
@@ -119,12 +121,17 @@ def risk_band(
     last: str = LAST_BAND,
     missing: str = NO_BAND,
 ) -> Column:
-    """Band of a score; upper edges belong to the band below."""
+    """Band of a score; upper edges belong to the band below.
+
+    Looked up in an array: Spark compiles no lambda into a stage, so the joins
+    before it and the rules after it become two methods, and each is within the
+    8,000 bytes up to which the JVM compiles one.
+    """
     score = F.col(score) if isinstance(score, str) else score
-    band = F.when(score.isNull(), F.lit(missing))
-    for name, upper in cuts:
-        band = band.when(score <= upper, F.lit(name))
-    return band.otherwise(F.lit(last))
+    bands = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(upper).alias("upper")) for name, upper in cuts])
+    fitting = F.filter(bands, lambda band: score <= band["upper"])
+    band = F.coalesce(F.get(fitting, F.lit(0))["name"], F.lit(last))
+    return F.when(score.isNull(), F.lit(missing)).otherwise(band)
 
 
 def blend(

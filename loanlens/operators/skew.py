@@ -114,9 +114,13 @@ def left_joins(
     keys: Sequence[str],
     counted: DataFrame | None = None,
     share: float = HOT_SHARE,
+    distinct: bool = False,
 ) -> DataFrame:
     """Left joins of ``big`` with each lookup on the same keys; ``big`` moves once.
 
+    With ``distinct``, equal rows of ``big`` count once.  They meet where the
+    joins need them, also under a hot key, whose groups go by a hash of the row.
+
     Rows under a hot key (a NULL key may be one) are spread over groups by a
     hash of the row, and the lookup rows of that bucket are repeated once per
     group; all other rows stay in group 0 and nothing is repeated for them.  A
@@ -130,6 +134,8 @@ def left_joins(
     on = list(keys)
     hot = hot_buckets(big if counted is None else counted, on, share)
     if not hot:
+        if distinct:
+            big = big.repartition(*on).distinct()
         for lookup in lookups:
             big = big.join(lookup, on, "left")
         return big
@@ -141,6 +147,8 @@ def left_joins(
     row_hash = F.xxhash64(F.lit("group"), *[F.col(c) for c in big.columns])
     groups = F.sequence(F.lit(0), salts - 1)
     joined = big.withColumn("_group", F.pmod(row_hash, salts).cast("int"))
+    if distinct:
+        joined = joined.repartition(*on, "_group").distinct()
     for lookup in lookups:
         repeated = lookup.select("*", F.explode(groups).alias("_group"))
         joined = joined.join(repeated, [*on, "_group"], "left")

@@ -2,6 +2,7 @@
 
 import contextlib
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from loanlens.operators.gini import GINI_SCORES, gini, gini_metrics
 from loanlens.operators.ranges import in_fixed_range
 from loanlens.operators.skew import hot_buckets, left_join, left_join_many, left_joins
 from loanlens.operators.upsert import upsert
+from loanlens.plans import decisions, monitoring
+from testbed.q_decisions import _blended
 
 SPLITTING = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -216,3 +219,39 @@ def test_as_of_by_user_moves_the_loans_once(spark):
     with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
         plan = O.as_of_latest_run(loans, runs, {})._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2  # runs by user and day, then all by user
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_left_joins_of_distinct_rows_move_them_once(spark, hot):
+    big = keyed(spark) if hot else spark.range(0, 6000, 1, 8).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    twice = big.unionByName(big.where("v % 3 < 2"))
+    lookup = big.select("k").distinct().where("k is not null").select("k", F.length("k").alias("n"))
+    got = left_joins(twice, [lookup], ["k"], distinct=True)
+    assert rows_of(got.select("k", "v", "n").collect()) == rows_of(big.join(lookup, ["k"], "left").select("k", "v", "n").collect())
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = left_joins(twice, [lookup], ["k"], distinct=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1 and "hashpartitioning(k#" in plan
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "v#" in line.split("hashpartitioning(")[1].split(")")[0]]
+
+
+def test_outcomes_are_attached_without_storing_where_no_user_is_hot(spark, monkeypatch):
+    loans, runs = loans_and_runs(spark)
+    even = F.concat(F.lit("u"), (F.substring("BRE_RUN_ID", 2, 9).cast("int") % 1500).cast("string"))
+    runs = runs.withColumn("CUSTOMER_ID", even)
+    loans = loans.withColumn("USER_ID", F.concat(F.lit("u"), (F.col("LOAN_ID").cast("int") % 1500).cast("string")))
+    args = ("2022-01-01", "2022-12-31", "2022-01-10")
+    expected = O.labelled_master(runs, O.as_of_latest_run(loans, runs), *args)
+
+    def storing(*_):
+        raise AssertionError("stored")
+
+    monkeypatch.setattr(monitoring, "stored_with_hot", storing)
+    got = monitoring.attach_outcomes(runs, loans, *args)
+    assert got.columns == expected.columns and rows_of(got.collect()) == rows_of(expected.collect())
+
+
+def test_decided_rows_are_compiled(spark):
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        rows = decisions.decided(_blended(spark, "/root/testdata/sf0.001"))
+        code = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "codegen")
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000  # the JVM interprets longer methods
