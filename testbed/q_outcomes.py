@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loanlens.operators.outcomes import as_of_latest_run, features_for_master, labelled_master
-from loanlens.session import shared_folder, stored
+from loanlens.operators.outcomes import as_of_latest_run, features_for_master
+from loanlens.plans.monitoring import attach_outcomes
+from loanlens.session import shared_folder
 from loanlens.sources import scans, sinks
 from loanlens.sources import schemas as S
 from testbed import proxies as P
@@ -47,9 +48,7 @@ def master(spark, sf):
 
 
 def labelled(spark, sf):
-    rows = master(spark, sf)
-    loans = stored(as_of_latest_run(P.repayments(spark, sf), rows), "loans_with_runs")
-    return labelled_master(rows, loans, PAID_FROM, PAID_TO, LABELLED_SINCE)
+    return attach_outcomes(master(spark, sf), P.repayments(spark, sf), PAID_FROM, PAID_TO, LABELLED_SINCE)
 
 
 _LOAN = "USER_ID, LOAN_ID, cast(DISBURSED_DATE AS string) AS DISBURSED_DATE"
