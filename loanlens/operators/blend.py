@@ -34,12 +34,16 @@ def _yes(condition: Column) -> Column:
     return F.when(condition, F.lit("YES")).otherwise(F.lit("NO"))
 
 
-def sufficiency_flags(df: DataFrame) -> DataFrame:
-    """Whether bureau, message and transaction data suffice; unknown counts as NO."""
-    counted = df.withColumns(
+def sufficiency_numbers(df: DataFrame) -> DataFrame:
+    """The inputs of the sufficiency flags as numbers."""
+    return df.withColumns(
         {c: number(c) for c in ("NUM_READABLE_SMS_180D", "BUREAUSCORE", "TOTAL_TRXNS", "DAYS_SINCE_LAST_TXN")}
     )
-    return counted.withColumns(
+
+
+def sufficiency_flags(df: DataFrame) -> DataFrame:
+    """Whether bureau, message and transaction data suffice; unknown counts as NO."""
+    return sufficiency_numbers(df).withColumns(
         {
             "IS_SMS_FEATURE": F.coalesce(F.col("NUM_READABLE_SMS_180D") > 0, F.lit(False)),
             "IS_BR_SUFF": _yes(F.col("BUREAUSCORE") >= 300),

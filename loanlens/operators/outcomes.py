@@ -140,6 +140,7 @@ def labelled_master(
     end: dt.date | str,
     labelled_since: dt.date | str,
     hot: Hot | None = None,
+    with_keys: bool = False,
 ) -> DataFrame:
     """Every master row with the loans paid out on its run, or NULLs.
 
@@ -148,6 +149,11 @@ def labelled_master(
     for the join.  ``hot`` are the hot buckets of the loans' trimmed customer and
     run (see ``LOAN_KEYS``).  Without it, give stored loans: their keys are
     counted first, to see whether one run holds many of them.
+
+    ``with_keys`` leaves the trimmed customer and run of every row beside it, by
+    which the rows lie then: ``features_for_master`` does not move them again.
+    Adaptive execution cannot split joins in a row, so this is for masters and
+    loans without hot keys.
     """
     paid = loans.where(in_day_window("DISBURSED_DATE", start, end) & F.col("BRE_RUN_ID").isNotNull())
     many = paid.select(
@@ -156,6 +162,13 @@ def labelled_master(
         *S.OUTCOME_COLUMNS,
     )
     recent = F.col("BRE_RUN_DATE") >= F.lit(dt.date.fromisoformat(str(labelled_since)))
+    if with_keys:
+        kept = master.select(
+            "*", trimmed("CUSTOMER_ID").alias("_customer"), trimmed("BRE_RUN_ID").alias("_run"), recent.alias("_recent")
+        )
+        many = many.withColumnsRenamed({"_customer": "_of_customer", "_run": "_of_run"})
+        same = (F.col("_customer") == F.col("_of_customer")) & (F.col("_run") == F.col("_of_run"))
+        return kept.join(many, same & F.col("_recent"), "left").drop("_recent", "_of_customer", "_of_run")
     kept = master.select(
         "*",
         trimmed("CUSTOMER_ID").alias("_customer"),
@@ -176,15 +189,14 @@ def features_for_master(
     master columns the fact does not have.  ``hot`` are the hot buckets of the
     fact's keys: a fact stored with ``key_counts`` of ``RUN_KEYS`` has them, and
     without them the keys of the whole fact are counted when this is called.
+    A master from ``labelled_master`` with its keys stays where it lies.
     """
     fact_names = {c.upper() for c in fact.columns}
     if columns is None:
-        columns = [c for c in master.columns if c.upper() not in fact_names]
-    big = master.select(
-        trimmed("CUSTOMER_ID").alias("_customer"),
-        trimmed("BRE_RUN_ID").alias("_run"),
-        *columns,
-    )
+        columns = [c for c in master.columns if c.upper() not in fact_names and c not in _PAIR]
+    given = set(_PAIR).issubset(master.columns)
+    keys = _PAIR if given else [trimmed("CUSTOMER_ID").alias("_customer"), trimmed("BRE_RUN_ID").alias("_run")]
+    big = master.select(*keys, *columns)
     lookup = fact.select(
         "*", trimmed("CUSTOMER_ID").alias("_customer"), trimmed("BRE_RUN_ID").alias("_run")
     )

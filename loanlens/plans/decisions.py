@@ -72,12 +72,15 @@ def blended_decisions(
     end: dt.date | str,
     calibration: Calibration,
 ) -> DataFrame:
-    """Decisions of a day window with flags, module scores, blend and band."""
-    flagged = B.sufficiency_flags(scans.decision_scan(fact, start, end)).withColumn(
-        "COMBINATION_TYPE", B.combination_type()
-    )
-    dated = flagged.withColumn("BRE_RUN_DATE", F.to_date("BRE_RUN_DATE"))
-    return B.blend(B.join_module_scores(dated, bureau, transaction, sms), calibration)
+    """Decisions of a day window with flags, module scores, blend and band.
+
+    The flags follow from the other columns, so they are made after the joins
+    and do not move.
+    """
+    numbered = B.sufficiency_numbers(scans.decision_scan(fact, start, end))
+    dated = numbered.withColumn("BRE_RUN_DATE", F.to_date("BRE_RUN_DATE"))
+    joined = B.sufficiency_flags(B.join_module_scores(dated, bureau, transaction, sms))
+    return B.blend(joined.withColumn("COMBINATION_TYPE", B.combination_type()), calibration)
 
 
 def decided(blended: DataFrame, model_type: str = "XGBOOST") -> DataFrame:

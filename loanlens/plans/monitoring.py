@@ -8,9 +8,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanlens.functions import in_day_window
 from loanlens.operators.gini import with_gini_columns
 from loanlens.operators.ks import ks_table
-from loanlens.operators.outcomes import LOAN_KEYS, USER_KEYS, as_of_latest_run, features_for_master, labelled_master
+from loanlens.operators.outcomes import (
+    LOAN_KEYS,
+    RUN_KEYS,
+    USER_KEYS,
+    as_of_latest_run,
+    features_for_master,
+    labelled_master,
+)
 from loanlens.operators.psi import DriftModule, psi_report
 from loanlens.operators.skew import Hot, hot_buckets, stored_with_hot
 from loanlens.session import stored
@@ -29,22 +37,60 @@ def attach_outcomes(
     start: dt.date | str,
     end: dt.date | str,
     labelled_since: dt.date | str = "2022-08-01",
+    with_keys: bool = False,
 ) -> DataFrame:
     """As-of join of loans with runs, then the labels on every master row.
 
+    Loans paid out on other days label nothing and leave first: which of a
+    loan's rows counts and which run answers it are settled within its day.
     The plan depends on the data: the users of the loans are counted when this
     is called.  Where none holds many of them, no run does either, and nothing
     is stored: rows and columns that the caller leaves out are not carried.
-    ``master`` is read twice, so give a stored one.
+    ``master`` is read twice, so give a stored one.  ``with_keys`` is that of
+    ``labelled_master``; where a user is hot there are no keys.
     """
-    users = repayments.select(F.expr(USER_KEYS[0]).alias("_user"))
+    paid = repayments.where(in_day_window("DISBURSED_DATE", start, end))
+    users = paid.select(F.expr(USER_KEYS[0]).alias("_user"))
     if not hot_buckets(users, ["_user"]):
-        loans = as_of_latest_run(repayments, master, {})
-        return labelled_master(master, loans, start, end, labelled_since, {})
-    loans, hot = stored_with_hot(as_of_latest_run(repayments, master), "loans_with_runs", LOAN_KEYS)
+        loans = as_of_latest_run(paid, master, {})
+        return labelled_master(master, loans, start, end, labelled_since, {}, with_keys)
+    loans, hot = stored_with_hot(as_of_latest_run(paid, master), "loans_with_runs", LOAN_KEYS)
     return labelled_master(master, loans, start, end, labelled_since, hot)
 
 
+def features_with_outcomes(
+    master: DataFrame,
+    repayments: DataFrame,
+    fact: DataFrame,
+    start: dt.date | str,
+    end: dt.date | str,
+    labelled_since: dt.date | str = "2022-08-01",
+) -> DataFrame:
+    """The fact's columns beside the labelled master's others (``attach_outcomes``, then ``features_for_master``).
+
+    Where no customer and run is hot in the master or the fact, the master moves
+    once for both joins.  Their keys are counted when this is called.
+    """
+    keyed = [df.select(*[F.expr(k).alias(n) for k, n in zip(RUN_KEYS, ("c", "r"))]) for df in (master, fact)]
+    hot = hot_buckets(keyed[1], ["c", "r"])
+    once = not hot and not hot_buckets(keyed[0], ["c", "r"])
+    rows = attach_outcomes(master, repayments, start, end, labelled_since, with_keys=once)
+    return features_for_master(rows, fact, hot=hot)
+
+
+def matured_outcomes(
+    master: DataFrame,
+    repayments: DataFrame,
+    start: dt.date | str,
+    end: dt.date | str,
+    as_of: dt.date | str,
+    labelled_since: dt.date | str = "2022-08-01",
+) -> DataFrame:
+    """The matured rows of ``attach_outcomes``; loans that are not matured leave before the joins."""
+    rows = attach_outcomes(master, scans.matured(repayments, as_of), start, end, labelled_since)
+    return scans.matured(rows, as_of)
+
+
 def gini_table(labelled: DataFrame, as_of: dt.date | str, **options) -> DataFrame:
     """Matured rows with their Gini columns."""
     rows = stored(scans.matured(labelled, as_of), "matured_master")

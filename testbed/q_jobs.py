@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from loanlens.operators import ks as K
 from loanlens.operators.checks import checked_numbers, checked_rows
 from loanlens.operators.cleaning import clean
-from loanlens.operators.outcomes import features_for_master
 from loanlens.operators.scoring import ModuleModel, linear_score, with_scores
 from loanlens.operators.trees import tree_probability
 from loanlens.operators.upsert import upsert_table
 from loanlens.plans import decisions as D
-from loanlens.plans.monitoring import attach_outcomes
+from loanlens.plans.monitoring import features_with_outcomes
 from loanlens.session import shared_folder, stored
 from loanlens.sources import scans, sinks, versions
 from loanlens.sources import schemas as S
@@ -333,6 +332,8 @@ def _fact_column(c: str) -> str:
 )
 def fact_right_join_full(spark, sf):
     """The whole decision list of the unfiltered fact beside all other master and outcome columns."""
-    master = stored(D.decided(_blended(spark, sf)), "master")
-    rows = attach_outcomes(master, P.repayments(spark, sf), PAID_FROM, PAID_TO, LABELLED_SINCE)
-    return rounded(features_for_master(rows, P.fact(spark, sf).select(*S.DECISION_COLUMNS)))
+    own = [c for c in S.MASTER_COLUMNS if c not in S.DECISION_COLUMNS]
+    master = stored(D.decided(_blended(spark, sf)).select("CUSTOMER_ID", "BRE_RUN_ID", "BRE_RUN_DATE", *own), "master")
+    fact = P.fact(spark, sf).select(*S.DECISION_COLUMNS)
+    rows = features_with_outcomes(master, P.repayments(spark, sf), fact, PAID_FROM, PAID_TO, LABELLED_SINCE)
+    return rounded(rows)

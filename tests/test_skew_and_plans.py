@@ -255,3 +255,34 @@ def test_decided_rows_are_compiled(spark):
         rows = decisions.decided(_blended(spark, "/root/testdata/sf0.001"))
         code = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "codegen")
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000  # the JVM interprets longer methods
+
+
+def even_loans_and_runs(spark):
+    """Of 1,500 users, a run twice on two days, runs and loans without a day, keys with spaces."""
+    loans, runs = loans_and_runs(spark)
+    even = F.concat(F.lit(" u"), (F.substring("BRE_RUN_ID", 2, 9).cast("int") % 1500).cast("string"))
+    runs = runs.withColumn("CUSTOMER_ID", even).withColumn("BRE_RUN_DATE", F.expr("if(BRE_RUN_ID like '%77', null, BRE_RUN_DATE)"))
+    again = runs.where("BRE_RUN_ID like '%3'").withColumn("BRE_RUN_DATE", F.date_add("BRE_RUN_DATE", 5))
+    loans = loans.withColumn("USER_ID", F.concat(F.lit("u"), (F.col("LOAN_ID").cast("int") % 1500).cast("string")))
+    loans = loans.withColumn("DISBURSED_DATE", F.expr("if(LOAN_ID like '%55', null, DISBURSED_DATE)"))
+    return loans, runs.unionByName(again)
+
+
+def test_the_master_moves_once_for_outcomes_and_features(spark):
+    loans, runs = even_loans_and_runs(spark)
+    fact = runs.where("BRE_RUN_ID not like '%1'").select("CUSTOMER_ID", F.concat("BRE_RUN_ID", F.lit(" ")).alias("BRE_RUN_ID"), F.lit(1).alias("A"))
+    args = ("2022-01-05", "2022-02-10", "2022-01-10")
+    expected = O.features_for_master(O.labelled_master(runs, O.as_of_latest_run(loans, runs), *args), fact)
+    got = monitoring.features_with_outcomes(runs, loans, fact, *args)
+    assert got.columns == expected.columns and rows_of(got.collect()) == rows_of(expected.collect())
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = monitoring.features_with_outcomes(runs, loans, fact, *args)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_run#" in line.split("ENSURE")[0]]
+    assert len(moved) == 3  # master, loans and fact, each once
+
+
+def test_flags_do_not_move_with_the_decisions(spark):
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = decisions.decided(_blended(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "HashAggregate(keys" in line and "BUREAUSCORE" in line]
+    assert grouped and not any("COMBINATION_TYPE" in line or "IS_BR_SUFF" in line for line in grouped)
