@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions import trimmed
+from loanlens.operators.skew import hot_buckets
 from loanlens.session import stored
 from loanlens.sources import versions
 from loanlens.sources.schemas import MASTER_KEYS
@@ -28,15 +29,20 @@ def latest_per_key(
     other groups Spark keeps one row in each map task before the shuffle.
     """
     keyed, names = _with_keys(df, keys)
+    return _latest(keyed, names, df.columns, latest_by).drop(*names)
+
+
+def _latest(keyed: DataFrame, names: Sequence[str], columns: Sequence[str], latest_by: str) -> DataFrame:
+    """The same of rows that have their trimmed keys beside them."""
     any_null = F.lit(False)
     for n in names:
         any_null = any_null | F.col(n).isNull()
     numbered = keyed.withColumn("_alone", F.when(any_null, F.monotonically_increasing_id()))
     order = Window.partitionBy(*names, "_alone").orderBy(
-        F.col(latest_by).desc_nulls_last(), F.xxhash64(*[F.col(c) for c in df.columns])
+        F.col(latest_by).desc_nulls_last(), F.xxhash64(*[F.col(c) for c in columns])
     )
     latest = numbered.withColumn("_n", F.row_number().over(order)).where("_n = 1")
-    return latest.drop("_n", "_alone", *names)
+    return latest.drop("_n", "_alone")
 
 
 def _carried(target: Sequence[str], source: DataFrame, keys: Sequence[str], new_columns: Sequence[str]) -> list[str]:
@@ -50,11 +56,14 @@ def _carried(target: Sequence[str], source: DataFrame, keys: Sequence[str], new_
 
 def _updated(
     target: DataFrame, fresh: DataFrame, names: Sequence[str], columns: Sequence[str],
-    carried: Sequence[str], new_columns: Sequence[str],
+    carried: Sequence[str], new_columns: Sequence[str], how: str = "left",
 ) -> DataFrame:
-    """The target's rows, with the source's values where a key matches; the target is on the left."""
+    """The target's rows, with the source's values where a key matches; the target is on the left.
+
+    With ``how`` as ``full`` the source's other rows too.
+    """
     changes = fresh.select(*names, F.struct(*carried).alias("_new"))
-    joined = target.join(changes, list(names), "left")
+    joined = target.join(changes, list(names), how)
     matched = F.col("_new").isNotNull()
 
     def value(c: str) -> Column:
@@ -97,6 +106,7 @@ def upsert_table(
     keys: Sequence[str] = tuple(MASTER_KEYS),
     latest_by: str = "BRE_RUN_DATE",
     new_columns: Sequence[str] = (),
+    source_stored: bool = False,
 ) -> versions.Version:
     """The merge of ``upsert`` into a stored table (see ``sources.versions``), where only what changes is written.
 
@@ -107,6 +117,13 @@ def upsert_table(
     As many folder names as the table has come to the driver.  Readers see the
     old rows until the whole merge is written; Conflict is raised, and nothing
     changed, if another writer was faster.
+
+    The keys of both sides are counted first.  Where none is hot, the source's
+    rows move once, by key: the latest of each is taken where it meets the
+    target's.  Otherwise the latest are stored first and joined such that
+    adaptive execution can split a hot key.  ``source_stored`` says that the
+    source reads stored rows, so reading it several times is cheap and gives the
+    same; any other source is stored here.
     """
     spark = source.sparkSession
     before = versions.version(spark, root)
@@ -114,10 +131,21 @@ def upsert_table(
         raise FileNotFoundError(f"no table under {root}")
     columns = [*before.schema.names, *new_columns]
     carried = _carried(before.schema.names, source, keys, new_columns)
-    latest = stored(latest_per_key(source, keys, latest_by).select(*carried), "upsert_source")
-    fresh, names = _with_keys(latest, keys)
+    if not source_stored:
+        source = stored(source, "upsert_source")
     everywhere = versions.rows_in(spark, root, before, before.all_folders(), "_folder")
-    places, _ = _with_keys(everywhere, keys)
+    places, names = _with_keys(everywhere, keys)
+    given = _with_keys(source, keys)[0].select(*names)
+    if not hot_buckets(places.select(*names), names) and not hot_buckets(given, names):
+        seen = places.select(*names, "_folder").join(given, names, "left_semi").select("_folder").distinct().collect()
+        touched = versions.named(before, [r["_folder"] for r in seen])
+        affected, _ = _with_keys(versions.rows_in(spark, root, before, touched), keys)
+        dealt = _with_keys(source, keys)[0].repartition(*names)
+        fresh = _latest(dealt, names, source.columns, latest_by)
+        merged = _updated(affected, fresh, names, columns, carried, new_columns, "full")
+        return versions.follow(spark, root, before, merged, touched)
+    latest = stored(latest_per_key(source, keys, latest_by).select(*carried), "upsert_latest")
+    fresh, _ = _with_keys(latest, keys)
     hits = stored(
         places.select(*names, "_folder").join(fresh.select(*names), names, "left_semi").distinct(), "upsert_hits"
     )

@@ -279,7 +279,7 @@ def upsert_full_master(spark, sf):
     )
     root = f"{shared_folder(spark)}/master"
     versions.replace(old, root, {"RUN_YEAR": "year(BRE_RUN_DATE)"})
-    upsert_table(root, rows.where(_FRESH))
+    upsert_table(root, rows.where(_FRESH), source_stored=True)
     return rounded(sinks.read_path(spark, root).select(*S.MASTER_COLUMNS))
 
 

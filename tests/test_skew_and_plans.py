@@ -11,8 +11,10 @@ from loanlens.operators import outcomes as O
 from loanlens.operators.gini import GINI_SCORES, gini, gini_metrics
 from loanlens.operators.ranges import in_fixed_range
 from loanlens.operators.skew import hot_buckets, left_join, left_join_many, left_joins
+from loanlens.operators import upsert as upserts
 from loanlens.operators.upsert import upsert
 from loanlens.plans import decisions, monitoring
+from loanlens.sources import versions
 from testbed.q_decisions import _blended
 
 SPLITTING = {
@@ -286,3 +288,25 @@ def test_flags_do_not_move_with_the_decisions(spark):
         plan = decisions.decided(_blended(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
     grouped = [line for line in plan.splitlines() if "HashAggregate(keys" in line and "BUREAUSCORE" in line]
     assert grouped and not any("COMBINATION_TYPE" in line or "IS_BR_SUFF" in line for line in grouped)
+
+
+def test_upsert_table_moves_an_even_source_once_and_stores_nothing(spark, tmp_path, monkeypatch):
+    row = spark.range(0, 3000, 1, 8).select(
+        F.when(F.col("id") % 1000 == 1, None).otherwise((F.col("id") % 1500).cast("string")).alias("CUSTOMER_ID"),
+        F.lit("r").alias("BRE_RUN_ID"), F.lit("X").alias("MODEL_TYPE"),
+        F.date_add(F.lit(dt.date(2022, 1, 1)), (F.col("id") % 700).cast("int")).alias("BRE_RUN_DATE"), F.col("id").alias("V"),
+    )
+    target = row.where("V < 2000")  # some keys twice, some NULL
+    fresh = row.where("V % 3 = 0 or CUSTOMER_ID is null").withColumn("CUSTOMER_ID", F.concat("CUSTOMER_ID", F.lit(" ")))
+    source = fresh.select("CUSTOMER_ID", "BRE_RUN_ID", "MODEL_TYPE", "BRE_RUN_DATE", (F.col("V") + 10000).alias("N"))
+    source = source.unionByName(source.where("N % 5 = 0").withColumn("BRE_RUN_DATE", F.date_sub("BRE_RUN_DATE", 1)))
+    expected = upsert(target, source, new_columns=["N"])
+    versions.replace(target, str(tmp_path), {"Y": "year(BRE_RUN_DATE)"})
+
+    def storing(*_):
+        raise AssertionError("stored")
+
+    monkeypatch.setattr(upserts, "stored", storing)
+    upserts.upsert_table(str(tmp_path), source, new_columns=["N"], source_stored=True)
+    got = versions.read(spark, str(tmp_path))
+    assert got.columns == expected.columns and rows_of(got.collect()) == rows_of(expected.collect())
