@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanlens.functions import month_label
-from loanlens.operators.gini import gini_metrics
-from loanlens.operators.ks import ks_statistic, ks_table
+from loanlens.operators.gini import GINI_SCORES, gini_metrics
+from loanlens.operators.ks import KS_SCORES, ks_statistic, ks_table
 from loanlens.operators.psi import DriftModule
 from loanlens.plans import decisions as D
 from loanlens.plans import monitoring as M
 from loanlens.session import stored
-from loanlens.sources import scans
 from loanlens.sources import schemas as S
 from loanlens.sources.assets import Roles
 from testbed import proxies as P
@@ -41,15 +40,15 @@ CTES["job_rows"] = (
 _JOB = (*_TO_BANDED, *_FULL, "repayments", "job_loans", "job_latest", "job_rows")
 
 
-def _master(spark, sf):
-    """The decided master, stored as its table."""
-    return stored(D.decided(_blended(spark, sf)), "master")
+def _master(spark, sf, columns=S.MASTER_COLUMNS):
+    """The decided master, stored as its table, or the columns of it that a job reads beside its key and day."""
+    read = [c for c in S.MASTER_COLUMNS if c in {"CUSTOMER_ID", "BRE_RUN_ID", "BRE_RUN_DATE", "MODEL_TYPE", *columns}]
+    return stored(D.decided(_blended(spark, sf)).select(*read), "master")
 
 
-def _labelled(spark, sf, master=None):
-    """The master with the outcomes attached, for one reader: of its columns only those that are read are joined."""
-    master = _master(spark, sf) if master is None else master
-    return M.attach_outcomes(master, P.repayments(spark, sf), PAID_FROM, PAID_TO, LABELLED_SINCE)
+def _matured(spark, sf, master):
+    """The matured rows of the master with their outcomes, for one reader: only the columns that are read are joined."""
+    return M.matured_outcomes(master, P.repayments(spark, sf), PAID_FROM, PAID_TO, AS_OF, LABELLED_SINCE)
 
 
 @query(
@@ -60,7 +59,8 @@ def _labelled(spark, sf, master=None):
     ),
 )
 def job_gini(spark, sf):
-    return rounded(gini_metrics(scans.matured(_labelled(spark, sf), AS_OF), SINCE))
+    columns = [c for pair in GINI_SCORES for c in pair if c]
+    return rounded(gini_metrics(_matured(spark, sf, _master(spark, sf, columns)), SINCE))
 
 
 _CUTS = "CASE WHEN {0} IS NULL THEN NULL WHEN {0} <= 0.0162 THEN 1 WHEN {0} <= 0.026 THEN 2 WHEN {0} <= 0.0392 THEN 3 WHEN {0} <= 0.0532 THEN 4 ELSE 5 END"
@@ -91,7 +91,7 @@ CTES["job_ks_gaps"] = (
     ),
 )
 def job_ks(spark, sf):
-    return rounded(ks_statistic(ks_table(scans.matured(_labelled(spark, sf), AS_OF))))
+    return rounded(ks_statistic(ks_table(_matured(spark, sf, _master(spark, sf, KS_SCORES)))))
 
 
 FEATURES = ["KB_AGE", "TOTAL_TXN_AMNT"]
@@ -121,13 +121,14 @@ _DRIFT = numeric_psi_ctes(
 )
 def job_drift(spark, sf):
     """Fact features and scores of the matured rows against the decisions of the first years."""
-    master = _master(spark, sf)
-    matured = scans.matured(_labelled(spark, sf, master), AS_OF)
+    scores = ["TRX_PD", "SMS_PD", "BR_PD", "CALIB_PD"]
+    master = _master(spark, sf, [*scores, S.LEDGER_FLAG])
+    matured = _matured(spark, sf, master)
     rows = matured.withColumn("MONTH_YEAR", month_label("DISBURSED_DATE"))
     fact = P.fact(spark, sf, "transaction").select("CUSTOMER_ID", "BRE_RUN_ID", *FEATURES)
     first = master.where(F.col("BRE_RUN_DATE") < BASELINE_END)
     baseline = stored(
-        first.select("BRE_RUN_ID", "TRX_PD", "SMS_PD", "BR_PD", "CALIB_PD").join(
+        first.select("BRE_RUN_ID", *scores).join(
             fact.drop("CUSTOMER_ID"), ["BRE_RUN_ID"]
         ),
         "drift_baseline",

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from loanlens.operators import outcomes as O
 from loanlens.operators.gini import GINI_SCORES, gini, gini_metrics
+from loanlens.operators.ks import KS_SCORES
 from loanlens.operators.ranges import in_fixed_range
 from loanlens.operators.skew import hot_buckets, left_join, left_join_many, left_joins
 from loanlens.operators import upsert as upserts
 from loanlens.operators.upsert import upsert
 from loanlens.plans import decisions, monitoring
-from loanlens.sources import versions
+from loanlens.sources import scans, versions
+from testbed import q_monitoring
 from testbed.q_decisions import _blended
 
 SPLITTING = {
@@ -310,3 +312,22 @@ def test_upsert_table_moves_an_even_source_once_and_stores_nothing(spark, tmp_pa
     upserts.upsert_table(str(tmp_path), source, new_columns=["N"], source_stored=True)
     got = versions.read(spark, str(tmp_path))
     assert got.columns == expected.columns and rows_of(got.collect()) == rows_of(expected.collect())
+
+
+def test_matured_outcomes_leave_other_loans_before_the_joins(spark):
+    loans, runs = even_loans_and_runs(spark)
+    runs = runs.withColumn("MODEL_TYPE", F.lit("X"))
+    days, since, as_of = ("2022-01-05", "2022-02-10"), "2022-01-10", "2022-05-01"
+    expected = scans.matured(O.labelled_master(runs, O.as_of_latest_run(loans, runs), *days, since), as_of)
+    got = monitoring.matured_outcomes(runs, loans, *days, as_of, since)
+    assert got.columns == expected.columns and rows_of(got.collect()) == rows_of(expected.collect())
+    with settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    dated = [i for i, line in enumerate(plan.splitlines()) if "Filter" in line and "2022-02-01" in line]
+    windows = [i for i, line in enumerate(plan.splitlines()) if " Window [last" in line]
+    assert windows and max(dated) > max(windows)  # below the as-of window
+
+
+def test_a_job_stores_only_the_columns_it_reads(spark):
+    master = q_monitoring._master(spark, "/root/testdata/sf0.001", KS_SCORES)
+    assert set(master.columns) == {"CUSTOMER_ID", "BRE_RUN_ID", "BRE_RUN_DATE", "MODEL_TYPE", *KS_SCORES}
