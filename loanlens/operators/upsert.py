@@ -110,7 +110,7 @@ def upsert_table(
 ) -> versions.Version:
     """The merge of ``upsert`` into a stored table (see ``sources.versions``), where only what changes is written.
 
-    The target's key columns are read once, to find the folders that hold a
+    The target's key columns are read twice, to count them and to find the folders that hold a
     key of the source; those folders' rows are read and written anew, and all
     other files stay under their names.  Added rows, and updated ones that now
     belong to another partition, become new files beside those that are there.
